@@ -3,23 +3,59 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tracelake.llm import minhash
+from tracelake.llm import embeddings, minhash, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.link_groups(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op7_exact_top_k": op7_exact_top_k,
 }
 
+COSINE_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT a AS id, b AS other FROM links UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a
+), n AS (
+  SELECT a AS id, count(*) AS n FROM links GROUP BY a
+)
+SELECT v.vec_id, coalesce(max(n.n), 0) AS n_links, least(v.vec_id, coalesce(min(r.other), v.vec_id)) AS component_id,
+  v.vec_id = least(v.vec_id, coalesce(min(r.other), v.vec_id)) AS kept
+FROM v LEFT JOIN n ON n.id = v.vec_id LEFT JOIN reach r ON r.id = v.vec_id GROUP BY v.vec_id
+"""
+
+TOP_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, 65), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
 SHINGLE_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -41,5 +77,7 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach r ON r.id =
 """
 
 ORACLES = {
+    "op1_embedding_near_dedup": COSINE_SQL,
     "op3_minhash_near_dedup": SHINGLE_SQL,
+    "op7_exact_top_k": TOP_SQL,
 }

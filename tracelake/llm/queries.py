@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracelake.llm import embeddings, minhash, topk
+from tracelake.llm import embeddings, minhash, mixing, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), slim=True)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -26,6 +31,7 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op5_mixing": op5_mixing,
     "op7_exact_top_k": op7_exact_top_k,
 }
 
@@ -44,6 +50,32 @@ SELECT v.vec_id, coalesce(max(n.n), 0) AS n_links, least(v.vec_id, coalesce(min(
 FROM v LEFT JOIN n ON n.id = v.vec_id LEFT JOIN reach r ON r.id = v.vec_id GROUP BY v.vec_id
 """
 
+MIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    -ln((CAST(concat('0x', substr(md5(concat('17:', doc_id)), 1, 12)) AS BIGINT) + 0.5::DOUBLE) / 281474976710656::DOUBLE)
+      / greatest(0.25::DOUBLE, CAST(length(regexp_replace(coalesce(text, ''), '[!-/:-@\[-`{-~]+', '', 'g')) AS DOUBLE) / greatest(length(coalesce(text, '')), 1)) AS mix_key
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(sum(sum(size)) OVER () AS BIGINT) AS everything,
+    [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS weight FROM d GROUP BY source
+), r AS (
+  SELECT *, 3 * source_size AS cut, CAST(3 * source_size AS DOUBLE) / weight AS room FROM s
+), f AS (
+  SELECT *, sum(cut) OVER w + room * (sum(weight) OVER () - sum(weight) OVER w) <= everything AS full_ FROM r
+  WINDOW w AS (ORDER BY room RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), t AS (
+  SELECT source, source_size, CASE WHEN full_ THEN CAST(cut AS DOUBLE) ELSE weight * (
+    CAST(everything - sum(CASE WHEN full_ THEN cut ELSE 0 END) OVER () AS DOUBLE) / nullif(sum(CASE WHEN full_ THEN 0 ELSE weight END) OVER (), 0)) END AS target FROM f
+), e AS (
+  SELECT d.*, t.source_size, t.target, least(3, CAST(floor(t.target / greatest(t.source_size, 1)) AS BIGINT)) AS epochs,
+    sum(size) OVER (PARTITION BY d.source ORDER BY mix_key, doc_id ROWS UNBOUNDED PRECEDING) AS upto
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+  CAST(epochs * size + greatest(0, least(size, CAST(floor(target) AS BIGINT) - epochs * source_size - upto + size)) AS BIGINT) AS taken FROM e
+"""
+
 TOP_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
@@ -79,5 +111,6 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach r ON r.id =
 ORACLES = {
     "op1_embedding_near_dedup": COSINE_SQL,
     "op3_minhash_near_dedup": SHINGLE_SQL,
+    "op5_mixing": MIX_SQL,
     "op7_exact_top_k": TOP_SQL,
 }

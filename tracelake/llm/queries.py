@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracelake.llm import embeddings, minhash, mixing, topk
+from tracelake.llm import embeddings, minhash, mixing, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,11 +28,17 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, contents = warc.archive(table(spark, sf_dir, "pages"))
+    return warc.inspect(warc.read_bundles(spark, folder, contents))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op5_mixing": op5_mixing,
     "op7_exact_top_k": op7_exact_top_k,
+    "op10_warc": op10_warc,
 }
 
 COSINE_SQL = """
@@ -108,9 +114,23 @@ SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, least(d.doc_id, coalesce(m
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach r ON r.id = d.doc_id GROUP BY d.doc_id
 """
 
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body, sha1(encode(coalesce(html, ''))) AS hex FROM pages
+), b AS (
+  SELECT page_id, octet_length(body) AS payload_bytes, hex, min(page_id) OVER (PARTITION BY hex) AS first,
+    list_transform(range(0, 8), lambda g: CAST(concat('0x', substr(hex, CAST(5 * g + 1 AS INT), 5)) AS BIGINT)) AS parts FROM p
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda c: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((parts[c // 4 + 1] // [32768, 1024, 32, 1][c % 4 + 1]) % 32 + 1 AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b
+"""
+
 ORACLES = {
     "op1_embedding_near_dedup": COSINE_SQL,
     "op3_minhash_near_dedup": SHINGLE_SQL,
     "op5_mixing": MIX_SQL,
     "op7_exact_top_k": TOP_SQL,
+    "op10_warc": WARC_SQL,
 }

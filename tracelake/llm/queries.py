@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracelake.llm import embeddings, minhash, mixing, topk, warc
+from tracelake.llm import embeddings, minhash, mixing, secrets, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("redacted").withColumnRenamed("id", "doc_id")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, contents = warc.archive(table(spark, sf_dir, "pages"))
     return warc.inspect(warc.read_bundles(spark, folder, contents))
@@ -38,6 +42,7 @@ QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op5_mixing": op5_mixing,
     "op7_exact_top_k": op7_exact_top_k,
+    "op9_secret_scan": op9_secret_scan,
     "op10_warc": op10_warc,
 }
 

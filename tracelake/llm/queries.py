@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracelake.llm import embeddings, minhash, mixing, secrets, topk, warc
+from tracelake.llm import embeddings, minhash, mixing, pii, secrets, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.link_groups(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -39,6 +43,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
+    "op2_pii": op2_pii,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op5_mixing": op5_mixing,
     "op7_exact_top_k": op7_exact_top_k,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracelake.llm import embeddings, minhash, mixing, pii, secrets, topk, warc
+from tracelake.llm import embeddings, langid, minhash, mixing, pii, quality, secrets, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rated.drop("print").withColumnRenamed("id", "doc_id")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), slim=True)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -32,6 +37,10 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents")).drop("redacted").withColumnRenamed("id", "doc_id")
 
@@ -45,8 +54,10 @@ QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_pii": op2_pii,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op7_exact_top_k": op7_exact_top_k,
+    "op8_language_id": op8_language_id,
     "op9_secret_scan": op9_secret_scan,
     "op10_warc": op10_warc,
 }

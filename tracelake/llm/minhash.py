@@ -25,13 +25,15 @@ from pyspark.sql import functions as F
 
 from tracelake.llm.common import connected_components, materialize
 
-BANDS, ROWS = 36, 4  # at similarity 0.75 all bands miss with probability 1e-6
+REGISTERS = 144
+BANDS, ROWS = 28, 4  # at similarity 0.75 all bands miss with probability 2e-5, at 0.8 with 4e-7
 BASE = 1.02  # of the registers' exponential scale
 SHINGLE = 5
 SLACK = 0.16  # estimates this far below the threshold (over 4 standard deviations) go unverified
-TILE = 512
+TILE = 2048
+BROADCAST_IDS = 2_000_000  # 16 bytes each
 WEIGHTS = np.random.default_rng(11).integers(1, 2**63, SHINGLE, dtype=np.uint64) | np.uint64(1)
-MULTIPLIERS = np.random.default_rng(7).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+MULTIPLIERS = np.random.default_rng(7).integers(1, 2**63, REGISTERS, dtype=np.uint64) | np.uint64(1)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -99,7 +101,7 @@ def similar(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, leas
     ok = equal >= (least - SLACK) * b.shape[1] * 0.9
     at, same, equal = at[ok], same[ok], equal[ok]
     if band is not None and len(at):
-        ok = same.reshape(len(at), BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+        ok = same[:, : BANDS * ROWS].reshape(len(at), BANDS, ROWS).all(axis=2).argmax(axis=1) == band
         at, equal = at[ok], equal[ok]
     if len(at):
         more = (np.broadcast_to(a, b.shape)[at] > b[at]).sum(axis=1)
@@ -111,29 +113,34 @@ def similar(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, leas
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """``(id, n, fold, sketch, keys)``: set size, 128-bit fingerprint of the set, registers, band keys."""
+    """``(id, n, fold, sketch)``: set size, 128-bit fingerprint of the set, registers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Fingerprints()
         for batch in batches:
-            n, fold, sketch, keys = [], [], [], []
-            for text in batch.column("text"):
-                s = shingle_set(text.as_py(), words)
-                n.append(len(s))
-                fold.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                if len(s):
-                    r = registers(s)
-                    sketch.append(r.tobytes())
-                    keys.append([xxhash.xxh3_64_intdigest(r[i * ROWS : (i + 1) * ROWS].tobytes(), i) - 2**63 for i in range(BANDS)])
-                else:
-                    sketch.append(None)
-                    keys.append(None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n, pa.int64()), pa.array(fold, pa.binary()), pa.array(sketch, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["id", "n", "fold", "sketch", "keys"],
-            )
-
-    return docs.mapInArrow(run, "id long, n long, fold binary, sketch binary, keys array<long>")
+            sets = [shingle_set(t.as_py(), words) for t in batch.column("text")]
+            n = pa.array([len(s) for s in sets], pa.int64())
+            fold = pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
+            sketch = pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), n, fold, sketch], ["id", "n", "fold", "sketch"])
+
+    return docs.mapInArrow(run, "id long, n long, fold binary, sketch binary")
+
+
+def banded(sketches: DataFrame) -> DataFrame:
+    """``(key, id, n)`` for every band; the band is the key's last five bits."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            keys = [xxhash.xxh3_64_intdigest(s[i * ROWS * 2 : (i + 1) * ROWS * 2], i) & ~31 | i for s in f["sketch"] for i in range(BANDS)]
+            yield pd.DataFrame({"key": np.array(keys, np.uint64).view(np.int64), "id": np.repeat(f["id"].to_numpy(), BANDS), "n": np.repeat(f["n"].to_numpy(), BANDS)})
+
+    return sketches.mapInPandas(run, "key long, id long, n long")
+
+
+def among(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose id is in ``ids``; the ids are broadcast only where their number is known to be small."""
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
 
 
 def with_sets(docs: DataFrame) -> DataFrame:
@@ -170,8 +177,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def tiles(members: DataFrame, counts: DataFrame) -> DataFrame:
-    """Members of each bucket dealt to tiles ``(band, key, i, j)``: every two members of a bucket share one."""
-    m = members.join(counts, ["band", "key"]).withColumn("blocks", F.ceil(F.col("size") / TILE).cast("int"))
+    """Members of each bucket dealt to tiles ``(key, i, j)``: every two members of a bucket share one."""
+    m = members.join(counts, "key").withColumn("blocks", F.ceil(F.col("size") / TILE).cast("int"))
     m = m.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return m.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
@@ -211,12 +218,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         base = materialize(sketched(docs))
 
     folds = base.where("fold is not null").groupBy("fold").agg(F.min("id").alias("rep"))
-    reps = base.join(folds.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "sketch", "keys")
-    reps = materialize(reps)
-    buckets = reps.select("id", F.posexplode("keys").alias("band", "key"))
-    counts = buckets.groupBy("band", "key").agg(F.count("*").alias("size"), F.min("id").alias("hub")).where("size > 1")
-    buckets = materialize(buckets.join(counts, ["band", "key"]))
-    sketches = reps.select("id", "n", "sketch")
+    reps = base.join(folds.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "sketch")
+    sketches = materialize(reps)
+    buckets = materialize(banded(sketches))
+    counts = buckets.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("hub"), F.min_by("n", "id").alias("hub_n")).where("size > 1")
+    buckets = materialize(buckets.join(counts, "key"))
 
     # 1. every member against its bucket's hub
     @F.pandas_udf("boolean")
@@ -224,39 +230,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         a, b = (np.frombuffer(b"".join(s), np.uint16).reshape(len(s), -1) for s in (sa, sb))
         return pd.Series(similar(a, b, na.to_numpy(), nb.to_numpy(), least)) if len(sa) else pd.Series([], dtype=bool)
 
-    pairs = buckets.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    pairs = buckets.where("id <> hub").where(F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     pairs = pairs.join(sketches.toDF("a", "na", "sa"), "a").join(sketches.toDF("b", "nb", "sb"), "b")
     pairs = materialize(pairs.where(may("sa", "sb", "na", "nb")).select("a", "b"))
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    links = materialize(verified(pairs, materialize(with_sets(docs.join(wanted, "id", "left_semi"))), percent))
+    links = materialize(verified(pairs, materialize(with_sets(among(docs, wanted))), percent))
     groups = connected_components(links.toDF("src", "dst")).toDF("id", "component")
 
     # 2. members of a bucket that are still apart: first by sketches, in tiles
-    apart = buckets.select("band", "key", "id").join(groups, "id", "left").select("band", "key", "id", F.coalesce("component", "id").alias("component"))
-    mixed_keys = apart.groupBy("band", "key").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("size > 2 and lo < hi")  # round 1 has compared a hub with a single member
-    around = tiles(apart, mixed_keys.select("band", "key", "size")).join(sketches, "id")
+    apart = buckets.where("size > 2").select("key", "id").join(groups, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    mixed_keys = apart.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")  # round 1 has compared a hub with a single member
+    around = tiles(apart, mixed_keys.select("key", "size")).join(sketches, "id")
 
     def meet(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        band, bucket, i, j = key
-        tile, out = Tile(f, i, j), set()
+        bucket, i, j = key
+        tile, out, band = Tile(f, i, j), set(), bucket & 31
         for x in tile.outsiders:
             ok = tile.partners(x, band, least)
             if len(ok):
                 out.add(x)
                 out.update(ok.tolist())
         out = pd.DataFrame({"id": np.sort(tile.ids[sorted(out)])})
-        return out.assign(band=band, key=bucket, i=i, j=j)[["band", "key", "i", "j", "id"]]
+        return out.assign(key=bucket, i=i, j=j)[["key", "i", "j", "id"]]
 
-    near = materialize(around.groupBy("band", "key", "i", "j").applyInPandas(meet, "band int, key long, i int, j int, id long"))
+    near = materialize(around.groupBy("key", "i", "j").applyInPandas(meet, "key long, i int, j int, id long"))
     wanted = near.select("id").distinct()
-    sets = materialize(with_sets(docs.join(wanted, "id", "left_semi")))
+    sets = materialize(with_sets(among(docs, wanted)))
 
     # then by full sets, leaving out what is implied
     def decide(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        tile, out = Tile(f, *key[2:]), []
+        tile, out = Tile(f, *key[1:]), []
         sets = [np.frombuffer(x, np.uint64) for x in tile.frame["shingles"]]
         for x in tile.outsiders:
-            at = tile.partners(x, key[0], least)
+            at = tile.partners(x, key[0] & 31, least)
             for y in at[links_to(sets[x], [sets[y] for y in at], percent)].tolist() if len(at) else ():
                 p, q = tile.comps[x], tile.comps[y]
                 if p != q:
@@ -264,8 +270,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     out.append((tile.ids[x], tile.ids[y]))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    found = around.join(near, ["band", "key", "i", "j", "id"]).join(sets, "id")
-    more = found.groupBy("band", "key", "i", "j").applyInPandas(decide, "a long, b long")
+    found = around.join(near, ["key", "i", "j", "id"]).join(sets, "id")
+    more = found.groupBy("key", "i", "j").applyInPandas(decide, "a long, b long")
     links = materialize(links.unionByName(more).distinct())
     groups = connected_components(links.toDF("src", "dst")).toDF("rep", "component")
     named = folds.join(groups, "rep", "left").select("fold", F.coalesce("component", "rep").alias("component"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracelake.llm import embeddings, langid, minhash, mixing, pii, quality, secrets, topk, warc
+from tracelake.llm import embeddings, langid, minhash, mixing, pieces, pii, quality, secrets, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_sentencepiece_n_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("id", "doc_id")
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
+    "op6_sentencepiece_n_best": op6_sentencepiece_n_best,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_language_id": op8_language_id,
     "op9_secret_scan": op9_secret_scan,

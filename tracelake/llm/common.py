@@ -60,3 +60,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
 def split_rows(n: int, target: int) -> int:
     """Blocks of about ``target`` rows that ``n`` rows fill, one at least."""
     return max(1, -(-n // target))
+
+
+def without(docs: DataFrame, drop: DataFrame, few: int = 2_000_000) -> DataFrame:
+    """Rows of ``docs`` that aren't in ``drop(doc_id)`` or ``drop(doc_id, print)``, where ``print`` is the text's hash.
+
+    What is dropped is broadcast only where its number is known to be small. Null ids match null ids.
+    """
+    drop = materialize(drop.distinct().withColumnsRenamed({"doc_id": "_id", "print": "_print"}))
+    same = docs["doc_id"].eqNullSafe(drop["_id"])
+    if "_print" in drop.columns:
+        same &= F.xxhash64(docs["text"].cast("string")) == drop["_print"]
+    return docs.join(F.broadcast(drop) if drop.count() <= few else drop, same, "left_anti")

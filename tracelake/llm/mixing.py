@@ -106,3 +106,12 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
     out = mix(docs, id_col, **kw)
     copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.greatest("size", F.lit(1)))).otherwise(0).cast("int")
     return out.withColumn("copies", copies).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*columns)
+
+
+def once(docs: DataFrame, id_col: str) -> DataFrame:
+    """Of rows that repeat an id, one (the smallest by all columns); rows without id all stay."""
+    ids = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").select(id_col)
+    if ids.isEmpty():
+        return docs
+    nth = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(*docs.columns)))
+    return docs.withColumn("_nth", F.when(F.col(id_col).isNull(), 1).otherwise(nth)).where("_nth = 1").drop("_nth")

@@ -1,8 +1,64 @@
-"""Corpus pipeline; its stages follow."""
+"""Corpus pipeline: quality, near-duplicates, secrets, mixing, encoding.
 
-STAGES = []
+Each stage takes ``(spark, docs, sf_dir)`` and returns the columns of ``documents`` (the last one token
+ids); its result is written and read again as the next one's ``docs``.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tracelake.llm import minhash, mixing, pieces, quality, secrets
+from tracelake.llm.common import shared_dir, without
+
+
+def resample_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling keeps."""
+    rated = quality.resample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return without(docs, rated.where(~F.col("kept")).select(F.col("id").alias("doc_id"), "print"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one of the smallest id; documents without id stay."""
+    found = minhash.near_duplicates(docs)
+    docs = without(docs, found.where(~F.col("kept")).select(F.col("id").alias("doc_id")))
+    return mixing.once(docs, "doc_id")
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts blotted out."""
+    return secrets.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target takes them."""
+    return mixing.mixed_rows(docs)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each row's best segmentation, with the log-probabilities of the four best."""
+    return pieces.encode(docs, alternatives=False).select(F.col("id").alias("doc_id"), "ids", F.transform("n_best", lambda x: x["score"]).alias("scores"))
+
+
+STAGES = [
+    ("quality", resample_quality),
+    ("near_dedup", drop_near_duplicates),
+    ("secrets", redact_secrets),
+    ("mixing", mix_sources),
+    ("encoding", encode_pieces),
+]
+
+#: No stage but mixing can be said in SQL; tests compare each with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs

@@ -62,6 +62,11 @@ def split_rows(n: int, target: int) -> int:
     return max(1, -(-n // target))
 
 
+def small(df: DataFrame, few: int = 2_000_000) -> DataFrame:
+    """``df`` with a broadcast hint where its rows are counted to be few, else as it is."""
+    return F.broadcast(df) if df.count() <= few else df
+
+
 def without(docs: DataFrame, drop: DataFrame, few: int = 2_000_000) -> DataFrame:
     """Rows of ``docs`` that aren't in ``drop(doc_id)`` or ``drop(doc_id, print)``, where ``print`` is the text's hash.
 
@@ -71,4 +76,4 @@ def without(docs: DataFrame, drop: DataFrame, few: int = 2_000_000) -> DataFrame
     same = docs["doc_id"].eqNullSafe(drop["_id"])
     if "_print" in drop.columns:
         same &= F.xxhash64(docs["text"].cast("string")) == drop["_print"]
-    return docs.join(F.broadcast(drop) if drop.count() <= few else drop, same, "left_anti")
+    return docs.join(small(drop, few), same, "left_anti")

@@ -21,7 +21,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import materialize, shared_dir
+from tracelake.llm.common import materialize, shared_dir, small
 
 FRAME = 1 << 18  # plain bytes after which a frame is closed
 BUNDLE = 1 << 25  # compressed bytes after which a bundle is closed
@@ -144,7 +144,7 @@ def read_bundles(spark: SparkSession, folder: str, contents: DataFrame) -> DataF
     """Every record of the bundles that ``contents`` lists: ``page_id, headers, block``, read frame by frame through the seek tables."""
     names = contents.select("file").distinct()
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").join(names, "file", "left_semi").select("content")
+    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").join(small(names, 200_000), "file", "left_semi").select("content")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -182,7 +182,7 @@ def with_kinds(pages: DataFrame, least: int = 0, id_col: str = "page_id", url_co
         heads = materialize(p.select("page_id", "digest", "bytes"))
     first = heads.where(F.col("bytes") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
     known = heads.where(F.col("bytes") >= least).join(first, "digest").where("page_id <> first").select("page_id", F.col("first").alias("refers_to"))
-    p = p.join(known, "page_id", "left")
+    p = p.join(small(materialize(known)), "page_id", "left")
     return p.withColumn("kind", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit")).drop("bytes")
 
 

@@ -169,7 +169,9 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     table = soft.select("p", F.explode(F.array(*[F.concat(F.lit(k + "="), F.coalesce(F.col(k), F.lit(""))) for k in feats])).alias("value"))
     table = table.groupBy("value").agg(F.sum("p").alias("p"), F.sum(1 - F.col("p")).alias("q"))
     total = soft.agg(F.sum("p").alias("all_p"), F.sum(1 - F.col("p")).alias("all_q"))
-    gain = F.log((F.col("p") + 0.5) / (F.col("all_p") + 1)) - F.log((F.col("q") + 0.5) / (F.col("all_q") + 1))
+    # smoothed towards the value's share among all spans, so that a rare value alone tells nothing
+    share = 2 * (F.col("p") + F.col("q")) / (F.col("all_p") + F.col("all_q"))
+    gain = F.log((F.col("p") + share) / (F.col("all_p") + 2)) - F.log((F.col("q") + share) / (F.col("all_q") + 2))
     gains = table.crossJoin(F.broadcast(total)).agg(F.map_from_entries(F.collect_list(F.struct("value", gain.alias("g")))).alias("gains"), F.first(F.log((F.col("all_p") + 1) / (F.col("all_q") + 1))).alias("bias"))
     score = reduce(lambda a, b: a + b, [F.coalesce(F.try_element_at("gains", F.concat(F.lit(k + "="), F.coalesce(f, F.lit("")))), F.lit(0.0)) for k, f in feats.items()]) + F.col("bias")
     decided = votes.crossJoin(F.broadcast(gains)).withColumn("score", score)

@@ -11,18 +11,19 @@ from tracelake.functions.geo import METRES_PER_DEGREE, bearing, clipped_fraction
 def chains(edges: DataFrame, seeds: DataFrame, limit: float, depth: int = 10, backward: bool = False) -> DataFrame:
     """Roads reached from ``seeds(roadid)``: ``(road_id, depth, distance)``, every path's row.
 
-    A step adds the length of the edge it takes while the sum stays within ``limit``. Depth bounds
-    cycles; one join a level, each over what the last level found.
+    A seed's edges lead to roads at distance 0; going on from a road adds the length of the edge that led
+    to it, while the sum stays within ``limit``. Depth bounds cycles; one join a level, each over what the
+    last level found.
     """
     start, end = ("nextroadid", "roadid") if backward else ("roadid", "nextroadid")
     e = edges.select(F.col(start).alias("a"), F.col(end).alias("road_id"), "length")
-    level = e.join(seeds.select(F.col("roadid").alias("a")), "a", "left_semi").select("road_id", F.lit(0).alias("depth"), F.lit(0.0).alias("distance"))
+    level = e.join(seeds.select(F.col("roadid").alias("a")), "a", "left_semi").select("road_id", F.lit(0).alias("depth"), F.lit(0.0).alias("distance"), "length")
     out = level
     for d in range(1, depth + 1):
-        level = level.select(F.col("road_id").alias("a"), "distance").join(e, "a").where(F.col("distance") + F.col("length") <= limit)
-        level = level.select("road_id", F.lit(d).alias("depth"), (F.col("distance") + F.col("length")).alias("distance"))
+        level = level.select(F.col("road_id").alias("a"), (F.col("distance") + F.col("length")).alias("distance")).where(F.col("distance") <= limit)
+        level = level.join(e, "a").select("road_id", F.lit(d).alias("depth"), "distance", "length")
         out = out.unionByName(level)
-    return out
+    return out.drop("length")
 
 
 def nearest_rows(chain: DataFrame) -> DataFrame:

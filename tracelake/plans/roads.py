@@ -11,8 +11,8 @@ from tracelake.operators import trajectories as T
 from tracelake.plans.registry import query
 
 CHAIN = """c AS (
-  SELECT {b} AS road_id, 0 AS depth, CAST(0 AS DOUBLE) AS distance FROM edges WHERE {a} < 20
-  UNION ALL SELECT e.{b}, c.depth + 1, c.distance + e.length FROM c JOIN edges e ON e.{a} = c.road_id WHERE c.distance + e.length <= {limit} AND c.depth < 10
+  SELECT {b} AS road_id, 0 AS depth, CAST(0 AS DOUBLE) AS distance, length FROM edges WHERE {a} < 20
+  UNION ALL SELECT e.{b}, c.depth + 1, c.distance + c.length, e.length FROM c JOIN edges e ON e.{a} = c.road_id WHERE c.distance + c.length <= {limit} AND c.depth < 10
 )"""
 FORWARD, BACKWARD = CHAIN.format(a="roadid", b="nextroadid", limit=500), CHAIN.format(a="nextroadid", b="roadid", limit=100)
 DIST = """sqrt((p.lon - (l.xmin + t * (l.xmax - l.xmin))) ** 2 + (p.lat - (l.ymin + t * (l.ymax - l.ymin))) ** 2)"""
@@ -40,17 +40,17 @@ def g2(pts, crossings):
     return R.near_lanes(pts, lanes_of(crossings), 3).select("dataset_name", "lane_id").distinct()
 
 
-@query("g5_forward_chains", "edges", sql=f"WITH {FORWARD} SELECT * FROM c")
+@query("g5_forward_chains", "edges", sql=f"WITH {FORWARD} SELECT road_id, depth, distance FROM c")
 def g5(edges):
     return R.chains(edges, edges.where("roadid < 20").select("roadid"), 500.0)
 
 
-@query("g6_backward_chains", "edges", sql=f"WITH {BACKWARD} SELECT * FROM c")
+@query("g6_backward_chains", "edges", sql=f"WITH {BACKWARD} SELECT road_id, depth, distance FROM c")
 def g6(edges):
     return R.chains(edges, edges.where("nextroadid < 20").select(F.col("nextroadid").alias("roadid")), 100.0, backward=True)
 
 
-@query("g7_chain_union", "edges", sql=f"""WITH {FORWARD}, {BACKWARD.replace('c AS', 'd AS', 1).replace('FROM c JOIN', 'FROM d JOIN').replace('c.', 'd.').replace('e.roadid, d.depth', 'e.roadid, d.depth')},
+@query("g7_chain_union", "edges", sql=f"""WITH {FORWARD}, {BACKWARD.replace('c AS', 'd AS', 1).replace('FROM c JOIN', 'FROM d JOIN').replace('c.', 'd.')},
 u AS (SELECT * FROM c UNION ALL SELECT * FROM d) SELECT road_id, depth, distance FROM (SELECT *, row_number() OVER (PARTITION BY road_id ORDER BY depth, distance) AS r FROM u) WHERE r = 1""")
 def g7(edges):
     ahead = R.chains(edges, edges.where("roadid < 20").select("roadid"), 500.0)

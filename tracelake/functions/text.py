@@ -98,15 +98,15 @@ def repaired(text: Column) -> Column:
 
 
 def image_format(content: Column) -> Column:
-    """Format by leading bytes (fixed values); ``jpeg`` if unknown."""
+    """Format by leading bytes (fixed values), or ``unknown``."""
     head = F.hex(F.substring(content, 1, 12))
     return (
-        F.when(head.startswith("FFD8FF"), "jpeg")
+        F.when(head.startswith("FFD8"), "jpeg")
         .when(head.startswith("89504E470D0A1A0A"), "png")
         .when(head.startswith("47494638"), "gif")
         .when(head.startswith("52494646") & (F.substring(head, 17, 8) == "57454250"), "webp")
         .when(head.startswith("424D"), "bmp")
-        .otherwise("jpeg")
+        .otherwise("unknown")
     )
 
 

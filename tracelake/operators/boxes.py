@@ -60,8 +60,8 @@ def pairs(boxes: DataFrame, crossings: DataFrame, size: float = 0.002) -> DataFr
 
 
 #: Labels of the codes (fixed values).
-TYPES = {1: "Intersection", 2: "Toll Station", 3: "Lane Change Area", 4: "T-Junction Area", 5: "Roundabout", 6: "H-Junction Area", 7: "Invalid", 8: "Toll Booth"}
-SUBTYPES = {1: "Regular", 2: "T-Junction with Through Markings", 3: "Minor Junction (No Traffic Light)", 4: "Unmarked Junction", 5: "Secondary Junction", 6: "Conservative Through Junction", 7: "Invalid"}
+TYPES = {1: "Intersection", 2: "Toll Station", 3: "Lane Change Area", 4: "T-Junction Area", 5: "Roundabout", 6: "H-Junction Area", 7: "Invalid", 8: "Toll Booth Area"}
+SUBTYPES = {1: "Regular", 2: "T-Junction with Through Markings", 3: "Minor Junction (No Traffic Conflict)", 4: "Unmarked Junction", 5: "Secondary Junction", 6: "Conservative Through Junction", 7: "Invalid"}
 
 
 def label(code: Column, names: dict[int, str]) -> Column:

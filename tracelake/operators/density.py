@@ -37,12 +37,23 @@ def top_share(cells_: DataFrame, percent: float, rule: str = "round", by: tuple[
 
 def banded(n: Column) -> Column:
     """Estimate of the time that a city's analysis takes."""
-    return F.when(n <= 1000, "< 30 s").when(n <= 10000, "< 2 min").when(n <= 50000, "2-10 min").otherwise("> 10 min")
+    return F.when(n > 50000, "> 10分钟").when(n > 10000, "2-10分钟").when(n > 1000, "< 2分钟").otherwise("< 30秒")
+
+
+def recommended(good: Column, total: Column) -> Column:
+    """How well a city suits an analysis (fixed texts)."""
+    share = good * 100.0 / total
+    return (
+        F.when(good.between(1000, 20000) & (share > 90), "⭐⭐⭐ 推荐")
+        .when(good.between(500, 50000) & (share > 85), "⭐⭐ 较好")
+        .when(good > 100, "⭐ 可用")
+        .otherwise("❌ 不建议")
+    )
 
 
 def city_quality(boxes: DataFrame) -> DataFrame:
     good = F.count_if("all_good")
-    return boxes.groupBy("city_id").agg(F.count("*").alias("total_count"), good.alias("good_count"), F.round(good * 100.0 / F.count("*"), 2).alias("good_percent")).where("good_count > 0")
+    return boxes.groupBy("city_id").agg(F.count("*").alias("total_count"), good.alias("good_count"), F.round(good * 100.0 / F.count("*"), 1).alias("good_percent")).where("good_count > 0")
 
 
 def coverage(top: DataFrame, boxes: DataFrame, size: float = CELL) -> DataFrame:
@@ -75,5 +86,17 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return new.unionByName(old.join(new, keys, "left_anti"))
 
 
+def density_level(n: Column) -> Column:
+    return F.when(n >= 20, "Very High Density").when(n >= 10, "High Density").when(n >= 5, "Medium Density").when(n >= 2, "Low Density").otherwise("Single Overlap")
+
+
+def area_level(area: Column) -> Column:
+    return F.when(area >= 0.01, "Large Area").when(area >= 0.001, "Medium Area").otherwise("Small Area")
+
+
+def hotspot_score(n: Column, area: Column) -> Column:
+    return n * 0.7 + F.log10(1 + area * 10000) * 0.3
+
+
 def severity(index: Column) -> Column:
     return F.when(index >= 20, "severe").when(index >= 10, "moderate").otherwise("normal")

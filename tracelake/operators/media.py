@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tracelake.functions.text import image_format
 
 #: Column names that hold a frame's image, time and file name, first found wins (fixed values).
-IMAGE, TIME, NAME = ("image", "image_data", "img", "data", "content"), ("timestamp", "ts", "time"), ("filename", "file_name", "name")
+IMAGE, TIME, NAME = ("image", "img_data", "image_data", "data"), ("timestamp", "time", "ts"), ("filename", "name", "file")
 
 
 def frames(rows: DataFrame, scene: str = "scene_id", most: int | None = None, wanted: list[int] | None = None) -> DataFrame:

@@ -116,7 +116,7 @@ def j1(pages, documents):
     return pages.join(documents.where("lang = 'fr'").select(F.col("doc_id").alias("page_id")), "page_id", "left_semi").select("page_id", "url")
 
 
-@query("j2_first_frames", "pages", sql="SELECT CAST(page_id % 20 AS VARCHAR) AS scene_id, page_id AS timestamp, CAST(row_number() OVER (PARTITION BY page_id % 20 ORDER BY page_id) - 1 AS INT) AS frame_index, 'jpeg' AS image_format FROM pages QUALIFY row_number() OVER (PARTITION BY page_id % 20 ORDER BY page_id) <= 3")
+@query("j2_first_frames", "pages", sql="SELECT CAST(page_id % 20 AS VARCHAR) AS scene_id, page_id AS timestamp, CAST(row_number() OVER (PARTITION BY page_id % 20 ORDER BY page_id) - 1 AS INT) AS frame_index, 'unknown' AS image_format FROM pages QUALIFY row_number() OVER (PARTITION BY page_id % 20 ORDER BY page_id) <= 3")
 def j2(pages):
     rows = pages.select((F.col("page_id") % 20).cast("string").alias("scene_id"), F.col("page_id").alias("timestamp"), F.encode("html", "UTF-8").alias("image"))
     return M.frames(rows, most=3).select("scene_id", "timestamp", "frame_index", "image_format")
@@ -125,7 +125,7 @@ def j2(pages):
 @query("j5_report_sizes", "pages", sql="SELECT CAST(page_id % 20 AS VARCHAR) AS scene_id, CAST(sum(length(to_base64(encode(html)))) AS BIGINT) AS characters FROM (SELECT *, row_number() OVER (PARTITION BY page_id % 20 ORDER BY page_id) AS r FROM pages) WHERE r <= 2 GROUP BY 1")
 def j5(pages):
     rows = pages.select((F.col("page_id") % 20).cast("string").alias("scene_id"), F.col("page_id").alias("timestamp"), F.encode("html", "UTF-8").alias("image"))
-    html = F.regexp_replace(F.regexp_replace("html", r"<h2>[^<]*</h2>\n|<img alt=\"\" src=\"data:image/jpeg;base64,|\"/>|\n", ""), r"\r", "")
+    html = F.regexp_replace(F.regexp_replace("html", r"<h2>[^<]*</h2>\n|<img alt=\"\" src=\"data:image/unknown;base64,|\"/>|\n", ""), r"\r", "")
     return M.report(M.frames(rows, most=2)).select("scene_id", F.length(html).cast("long").alias("characters"))
 
 

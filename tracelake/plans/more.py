@@ -72,7 +72,7 @@ def e22(boxes):
     return boxes.groupBy("city_id").agg(F.count("*").alias("total"), F.count_if("all_good").alias("good"))
 
 
-@query("e24_time_estimate", "boxes", sql="SELECT count(*) FILTER (all_good) AS good, '< 30 s' AS estimate FROM boxes")
+@query("e24_time_estimate", "boxes", sql="SELECT count(*) FILTER (all_good) AS good, CASE WHEN count(*) FILTER (all_good) > 1000 THEN '< 2分钟' ELSE '< 30秒' END AS estimate FROM boxes")
 def e24(boxes):
     good = F.count_if("all_good")
     return boxes.agg(good.alias("good")).withColumn("estimate", E.banded(F.col("good")))

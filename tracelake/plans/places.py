@@ -278,9 +278,9 @@ MANY = "WITH " + DENSITY.format(least=5) + " "
 
 
 @query("e1_city_suggestion", "boxes", sql="""
-SELECT city_id, total_count, good_count, round(good_count * 100.0::DOUBLE / total_count, 2) AS good_percent, '< 30 s' AS estimate FROM (SELECT city_id, count(*) AS total_count, count(*) FILTER (all_good) AS good_count FROM boxes GROUP BY 1) WHERE good_count > 0""")
+SELECT city_id, total_count, good_count, round(good_count * 100.0::DOUBLE / total_count, 1) AS good_percent, CASE WHEN good_count > 1000 THEN '< 2分钟' ELSE '< 30秒' END AS estimate, CASE WHEN good_count BETWEEN 1000 AND 20000 AND good_count * 100.0 / total_count > 90 THEN '⭐⭐⭐ 推荐' WHEN good_count BETWEEN 500 AND 50000 AND good_count * 100.0 / total_count > 85 THEN '⭐⭐ 较好' WHEN good_count > 100 THEN '⭐ 可用' ELSE '❌ 不建议' END AS recommendation FROM (SELECT city_id, count(*) AS total_count, count(*) FILTER (all_good) AS good_count FROM boxes GROUP BY 1) WHERE good_count > 0""")
 def e1(boxes):
-    return E.city_quality(boxes).withColumn("estimate", E.banded(F.col("good_count")))
+    return E.city_quality(boxes).withColumns({"estimate": E.banded(F.col("good_count")), "recommendation": E.recommended(F.col("good_count"), F.col("total_count"))})
 
 
 @query("e2_city_extent", "boxes", sql="SELECT city_id, min(xmin) AS xmin, max(xmax) AS xmax, round(max(xmax) - min(xmin), 6) AS width, round(max(ymax) - min(ymin), 6) AS height FROM boxes GROUP BY 1")
@@ -382,11 +382,13 @@ def e17(boxes):
     return E.density(boxes, least=1).groupBy("city_id").agg(F.count("*").alias("cells"), F.sum(n).alias("boxes"), F.max(n).alias("most"), F.round(F.avg(n), 4).alias("mean"))
 
 
-@query("e18_hotspot_view", "boxes", sql=ALL + """SELECT city_id, grid_x, grid_y, CASE WHEN bbox_count >= 10 THEN 'high' WHEN bbox_count >= 5 THEN 'medium' ELSE 'low' END AS band, round(0.7 * bbox_count + 0.3 * log10(1 + 10000 * total_bbox_area), 6) AS score, concat(city_id, ' #', hot_rank) AS label FROM r""")
+@query("e18_hotspot_view", "boxes", sql=ALL + """SELECT city_id, grid_x, grid_y, CASE WHEN bbox_count >= 20 THEN 'Very High Density' WHEN bbox_count >= 10 THEN 'High Density' WHEN bbox_count >= 5 THEN 'Medium Density' WHEN bbox_count >= 2 THEN 'Low Density' ELSE 'Single Overlap' END AS density_level, 'Large Area' AS area_level, round(0.7 * bbox_count + 0.3 * log10(1 + 10000 * total_bbox_area), 2) AS hotspot_score, concat('Rank ', hot_rank, ': ', bbox_count, ' overlaps') AS rank_label FROM r""")
 def e18(boxes):
-    n = F.col("bbox_count")
-    band = F.when(n >= 10, "high").when(n >= 5, "medium").otherwise("low")
-    return E.ranked(E.density(boxes, least=1), "city_id").select("city_id", "grid_x", "grid_y", band.alias("band"), F.round(0.7 * n + 0.3 * F.log10(1 + 10000 * F.col("total_bbox_area")), 6).alias("score"), F.concat("city_id", F.lit(" #"), "hot_rank").alias("label"))
+    n, area = F.col("bbox_count"), F.col("total_bbox_area")
+    label = F.concat(F.lit("Rank "), "hot_rank", F.lit(": "), n, F.lit(" overlaps"))
+    return E.ranked(E.density(boxes, least=1), "city_id").select(
+        "city_id", "grid_x", "grid_y", E.density_level(n).alias("density_level"), E.area_level(area).alias("area_level"), F.round(E.hotspot_score(n, area), 2).alias("hotspot_score"), label.alias("rank_label")
+    )
 
 
 @query("e19_summary_view", "boxes", sql=ALL + "SELECT city_id, min(bbox_count) AS least, max(bbox_count) AS most, count(*) FILTER (bbox_count >= 5) AS dense, min(grid_x) AS gx0, max(grid_x) + 1 AS gx1 FROM d GROUP BY 1")

@@ -59,6 +59,7 @@ def cut_by_ranges(points: DataFrame, ranges: DataFrame, step: float = 0.5, most:
     return met.where(F.col("need") <= F.col("tolerance")).drop("first", "duration", "unit", "length", "need", "nth")
 
 
-def ranges_of(records: DataFrame) -> DataFrame:
-    """A row for each valid range of ``records(dataset_name, description)``."""
-    return records.select("dataset_name", F.posexplode(time_ranges(F.col("description"))).alias("range_no", "r")).select("dataset_name", "range_no", F.get("r", F.lit(0)).alias("lo"), F.get("r", F.lit(1)).alias("hi"))
+def ranges_of(records: DataFrame, *keys: str) -> DataFrame:
+    """A row for each valid range of ``records(dataset_name, description)``, with further ``keys``."""
+    rows = records.select("dataset_name", *keys, F.posexplode(time_ranges(F.col("description"))).alias("range_no", "r"))
+    return rows.select("dataset_name", *keys, "range_no", F.get("r", F.lit(0)).alias("lo"), F.get("r", F.lit(1)).alias("hi"))

@@ -50,19 +50,19 @@ def h7(pts):
     return pts.groupBy("dataset_name").agg(d.alias("d")).select("dataset_name", H.unit_of(F.col("d")).alias("unit"))
 
 
-@query("h8_cut_by_ranges", "pts", "documents", sql=f"""WITH r AS ({RECORDS}), v AS (SELECT DISTINCT dataset_name, k AS range_no, CASE k WHEN 0 THEN CAST(autoscene_id % 5 AS DOUBLE) ELSE 20 END AS lo, CASE k WHEN 0 THEN CAST(autoscene_id % 5 + 2.5 AS DOUBLE) ELSE 31 END AS hi FROM r, range(0, 2) AS x(k) WHERE autoscene_id < 200),
+@query("h8_cut_by_ranges", "pts", "documents", sql=f"""WITH r AS ({RECORDS}), v AS (SELECT dataset_name, autoscene_id * 10 + k AS range_no, CASE k WHEN 0 THEN CAST(autoscene_id % 5 AS DOUBLE) ELSE 20 END AS lo, CASE k WHEN 0 THEN CAST(autoscene_id % 5 + 2.5 AS DOUBLE) ELSE 31 END AS hi FROM r, range(0, 2) AS x(k)),
 t AS (SELECT dataset_name, seq, ts - min(ts) OVER (PARTITION BY dataset_name) AS a, max(ts) OVER (PARTITION BY dataset_name) - min(ts) OVER (PARTITION BY dataset_name) AS d FROM pts),
 m AS (SELECT t.*, v.range_no, greatest(0.5, ceil(greatest(v.lo - a, a - v.hi, 0) / 0.5) * 0.5) AS need FROM t JOIN v USING (dataset_name) WHERE v.hi >= 0 AND v.lo <= d),
 n AS (SELECT *, row_number() OVER (PARTITION BY dataset_name, range_no ORDER BY need, seq) AS nth FROM m WHERE need <= least(5, 0.1 * d)), k AS (SELECT dataset_name, range_no, need AS tolerance FROM n WHERE nth = 2)
 SELECT dataset_name, range_no, seq, CAST(tolerance AS DOUBLE) AS tolerance FROM n JOIN k USING (dataset_name, range_no) WHERE need <= tolerance""")
 def h8(pts, documents):
-    ranges = H.ranges_of(records(documents.where("doc_id < 200"))).distinct()
+    ranges = H.ranges_of(records(documents), "autoscene_id").withColumn("range_no", F.col("autoscene_id") * 10 + F.col("range_no")).drop("autoscene_id")
     return H.cut_by_ranges(pts, ranges).select("dataset_name", F.col("range_no").cast("long").alias("range_no"), "seq", "tolerance")
 
 
-@query("h9_segments_or_whole", "pts", "documents", sql=f"WITH r AS ({RECORDS}) SELECT dataset_name, count(*) AS points FROM pts WHERE dataset_name NOT IN (SELECT dataset_name FROM r WHERE autoscene_id < 50) GROUP BY 1")
+@query("h9_segments_or_whole", "pts", "documents", sql=f"WITH r AS ({RECORDS}) SELECT dataset_name, count(*) AS points FROM pts WHERE dataset_name NOT IN (SELECT dataset_name FROM r WHERE result = 'good') GROUP BY 1")
 def h9(pts, documents):
-    cut = records(documents.where("doc_id < 50")).select("dataset_name")
+    cut = H.cleaned(records(documents)).where("result = 'good'").select("dataset_name")
     return pts.join(cut, "dataset_name", "left_anti").groupBy("dataset_name").agg(F.count("*").alias("points"))
 
 
@@ -72,10 +72,10 @@ def h5(events):
 
 
 @query("i1_nearest_vectors", "embeddings", sql="""
-WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id < 5), s AS (SELECT query_id, vec_id, list_cosine_similarity(q, CAST(embedding AS DOUBLE[])) AS c FROM q, embeddings)
+WITH q AS (SELECT label AS query_id, CAST(arg_min(embedding, vec_id) AS DOUBLE[]) AS q FROM embeddings GROUP BY 1), s AS (SELECT query_id, vec_id, list_cosine_similarity(q, CAST(embedding AS DOUBLE[])) AS c FROM q, embeddings)
 SELECT query_id, vec_id, round(c, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY c DESC, vec_id) AS r FROM s) WHERE r <= 10""")
 def i1(embeddings):
-    queries = embeddings.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("q"))
+    queries = embeddings.groupBy(F.col("label").alias("query_id")).agg(F.min_by("embedding", "vec_id").cast("array<double>").alias("q"))  # one for each of few labels
     return I.nearest(embeddings, queries, 10).select("query_id", "vec_id", F.round("similarity", 6).alias("similarity"))
 
 
@@ -147,9 +147,9 @@ def j12(pts):
     return M.assembled(step, "route", "seq").select("route", F.size("path").cast("long").alias("path_points"), F.round("distance", 3).alias("distance"))
 
 
-@query("j13_routes_of_source", "pages", sql="SELECT page_id, url FROM pages WHERE page_id % 3 = 1 AND page_id > 100")
+@query("j13_routes_of_source", "pages", sql="SELECT page_id, url FROM pages WHERE url LIKE '%1%'")
 def j13(pages):
-    return pages.where("page_id % 3 = 1 and page_id > 100").select("page_id", "url")
+    return pages.where("url like '%1%'").select("page_id", "url")
 
 
 @query("j17_shown_times", "hits", sql="SELECT vec_id, strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m-%d %H:%M:%S') AS shown FROM hits")

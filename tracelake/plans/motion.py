@@ -192,8 +192,8 @@ def f20(pts):
     return d.where("d > limit or twist_linear < 0.5").select("dataset_name", "seq", F.when(F.col("d") > F.col("limit"), "speed_change").otherwise("stop").alias("kind"))
 
 
-def short_lines(pts):
-    lines = T.build(pts.where("seq <= 12")).select("dataset_name", "line").where("dataset_name like 'traj_1%'")
+def neighbour_lines(pts):
+    lines = T.build(pts).select("dataset_name", "line")
     a, b = lines.toDF("a", "line_a"), lines.toDF("b", "line_b")
     # neighbours by number only: each line meets three others
     key = lambda c: F.substring(c, 6, 9).cast("int")
@@ -203,15 +203,15 @@ def short_lines(pts):
 
 @query("f25_frechet", "pts")
 def f25(pts):
-    return C.line_distances(short_lines(pts), "frechet").withColumn("distance", F.round("distance", 3))
+    return C.line_distances(neighbour_lines(pts), "frechet").withColumn("distance", F.round("distance", 3))
 
 
 @query("f26_hausdorff", "pts", sql=f"""
-WITH l AS (SELECT dataset_name, CAST(substr(dataset_name, 6) AS INT) AS k, lon, lat, seq FROM pts WHERE seq <= 12 AND dataset_name LIKE 'traj_1%'), n AS (SELECT dataset_name FROM l GROUP BY 1 HAVING count(*) >= 2),
+WITH l AS (SELECT dataset_name, CAST(substr(dataset_name, 6) AS INT) AS k, lon, lat, seq FROM pts),
 d AS (SELECT a.dataset_name AS a, b.dataset_name AS b, a.seq AS i, b.seq AS j, {HAV.format(x1='a.lon', y1='a.lat', x2='b.lon', y2='b.lat')} AS d FROM l a JOIN l b ON b.k BETWEEN a.k + 1 AND a.k + 3)
 SELECT a, b, round(greatest((SELECT max(m) FROM (SELECT min(d) AS m FROM d y WHERE y.a = x.a AND y.b = x.b GROUP BY i)), (SELECT max(m) FROM (SELECT min(d) AS m FROM d y WHERE y.a = x.a AND y.b = x.b GROUP BY j))), 3) AS distance FROM (SELECT DISTINCT a, b FROM d) x""")
 def f26(pts):
-    return C.line_distances(short_lines(pts), "hausdorff").withColumn("distance", F.round("distance", 3))
+    return C.line_distances(neighbour_lines(pts), "hausdorff").withColumn("distance", F.round("distance", 3))
 
 
 @query("f32_curvature_angles", "pts", sql=f"WITH {STEP} SELECT dataset_name, count(*) AS triples FROM (SELECT dataset_name, lead(lon, 2) OVER (PARTITION BY dataset_name ORDER BY ts, seq) AS x3 FROM s) WHERE x3 IS NOT NULL GROUP BY 1")

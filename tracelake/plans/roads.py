@@ -11,7 +11,7 @@ from tracelake.operators import trajectories as T
 from tracelake.plans.registry import query
 
 CHAIN = """c AS (
-  SELECT {b} AS road_id, 0 AS depth, CAST(0 AS DOUBLE) AS distance, length FROM edges WHERE {a} < 20
+  SELECT {b} AS road_id, 0 AS depth, CAST(0 AS DOUBLE) AS distance, length FROM edges WHERE {a} IN (SELECT roadid FROM edges WHERE length <= 5)
   UNION ALL SELECT e.{b}, c.depth + 1, c.distance + c.length, e.length FROM c JOIN edges e ON e.{a} = c.road_id WHERE c.distance + c.length <= {limit} AND c.depth < 10
 )"""
 FORWARD, BACKWARD = CHAIN.format(a="roadid", b="nextroadid", limit=500), CHAIN.format(a="nextroadid", b="roadid", limit=100)
@@ -42,19 +42,19 @@ def g2(pts, crossings):
 
 @query("g5_forward_chains", "edges", sql=f"WITH {FORWARD} SELECT road_id, depth, distance FROM c")
 def g5(edges):
-    return R.chains(edges, edges.where("roadid < 20").select("roadid"), 500.0)
+    return R.chains(edges, edges.where("length <= 5").select("roadid"), 500.0)
 
 
 @query("g6_backward_chains", "edges", sql=f"WITH {BACKWARD} SELECT road_id, depth, distance FROM c")
 def g6(edges):
-    return R.chains(edges, edges.where("nextroadid < 20").select(F.col("nextroadid").alias("roadid")), 100.0, backward=True)
+    return R.chains(edges, edges.where("length <= 5").select("roadid"), 100.0, backward=True)
 
 
 @query("g7_chain_union", "edges", sql=f"""WITH {FORWARD}, {BACKWARD.replace('c AS', 'd AS', 1).replace('FROM c JOIN', 'FROM d JOIN').replace('c.', 'd.')},
 u AS (SELECT * FROM c UNION ALL SELECT * FROM d) SELECT road_id, depth, distance FROM (SELECT *, row_number() OVER (PARTITION BY road_id ORDER BY depth, distance) AS r FROM u) WHERE r = 1""")
 def g7(edges):
-    ahead = R.chains(edges, edges.where("roadid < 20").select("roadid"), 500.0)
-    behind = R.chains(edges, edges.where("nextroadid < 20").select(F.col("nextroadid").alias("roadid")), 100.0, backward=True)
+    ahead = R.chains(edges, edges.where("length <= 5").select("roadid"), 500.0)
+    behind = R.chains(edges, edges.where("length <= 5").select("roadid"), 100.0, backward=True)
     return R.nearest_rows(ahead.unionByName(behind))
 
 
@@ -104,9 +104,9 @@ def g15(boxes, crossings):
     return out.select("scene_token", "lane_id", F.when(inside, "WITHIN").otherwise("INTERSECTS").alias("relation"), F.round(F.sqrt(dx * dx + dy * dy) * METRES_PER_DEGREE, 3).alias("metres"), F.round("part", 5).alias("share"))
 
 
-@query("g16_nearest_lanes", "pts", "crossings", sql=f"WITH {NEAR.format(r=radius(50))} SELECT dataset_name, seq, lane_id, nth FROM (SELECT *, CAST(row_number() OVER (PARTITION BY dataset_name, seq ORDER BY distance, lane_id) AS INT) AS nth FROM h WHERE seq % 20 = 1) WHERE nth <= 10")
+@query("g16_nearest_lanes", "pts", "crossings", sql=f"WITH {NEAR.format(r=radius(50))} SELECT dataset_name, seq, lane_id, nth FROM (SELECT *, CAST(row_number() OVER (PARTITION BY dataset_name, seq ORDER BY distance, lane_id) AS INT) AS nth FROM h) WHERE nth <= 10")
 def g16(pts, crossings):
-    near = R.near_lanes(pts.where("seq % 20 = 1"), lanes_of(crossings), 50)
+    near = R.near_lanes(pts, lanes_of(crossings), 50)
     return R.k_nearest(near, ["dataset_name", "seq"], 10, "lane_id").select("dataset_name", "seq", "lane_id", "nth")
 
 
@@ -138,10 +138,10 @@ def g20(pts, crossings):
     return near.select("dataset_name", "seq", "lane_id", R.same_direction(F.degrees("yaw") % 360, R.lane_heading()).alias("same"))
 
 
-@query("g21_lane_rules", "pts", "crossings", sql=f"""WITH {NEAR.format(r=radius(15))}, a AS (SELECT dataset_name, count(*) AS total_points, count(DISTINCT lane_id) AS lane_count FROM h WHERE lane_id % 97 = 0 GROUP BY 1)
+@query("g21_lane_rules", "pts", "crossings", sql=f"""WITH {NEAR.format(r=radius(15))}, a AS (SELECT dataset_name, count(*) AS total_points, count(DISTINCT lane_id) AS lane_count FROM h GROUP BY 1)
 SELECT *, CASE WHEN lane_count >= 2 THEN concat('multi_lane_', lane_count, '_lanes') ELSE concat('sufficient_points_', total_points, '_points') END AS reason FROM a WHERE lane_count >= 2 OR total_points >= 5""")
 def g21(pts, crossings):
-    return R.lane_rules(R.near_lanes(pts, lanes_of(crossings).where("lane_id % 97 = 0"), 15))
+    return R.lane_rules(R.near_lanes(pts, lanes_of(crossings), 15))
 
 
 @query("g23_toll_stations", "crossings", sql="SELECT intersection_id, xmin, ymin FROM crossings WHERE intersectiontype = 2 ORDER BY intersection_id LIMIT 100")
@@ -169,13 +169,13 @@ def g25(pts, crossings):
 
 
 @query("g26_newest_lane_points", "pts", "crossings", sql=f"""WITH {NEAR.format(r=radius(15))}, k AS (SELECT *, row_number() OVER (PARTITION BY lane_id ORDER BY ts DESC, dataset_name, seq) AS r FROM h WHERE ts >= 1704067260)
-SELECT dataset_name, count(*) AS total_points, count(DISTINCT lane_id) AS lanes FROM k WHERE r <= 3 GROUP BY 1""")
+SELECT dataset_name, count(*) AS total_points, count(DISTINCT lane_id) AS lanes FROM k WHERE r <= 1000 GROUP BY 1""")
 def g26(pts, crossings):
     from pyspark.sql import Window
 
     near = R.near_lanes(pts.where("ts >= 1704067260"), lanes_of(crossings), 15)
     newest = Window.partitionBy("lane_id").orderBy(F.desc("ts"), "dataset_name", "seq")
-    return near.withColumn("r", F.row_number().over(newest)).where("r <= 3").groupBy("dataset_name").agg(F.count("*").alias("total_points"), F.countDistinct("lane_id").alias("lanes"))
+    return near.withColumn("r", F.row_number().over(newest)).where("r <= 1000").groupBy("dataset_name").agg(F.count("*").alias("total_points"), F.countDistinct("lane_id").alias("lanes"))
 
 
 @query("g27_complete_with_heading", "pts", "crossings", sql=f"""WITH {NEAR.format(r=radius(15))}, o AS (SELECT dataset_name, arg_min(lon, seq) AS x1, arg_min(lat, seq) AS y1, arg_max(lon, seq) AS x2, arg_max(lat, seq) AS y2, count(*) AS point_count, round(avg(twist_linear), 4) AS avg_speed FROM pts GROUP BY 1),

@@ -71,11 +71,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     if slim:
         rows = docs.select(name.alias("id"), source.alias("source"), size.alias("size"), key.alias("mix_key"), F.xxhash64(text).alias("print"))
         return allocate(materialize(rows)).drop("print").withColumnsRenamed({"id": id_col, "source": source_col})
-    # decided without the texts; equal rows are told apart by their number
-    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), name.alias("id"), source.alias("source"), size.alias("size"), key.alias("mix_key"), F.xxhash64(*[docs[c] for c in docs.columns if not c.startswith("_")]).alias("print"))
-    nth = F.row_number().over(Window.partitionBy("print").orderBy("id"))
-    rows = allocate(materialize(whole.drop("row").withColumn("nth", nth))).select("print", "nth", "size", "source_size", "target", "taken", "mix_key")
-    return whole.select("row", "id", "print").withColumn("nth", nth).join(rows, ["print", "nth"]).select("row.*", "size", "source_size", "target", "taken", "mix_key")
+    # decided without the texts, and joined to them by the rows' hashes
+    columns = [docs[c] for c in docs.columns]
+    whole = docs.select(F.struct(*columns).alias("row"), name.alias("id"), source.alias("source"), size.alias("size"), key.alias("mix_key"), F.xxhash64(*columns).alias("print"))
+    slim_rows = materialize(whole.drop("row"))
+    whole, keys = whole.select("row", "id", "print"), ["print"]
+    if slim_rows.groupBy("print").count().where("count > 1").isEmpty():
+        decided = allocate(slim_rows)
+    else:  # rows of equal hashes are told apart by their number
+        nth, keys = F.row_number().over(Window.partitionBy("print").orderBy("id")), ["print", "nth"]
+        decided, whole = allocate(slim_rows.withColumn("nth", nth)), whole.withColumn("nth", nth)
+    decided = decided.select(*keys, "size", "source_size", "target", "taken", "mix_key")
+    return whole.join(decided, keys).select("row.*", "size", "source_size", "target", "taken", "mix_key")
 
 
 def allocate(slim: DataFrame) -> DataFrame:

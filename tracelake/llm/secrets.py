@@ -18,13 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracelake.llm.common import text_batches
+
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")  # whole runs of 16 or more are what [0-9a-f]+ finds of that length
 TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-SAMPLE_ROWS = 20_000  # documents, those of smallest hash, whose tokens are labelled samples
+SAMPLE_ROWS = 20_000  # documents, about as many, those of smallest hash, whose tokens are labelled samples
 SAMPLE_TOKENS = 200  # of each of these
 LEAST_GAIN = 12.0  # natural log; a random token is then 160,000 times likelier under the random model
 
@@ -69,11 +71,27 @@ def random_strings(n: int = 4000) -> list[str]:
     return ["".join(r.choices(sets[k % len(sets)], k=r.randint(16, 48))) for k in range(n)]
 
 
+#: Parts that ordinary identifiers are made of (fixed values).
+PARTS = "get set is has user name id list map file path data base table column index count total size time date start end first last next new old max min load save read write open close parse format string number value key type error message result request response server client config test main class object array item node tree request version release build input output image page link order price customer address email phone city state country street".split()
+
+
+def identifiers(n: int = 4000) -> list[str]:
+    """Labelled ordinary identifiers in the usual styles; the same on every run."""
+    r, out = random.Random(6), []
+    for k in range(n):
+        words = r.choices(PARTS, k=r.randint(1, 4))
+        style = k % 4
+        name = "_".join(words) if style == 0 else "-".join(words) if style == 1 else words[0] + "".join(w.title() for w in words[1:]) if style == 2 else "_".join(words).upper()
+        out.append(name + (str(r.randint(0, 2030)) if k % 5 == 0 else ""))
+    return out
+
+
 def train(docs: DataFrame) -> tuple[Markov, Markov]:
     """Models of random and of ordinary strings.
 
-    Ordinary strings are the words of a bounded sample of documents outside their base spans; random
-    ones are the values of base spans there and generated keys.
+    Ordinary strings are generated identifiers and the words of a bounded sample of documents outside
+    their base spans (but for long ones with digits, which nobody has labelled); random ones are generated
+    keys and the values of base spans there.
     """
 
     def label(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -85,18 +103,21 @@ def train(docs: DataFrame) -> tuple[Markov, Markov]:
                 bad += [t for s, _, e in spans for t in word.findall(text[s:e])[-1:]]
                 at, own = 0, []
                 for s, _, e in [*spans, (len(text), 0, len(text))]:
-                    own += word.findall(text[at:s]) if s > at else []
+                    own += [t for t in word.findall(text[at:s]) if len(t) < 16 or not any(map(str.isdigit, t))] if s > at else []
                     at = max(at, e)
                 good += own[:: max(1, len(own) // SAMPLE_TOKENS)]
         n = Markov.counts(good).ravel(), Markov.counts(bad).ravel()
         yield pd.DataFrame({"cell": np.arange(len(n[0])), "good": n[0], "bad": n[1]})
 
-    sample = docs.where("text is not null").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("text")
-    counts = sample.repartition(8).mapInPandas(label, "cell int, good double, bad double").groupBy("cell").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).toPandas()
+    text_batches(docs.sparkSession)
+    # by hash, where the documents lie: texts need not move
+    share = min(1.0, SAMPLE_ROWS / max(1, docs.count()))
+    sample = docs.where("text is not null").where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("text")
+    counts = sample.mapInPandas(label, "cell int, good double, bad double").groupBy("cell").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).toPandas()
     n = len(ALPHABET)
     good, bad = np.zeros((n + 1) * n), np.zeros((n + 1) * n)
     good[counts["cell"]], bad[counts["cell"]] = counts["good"], counts["bad"]
-    return Markov(bad.reshape(n + 1, n) * 0.1 + Markov.counts(random_strings())), Markov(good.reshape(n + 1, n))
+    return Markov(bad.reshape(n + 1, n) * 0.1 + Markov.counts(random_strings())), Markov(good.reshape(n + 1, n) + Markov.counts(identifiers()))
 
 
 def find(text: str, noise: Markov, plain: Markov) -> tuple[list[tuple[int, int, int]], list[tuple[int, str, int]]]:
@@ -118,6 +139,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", models
     repeat; other columns are ignored; no rows give no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    text_batches(rows.sparkSession)
     noise, plain = models or train(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,6 +21,13 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Have Arrow batches hold fewer rows than Spark's default: whole texts are long, and workers keep a batch in memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, rows)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import connected_components, materialize
+from tracelake.llm.common import connected_components, materialize, text_batches
 
 REGISTERS = 144
 BANDS, ROWS = 28, 4  # at similarity 0.75 all bands miss with probability 2e-5, at 0.8 with 4e-7
@@ -44,11 +44,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Fingerprints(dict):
-    """64-bit hash of each word, kept while it holds fewer than a million words."""
+    """64-bit hash of each word, kept while it holds fewer than 200,000 words."""
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 1_000_000:
+        if len(self) < 200_000:
             self[word] = h
         return h
 
@@ -211,6 +211,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns are ignored, whatever their names. No rows give no rows.
     """
     least = percent / 100
+    text_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
     base = materialize(sketched(docs))
     if base.count() != base.agg(F.countDistinct("id")).first()[0]:

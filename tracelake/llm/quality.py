@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import materialize
+from tracelake.llm.common import materialize, small, text_batches
 
 HASHED = 1 << 15
 BUCKETS = HASHED + 8  # the last for patterns of repeated words
@@ -120,10 +120,11 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     alike. Equal keys at the k-th place are all kept. Without labels nothing is known and all with a
     weight are kept.
     """
+    text_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("id"), "quality").where("id is not null and quality in (0, 1)").groupBy("id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most").drop("most")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("print", F.xxhash64("text"))
     good = known.where("quality = 1").select("id", F.lit(True).alias("target"))
-    ratios = log_ratios(with_flag(rows, good).select("text", "target"))
+    ratios = log_ratios(rows.join(small(good), "id", "left").select("text", "target"))
     weights = materialize(weighted(rows, ratios))
     cut = level(weights.join(known, "id"))
     k = weights.where(F.col("log_weight") >= cut).count()
@@ -131,9 +132,3 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     keyed = materialize(weights.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(unit))))
     last = kth_largest(keyed, "gumbel_key", k)
     return keyed.withColumn("kept", F.coalesce(F.col("gumbel_key") >= F.lit(last), F.lit(False)))
-
-
-def with_flag(rows: DataFrame, good: DataFrame) -> DataFrame:
-    """Rows with ``target``; the ids are broadcast only where they are few."""
-    small = good.count() <= 2_000_000
-    return rows.join(F.broadcast(good) if small else good, "id", "left")

@@ -39,8 +39,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each row's best segmentation, with the log-probabilities of the four best."""
-    return pieces.encode(docs, alternatives=False).select(F.col("id").alias("doc_id"), "ids", F.transform("n_best", lambda x: x["score"]).alias("scores"))
+    """Token ids of each row's best segmentation, with the log-probabilities of the four best, and log-probability and ids of each of the four."""
+    return pieces.encode(docs).select(F.col("id").alias("doc_id"), "ids", F.transform("n_best", lambda x: x["score"]).alias("scores"), "n_best")
 
 
 STAGES = [
@@ -55,10 +55,15 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+def run_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, with all columns of the last one."""
     docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
     return docs
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, without the segmentations after the best."""
+    return run_whole(spark, sf_dir).drop("n_best")

@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from bisect import insort
 from collections.abc import Iterator
 from functools import lru_cache
 from math import inf, log
@@ -65,8 +66,7 @@ class Vocabulary:
         self.pieces = {p: (i, -log(r + SHIFT) - norm) for r, (p, i) in enumerate(normal)}
         self.byte_score = -log(len(normal) + SHIFT) - norm - BYTE_COST
         self.longest = max(len(p) for p in self.pieces)
-        # with False for what only starts (or ends) a piece
-        self.known = {p[:k]: False for p in self.pieces for k in range(1, len(p))} | self.pieces
+        # with False for what only ends a piece
         self.endings = {p[k:]: False for p in self.pieces for k in range(1, len(p))} | self.pieces
         self.ids_of = [np.array([i], np.int32).tobytes() for i in range(size)]
         known = {c for p in self.pieces for c in p} - {" "}
@@ -76,82 +76,100 @@ class Vocabulary:
         some = "".join(map(re.escape, sorted(known)))
         self.words = f" *[{some}]+| +|[^ {some}]"
 
-    def arcs(self, word: str) -> list[list[tuple[int, int, float]]]:
-        """For each place, the arcs that end there: start, piece id (-1: the character in bytes) and log-probability."""
-        size = len(word)
-        ends: list[list] = [[] for _ in range(size + 1)]
-        get, longest = self.known.get, self.longest
-        for i in range(size):
-            for j in range(i + 1, min(i + longest, size) + 1):
-                found = get(word[i:j])
-                if found:
-                    ends[j].append((i, *found))
-                elif found is None:
-                    break
-            if word[i] not in self.pieces:
-                ends[i + 1].append((i, -1, self.byte_score * len(word[i].encode("utf-8", "surrogatepass"))))
-        return ends
-
-    def spelled(self, word: str, place: int, piece: int) -> tuple[int, ...]:
-        return (piece,) if piece >= 0 else tuple(self.bytes[b] for b in word[place].encode("utf-8", "surrogatepass"))
-
-    def firsts(self, words: list[str]) -> Iterator[tuple[str, float, float, bytes]]:
-        """Of each word, in sorted order: log-probability of the best segmentation, its lead over the second (infinite if there is none), and its ids.
-
-        Viterbi with the two best scores to each place; what a word shares with the one before isn't computed again.
-        """
-        get, longest, spelled = self.endings.get, self.longest, self.ids_of
-        top, second, path, last = [0.0], [-inf], [b""], ""
-        for word in sorted(words):
-            same = len(commonprefix((last, word)))
-            del top[same + 1 :], second[same + 1 :], path[same + 1 :]
-            for j in range(same + 1, len(word) + 1):
-                best, next_, ids = -inf, -inf, b""
-                char = word[j - 1]
-                if char not in self.pieces:
-                    cost = self.byte_score * len(char.encode("utf-8", "surrogatepass"))
-                    best, next_, ids = top[j - 1] + cost, second[j - 1] + cost, path[j - 1] + np.array(self.spelled(char, 0, -1), np.int32).tobytes()
-                for i in range(j - 1, max(-1, j - longest - 1), -1):
+    def arcs(self, word: str, j: int) -> Iterator[tuple[int, int, float]]:
+        """The arcs that end at place ``j``: start, piece id (-1: the character in bytes) and log-probability."""
+        get = self.endings.get
+        if word[j - 1] not in self.pieces:
+            yield j - 1, -1, self.byte_score * len(word[j - 1].encode("utf-8", "surrogatepass"))
+        for i in range(j - 1, max(-1, j - self.longest - 1), -1):
+            found = get(word[i:j])
+            if found:
+                yield i, *found
+            elif found is None:
+                break
+
+    def forward(self, word: str, top: list[float], back: list[int], lead: list[float], same: int = 0) -> None:
+        """Viterbi: log-probability of the best path to each place, where its last arc starts, and how much less likely the best path by another arc is; the first ``same`` places are known."""
+        get, longest, scores = self.endings.get, self.longest, self.byte_score
+        del top[same + 1 :], back[same + 1 :], lead[same + 1 :]
+        for j in range(same + 1, len(word) + 1):
+            start, next_ = j - 1, -inf
+            char = word[start]
+            found = get(char)
+            best = top[start] + (found[1] if found else scores * len(char.encode("utf-8", "surrogatepass")))
+            if found is not None:
+                for i in range(j - 2, j - longest - 1 if j > longest else -1, -1):
                     found = get(word[i:j])
                     if found:
                         s = top[i] + found[1]
                         if s > best:
-                            next_ = max(best, second[i] + found[1])
-                            best, ids = s, path[i] + spelled[found[0]]
+                            best, next_, start = s, best, i
                         elif s > next_:
                             next_ = s
                     elif found is None:
                         break
-                top.append(best)
-                second.append(next_)
-                path.append(ids)
-            last = word
-            yield word, top[-1], top[-1] - second[-1], path[-1]
-
-    def best(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The ``n`` best segmentations of a word, best first, with their log-probabilities: A-star from the end."""
-        ends = self.arcs(word)
-        forward = [0.0] + [-inf] * len(word)
-        for j in range(1, len(word) + 1):
-            forward[j] = max((forward[i] + s for i, _, s in ends[j]), default=-inf)
-        found, met, order = [], [0] * (len(word) + 1), 0
-        heap = [(-forward[-1], len(word), 0, 0.0, None)]
-        while heap and len(found) < n:
-            _, place, _, score, path = heapq.heappop(heap)
-            if place == 0:
-                ids = []
-                while path:
-                    ids.extend(self.spelled(word, *path[0]))
-                    path = path[1]
-                found.append((score, tuple(ids)))
-                continue
-            met[place] += 1
-            if met[place] > n:
-                continue
-            for i, piece, s in ends[place]:
-                order += 1
-                heapq.heappush(heap, (-(score + s + forward[i]), i, order, score + s, ((i, piece), path)))
-        return found
+            top.append(best)
+            back.append(start)
+            lead.append(best - next_)
+
+    def search(self, word: str, top: list[float], back: list[int], n: int) -> Iterator[tuple[float, bytes]]:
+        """The ``n`` best segmentations, best first: how much less likely they are than the best, and ids.
+
+        A-star from the end. The forward scores are exact, so that a path is finished at no further loss by the best
+        arcs, and only the ``n`` least losses need to be kept open. An open path is its loss, the place it has come to,
+        the arc that took it there, and what lies behind: so many pieces of another path.
+        """
+        heap: list[tuple] = [(0.0, 0, len(word), b"", [], 0, b"")]
+        order = 0
+        for room in range(n - 1, -1, -1):
+            if not heap:
+                return
+            loss, _, place, arc, behind, size, tail = heap.pop(0)
+            tail = arc + b"".join(behind[size - 1 :: -1] if size else []) + tail
+            done: list[bytes] = []  # from the end
+            while place:
+                taken = b""
+                for i, piece, s in self.arcs(word, place):
+                    if i == back[place] and not taken:
+                        taken = self.spelled(word, i, piece)
+                        continue
+                    worse = loss + (top[place] - (top[i] + s))
+                    if len(heap) < room or room and worse < heap[-1][0]:
+                        order += 1
+                        insort(heap, (worse, order, i, self.spelled(word, i, piece), done, len(done), tail))
+                        del heap[room:]
+                done.append(taken)
+                place = back[place]
+            yield loss, b"".join(reversed(done)) + tail
+
+    def spelled(self, word: str, place: int, piece: int) -> bytes:
+        return self.ids_of[piece] if piece >= 0 else b"".join([self.ids_of[self.bytes[b]] for b in word[place].encode("utf-8", "surrogatepass")])
+
+    def firsts(self, words: list[str]) -> Iterator[tuple[str, float, float, bytes]]:
+        """Of each word, in sorted order: log-probability of the best segmentation, its lead over the second (infinite if there is none), and its ids.
+
+        The search's first path, and the least loss that it leaves open. What a word shares with the one before isn't scored again.
+        """
+        get, ids_of = self.pieces.get, self.ids_of
+        top, back, lead, last = [0.0], [0], [inf], ""
+        for word in sorted(words):
+            self.forward(word, top, back, lead, len(commonprefix((last, word))))
+            last, place, least, ids = word, len(word), inf, []
+            while place:
+                start = back[place]
+                piece = get(word[start:place])
+                ids.append(ids_of[piece[0]] if piece else self.spelled(word, start, -1))
+                if lead[place] < least:
+                    least = lead[place]
+                place = start
+            ids.reverse()
+            yield word, top[-1], least, b"".join(ids)
+
+    def best(self, word: str, n: int) -> list[tuple[float, bytes]]:
+        """The ``n`` best segmentations of a word, best first: loss of log-probability against the best, and ids."""
+        top, back, lead = [0.0], [0], [inf]
+        self.forward(word, top, back, lead)
+        return list(self.search(word, top, back, n))
 
     def decode(self, ids) -> str:
         """The text that ``ids`` spell; broken bytes become replacement characters."""
@@ -178,8 +196,8 @@ class Encoder(dict):
             self[word] = row
             row += 1
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, list[tuple[float, dict[int, int]]], list[str]]]:
-        """Of each text: ids of the best segmentation; the N best as score and the words (by place) that don't take their first choice; the words."""
+    def encode(self, texts: list[str]) -> Iterator[list[tuple[float, bytes]]]:
+        """Of each text, the N best segmentations, best first: score and ids."""
         if len(self.blobs) > REMEMBER:
             self.clear()
             self.blobs = []
@@ -192,16 +210,16 @@ class Encoder(dict):
             places = np.argpartition(change, self.n - 2)[: self.n - 1] if len(at) >= self.n > 1 else np.arange(len(at) if self.n > 1 else 0)
             for p in sorted(places.tolist()):
                 choices = self.choices(words[p])
-                merged = [(s - choices[0][0] + t, {**c, p: k} if k else c) for s, c in best for k, (t, _) in enumerate(choices)]
+                merged = [(s - loss, {**c, p: ids} if k else c) for s, c in best for k, (loss, ids) in enumerate(choices)]
                 best = heapq.nsmallest(self.n, merged, key=lambda x: -x[0])
-            yield b"".join([self.blobs[i] for i in at.tolist()]), best, words
-
-    def ids(self, words: list[str], changed: dict[int, int]) -> list[int]:
-        """Ids of one of the N best."""
-        out: list[int] = []
-        for p, word in enumerate(words):
-            out.extend(self.choices(word)[changed[p]][1] if p in changed else np.frombuffer(self.blobs[self[word]], np.int32).tolist())
-        return out
+            blobs = [self.blobs[i] for i in at.tolist()]
+            out = []
+            for score, changed in best:  # words that don't take their first choice
+                spelled = blobs.copy() if changed else blobs
+                for p, ids in changed.items():
+                    spelled[p] = ids
+                out.append((score, b"".join(spelled)))
+            yield out
 
 
 def parts(texts) -> Iterator[list[str]]:
@@ -218,14 +236,20 @@ def parts(texts) -> Iterator[list[str]]:
         yield some
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, model_file: str | None = None, digest: bool = False, alternatives: bool = True) -> DataFrame:
+def lists(blobs: list[bytes]) -> pa.ListArray:
+    """Ids of each blob as a list."""
+    ends = np.cumsum([0, *map(len, blobs)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(blobs), np.int32)))
+
+
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, model_file: str | None = None, digest: bool = False) -> DataFrame:
     """N-best encodings, one row for each row of ``docs``.
 
-    ``(id, ids, n_best)``: ids of the best segmentation, and an array of ``(score, ids)`` of the N best (without
-    ``alternatives``, their ids are null); with
-    ``digest``, ``(id, n_pieces, n_best, best_score, margin, ids_sha256, exact)`` instead: how many pieces, how many
+    ``(id, ids, n_best)``: ids of the best segmentation, and an array of ``(score, ids)`` of the N best; with
+    ``digest``, ``(id, n_pieces, n_best, best_score, margin, ids_sha256, exact, segmentations)`` instead: how many pieces, how many
     segmentations were found, the best one's log-probability, its lead over the second (null if there is
-    none), the hash of its ids as text, and whether decoding gives the text again. Null and empty texts
+    none), the hash of its ids as text, whether decoding each of the N gives the text again, and an array of
+    ``(score, ids, n_pieces, ids_sha256, exact)`` of the N best. Null and empty texts
     have no pieces and one empty segmentation of score 0. Repeated rows repeat; no rows give no rows.
     """
     text_batches(docs.sparkSession)
@@ -238,30 +262,36 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
         for batch in batches:
             at = 0
             for part in parts(batch.column("text")):
-                blobs, out, seen = [], [], []
-                for text, (ids, best, words) in zip(part, coder.encode(part), strict=True):
-                    if digest:
-                        a = np.frombuffer(ids, np.int32)
-                        margin = best[0][0] - best[1][0] if len(best) > 1 else None
-                        out.append((len(a), len(best), best[0][0], margin, hashlib.sha256(a.astype("<i4").tobytes()).hexdigest(), shared.value.decode(a.tolist()) == text))
-                    else:
-                        blobs.append(np.frombuffer(ids, np.int32))
-                        seen.append([{"score": s, "ids": coder.ids(words, c) if alternatives else None} for s, c in best])
+                found = list(coder.encode(part))
                 names = batch.column("id").slice(at, len(part))
                 at += len(part)
+                each = [x for best in found for x in best]
+                ends = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
+                scores, ids = pa.array([s for s, _ in each], pa.float64()), lists([b for _, b in each])
                 if digest:
+                    checks = []
+                    for text, best in zip(part, found, strict=True):
+                        for _, blob in best:
+                            a = np.frombuffer(blob, np.int32)
+                            checks.append((len(a), hashlib.sha256(a.astype("<i4").tobytes()).hexdigest(), shared.value.decode(a.tolist()) == text))
+                    columns = [pa.array(c, k) for c, k in zip(zip(*checks, strict=True), (pa.int64(), pa.string(), pa.bool_()), strict=True)]
+                    every = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([scores, ids, *columns], ["score", "ids", "n_pieces", "ids_sha256", "exact"]))
+                    out, k = [], 0
+                    for best in found:
+                        margin = best[0][0] - best[1][0] if len(best) > 1 else None
+                        out.append((checks[k][0], len(best), best[0][0], margin, checks[k][1], all(c[2] for c in checks[k : k + len(best)])))
+                        k += len(best)
                     kinds = (pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.string(), pa.bool_())
                     columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays([names, *columns], ["id", "n_pieces", "n_best", "best_score", "margin", "ids_sha256", "exact"])
+                    yield pa.RecordBatch.from_arrays([names, *columns, every], ["id", "n_pieces", "n_best", "best_score", "margin", "ids_sha256", "exact", "segmentations"])
                 else:
-                    ends = np.cumsum([0, *map(len, blobs)]).astype(np.int32)
-                    ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(blobs)))
-                    kind = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.list_(pa.int32()))]))
-                    yield pa.RecordBatch.from_arrays([names, ids, pa.array(seen, kind)], ["id", "ids", "n_best"])
+                    every = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([scores, ids], ["score", "ids"]))
+                    yield pa.RecordBatch.from_arrays([names, lists([best[0][1] for best in found]), every], ["id", "ids", "n_best"])
 
     kind = dict(rows.dtypes)["id"]
     if digest:
-        return rows.mapInArrow(run, f"id {kind}, n_pieces long, n_best int, best_score double, margin double, ids_sha256 string, exact boolean")
+        each = "struct<score:double,ids:array<int>,n_pieces:bigint,ids_sha256:string,exact:boolean>"
+        return rows.mapInArrow(run, f"id {kind}, n_pieces long, n_best int, best_score double, margin double, ids_sha256 string, exact boolean, segmentations array<{each}>")
     return rows.mapInArrow(run, f"id {kind}, ids array<int>, n_best array<struct<score:double,ids:array<int>>>")
 
 

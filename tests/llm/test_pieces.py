@@ -1,6 +1,9 @@
 """All N segmentations are spelled, by the registered query and the pipeline's stage."""
 
+import base64
 import hashlib
+import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -42,3 +45,24 @@ def test_stage_keeps_every_segmentation(spark, folder):
     for r in corpus_pipeline.encode_pieces(spark, docs, folder).collect():
         assert r.n_best[0].ids == r.ids and [x.score for x in r.n_best] == r.scores
         assert all(v.decode(x.ids) == (TEXTS[r.doc_id] or "") for x in r.n_best)
+
+
+def test_long_run_without_spaces():
+    v = pieces.Vocabulary(pieces.default_model())
+    run = base64.b64encode(random.Random(4).randbytes(150_000)).decode()
+    coder = pieces.Encoder(v, 4)
+    tracemalloc.start()
+    (best,) = coder.encode([run])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(run) == 200_000 and peak < 200e6  # the ids of all prefixes would be 60 GB
+    assert len({ids for _, ids in best}) == 4 and [s for s, _ in best] == sorted((s for s, _ in best), reverse=True)
+    assert all(v.decode(np.frombuffer(ids, np.int32).tolist()) == run for _, ids in best)
+
+
+def test_remembered_words_are_bounded_in_characters(monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBER_CHARS", 10_000)
+    coder = pieces.Encoder(pieces.Vocabulary(pieces.default_model()), 4)
+    for i in range(20):
+        list(coder.encode([f"{i}" + "ab" * 2_000]))
+    assert sum(map(len, coder)) < 20_000 and coder.short.cache_info().currsize < 20

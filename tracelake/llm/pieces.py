@@ -33,6 +33,8 @@ SPACE = "▁"
 SHIFT = 2.7  # Zipf-Mandelbrot shift of the ranks
 BYTE_COST = 2.0  # a byte piece is this much less likely than the rarest piece
 REMEMBER = 300_000  # words a worker remembers
+REMEMBER_CHARS = 5_000_000  # and their characters
+LONG = 1_000  # characters of a word whose alternatives aren't remembered
 PART = 1_000_000  # characters that are split into words at a time
 
 
@@ -182,8 +184,11 @@ class Encoder(dict):
     def __init__(self, vocabulary: Vocabulary, n: int):
         super().__init__()
         self.vocabulary, self.n, self.find = vocabulary, n, re.compile(vocabulary.words, re.S).findall
-        self.choices = lru_cache(10_000)(lambda word: vocabulary.best(word, n))
-        self.blobs, self.score, self.delta = [], np.zeros(1024), np.zeros(1024)
+        self.short = lru_cache(10_000)(lambda word: vocabulary.best(word, n))
+        self.blobs, self.chars, self.score, self.delta = [], 0, np.zeros(1024), np.zeros(1024)
+
+    def choices(self, word: str) -> list[tuple[float, bytes]]:
+        return self.short(word) if len(word) < LONG else self.vocabulary.best(word, self.n)
 
     def learn(self, words: set[str]) -> None:
         """Segment new words."""
@@ -193,14 +198,15 @@ class Encoder(dict):
             self.score, self.delta = (np.concatenate([x, np.zeros(grown - len(x))]) for x in (self.score, self.delta))
         for word, self.score[row], self.delta[row], ids in self.vocabulary.firsts(list(words)):  # noqa: B020
             self.blobs.append(ids)
+            self.chars += len(word)
             self[word] = row
             row += 1
 
     def encode(self, texts: list[str]) -> Iterator[list[tuple[float, bytes]]]:
         """Of each text, the N best segmentations, best first: score and ids."""
-        if len(self.blobs) > REMEMBER:
+        if len(self.blobs) > REMEMBER or self.chars > REMEMBER_CHARS:
             self.clear()
-            self.blobs = []
+            self.blobs, self.chars = [], 0
         split = [self.find(" " + t) if t else [] for t in texts]
         self.learn(set().union(*split) - self.keys())
         for words in split:

@@ -2,25 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracelake.functions.graph import connected_components, materialize, shared_dir  # noqa: F401
+
 #: ASCII white space separates words everywhere in this package.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
 def text_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Have Arrow batches hold fewer rows than Spark's default: whole texts are long, and workers keep a batch in memory."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -28,42 +18,6 @@ def text_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, rows)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def connected_components(edges: DataFrame) -> DataFrame:
-    """``(id, component)`` for every id in ``edges(src, dst)``; component = smallest reachable id.
-
-    Large-star and small-star rounds: each is one aggregation by node and one join, both with
-    map-side partial results, so that a hub with very many neighbours isn't gathered in one place.
-    The number of rounds grows with the logarithm of the longest chain. Self loops and repeated
-    edges do no harm; no edges give no rows.
-    """
-    e = materialize(
-        edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).where("u is not null and v is not null").distinct()
-    )
-    while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        # large-star: larger neighbours of u hang on the smallest of u's neighbourhood
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        # small-star: smaller neighbours of u, and u itself, hang on the smallest of them
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        e = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        # done when all edges form stars: one parent each, no parent with a parent
-        single = e.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
-        if single and e.join(e.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty():
-            break
-    return e.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).unionByName(
-        e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    )
-
-
 def split_rows(n: int, target: int) -> int:
     """Blocks of about ``target`` rows that ``n`` rows fill, one at least."""
     return max(1, -(-n // target))

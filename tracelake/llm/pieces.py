@@ -35,6 +35,8 @@ BYTE_COST = 2.0  # a byte piece is this much less likely than the rarest piece
 REMEMBER = 300_000  # words a worker remembers
 REMEMBER_CHARS = 5_000_000  # and their characters
 LONG = 1_000  # characters of a word whose alternatives aren't remembered
+TOGETHER = 40  # words up to this many characters are scored many at a time
+BATCH = 20_000  # words that are scored at a time
 PART = 1_000_000  # characters that are split into words at a time
 
 
@@ -77,6 +79,68 @@ class Vocabulary:
         # a word with the spaces before it; spaces alone; a character outside the vocabulary
         some = "".join(map(re.escape, sorted(known)))
         self.words = f" *[{some}]+| +|[^ {some}]"
+        self.plant(normal)
+
+    def plant(self, pieces: list[tuple[str, int]]) -> None:
+        """The pieces as a trie in arrays: sorted keys (node and character) and the nodes they lead to, and each node's piece and log-probability."""
+        steps: dict[tuple[int, int], int] = {}
+        at_node: dict[int, int] = {}
+        for piece, i in pieces:
+            node = 0
+            for c in piece:
+                node = steps.setdefault((node, ord(c)), len(steps) + 1)
+            at_node[node] = i
+        keys = sorted((node << 21 | c, child) for (node, c), child in steps.items())
+        self.keys, self.child = np.array([k for k, _ in keys], np.int64), np.array([c for _, c in keys], np.int32)
+        self.piece_at, self.score_at = np.full(len(steps) + 1, -1, np.int32), np.full(len(steps) + 1, -inf)
+        scores = dict(self.pieces.values())
+        for node, i in at_node.items():
+            self.piece_at[node], self.score_at[node] = i, scores[i]
+        self.surfaces = np.frombuffer(b"".join(self.surface), np.uint8)
+        self.surface_size = np.fromiter(map(len, self.surface), np.int64, len(self.surface))
+        self.surface_at = np.cumsum(self.surface_size) - self.surface_size
+        self.single = np.zeros(0x110000, bool)  # characters that are pieces
+        self.single[[ord(p) for p, _ in pieces if len(p) == 1]] = True
+
+    def together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``forward`` and the best path of many words at once, all of whose characters are pieces: log-probabilities, leads, ids in one array, and where each word's end."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        rows, most = len(words), int(sizes.max())
+        chars = np.zeros((most, rows), np.int64)
+        flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        first = np.cumsum(sizes) - sizes
+        chars[np.arange(len(flat)) - np.repeat(first, sizes), np.repeat(np.arange(rows), sizes)] = flat
+        top, second = np.full((most + 1, rows), -inf), np.full((most + 1, rows), -inf)
+        start, piece = np.zeros((most + 1, rows), np.int32), np.zeros((most + 1, rows), np.int32)
+        top[0] = 0.0
+        for i in range(most):
+            who = np.flatnonzero(sizes > i)
+            node = np.zeros(len(who), np.int64)
+            for j in range(i + 1, min(i + self.longest, most) + 1):
+                key = node << 21 | chars[j - 1, who]
+                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                on = (self.keys[at] == key) & (sizes[who] >= j)
+                who, node = who[on], self.child[at[on]].astype(np.int64)
+                if not len(who):
+                    break
+                some = self.piece_at[node] >= 0
+                w, s = who[some], top[i, who[some]] + self.score_at[node[some]]
+                better = s >= top[j, w]  # of equal paths the one whose last arc is shortest
+                up, down = w[better], w[~better]
+                second[j, up] = top[j, up]
+                second[j, down] = np.maximum(second[j, down], s[~better])
+                top[j, up], start[j, up], piece[j, up] = s[better], i, self.piece_at[node[some][better]]
+        score, lead = top[sizes, np.arange(rows)], np.full(rows, inf)
+        place, who, order, found = sizes.copy(), np.arange(rows), [], []
+        while len(who):
+            at = place[who]
+            lead[who] = np.minimum(lead[who], top[at, who] - second[at, who])
+            order.append(who)
+            found.append(piece[at, who])
+            place[who] = start[at, who]
+            who = who[place[who] > 0]
+        order, ids = np.concatenate(order)[::-1], np.concatenate(found)[::-1]
+        return score, lead, ids[np.argsort(order, kind="stable")], np.cumsum(np.bincount(order, minlength=rows))
 
     def arcs(self, word: str, j: int) -> Iterator[tuple[int, int, float]]:
         """The arcs that end at place ``j``: start, piece id (-1: the character in bytes) and log-probability."""
@@ -147,14 +211,31 @@ class Vocabulary:
     def spelled(self, word: str, place: int, piece: int) -> bytes:
         return self.ids_of[piece] if piece >= 0 else b"".join([self.ids_of[self.bytes[b]] for b in word[place].encode("utf-8", "surrogatepass")])
 
-    def firsts(self, words: list[str]) -> Iterator[tuple[str, float, float, bytes]]:
-        """Of each word, in sorted order: log-probability of the best segmentation, its lead over the second (infinite if there is none), and its ids.
+    def firsts(self, words: list[str]) -> Iterator[tuple[list[str], list[float], list[float], list[bytes], list[bool]]]:
+        """Of each word: log-probability of the best segmentation, its lead over the second (infinite if there is none), its ids, and whether they decode to the word.
 
-        The search's first path, and the least loss that it leaves open. What a word shares with the one before isn't scored again.
+        The search's first path, and the least loss that it leaves open. Words of usual length are scored and
+        decoded together, by numpy; of the others, what a word shares with the one before isn't scored again.
         """
+        usual, others = [], []
+        for word in sorted(words):
+            (usual if len(word) <= TOGETHER else others).append(word)
+        for a in range(0, len(usual), BATCH):
+            part = usual[a : a + BATCH]
+            sizes = np.fromiter(map(len, part), np.int64, len(part))
+            codes = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32)
+            odd = np.flatnonzero(np.add.reduceat(~self.single[codes], np.cumsum(sizes) - sizes)).tolist()
+            if odd:
+                others += [part[i] for i in odd]
+                gone = set(odd)
+                part = [w for i, w in enumerate(part) if i not in gone]
+            if part:
+                scores, leads, ids, stops = self.together(part)
+                blob, ends = ids.astype(np.int32).tobytes(), (4 * stops).tolist()
+                yield part, scores.tolist(), leads.tolist(), [blob[i:j] for i, j in zip([0, *ends], ends, strict=False)], self.spelled_together(ids, stops, part)
         get, ids_of = self.pieces.get, self.ids_of
         top, back, lead, last = [0.0], [0], [inf], ""
-        for word in sorted(words):
+        for word in sorted(others):
             self.forward(word, top, back, lead, len(commonprefix((last, word))))
             last, place, least, ids = word, len(word), inf, []
             while place:
@@ -165,7 +246,8 @@ class Vocabulary:
                     least = lead[place]
                 place = start
             ids.reverse()
-            yield word, top[-1], least, b"".join(ids)
+            ids = b"".join(ids)
+            yield [word], top[-1:], [least], [ids], [self.spells(ids, word)]
 
     def best(self, word: str, n: int) -> list[tuple[float, bytes]]:
         """The ``n`` best segmentations of a word, best first: loss of log-probability against the best, and ids."""
@@ -173,6 +255,22 @@ class Vocabulary:
         self.forward(word, top, back, lead)
         return list(self.search(word, top, back, n))
 
+    def spelled_together(self, ids: np.ndarray, stops: np.ndarray, words: list[str]) -> list[bool]:
+        """Whether each word's ids decode to it; all ids in one array, with where each word's end."""
+        sizes = self.surface_size[ids]
+        last = np.cumsum(sizes)
+        got = self.surfaces[np.repeat(self.surface_at[ids] - (last - sizes), sizes) + np.arange(last[-1])]
+        want = [w.encode("utf-8", "surrogatepass") for w in words]
+        ends, want_ends = last[stops - 1], np.cumsum(np.fromiter(map(len, want), np.int64, len(want)))
+        if len(got) != want_ends[-1] or (ends != want_ends).any():
+            return [self.spells(i.tobytes(), w) for i, w in zip(np.split(ids, stops[:-1]), words, strict=True)]
+        same = got == np.frombuffer(b"".join(want), np.uint8)
+        return np.logical_and.reduceat(same, np.concatenate([[0], ends[:-1]])).tolist()
+
+    def spells(self, ids: bytes, word: str) -> bool:
+        """Whether ``ids`` decode to ``word``."""
+        return b"".join(map(self.surface.__getitem__, memoryview(ids).cast("i"))) == word.encode("utf-8", "surrogatepass")
+
     def decode(self, ids) -> str:
         """The text that ``ids`` spell; broken bytes become replacement characters."""
         return b"".join([self.surface[i] for i in ids]).decode("utf-8", "replace")[1:]
@@ -184,47 +282,60 @@ class Encoder(dict):
     def __init__(self, vocabulary: Vocabulary, n: int):
         super().__init__()
         self.vocabulary, self.n, self.find = vocabulary, n, re.compile(vocabulary.words, re.S).findall
-        self.short = lru_cache(10_000)(lambda word: vocabulary.best(word, n))
-        self.blobs, self.chars, self.score, self.delta = [], 0, np.zeros(1024), np.zeros(1024)
+        self.short = lru_cache(10_000)(self.best)
+        self.blobs, self.chars, self.score, self.delta, self.size, self.exact = [], 0, np.zeros(1024), np.zeros(1024), np.zeros(1024, np.int64), np.zeros(1024, bool)
 
-    def choices(self, word: str) -> list[tuple[float, bytes]]:
-        return self.short(word) if len(word) < LONG else self.vocabulary.best(word, self.n)
+    def best(self, word: str) -> list[tuple[float, bytes, bool]]:
+        return [(loss, ids, self.vocabulary.spells(ids, word)) for loss, ids in self.vocabulary.best(word, self.n)]
+
+    def choices(self, word: str) -> list[tuple[float, bytes, bool]]:
+        return self.short(word) if len(word) < LONG else self.best(word)
 
     def learn(self, words: set[str]) -> None:
-        """Segment new words."""
+        """Segment new words, and decode them."""
         row = len(self.blobs)
         grown = max(len(self.score), 2 * (row + len(words)))
         if grown > len(self.score):
-            self.score, self.delta = (np.concatenate([x, np.zeros(grown - len(x))]) for x in (self.score, self.delta))
-        for word, self.score[row], self.delta[row], ids in self.vocabulary.firsts(list(words)):  # noqa: B020
-            self.blobs.append(ids)
-            self.chars += len(word)
-            self[word] = row
-            row += 1
-
-    def encode(self, texts: list[str]) -> Iterator[list[tuple[float, bytes]]]:
-        """Of each text, the N best segmentations, best first: score and ids."""
+            self.score, self.delta, self.size, self.exact = (np.concatenate([x, np.zeros(grown - len(x), x.dtype)]) for x in (self.score, self.delta, self.size, self.exact))
+        for part, scores, leads, blobs, exact in self.vocabulary.firsts(list(words)):
+            stop = row + len(part)
+            self.score[row:stop], self.delta[row:stop], self.size[row:stop], self.exact[row:stop] = scores, leads, list(map(len, blobs)), exact
+            self.blobs += blobs
+            self.chars += sum(map(len, part))
+            self.update(zip(part, range(row, stop), strict=True))
+            row = stop
+
+    def encode(self, texts: list[str]) -> Iterator[list[tuple[float, bytes, bool]]]:
+        """Of each text, the N best segmentations, best first: score, ids, and whether they decode to the text.
+
+        Words are decoded where they are segmented: a character never lies in two of them, so that the
+        pieces of a text spell it where those of all its words spell these and the words make up the text.
+        """
         if len(self.blobs) > REMEMBER or self.chars > REMEMBER_CHARS:
             self.clear()
             self.blobs, self.chars = [], 0
         split = [self.find(" " + t) if t else [] for t in texts]
         self.learn(set().union(*split) - self.keys())
-        for words in split:
+        for text, words in zip(texts, split, strict=True):
             at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
             best = [(float(self.score[at].sum()), {})]
             change = self.delta[at]
             places = np.argpartition(change, self.n - 2)[: self.n - 1] if len(at) >= self.n > 1 else np.arange(len(at) if self.n > 1 else 0)
             for p in sorted(places.tolist()):
                 choices = self.choices(words[p])
-                merged = [(s - loss, {**c, p: ids} if k else c) for s, c in best for k, (loss, ids) in enumerate(choices)]
+                merged = [(s - loss, {**c, p: (ids, ok)} if k else c) for s, c in best for k, (loss, ids, ok) in enumerate(choices)]
                 best = heapq.nsmallest(self.n, merged, key=lambda x: -x[0])
-            blobs = [self.blobs[i] for i in at.tolist()]
+            first = b"".join([self.blobs[i] for i in at.tolist()])
+            stops = np.cumsum(self.size[at])
+            wrong = np.flatnonzero(~self.exact[at]).tolist()
+            whole = "".join(words)[1:] == text
             out = []
-            for score, changed in best:  # words that don't take their first choice
-                spelled = blobs.copy() if changed else blobs
-                for p, ids in changed.items():
-                    spelled[p] = ids
-                out.append((score, b"".join(spelled)))
+            for score, changed in best:
+                parts, last = [], 0
+                for p, (ids, _) in changed.items():  # words that don't take their first choice, in order
+                    parts += [first[last : stops[p] - self.size[at[p]]], ids]
+                    last = stops[p]
+                out.append((score, b"".join([*parts, first[last:]]), whole and all(ok for _, ok in changed.values()) and all(p in changed for p in wrong)))
             yield out
 
 
@@ -273,13 +384,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
                 at += len(part)
                 each = [x for best in found for x in best]
                 ends = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
-                scores, ids = pa.array([s for s, _ in each], pa.float64()), lists([b for _, b in each])
+                scores, ids = pa.array([s for s, _, _ in each], pa.float64()), lists([b for _, b, _ in each])
                 if digest:
-                    checks = []
-                    for text, best in zip(part, found, strict=True):
-                        for _, blob in best:
-                            a = np.frombuffer(blob, np.int32)
-                            checks.append((len(a), hashlib.sha256(a.astype("<i4").tobytes()).hexdigest(), shared.value.decode(a.tolist()) == text))
+                    checks = [(len(b) // 4, hashlib.sha256(b).hexdigest(), ok) for _, b, ok in each]
                     columns = [pa.array(c, k) for c, k in zip(zip(*checks, strict=True), (pa.int64(), pa.string(), pa.bool_()), strict=True)]
                     every = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([scores, ids, *columns], ["score", "ids", "n_pieces", "ids_sha256", "exact"]))
                     out, k = [], 0

@@ -1,15 +1,18 @@
 """Personal data by weak supervision (operator 2); DataFrame functions only.
 
-Regular expressions cut candidate spans out of every whole text. Several labelers (base rules, cue word
-gazetteers, format checks, the characters and words around a span) vote on each candidate or abstain.
-Expectation-maximisation over the counts of vote patterns, a small table whatever the corpus, estimates
-how reliable each labeler is; the resulting soft labels train a naive Bayes span classifier on the
-spans' own features, which decides on the candidates that no base rule settles. Base spans always stay.
+Regular expressions cut candidate spans out of every whole text: what the base rules look at (whether it
+passes them or not) and further shapes. Labelers vote 1, -1 or abstain on each candidate: format rules and
+checksums, gazetteers of prefixes and endings, gazetteers of cue words by kind and of words about other
+numbers, the characters next to the span, and what the text around it is made of. Expectation-maximisation
+over the counts of vote patterns (a small table whatever the corpus) estimates, for data and for the rest,
+how often each labeler votes each way or abstains. The resulting soft labels train a naive Bayes span
+classifier on the span's own features and the words around it. It alone decides on the candidates that no
+base rule settles: those of probability ``LEAST`` or more are added. Base spans always stay.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from math import log
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,9 +20,13 @@ from pyspark.sql import functions as F
 from tracelake.llm.common import materialize
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "ssn", "local_phone", "hidden_email")
-AROUND = 32  # characters of context on either side
-ROUNDS = 12
+#: Kinds of candidates of a base shape that fail the base rule carry a name of their own.
+LIKELY = {"card": "likely_card", "phone": "likely_phone", "ip": "likely_ip"}
+KINDS = (*BASE, *LIKELY.values(), "ssn", "local_phone", "hidden_email", "iban")
+AROUND = 48  # characters of context on either side
+ROUNDS = 15
+LEAST = 0.9  # probability that an added span needs
+WORDS = 1024  # buckets that words around a span, and shapes, are hashed to
 #: Java patterns with the same leftmost non-overlapping matches as the base rules, without backtracking:
 #: a match starts where a run starts, or where the last match ended. Of digit runs, only those of 14 to 19 digits match.
 PATTERNS = {
@@ -27,15 +34,36 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?+[0-9]){13,18}+(?![ -]?[0-9])",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "extra": r"(?<![A-Za-z0-9.+-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4})(?![0-9-])"
-    r"|(?<![A-Za-z0-9._-])[A-Za-z0-9][A-Za-z0-9._-]{1,40}+ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{2,40}+(?: ?[\[(](?:dot|DOT)[\])] ?[A-Za-z]{2,20}+|\.[A-Za-z]{2,20}+)",
+    "number": r"(?<![A-Za-z0-9.+-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4})(?![0-9-])",
+    "hidden_email": r"(?<![A-Za-z0-9._-])[A-Za-z0-9][A-Za-z0-9._-]*+ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]++(?:(?: ?[\[(](?:dot|DOT)[\])] ?|\.)[A-Za-z0-9-]++)++",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
 }
 #: Quick tests that a text needs to pass before its pattern is tried.
-HINTS = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[ -]?+[0-9]){13}", "phone": r"\+[0-9]", "extra": r"[0-9]{3}\)?[ .-][0-9]{2,3}[.-][0-9]|[\[(](?:at|AT)[\])]"}
-#: Cue words near personal data and near other numbers (fixed values).
-CUES = r"(?i)\b(e-?mail|mail|contact|phone|tel|telephone|call|mobile|fax|telefon|anruf|téléphone|appelez|teléfono|llame|card|visa|mastercard|karte|carte|tarjeta|ssn|social security|ip|address|adresse|dirección|name|customer)\b"
-OTHER = r"(?i)\b(isbn|issn|invoice|order|version|part|serial|article|page|figure|table|section|total|price|year|rechnung|facture|factura|seite)\b"
-LABELERS = ("rule", "cue", "other", "format", "edges")
+HINTS = {
+    "email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[ -]?+[0-9]){13}", "phone": r"\+[0-9]", "number": r"[0-9]{3}\)?[ .-][0-9]{2,3}[.-][0-9]",
+    "hidden_email": r"[\[(](?:at|AT)[\])]", "iban": r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}",
+}
+#: Gazetteers of cue words near each kind of data, in the languages of the corpora (fixed values).
+CUES = {
+    "mail": r"e-?mail|mail|mailto|contact|write to|reach me|kontakt|schreib|courriel|écris|contacte|correo|escribe",
+    "phone": r"phone|tel|telephone|call|mobile|cell|fax|sms|whatsapp|dial|telefon|anruf|ruf|handy|téléphone|appelez|portable|teléfono|llame|móvil",
+    "card": r"card|credit|debit|visa|mastercard|amex|karte|kreditkarte|carte|tarjeta|cvv|expires|expiry",
+    "network": r"ip|ipv4|host|address|adresse|dirección|client|peer|login|logged|server|from",
+    "identity": r"ssn|social security|identity|passport|national id|taxpayer|born|ausweis|sozialversicherung|sécurité sociale|dni|seguridad social",
+    "bank": r"iban|account|bank|transfer|konto|überweisung|compte|virement|cuenta|transferencia",
+}
+CUE_OF = {"email": "mail", "hidden_email": "mail", "phone": "phone", "likely_phone": "phone", "local_phone": "phone", "card": "card", "likely_card": "card", "ip": "network", "likely_ip": "network", "ssn": "identity", "iban": "bank"}
+#: Words near numbers that are not personal data (fixed values).
+OTHER = r"isbn|issn|doi|invoice|order|orders|version|release|build|part|serial|sku|article|page|figure|table|section|chapter|total|price|year|id|no|number|ref|tracking|rechnung|bestellung|artikel|seite|facture|commande|article|factura|pedido|página|barcode|ean"
+#: Ends of domain names, countries of account numbers, calling codes and first digits of cards (fixed values).
+ENDINGS = r"(?i)(?:^|[.\])] ?)(?:com|org|net|edu|gov|info|io|biz|eu|de|fr|es|it|nl|uk|us|ch|at|be|pl|se|no|dk|fi|pt|ca|au|jp|cn|in|br|mx|ru|name|dev|app|co)$"
+COUNTRIES = r"^(?:AD|AT|BE|BG|CH|CY|CZ|DE|DK|EE|ES|FI|FR|GB|GR|HR|HU|IE|IS|IT|LI|LT|LU|LV|MC|MT|NL|NO|PL|PT|RO|SE|SI|SK|SM|TR)"
+CALLING = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
+ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|30|3[68]|6(?:011|5|4))"
+LABELERS = ("rule", "prefix", "cue", "other", "edges", "prose")
+VOTES = (1, 0, -1)
+#: How often a labeler is thought to vote 1, 0 and -1 at first, for data and for the rest; also the pseudo-votes of each round.
+START = ((0.6, 0.3, 0.1), (0.2, 0.3, 0.5))
 
 
 def octet_ok(m: Column) -> Column:
@@ -57,6 +85,14 @@ def digits_in(m: Column) -> Column:
     return F.length(F.regexp_replace(m, "[^0-9]", ""))
 
 
+def iban_ok(m: Column) -> Column:
+    """The checksum of account numbers: the number read with its first four characters last, letters as 10 to 35, is 1 modulo 97."""
+    plain = F.regexp_replace(m, " ", "")
+    chars = F.concat(F.substring(plain, 5, 64), F.left(plain, F.lit(4)))
+    value = lambda c: F.when(c.between("0", "9"), c.cast("int")).otherwise(F.ascii(c) - 55)
+    return F.aggregate(F.split(chars, ""), F.lit(0), lambda a, c: F.when(c == "", a).otherwise((a * F.when(value(c) > 9, 100).otherwise(10) + value(c)) % 97)) == 1
+
+
 def piece(kind: str):
     """What a match (the last has none) and the gap before it give."""
     return lambda x, i: F.struct(
@@ -78,109 +114,160 @@ def candidates(docs: DataFrame) -> DataFrame:
     step = F.col("gap") + F.coalesce(F.length("match"), F.lit(0))
     rows = rows.withColumn("stop", F.sum(step).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     rows = rows.withColumn("right", F.coalesce(F.lead("head").over(order), F.lit(""))).where("match is not null")
-    shape = F.when(F.col("match").rlike(r"[\[(](?:at|AT)[\])]"), "hidden_email").when(F.col("match").rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn").otherwise("local_phone")
-    kind = F.when(F.col("kind") == "extra", shape).otherwise(F.col("kind"))
+    shape = F.when(F.col("match").rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn").otherwise("local_phone")
+    kind = F.when(F.col("kind") == "number", shape).otherwise(F.col("kind"))
     return rows.select("id", "print", kind.alias("kind"), (F.col("stop") - F.length("match")).alias("start"), "stop", "match", "left", "right")
 
 
+def near_word(words: str) -> str:
+    return rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{words})(?![\p{{L}}\p{{N}}])"
+
+
 def voted(spans: DataFrame) -> DataFrame:
-    """Spans with ``base`` (a base rule holds) and one vote of 1, 0 (abstains) or -1 for each labeler."""
+    """Spans with ``base`` (a base rule holds; else candidates of base kinds are renamed) and one vote of 1, 0 (abstains) or -1 for each labeler."""
     m, n = F.col("match"), digits_in(F.col("match"))
-    kind = lambda k: F.col("kind") == k
+    kind = lambda *k: F.col("kind").isin(*k)
     base = kind("email") | (kind("ip") & octet_ok(m)) | (kind("card") & n.between(14, 19) & luhn_ok(m)) | (kind("phone") & n.between(10, 15))
-    near = F.concat_ws(" ", "left", "right")
-    good = (
-        F.when(kind("email") | kind("hidden_email"), m.rlike(r"[.\])] ?[A-Za-z]{2,}$"))
-        .when(kind("ip"), ~m.rlike(r"(^|\.)0[0-9]") & ~m.rlike(r"^0\."))
-        .when(kind("card"), m.rlike(r"^[3-6]"))
-        .when(kind("ssn"), ~m.rlike(r"^(?:000|666|9)") & ~m.rlike("-00-") & ~m.rlike("-0000$"))
-        .otherwise(m.rlike(r"^\(?[2-9]") | m.rlike(r"^\+[1-9]"))
-    )
-    alone = F.col("left").rlike(r"(^|[\s:;,(\[<\"'])$") & F.col("right").rlike(r"^($|[\s;,.!?)\]>\"'])")
+    spans = spans.withColumn("base", base)
+    renamed = F.when(F.col("base"), F.col("kind"))
+    for k, name in LIKELY.items():
+        renamed = renamed.when(F.col("kind") == k, name)
+    spans = spans.withColumn("kind", renamed.otherwise(F.col("kind")))
     vote = lambda yes, no: F.when(yes, 1).when(no, -1).otherwise(0)
+    check = lambda ok: F.when(ok, 1).otherwise(-1)
     none = F.lit(False)
-    return spans.withColumn("base", base).withColumns(
+    cue = F.lit(False)
+    near = F.concat_ws(" ", "left", F.left("right", F.lit(AROUND // 2)))
+    for name, words in CUES.items():
+        cue = cue | (kind(*[k for k, c in CUE_OF.items() if c == name]) & near.rlike(near_word(words)))
+    rule = (
+        F.when(kind("ssn"), check(~m.rlike(r"^(?:000|666|9)") & ~m.rlike("-00-") & ~m.rlike("-0000$")))
+        .when(kind("local_phone"), check(m.rlike(r"^\(?[2-9][0-9]{2}\)?[ .-][2-9]")))
+        .when(kind("hidden_email"), check(m.rlike(r"^[A-Za-z0-9][A-Za-z0-9._-]*[A-Za-z0-9]? ?[\[(]") & m.rlike(r"[A-Za-z]{2,}$")))
+        .when(kind("iban"), check(iban_ok(m)))
+        .otherwise(check(F.col("base")))
+    )
+    prefix = (
+        F.when(kind("email", "hidden_email"), F.when(m.rlike(ENDINGS), 1).otherwise(-1))
+        .when(kind("phone", "likely_phone"), check(m.rlike(CALLING)))
+        .when(kind("card", "likely_card"), check(m.rlike(ISSUERS)))
+        .when(kind("iban"), check(m.rlike(COUNTRIES)))
+        .when(kind("ip", "likely_ip"), vote(none, m.rlike(r"^0") | m.rlike(r"(^|\.)0[0-9]")))
+        .otherwise(0)
+    )
+    before, after = F.col("left").rlike(r"(^|[\s:;,(\[<\"'])$"), F.col("right").rlike(r"^($|[\s;,.!?)\]>\"'])")
+    glued = F.col("left").rlike(r"[\p{L}\p{N}=/_#$-]$") | F.col("right").rlike(r"^[\p{L}\p{N}=/_#%$-]")
+    around = F.concat("left", "right")
+    share = lambda c: F.length(F.regexp_replace(around, c, "")) / F.greatest(F.length(around), F.lit(1))
+    return spans.withColumns(
         {
-            "rule": vote(F.col("base"), F.col("kind").isin(*BASE)),
-            "cue": vote(near.rlike(CUES), none),
-            "other": vote(none, near.rlike(OTHER)),
-            "format": vote(good, ~good),
-            "edges": vote(alone, ~alone),
+            "rule": rule,
+            "prefix": prefix,
+            "cue": vote(cue, none),
+            "other": vote(none, F.right("left", F.lit(AROUND // 2)).rlike(near_word(OTHER))),
+            "edges": vote(before & after, glued),
+            "prose": F.when(F.length(F.trim(around)) == 0, 0).otherwise(vote(share(r"[^\p{L}\s]+") >= 0.8, share(r"[^0-9]+") >= 0.3)),
         }
     )
 
 
-def posterior(prior: float, rates: dict[str, tuple[float, float]]) -> Column:
-    """Probability that a span is personal data; ``rates``: how likely each labeler votes 1 rather than -1 for data and for the rest."""
-    logs = [F.lit(prior) / (1 - F.lit(prior))]
-    for name, (p, q) in rates.items():
-        logs.append(F.when(F.col(name) == 1, p / q).when(F.col(name) == -1, (1 - p) / (1 - q)).otherwise(1.0))
-    odds = reduce(lambda a, b: a * b, logs)
-    return odds / (1 + odds)
+def apart(spans: DataFrame) -> DataFrame:
+    """Base spans, and the candidates that overlap none of them."""
+    order = Window.partitionBy("id", "print").orderBy("start", F.desc("base"))
+    before = F.max(F.when(F.col("base"), F.col("stop"))).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    after = F.min(F.when(F.col("base"), F.col("start"))).over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    spans = spans.withColumns({"earlier": before, "later": after}).where("base or (coalesce(earlier, 0) <= start and coalesce(later, stop) >= stop)")
+    return spans.drop("earlier", "later")
+
+
+def log_odds(priors: dict[str, float], rates: dict[str, tuple]) -> Column:
+    """Log-odds that a span is personal data, from its kind and votes; ``rates``: how often each labeler votes 1, 0 and -1, for data and for the rest."""
+    out = F.lit(0.0)
+    for kind, p in priors.items():
+        out = out + F.when(F.col("kind") == kind, log(p / (1 - p))).otherwise(0.0)
+    for name, (data, rest) in rates.items():
+        for v, p, q in zip(VOTES, data, rest, strict=True):
+            out = out + F.when(F.col(name) == v, log(p / q)).otherwise(0.0)
+    return out
+
 
+def probability(odds: Column) -> Column:
+    return 1 / (1 + F.exp(-odds))
 
-def reliabilities(votes: DataFrame) -> tuple[float, dict[str, tuple[float, float]]]:
-    """Expectation-maximisation over the table of vote patterns (3^5 at most); each round is one aggregation."""
-    patterns = materialize(votes.groupBy(*LABELERS).agg(F.count("*").alias("n")))
-    prior, rates = 0.8, {k: (0.8, 0.3) for k in LABELERS}
+
+def reliabilities(votes: DataFrame) -> tuple[dict[str, float], dict[str, tuple]]:
+    """Expectation-maximisation over the table of vote patterns (3^6 for each kind at most); each round is one aggregation.
+
+    A labeler that never votes one way keeps its starting rates there only as two pseudo-votes; abstention counts as a way to vote.
+    """
+    patterns = materialize(votes.groupBy("kind", *LABELERS).agg(F.count("*").alias("n")))
+    priors, rates = dict.fromkeys(KINDS, 0.5), dict.fromkeys(LABELERS, START)
     for _ in range(ROUNDS):
-        p = F.col("n") * posterior(prior, rates)
-        q = F.col("n") - p
-        sums = [F.sum("n").alias("n"), F.sum(p).alias("p")]
-        for k in LABELERS:
-            for label, w in (("p", p), ("q", q)):
-                sums += [F.sum(F.when(F.col(k) == v, w).otherwise(0.0)).alias(f"{k}_{label}_{name}") for v, name in ((1, "yes"), (-1, "no"))]
-        s = patterns.agg(*sums).first()
+        p = probability(log_odds(priors, rates))
+        weights = (("p", F.col("n") * p), ("q", F.col("n") * (1 - p)))
+        sums = [F.sum(F.when(F.col("kind") == k, w).otherwise(0.0)).alias(f"{k}_{c}") for k in KINDS for c, w in weights]
+        sums += [F.sum(F.when(F.col(k) == v, w).otherwise(0.0)).alias(f"{k}_{c}_{v + 1}") for k in LABELERS for c, w in weights for v in VOTES]
+        s = patterns.agg(F.sum("n").alias("n"), *sums).first()
         if not s["n"]:
             break
-        prior = min(0.99, max(0.01, s["p"] / s["n"]))
-        # two pseudo-votes each keep labelers that rarely vote near their start, and rates off 0 and 1
-        rate = lambda k, x, start: (s[f"{k}_{x}_yes"] + 2 * start) / (s[f"{k}_{x}_yes"] + s[f"{k}_{x}_no"] + 2)  # noqa: E731, B023
-        rates = {k: (max(rate(k, "p", 0.8), 0.02), min(max(rate(k, "q", 0.3), 0.02), 0.98)) for k in LABELERS}
-        rates = {k: (min(p, 0.98), q) for k, (p, q) in rates.items()}
-    return prior, rates
+        priors = {k: (s[f"{k}_p"] + 1) / (s[f"{k}_p"] + s[f"{k}_q"] + 2) for k in KINDS}
+
+        def rate(k: str, c: str, start: tuple, s=s) -> tuple:
+            n = [s[f"{k}_{c}_{v + 1}"] + 2 * x for v, x in zip(VOTES, start, strict=True)]
+            return tuple(x / sum(n) for x in n)
+
+        rates = {k: (rate(k, "p", START[0]), rate(k, "q", START[1])) for k in LABELERS}
+    return priors, rates
 
 
 def features() -> dict[str, Column]:
-    """Discrete features of a span; each has few values."""
-    m = F.col("match")
+    """Discrete features of a span and of the words around it; each has a bounded number of values."""
+    m, bucket = F.col("match"), lambda c: F.pmod(F.xxhash64(c), F.lit(WORDS)).cast("string")
+    word = lambda c, n: F.lower(F.regexp_extract(c, n, 1))
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(m, "[0-9]", "0"), "[A-Z]+", "A"), "[a-z]+", "a")
+    sign = lambda c: F.regexp_replace(F.regexp_replace(c, r"[\p{L}]", "a"), "[0-9]", "0")
     return {
-        "f_kind": F.col("kind"),
-        "f_size": F.least(F.floor(F.length(m) / 4), F.lit(10)).cast("string"),
-        "f_digits": F.floor(digits_in(m) * 5 / F.greatest(F.length(m), F.lit(1))).cast("string"),
-        "f_before": F.regexp_replace(F.regexp_replace(F.right("left", F.lit(1)), "[A-Za-z]", "a"), "[0-9]", "0"),
-        "f_cue": F.col("cue").cast("string"),
-        "f_format": F.col("format").cast("string"),
+        "kind": F.col("kind"),
+        "shape": F.concat_ws(" ", "kind", bucket(shape)),
+        "valid": F.concat_ws(" ", "kind", F.col("rule").cast("string"), F.col("prefix").cast("string")),
+        "size": F.least(F.floor(F.length(m) / 4), F.lit(10)).cast("string"),
+        "before": sign(F.right("left", F.lit(1))),
+        "after": sign(F.left("right", F.lit(1))),
+        "word_before": F.concat_ws(" ", F.when(F.col("cue") == 1, "cue").otherwise("-"), bucket(word("left", r"(\p{L}+)[^\p{L}]*$"))),
+        "second_before": bucket(word("left", r"(\p{L}+)[^\p{L}]+\p{L}+[^\p{L}]*$")),
+        "word_after": bucket(word("right", r"^[^\p{L}]*(\p{L}+)")),
+        "others": F.col("other").cast("string"),
+        "digits": F.least(F.floor(F.length(F.regexp_replace(F.concat("left", "right"), "[^0-9]+", "")) / 4), F.lit(8)).cast("string"),
     }
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_email, n_ip, n_card, n_phone, base_sha256, spans)``, one row for each row of ``docs``.
-
-    A null text counts as empty. Repeated rows repeat their result. Other columns are ignored. Spans
-    are code points, end exclusive; ties in start go by kind. No rows give no rows.
-    """
-    docs = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    votes = materialize(voted(candidates(docs)))
-    prior, rates = reliabilities(votes)
+def classified(votes: DataFrame, priors: dict[str, float], rates: dict[str, tuple]) -> DataFrame:
+    """``votes`` with ``chance``: the probability that naive Bayes, trained on the soft labels, gives each span."""
     feats = features()
-    soft = votes.select("*", posterior(prior, rates).alias("p"), *[f.alias(k) for k, f in feats.items()])
-    # naive Bayes on soft labels: a table of a few values for each feature
-    table = soft.select("p", F.explode(F.array(*[F.concat(F.lit(k + "="), F.coalesce(F.col(k), F.lit(""))) for k in feats])).alias("value"))
-    table = table.groupBy("value").agg(F.sum("p").alias("p"), F.sum(1 - F.col("p")).alias("q"))
+    soft = votes.withColumn("p", probability(log_odds(priors, rates)))
+    value = F.array(*[F.concat(F.lit(k + "="), F.coalesce(f, F.lit(""))) for k, f in feats.items()])
+    table = soft.select("p", F.explode(value).alias("value")).groupBy("value").agg(F.sum("p").alias("p"), F.sum(1 - F.col("p")).alias("q"))
     total = soft.agg(F.sum("p").alias("all_p"), F.sum(1 - F.col("p")).alias("all_q"))
     # smoothed towards the value's share among all spans, so that a rare value alone tells nothing
     share = 2 * (F.col("p") + F.col("q")) / (F.col("all_p") + F.col("all_q"))
     gain = F.log((F.col("p") + share) / (F.col("all_p") + 2)) - F.log((F.col("q") + share) / (F.col("all_q") + 2))
+    # one row: a map of no more values than the features have, and the log-odds of all spans
     gains = table.crossJoin(F.broadcast(total)).agg(F.map_from_entries(F.collect_list(F.struct("value", gain.alias("g")))).alias("gains"), F.first(F.log((F.col("all_p") + 1) / (F.col("all_q") + 1))).alias("bias"))
-    score = reduce(lambda a, b: a + b, [F.coalesce(F.try_element_at("gains", F.concat(F.lit(k + "="), F.coalesce(f, F.lit("")))), F.lit(0.0)) for k, f in feats.items()]) + F.col("bias")
-    decided = votes.crossJoin(F.broadcast(gains)).withColumn("score", score)
-    # what no base rule settles must not overlap what one does
-    order = Window.partitionBy("id", "print").orderBy("start", F.desc("base"))
-    before = F.max(F.when(F.col("base"), F.col("stop"))).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    after = F.min(F.when(F.col("base"), F.col("start"))).over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    decided = decided.withColumns({"before": before, "after": after}).where("base or (coalesce(before, 0) <= start and coalesce(after, stop) >= stop)")
-    kept = decided.where(F.col("base") | (~F.col("kind").isin(*BASE) & (F.col("score") > 0) & (F.col("format") == 1) & (F.col("edges") == 1) & (F.col("other") == 0)))
+    score = F.aggregate(value, F.col("bias"), lambda a, x: a + F.coalesce(F.try_element_at("gains", x), F.lit(0.0)))
+    return votes.crossJoin(F.broadcast(gains)).withColumn("chance", probability(score)).drop("gains", "bias")
+
+
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, n_email, n_ip, n_card, n_phone, base_sha256, spans)``, one row for each row of ``docs``.
+
+    A null text counts as empty. Repeated rows repeat their result. Other columns are ignored. Spans
+    are code points, end exclusive; ties in start go by kind. Added spans don't overlap base spans.
+    No rows give no rows.
+    """
+    docs = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    votes = materialize(apart(voted(candidates(docs))))
+    decided = classified(votes, *reliabilities(votes))
+    kept = decided.where(F.col("base") | (F.col("chance") >= LEAST))
 
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     label = F.concat_ws(":", "kind", "start", "stop")

@@ -1,6 +1,7 @@
 """Operators 1, 3 and 7 against brute force, with odd rows."""
 
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -147,3 +148,40 @@ def test_bit_slices_keep_the_best():
         found = index.top(q, 10)
         assert best <= set(found)
         assert len(found) < 1500
+
+
+def test_top_k_of_huge_components(spark):
+    rows = [(0, [2.0**-10, 0.0]), (1, [2.0**45, 0.0]), (2, [2.0**44, 0.0]), (3, [-(2.0**60), 1e300]), (100, [1e300, -1e300])]
+    rows += [(i, [1.0, float(i)]) for i in range(4, 40)]
+    whole = {i: [int(Fraction(x) * 1024 // 1) for x in v] for i, v in rows}
+    got = {}
+    for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for q in (0, 100):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)[:10]
+        assert got[q] == [(i, max(-(2**63), min(2**63 - 1, -s))) for s, i in scores]
+    assert got[0][1:3] == [(1, 2**55), (2, 2**54)]
+
+
+def test_top_k_over_many_segments(spark, vectors, monkeypatch):
+    rows = [(i, v) for i, v in vectors if i not in (2600,)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = sorted(topk.top_k(frame).collect())
+    monkeypatch.setattr(topk, "LEAST_SEGMENT", 30)
+    assert sorted(topk.top_k(frame).collect()) == want
+
+
+def test_embedding_copies_and_cells(spark):
+    r = np.random.default_rng(7)
+    centres = r.standard_normal((6, 32))
+    rows = [(i, [float(x) for x in centres[i % 6] + 0.05 * r.standard_normal(32)]) for i in range(300)]
+    rows += [(1000 + i, rows[i % 3][1]) for i in range(90)] + [(5000 + i, [float(x) for x in r.standard_normal(32)]) for i in range(100)]
+    got = {x.id: x for x in embeddings.link_groups(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    fine = {i: np.array(v, np.float32).astype(float) for i, v in rows}
+    fine = {i: v / np.linalg.norm(v) for i, v in fine.items()}
+    links = [(a, b) for a in fine for b in fine if a < b and fine[a] @ fine[b] >= 0.9]
+    count = dict.fromkeys(fine, 0)
+    for a, b in links:
+        count[a] += 1
+        count[b] += 1
+    assert {i: x.component_id for i, x in got.items()} == components(fine, links) and {i: x.n_links for i, x in got.items()} == count

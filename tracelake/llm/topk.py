@@ -5,12 +5,16 @@ values above the segment's least one, one bitmap over the rows for each bit. A q
 these slices with bitmap arithmetic alone (carry-save adders; an attribute under a negative weight
 enters complemented). The rows of the k largest sums are picked from the most significant slice of
 the sum downward; the bits left out bound the error, so every row whose sum could still reach the
-k-th is scored exactly. The work of queries against segments is one tile for each block of queries
-and segment; each tile returns k rows a query.
+k-th is scored exactly. Rows travel once, to their segment; queries travel to every segment and are
+streamed through its index, which is built once. Each segment returns k rows a query.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from fractions import Fraction
+from math import floor
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -19,10 +23,11 @@ from pyspark.sql import functions as F
 from tracelake.llm.common import materialize, split_rows
 from tracelake.llm.embeddings import clean_vectors
 
-SEGMENT = 8192
-QUERY_BLOCK = 1024
+SEGMENT = 65_536  # rows of a segment at most, about
+LEAST_SEGMENT = 4096
+SEGMENTS = 12  # that fewer rows are dealt to
 SLICES = 6
-LIMIT = 2**53  # larger quantised components, either way, are cut to this
+LONG = 2**63
 
 
 def add(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,10 +65,10 @@ class Segment:
         self.x = x
         self.low = x.min(axis=0)
         above = x - self.low
-        bits = int(above.max(initial=0)).bit_length()
+        bits = int(above.max(initial=0) if x.dtype != object else max(above.ravel(), default=0)).bit_length()
         self.cut = max(0, bits - SLICES)
         self.slices = min(bits, SLICES)
-        above = (above >> self.cut).astype(np.uint64)
+        above = (above >> self.cut).astype(np.int64).astype(np.uint64)
         pad = -len(x) % 64
         self.valid = self.packed(np.ones(len(x), bool), pad)
         # slices[b] holds, for each attribute, the bitmap of bit b
@@ -78,7 +83,7 @@ class Segment:
         if len(self.x) <= k or not self.slices:
             return np.arange(len(self.x))
         weight, columns = np.abs(q), {}
-        for t in range(int(weight.max(initial=0)).bit_length()):
+        for t in range(int(max(weight)).bit_length()):
             chosen = np.flatnonzero((weight >> t) & 1)
             # count the chosen attributes' bitmaps, all slices at once
             planes: list[list[np.ndarray]] = [[self.signed[d] if q[d] > 0 else self.complement[d] for d in chosen]]
@@ -133,50 +138,78 @@ class Segment:
 
 
 def exact(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Whole-number inner products; results beyond 64 bits are cut to their range."""
-    if float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * x.shape[1] < 2**62:
+    """Whole-number inner products; Python's integers where 64 bits might not do."""
+    if x.dtype != object and q.dtype != object and float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * x.shape[1] < 2**62:
         return x @ q
-    s = x.astype(object) @ q.astype(object)
-    return np.array([max(-(2**63), min(2**63 - 1, v)) for v in s], dtype=np.int64)
+    return x.astype(object) @ q.astype(object)
+
+
+def quantised(values: list, dim: int, scale: int) -> np.ndarray:
+    """``floor(scale * x)`` of each component, missing ones 0; Python's integers where 62 bits don't do."""
+    x = np.zeros((len(values), dim))
+    for i, v in enumerate(values):
+        x[i, : len(v)] = v
+    with np.errstate(over="ignore"):
+        y = np.floor(x * scale)
+    if np.abs(y).max(initial=0) < 2**62:
+        return y.astype(np.int64)
+    return np.array([[floor(Fraction(c) * scale) for c in row] for row in x.tolist()], dtype=object)
 
 
 def top_k(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 10, every: int = 100, scale: int = 1024) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row whose id is divisible by ``every``, the ``k`` other rows of largest score.
 
-    A component ``x`` counts as ``floor(scale * x)``; ties go to the smaller id. Null vectors and those
+    A component ``x`` counts as ``floor(scale * x)``, whatever its size; ties go to the smaller id. A score
+    that a long can't hold is given as the nearest long, and ranked by its nearest double. Null vectors and those
     with a null or non-finite component take no part; missing trailing components count 0; repeated
     ids count once, with their smallest vector; null ids are left out. No rows give no rows.
     """
-    q = F.transform("v", lambda x: F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), F.floor(x * scale).cast("long"))))
-    rows = materialize(clean_vectors(df, id_col, vec_col).where("v is not null").select("id", q.alias("v")))
+    rows = materialize(clean_vectors(df, id_col, vec_col).where("v is not null").withColumn("v", F.col("v").cast("array<double>")))
     n, dim = rows.agg(F.count("*"), F.max(F.size("v"))).first()
     dim = max(int(dim or 0), 1)
-    queries = rows.where(F.col("id") % every == 0)
-    segments, blocks = split_rows(n, SEGMENT), split_rows(queries.count(), QUERY_BLOCK)
-    own = lambda m: F.pmod(F.xxhash64("id"), F.lit(m)).cast("int")
-    each = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    left = rows.withColumn("segment", own(segments)).withColumn("block", each(blocks))
-    right = queries.withColumn("block", own(blocks)).withColumn("segment", each(segments))
-
-    def matrix(values: pd.Series) -> np.ndarray:
-        x = np.zeros((len(values), dim), np.int64)
-        for i, v in enumerate(values):
-            x[i, : len(v)] = v
-        return x
-
-    def tile(f: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
+    segments = split_rows(n, min(SEGMENT, max(LEAST_SEGMENT, n // SEGMENTS)))
+    own = F.pmod(F.xxhash64("id"), F.lit(segments)).cast("int")
+    index = rows.select(own.alias("segment"), F.lit(False).alias("query"), "id", "v")
+    queries = rows.where(F.col("id") % every == 0).select(F.explode(F.sequence(F.lit(0), F.lit(segments - 1))).alias("segment"), F.lit(True).alias("query"), "id", "v")
+    dealt = index.unionByName(queries).repartition(segments, "segment").sortWithinPartitions("segment", "query", "id")
+
+    def best(segment: Segment, ids: np.ndarray, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(f) and len(g):
-            f = f.sort_values("id")
-            ids, index = f["id"].to_numpy(), Segment(matrix(f["v"])).prepare()
-            for query, weights in zip(g["id"].tolist(), matrix(g["v"]), strict=True):
-                at = index.top(weights, k + 1)  # one more: it may find itself
-                at = at[ids[at] != query]
-                score = exact(index.x[at], weights)
-                best = np.lexsort((ids[at], ~score))[:k]
-                out.append(pd.DataFrame({"query_id": query, "vec_id": ids[at][best], "score": score[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-
-    found = left.groupBy("segment", "block").cogroup(right.groupBy("segment", "block")).applyInPandas(tile, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        for query, weights in zip(queries["id"].tolist(), quantised(queries["v"].tolist(), dim, scale), strict=True):
+            at = segment.top(weights, k + 1)  # one more: it may find itself
+            at = at[ids[at] != query]
+            score = exact(segment.x[at], weights)
+            order = sorted(range(len(at)), key=lambda i: (-score[i], ids[at[i]]))[:k] if score.dtype == object else np.lexsort((ids[at], ~score))[:k]
+            score = score[order]
+            cut = [max(-LONG, min(LONG - 1, x)) for x in score.tolist()]
+            out.append(pd.DataFrame({"query_id": query, "vec_id": ids[at][order], "score": np.array(cut, np.int64), "size": [nearest(x) for x in score.tolist()]}))
+        return pd.concat(out)
+
+    def stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A segment's rows come first, in the order of ids, then its queries."""
+        number, ids, values, segment = None, [], [], None
+        for f in frames:
+            for (at, query), part in f.groupby(["segment", "query"]):
+                if at != number:
+                    number, ids, values, segment = at, [], [], None
+                if not query:
+                    ids.append(part["id"].to_numpy())
+                    values.append(quantised(part["v"].tolist(), dim, scale))
+                elif ids:
+                    if segment is None:
+                        segment, names, values = Segment(np.concatenate(values)).prepare(), np.concatenate(ids), []
+                    yield best(segment, names, part)
+
+    found = dealt.mapInPandas(stream, "query_id long, vec_id long, score long, size double")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("size"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def nearest(score: int) -> float:
+    """The double nearest to a score that a long can't hold; 0 for the others."""
+    if -LONG <= score < LONG:
+        return 0.0
+    try:
+        return float(score)
+    except OverflowError:
+        return float("inf") if score > 0 else float("-inf")

@@ -119,7 +119,7 @@ g AS (SELECT *, regexp_replace(match, '[^0-9]', '', 'g') AS digits FROM s),
 h AS (SELECT *, list_sum(list_transform(range(1, len(digits) + 1), lambda k: CASE WHEN k % 2 = 1 THEN CAST(reverse(digits)[k] AS INT) ELSE (CAST(reverse(digits)[k] AS INT) * 2) // 10 + (CAST(reverse(digits)[k] AS INT) * 2) % 10 END)) AS luhn FROM g),
 k AS (SELECT * FROM h WHERE CASE kind WHEN 'email' THEN true WHEN 'ip' THEN list_max(list_transform(string_split(match, '.'), lambda x: CAST(x AS HUGEINT))) <= 255 WHEN 'card' THEN len(digits) BETWEEN 14 AND 19 AND luhn % 10 = 0 ELSE len(digits) BETWEEN 10 AND 15 END)
 SELECT d.doc_id, coalesce(count_if(kind = 'email'), 0) AS n_email, coalesce(count_if(kind = 'ip'), 0) AS n_ip, coalesce(count_if(kind = 'card'), 0) AS n_card, coalesce(count_if(kind = 'phone'), 0) AS n_phone,
-  sha256(coalesce(string_agg(concat(kind, ':', start, ':', start + length(match)), ',' ORDER BY start, rank), '')) AS base_sha256 FROM d LEFT JOIN k USING (doc_id) GROUP BY 1
+  sha256(coalesce(string_agg(concat(kind, ':', start, ':', start + length(match)), ',' ORDER BY start, rank) FILTER (WHERE kind IS NOT NULL), '')) AS base_sha256 FROM d LEFT JOIN k USING (doc_id) GROUP BY 1
 """
 
 

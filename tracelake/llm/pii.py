@@ -180,19 +180,21 @@ def apart(spans: DataFrame) -> DataFrame:
     return spans.drop("earlier", "later")
 
 
-def log_odds(priors: dict[str, float], rates: dict[str, tuple]) -> Column:
-    """Log-odds that a span is personal data, from its kind and votes; ``rates``: how often each labeler votes 1, 0 and -1, for data and for the rest."""
-    out = F.lit(0.0)
-    for kind, p in priors.items():
-        out = out + F.when(F.col("kind") == kind, log(p / (1 - p))).otherwise(0.0)
-    for name, (data, rest) in rates.items():
-        for v, p, q in zip(VOTES, data, rest, strict=True):
-            out = out + F.when(F.col(name) == v, log(p / q)).otherwise(0.0)
-    return out
+def told() -> Column:
+    """What is known of a span before its features: its kind, and each labeler's vote."""
+    return F.array(F.concat(F.lit("kind="), "kind"), *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in LABELERS])
 
 
-def probability(odds: Column) -> Column:
-    return 1 / (1 + F.exp(-odds))
+def probability(keys: Column, gains: dict[str, float]) -> Column:
+    """Probability that a span is personal data, from the log-odds of what is told of it."""
+    table = F.create_map(*[F.lit(x) for pair in gains.items() for x in pair])
+    return 1 / (1 + F.exp(-F.aggregate(keys, F.lit(0.0), lambda a, k: a + F.coalesce(F.try_element_at(table, k), F.lit(0.0)))))
+
+
+def log_odds(priors: dict[str, float], rates: dict[str, tuple]) -> dict[str, float]:
+    """Log-odds of each kind and vote; ``rates``: how often each labeler votes 1, 0 and -1, for data and for the rest."""
+    gains = {f"kind={k}": log(p / (1 - p)) for k, p in priors.items()}
+    return gains | {f"{name}={v}": log(p / q) for name, (data, rest) in rates.items() for v, p, q in zip(VOTES, data, rest, strict=True)}
 
 
 def reliabilities(votes: DataFrame) -> tuple[dict[str, float], dict[str, tuple]]:
@@ -200,23 +202,20 @@ def reliabilities(votes: DataFrame) -> tuple[dict[str, float], dict[str, tuple]]
 
     A labeler that never votes one way keeps its starting rates there only as two pseudo-votes; abstention counts as a way to vote.
     """
-    patterns = materialize(votes.groupBy("kind", *LABELERS).agg(F.count("*").alias("n")))
+    patterns = materialize(votes.groupBy(told().alias("keys")).agg(F.count("*").alias("n")))
     priors, rates = dict.fromkeys(KINDS, 0.5), dict.fromkeys(LABELERS, START)
     for _ in range(ROUNDS):
-        p = probability(log_odds(priors, rates))
-        weights = (("p", F.col("n") * p), ("q", F.col("n") * (1 - p)))
-        sums = [F.sum(F.when(F.col("kind") == k, w).otherwise(0.0)).alias(f"{k}_{c}") for k in KINDS for c, w in weights]
-        sums += [F.sum(F.when(F.col(k) == v, w).otherwise(0.0)).alias(f"{k}_{c}_{v + 1}") for k in LABELERS for c, w in weights for v in VOTES]
-        s = patterns.agg(F.sum("n").alias("n"), *sums).first()
-        if not s["n"]:
-            break
-        priors = {k: (s[f"{k}_p"] + 1) / (s[f"{k}_p"] + s[f"{k}_q"] + 2) for k in KINDS}
-
-        def rate(k: str, c: str, start: tuple, s=s) -> tuple:
-            n = [s[f"{k}_{c}_{v + 1}"] + 2 * x for v, x in zip(VOTES, start, strict=True)]
+        soft = patterns.select("n", probability(F.col("keys"), log_odds(priors, rates)).alias("p"), F.explode("keys").alias("key"))
+        # a row for each kind and each way to vote
+        sums = {r["key"]: (r["p"], r["q"]) for r in soft.groupBy("key").agg(F.sum(F.col("n") * F.col("p")).alias("p"), F.sum(F.col("n") * (1 - F.col("p"))).alias("q")).collect()}
+        seen = lambda key, c: sums.get(key, (0.0, 0.0))[c]  # noqa: E731, B023
+        priors = {k: (seen(f"kind={k}", 0) + 1) / (seen(f"kind={k}", 0) + seen(f"kind={k}", 1) + 2) for k in KINDS}
+
+        def rate(name: str, c: int, seen=seen) -> tuple:
+            n = [seen(f"{name}={v}", c) + 2 * x for v, x in zip(VOTES, START[c], strict=True)]
             return tuple(x / sum(n) for x in n)
 
-        rates = {k: (rate(k, "p", START[0]), rate(k, "q", START[1])) for k in LABELERS}
+        rates = {k: (rate(k, 0), rate(k, 1)) for k in LABELERS}
     return priors, rates
 
 
@@ -244,7 +243,7 @@ def features() -> dict[str, Column]:
 def classified(votes: DataFrame, priors: dict[str, float], rates: dict[str, tuple]) -> DataFrame:
     """``votes`` with ``chance``: the probability that naive Bayes, trained on the soft labels, gives each span."""
     feats = features()
-    soft = votes.withColumn("p", probability(log_odds(priors, rates)))
+    soft = votes.withColumn("p", probability(told(), log_odds(priors, rates)))
     value = F.array(*[F.concat(F.lit(k + "="), F.coalesce(f, F.lit(""))) for k, f in feats.items()])
     table = soft.select("p", F.explode(value).alias("value")).groupBy("value").agg(F.sum("p").alias("p"), F.sum(1 - F.col("p")).alias("q"))
     total = soft.agg(F.sum("p").alias("all_p"), F.sum(1 - F.col("p")).alias("all_q"))
@@ -254,7 +253,7 @@ def classified(votes: DataFrame, priors: dict[str, float], rates: dict[str, tupl
     # one row: a map of no more values than the features have, and the log-odds of all spans
     gains = table.crossJoin(F.broadcast(total)).agg(F.map_from_entries(F.collect_list(F.struct("value", gain.alias("g")))).alias("gains"), F.first(F.log((F.col("all_p") + 1) / (F.col("all_q") + 1))).alias("bias"))
     score = F.aggregate(value, F.col("bias"), lambda a, x: a + F.coalesce(F.try_element_at("gains", x), F.lit(0.0)))
-    return votes.crossJoin(F.broadcast(gains)).withColumn("chance", probability(score)).drop("gains", "bias")
+    return votes.crossJoin(F.broadcast(gains)).withColumn("chance", 1 / (1 + F.exp(-score))).drop("gains", "bias")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

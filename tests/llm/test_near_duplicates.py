@@ -185,3 +185,31 @@ def test_embedding_copies_and_cells(spark):
         count[a] += 1
         count[b] += 1
     assert {i: x.component_id for i, x in got.items()} == components(fine, links) and {i: x.n_links for i, x in got.items()} == count
+
+
+def test_one_outsider_does_not_multiply_a_bucket(spark):
+    n = 5_000
+    members = spark.range(n).selectExpr("7L AS key", "id", "if(id = 3, 3L, 0L) AS component").unionByName(spark.range(10).selectExpr("8L AS key", "id", "0L AS component"))
+    got = minhash.tiles(members).collect()
+    blocks = -(-n // minhash.TILE)
+    assert len(got) == n + blocks and {r.key for r in got} == {7}
+    asks = [r for r in got if r.asks]
+    assert {r.id for r in asks} == {3} and {r.j for r in asks} == set(range(blocks))
+
+
+def test_minhash_of_many_outsiders(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "TILE", 3)
+    test_minhash_against_brute_force(spark)
+
+
+def test_recall_of_bands_and_sketches():
+    """Pairs at a similarity of exactly 0.75 pass bands and sketches (the README states the share that was measured)."""
+    r, passed, trials = np.random.default_rng(6), 0, 1500
+    for _ in range(trials):
+        shared = 60 * int(r.integers(1, 6))
+        a, b = (np.unique(r.integers(0, 2**64, shared + shared // 6, dtype=np.uint64)) for _ in "ab")
+        b = np.concatenate([a[:shared], b[shared : shared + shared // 6]])
+        x, y = minhash.registers(a), minhash.registers(b)
+        bands = (x == y)[: minhash.BANDS * minhash.ROWS].reshape(minhash.BANDS, minhash.ROWS).all(axis=1).any()
+        passed += bool(bands and minhash.similar(x, y[None], np.array(len(a)), np.array([len(b)]), 0.75)[0])
+    assert passed >= trials - 1

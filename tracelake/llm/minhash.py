@@ -7,9 +7,10 @@ often the more alike they are. Bands of registers choose candidates, the joint l
 sketches (given both set sizes) weeds them out, and full sets decide.
 
 Skew: equal sets are folded first (one aggregation by fingerprint of the set). A bucket of any size
-then gets one hub, to which all its members are compared; what stays in different components after
-that is compared in tiles of bounded size, within which links already implied are left out. So no
-bucket's pairs are ever written out as rows.
+then gets one hub, to which all its members are compared. Of what stays in different components after
+that, members outside the bucket's largest component (outsiders) are compared with all members, in
+tiles of bounded size, within which links already implied are left out. So no bucket's pairs are ever
+written out as rows, and members of its largest component travel once for each block of outsiders.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ BANDS, ROWS = 28, 4  # at similarity 0.75 all bands miss with probability 2e-5,
 BASE = 1.02  # of the registers' exponential scale
 SHINGLE = 5
 SLACK = 0.16  # estimates this far below the threshold (over 4 standard deviations) go unverified
-TILE = 2048
+TILE = 512  # rows of a block
 BROADCAST_IDS = 2_000_000  # 16 bytes each
 WEIGHTS = np.random.default_rng(11).integers(1, 2**63, SHINGLE, dtype=np.uint64) | np.uint64(1)
 MULTIPLIERS = np.random.default_rng(7).integers(1, 2**63, REGISTERS, dtype=np.uint64) | np.uint64(1)
@@ -176,29 +177,39 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return whole.mapInPandas(run, "a long, b long")
 
 
-def tiles(members: DataFrame, counts: DataFrame) -> DataFrame:
-    """Members of each bucket dealt to tiles ``(key, i, j)``: every two members of a bucket share one."""
-    m = members.join(counts, "key").withColumn("blocks", F.ceil(F.col("size") / TILE).cast("int"))
-    m = m.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return m.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+def tiles(members: DataFrame) -> DataFrame:
+    """Tiles ``(key, i, j)`` of ``members(key, id, component)``: block ``i`` of a bucket's outsiders (``asks``) and block ``j`` of all its members.
+
+    Buckets whose members are all in one component have no tiles.
+    """
+    parts = members.groupBy("key", "component").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("main")).where("size > main.n")
+    block = lambda n: F.ceil(n / TILE).cast("int")
+    m = members.join(sizes, "key").withColumn("outsider", F.col("component") != F.col("main.component"))
+    m = m.withColumns({"askers": block(F.col("size") - F.col("main.n")), "asked": block(F.col("size"))})
+    at = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    each = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    spot = lambda asks, i, j: F.struct(F.lit(asks).alias("asks"), i.alias("i"), j.alias("j"))
+    asked = F.transform(each("askers"), lambda i: spot(False, i, at("asked")))
+    asks = F.when(F.col("outsider"), F.transform(each("asked"), lambda j: spot(True, at("askers"), j))).otherwise(F.array().cast("array<struct<asks:boolean,i:int,j:int>>"))
+    return m.select("key", "id", "component", "outsider", F.explode(F.concat(asked, asks)).alias("spot")).select("key", "id", "component", "outsider", "spot.*")
 
 
 class Tile:
-    """Two blocks of a bucket's members (one block, where both are the same) with their components so far."""
+    """A block of a bucket's outsiders and one of its members, with their components so far."""
 
-    def __init__(self, f: pd.DataFrame, i: int, j: int):
-        self.frame = f = f.sort_values("id").reset_index(drop=True)
-        self.ids, self.n, self.comps, self.block = f["id"].to_numpy(), f["n"].to_numpy(), f["component"].to_numpy().copy(), f["block"].to_numpy()
+    def __init__(self, f: pd.DataFrame):
+        self.frame = f = f.sort_values(["asks", "id"]).reset_index(drop=True)
+        self.ids, self.n, self.comps = f["id"].to_numpy(), f["n"].to_numpy(), f["component"].to_numpy().copy()
         self.sketch = np.frombuffer(b"".join(f["sketch"]), np.uint16).reshape(len(f), -1)
-        names, counts = np.unique(self.comps, return_counts=True)
-        self.inside = self.comps == names[counts.argmax()]  # the largest component's rows are only looked up
-        self.outsiders, self.same = np.flatnonzero(~self.inside).tolist(), i == j
+        self.outside = f["outsider"].to_numpy()
+        self.asked = int((~f["asks"].to_numpy()).sum())
+        self.outsiders = range(self.asked, len(f))
 
     def partners(self, x: int, band: int, least: float) -> np.ndarray:
-        """Rows of the other block that may be linked with row ``x``, aren't in its component and meet it here first; each pair once."""
-        rest = (self.comps != self.comps[x]) & (self.inside | (self.ids > self.ids[x]))
-        at = np.flatnonzero(rest if self.same else rest & (self.block != self.block[x]))
+        """Members that may be linked with outsider ``x``, aren't in its component and meet it here first; of two outsiders the smaller id asks."""
+        m = slice(0, self.asked)
+        at = np.flatnonzero((self.comps[m] != self.comps[x]) & (~self.outside[m] | (self.ids[m] > self.ids[x])))
         return at[similar(self.sketch[x], self.sketch[at], np.array(self.n[x]), self.n[at], least, band)]
 
 
@@ -240,18 +251,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # 2. members of a bucket that are still apart: first by sketches, in tiles
     apart = buckets.where("size > 2").select("key", "id").join(groups, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    mixed_keys = apart.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")  # round 1 has compared a hub with a single member
-    around = tiles(apart, mixed_keys.select("key", "size")).join(sketches, "id")
+    around = tiles(apart).join(sketches, "id")  # round 1 has compared a hub with a single member
 
     def meet(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         bucket, i, j = key
-        tile, out, band = Tile(f, i, j), set(), bucket & 31
+        tile, out, band = Tile(f), set(), bucket & 31
         for x in tile.outsiders:
             ok = tile.partners(x, band, least)
             if len(ok):
                 out.add(x)
                 out.update(ok.tolist())
-        out = pd.DataFrame({"id": np.sort(tile.ids[sorted(out)])})
+        out = pd.DataFrame({"id": np.unique(tile.ids[sorted(out)])})
         return out.assign(key=bucket, i=i, j=j)[["key", "i", "j", "id"]]
 
     near = materialize(around.groupBy("key", "i", "j").applyInPandas(meet, "key long, i int, j int, id long"))
@@ -260,7 +270,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # then by full sets, leaving out what is implied
     def decide(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        tile, out = Tile(f, *key[1:]), []
+        tile, out = Tile(f), []
         sets = [np.frombuffer(x, np.uint64) for x in tile.frame["shingles"]]
         for x in tile.outsiders:
             at = tile.partners(x, key[0] & 31, least)

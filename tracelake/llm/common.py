@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.functions.graph import connected_components, materialize, shared_dir  # noqa: F401
@@ -11,11 +14,11 @@ from tracelake.functions.graph import connected_components, materialize, shared_
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def text_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Have Arrow batches hold fewer rows than Spark's default: whole texts are long, and workers keep a batch in memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows:
-        spark.conf.set(key, rows)
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of fewer rows than Spark's default: what is made of whole texts is long, and workers keep a batch of it in memory."""
+    for batch in batches:
+        for at in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(at, rows)
 
 
 def split_rows(n: int, target: int) -> int:

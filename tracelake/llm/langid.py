@@ -1,42 +1,54 @@
 """Language identification (operator 8).
 
-Sparse multinomial logistic regression on TF-IDF character n-grams (bytes of the lower-cased text,
+Sparse multinomial logistic regression on TF-IDF character n-grams (code points of the lower-cased text,
 anything but letters read as a space), trained with follow-the-regularised-leader and elastic-net
-penalties on a bounded sample; a temperature then calibrates its probabilities. Document frequencies
-cover all documents that may be learned from.
+penalties on a bounded sample, which reaches the driver as hashed sparse vectors of bounded length; a
+temperature then calibrates its probabilities. Document frequencies cover all documents that may be
+learned from.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import text_batches
+from tracelake.llm.common import slices
 
-BITS = 14
+BITS = 15
 BUCKETS = 1 << BITS
-SAMPLE = 1500  # documents of a language that are trained on, about; those of smallest hash
+SAMPLE = 6000  # documents that are trained on, about, shared equally by the languages: those of smallest hash
+LANGUAGES = 1000  # the languages of most documents that are told apart
+FEATURES = 1000  # of a training document's n-grams, those of largest weight, reach the driver
 EPOCHS, RATE, LASSO, RIDGE = 2, 0.5, 0.02, 1e-4
 LETTER = re.compile(r"[^\W\d_]")
-TABLE = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+
+
+@cache
+def letters() -> np.ndarray:
+    """Which code points are letters or marks on them; made once a process."""
+    return np.fromiter((unicodedata.category(chr(c))[0] in "LM" for c in range(0x110000)), bool, 0x110000)
 
 
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the n-grams (1 to 3) and how often they occur."""
-    b = np.frombuffer(text.lower().encode("utf-8", "surrogatepass").translate(TABLE), np.uint8).astype(np.uint32)
-    code, parts = b, []
+    """Buckets of the character n-grams (1 to 3) and how often they occur; anything but letters reads as a space."""
+    c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    c = np.where(letters()[c], c, np.uint32(32)).astype(np.uint64)
+    code, parts = c, []
     for n in (1, 2, 3):
         if n > 1:
-            code = code[:-1] * np.uint32(256) + b[n - 1 :]
-        parts.append((code * np.uint32(2654435761) + np.uint32(n * 7919)) >> np.uint32(32 - BITS))
-        if len(b) <= n:
+            code = code[:-1] * np.uint64(1 << 21) + c[n - 1 :]
+        mixed = (code ^ (code >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n) * np.uint64(0xD6E8FEB86659FD93)
+        parts.append(mixed >> np.uint64(64 - BITS))
+        if len(c) <= n:
             break
-    counts = np.bincount(np.concatenate(parts), minlength=BUCKETS)
+    counts = np.bincount(np.concatenate(parts).astype(np.int64), minlength=BUCKETS)
     at = np.flatnonzero(counts)
     return at, counts[at]
 
@@ -80,11 +92,11 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 def train(rows: DataFrame):
     """``(languages, weights, idf, temperature)`` from ``rows(id, text, lang)``, all of which may be learned from."""
-    rows = rows.where("text is not null and lang is not null")
+    rows = rows.where("id is not null and text is not null and lang is not null")
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, docs = np.zeros(BUCKETS, np.int64), 0
-        for batch in batches:
+        for batch in slices(batches):
             for t in batch.column("text"):
                 at, _ = grams(t.as_py()) if LETTER.search(t.as_py()) else (np.zeros(0, int), None)
                 df[at] += 1
@@ -98,13 +110,28 @@ def train(rows: DataFrame):
     idf = np.full(BUCKETS, np.log(1 + total) + 1)
     idf[df["bucket"]] = np.log((1 + total) / (1 + df["n"])) + 1
 
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"))
-    unit = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.join(F.broadcast(sizes.orderBy(F.desc("rows"), "lang").limit(1000)), "lang").where(unit * F.col("rows") <= SAMPLE)
-    sample = sample.orderBy(F.xxhash64("id", F.lit(4)), "id", "lang").limit(20 * SAMPLE).select("text", "lang").toPandas()
-    languages = sorted(sample["lang"].unique())
+    sizes = rows.where(F.col("text").rlike(r"\p{L}")).groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(LANGUAGES).toPandas()
+    languages = sorted(sizes["lang"])
     index = {k: i for i, k in enumerate(languages)}
-    data = [(vector(t, idf), index[k]) for t, k in zip(sample["text"], sample["lang"], strict=True) if LETTER.search(t)]
+    share = max(1, SAMPLE // max(1, len(languages)))  # a language of no more documents than that keeps all of them
+    chances = F.create_map(*[F.lit(x) for k, n in zip(sizes["lang"], sizes["rows"], strict=True) for x in (k, float(share / n))]) if languages else F.create_map(F.lit(""), F.lit(0.0))
+    unit = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    sample = rows.where(unit < F.coalesce(F.try_element_at(chances, F.col("lang")), F.lit(0.0))).select("text", "lang", F.xxhash64("id", F.lit(4)).alias("place"), F.col("id").cast("string").alias("id"))
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            out = []
+            for text, lang, place, name in zip(*(batch.column(c) for c in ("text", "lang", "place", "id")), strict=True):
+                if LETTER.search(text.as_py()):
+                    at, x = vector(text.as_py(), idf)
+                    top = np.sort(np.argsort(-x, kind="stable")[:FEATURES])
+                    out.append((place.as_py(), name.as_py(), lang.as_py(), at[top].astype(np.int32).tobytes(), x[top].astype(np.float32).tobytes()))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 5
+            kinds = (pa.int64(), pa.string(), pa.string(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["place", "id", "lang", "at", "x"])
+
+    found = sample.mapInArrow(vectors, "place long, id string, lang string, at binary, x binary").toPandas().sort_values(["place", "id", "lang", "at", "x"])
+    data = [((np.frombuffer(a, np.int32), np.frombuffer(x, np.float32).astype(float)), index[k]) for k, a, x in zip(found["lang"], found["at"], found["x"], strict=True)]
     held, used = data[::5], [d for i, d in enumerate(data) if i % 5]
     model = Leader(len(languages))
     for _ in range(EPOCHS):
@@ -120,16 +147,16 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """``(id, held_out, lang_pred, score)``, one row for each row of ``docs``.
 
     Learned from documents whose ``crc32(id as text) mod fold`` is not 0; the others are held out.
+    A row without id is neither held out nor learned from. Languages beyond the ``LANGUAGES`` largest aren't learned.
     ``und`` with score 0 where the text is null or has no letter, or where nothing could be learned.
     Repeated rows repeat; equal probabilities go to the first language by name; no rows give no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.withColumn("held_out", F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % fold == 0, F.lit(False)))
-    text_batches(rows.sparkSession)
     languages, weights, idf, heat = train(rows.where(~F.col("held_out")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             names, scores = [], []
             for cell in batch.column("text"):
                 text = cell.as_py()

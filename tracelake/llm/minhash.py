@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import connected_components, materialize, text_batches
+from tracelake.llm.common import connected_components, materialize, slices
 
 REGISTERS = 144
 BANDS, ROWS = 28, 4  # at similarity 0.75 all bands miss with probability 2e-5, at 0.8 with 4e-7
@@ -118,7 +118,7 @@ def sketched(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Fingerprints()
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t.as_py(), words) for t in batch.column("text")]
             n = pa.array([len(s) for s in sets], pa.int64())
             fold = pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
@@ -149,7 +149,7 @@ def with_sets(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Fingerprints()
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t.as_py(), words).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "shingles"])
 
@@ -222,7 +222,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns are ignored, whatever their names. No rows give no rows.
     """
     least = percent / 100
-    text_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
     base = materialize(sketched(docs))
     if base.count() != base.agg(F.countDistinct("id")).first()[0]:

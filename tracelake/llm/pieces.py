@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import text_batches
+from tracelake.llm.common import slices
 
 SPACE = "▁"
 SHIFT = 2.7  # Zipf-Mandelbrot shift of the ranks
@@ -369,14 +369,13 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
     ``(score, ids, n_pieces, ids_sha256, exact)`` of the N best. Null and empty texts
     have no pieces and one empty segmentation of score 0. Repeated rows repeat; no rows give no rows.
     """
-    text_batches(docs.sparkSession)
     vocabulary = Vocabulary(model_file or default_model())
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)  # the vocabulary's size is fixed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Encoder(shared.value, n)
-        for batch in batches:
+        for batch in slices(batches):
             at = 0
             for part in parts(batch.column("text")):
                 found = list(coder.encode(part))

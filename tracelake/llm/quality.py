@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import materialize, small, text_batches
+from tracelake.llm.common import materialize, small, slices
 
 HASHED = 1 << 15
 BUCKETS = HASHED + 8  # the last for patterns of repeated words
@@ -48,7 +48,7 @@ def log_ratios(docs: DataFrame) -> np.ndarray:
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for text, good in zip(batch.column("text"), batch.column("target").to_pylist(), strict=True):
                 n = np.bincount(buckets(text.as_py()), minlength=BUCKETS)
                 raw += n
@@ -68,7 +68,7 @@ def weighted(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
     """``(id, print, log_weight)``; the weight is null for texts without n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             w = []
             for text in batch.column("text"):
                 b = buckets(text.as_py())
@@ -120,7 +120,6 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     alike. Equal keys at the k-th place are all kept. Without labels nothing is known and all with a
     weight are kept.
     """
-    text_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("id"), "quality").where("id is not null and quality in (0, 1)").groupBy("id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most").drop("most")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("print", F.xxhash64("text"))
     good = known.where("quality = 1").select("id", F.lit(True).alias("target"))

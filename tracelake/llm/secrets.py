@@ -2,7 +2,8 @@
 
 Two first-order Markov models over characters, one of random strings and one of ordinary identifiers
 and words, are trained from labelled samples; a long token outside the base spans is a secret where
-the log-likelihood ratio between them is large enough. Texts are read whole.
+the log-likelihood ratio between them is large enough (larger for tokens without digits, most of which
+are words). Texts are read whole, in time linear in their length.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import text_batches
+from tracelake.llm.common import slices
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -29,6 +30,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SAMPLE_ROWS = 20_000  # documents, about as many, those of smallest hash, whose tokens are labelled samples
 SAMPLE_TOKENS = 200  # of each of these
 LEAST_GAIN = 12.0  # natural log; a random token is then 160,000 times likelier under the random model
+LEAST_GAIN_LETTERS = 24.0  # the same for tokens without digits
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -109,7 +111,6 @@ def train(docs: DataFrame) -> tuple[Markov, Markov]:
         n = Markov.counts(good).ravel(), Markov.counts(bad).ravel()
         yield pd.DataFrame({"cell": np.arange(len(n[0])), "good": n[0], "bad": n[1]})
 
-    text_batches(docs.sparkSession)
     # by hash, where the documents lie: texts need not move
     share = min(1.0, SAMPLE_ROWS / max(1, docs.count()))
     sample = docs.where("text is not null").where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("text")
@@ -121,17 +122,38 @@ def train(docs: DataFrame) -> tuple[Markov, Markov]:
 
 
 def find(text: str, noise: Markov, plain: Markov) -> tuple[list[tuple[int, int, int]], list[tuple[int, str, int]]]:
-    """Base spans, and all spans as ``(start, kind, end)``."""
+    """Base spans, and all spans as ``(start, kind, end)``.
+
+    Tokens and base spans are both in order: those base spans that start before a token's end overlap it
+    where the farthest of their ends lies beyond its start.
+    """
     base = base_spans(text)
     spans = [(s, KINDS[k], e) for s, k, e in base]
+    at, farthest = 0, 0
     for m in TOKEN.finditer(text):
         s, e = m.span()
-        if not any(s < y and x < e for x, _, y in base) and any(c.isdigit() for c in m[0]) and noise.score(m[0]) - plain.score(m[0]) >= LEAST_GAIN:
+        while at < len(base) and base[at][0] < e:
+            farthest = max(farthest, base[at][2])
+            at += 1
+        if farthest > s:
+            continue
+        least = LEAST_GAIN if any(map(str.isdigit, m[0])) else LEAST_GAIN_LETTERS
+        if noise.score(m[0]) - plain.score(m[0]) >= least:
             spans.append((s, "random", e))
     order = {k: i for i, k in enumerate((*KINDS, "random"))}
     return base, sorted(spans, key=lambda x: (x[0], order[x[1]]))
 
 
+def blotted(text: str, spans: list[tuple[int, str, int]]) -> str:
+    """The text with ``[SECRET]`` for each run of overlapping spans."""
+    parts, at = [], 0
+    for s, _, e in spans:
+        if s >= at:
+            parts += [text[at:s], "[SECRET]"]
+        at = max(at, e)
+    return "".join([*parts, text[at:]])
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", models: tuple[Markov, Markov] | None = None) -> DataFrame:
     """``(id, n_assign, n_access, n_hex, base_sha256, spans, redacted)``, one row for each row of ``docs``.
 
@@ -139,11 +161,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", models
     repeat; other columns are ignored; no rows give no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    text_batches(rows.sparkSession)
     noise, plain = models or train(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, sums, all_spans, clean = [[], [], []], [], [], []
             for cell in batch.column("text"):
                 text = cell.as_py()
@@ -152,41 +173,35 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", models
                     n[k].append(sum(x[1] == k for x in base))
                 sums.append(hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in base).encode()).hexdigest())
                 all_spans.append(",".join(f"{k}:{s}:{e}" for s, k, e in spans))
-                if spans:
-                    parts, at = [], 0
-                    for s, _, e in spans:
-                        if s >= at:
-                            parts += [text[at:s], "[SECRET]"]
-                        at = max(at, e)
-                    text = "".join([*parts, text[at:]])
-                clean.append(text)
+                clean.append(blotted(text, spans) if spans else text)
             yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(x, pa.int64()) for x in n), *(pa.array(x, pa.string()) for x in (sums, all_spans, clean))], ["id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "redacted"])
 
     kind = dict(rows.dtypes)["id"]
     return rows.mapInArrow(run, f"id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, redacted string")
 
 
-def redact(docs: DataFrame) -> DataFrame:
-    """``documents`` with secrets blotted out of the texts (and ``n_chars`` after it); every document stays."""
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """``docs`` with secrets blotted out of the texts, and the new number of characters where a text changed and ``size_col`` is there.
+
+    Every row stays, repeated ones too, with all its columns, whatever their names. Null and empty texts
+    stay as they are, and so does the size of an unchanged text (null included). Of spans that overlap or
+    start together one ``[SECRET]`` is left. No rows give no rows.
+    """
     columns = docs.columns
-    noise, plain = train(docs.select(F.col("doc_id").alias("id"), "text"))
+    noise, plain = train(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, sizes = [], []
-            for cell, size in zip(batch.column("text"), batch.column("n_chars"), strict=True):
-                text, size = cell.as_py(), size.as_py()
-                at, parts = 0, []
-                for s, _, e in find(text, noise, plain)[1] if text else ():
-                    if s >= at:
-                        parts += [text[at:s], "[SECRET]"]
-                    at = max(at, e)
-                if parts:
-                    text = "".join([*parts, text[at:]])
-                    size = len(text)
-                texts.append(text)
-                sizes.append(size)
-            new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array(sizes, batch.schema.field("n_chars").type)}
+        for batch in slices(batches):
+            texts, changed = [], []
+            for cell in batch.column(text_col):
+                text = cell.as_py()
+                spans = find(text, noise, plain)[1] if text else []
+                texts.append(blotted(text, spans) if spans else text)
+                changed.append(bool(spans))
+            new = {text_col: pa.array(texts, batch.schema.field(text_col).type)}
+            if size_col in columns:
+                sizes = [len(t) if c else x.as_py() for t, c, x in zip(texts, changed, batch.column(size_col), strict=True)]
+                new[size_col] = pa.array(sizes, batch.schema.field(size_col).type)
             yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in columns], columns)
 
     return docs.mapInArrow(run, docs.schema)

@@ -160,6 +160,48 @@ def test_redaction_keeps_documents(spark):
     assert got[1].text == "ok text" and got[2].text == "[SECRET]!" and got[2].n_chars == 9 and got[3].text is None
 
 
+def labelled_tokens(n=1000):
+    """Tokens that no base rule takes: random keys (True), and ordinary identifiers and words (False)."""
+    r, out = random.Random(77), []
+    parts = "account report parse shadow window render signal frame vector merge cache token buffer stream handler widget cursor commit socket filter".split()
+    sets = ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"]
+    for k in range(n):
+        words = r.choices(parts, k=r.randint(3, 5))
+        style = ("_".join(words), "-".join(words), "".join(w.title() for w in words), "_".join(words).upper() + "_" + str(r.randint(1, 2030)), "/".join(words))[k % 5]
+        out.append(("".join(r.choices(sets[k // 2 % 4], k=r.randint(24, 44))), True) if k % 2 else (style, False))
+    return [(t, x) for t, x in out if len(t) >= 16 and not secrets.base_spans(t)]
+
+
+def test_added_secrets_precision_and_recall():
+    models = secrets.Markov(secrets.Markov.counts(secrets.random_strings())), secrets.Markov(secrets.Markov.counts(secrets.identifiers()))
+    tokens = labelled_tokens()
+    found = [(x, len(secrets.find(f"see {t} here", *models)[1])) for t, x in tokens]
+    hits = sum(n for x, n in found if x)
+    print("recall", hits / sum(x for _, x in tokens), "precision", hits / sum(n for _, n in found))
+    assert hits >= 0.9 * sum(x for _, x in tokens) and hits >= 0.97 * sum(n for _, n in found)
+
+
+def test_secrets_of_a_long_list_take_linear_time():
+    import time
+
+    models = secrets.Markov(secrets.Markov.counts(secrets.random_strings(400))), secrets.Markov(secrets.Markov.counts(secrets.identifiers(400)))
+    took = []
+    for n in (4_000, 16_000):
+        text = " ".join(hashlib.md5(str(i).encode()).hexdigest() for i in range(n))
+        began = time.process_time()
+        base, spans = secrets.find(text, *models)
+        took.append(time.process_time() - began)
+        assert len(base) == len(spans) == n
+    assert took[1] < 9 * took[0]
+
+
+def test_redaction_with_odd_columns(spark):
+    rows = [(1, "token = abcdefghijklmnop!", 3, "x"), (1, "token = abcdefghijklmnop!", 3, "x"), (None, None, None, None), (2, "", 9, "y")]
+    got = secrets.redact(spark.createDataFrame(rows, "doc_id long, text string, spans int, redacted string")).collect()
+    assert [tuple(r) for r in got] == [(1, "[SECRET]!", 3, "x"), (1, "[SECRET]!", 3, "x"), (None, None, None, None), (2, "", 9, "y")]
+    assert secrets.redact(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
 @pytest.fixture(scope="module")
 def prose():
     r = random.Random(3)
@@ -182,6 +224,48 @@ def test_quality(spark, prose):
     assert quality.resample(frame.limit(0), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).count() == 0
 
 
+def plain_buckets(text):
+    """The buckets that a text's n-grams fall in, one n-gram at a time."""
+    b, out = (text or "").encode(), []
+    for n in quality.ORDERS:
+        for i in range(len(b) - n + 1):
+            code = 0
+            for x in b[i : i + n]:
+                code = (code * 257 + x) % 2**32
+            out.append((code * 2654435761 + n * 40503) % 2**32 >> 17)
+    w = (text or "").split()
+    same = [a == x for a, x in zip(w, w[1:], strict=False)]
+    return out + [quality.HASHED + 4 * a + 2 * b2 + c for a, b2, c in zip(same, same[1:], same[2:], strict=False)]
+
+
+def test_quality_against_plain_counts(spark):
+    from collections import Counter
+    from math import log
+
+    r = random.Random(14)
+    rows = [(i, " ".join(r.choices(["aa", "bé", "c#", "dd dd", "e"], k=r.randint(0, 12)))) for i in range(60)] + [(70, None), (71, ""), (72, "x"), (3, "twice"), (73, "s s s s s s")]
+    good = set(range(0, 60, 2))
+    labels = [(i, int(i in good), 0) for i in range(60)]
+    got = quality.resample(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    counts = {k: Counter() for k in ("raw", "target")}
+    for i, t in rows:
+        counts["raw"].update(plain_buckets(t))
+        if i in good:
+            counts["target"].update(plain_buckets(t))
+    total = {k: sum(c.values()) + quality.SMOOTH * quality.BUCKETS for k, c in counts.items()}
+    ratio = lambda b: log((counts["target"][b] + quality.SMOOTH) / total["target"]) - log((counts["raw"][b] + quality.SMOOTH) / total["raw"])
+    want = sorted((i, sum(map(ratio, plain_buckets(t))) if plain_buckets(t) else None) for i, t in rows if i != 3)
+    assert [(x.id, x.log_weight) for x in sorted(got, key=lambda x: x.id) if x.id != 3] == [(i, w if w is None else pytest.approx(w)) for i, w in want]
+    known = {i: w for i, w in want if w is not None}
+    bad, fine = [known[i] for i in known if i < 60 and i not in good], [known[i] for i in known if i in good]
+    level = sorted(fine)[0] if max(bad) >= sorted(fine)[0] else None
+    kept = [x for x in got if x.kept]
+    keys = sorted((x.gumbel_key for x in got if x.gumbel_key is not None), reverse=True)
+    if level is not None:
+        k = sum(x.log_weight is not None and x.log_weight >= level - 1e-9 for x in got)
+        assert len(kept) == k and min(x.gumbel_key for x in kept) == keys[k - 1]
+
+
 def test_kth_largest(spark):
     r = random.Random(5)
     for values in ([1.0] * 50, [r.gauss(0, 1) for _ in range(30_000)], [1e300, -1e300, 0.0, None]):
@@ -231,6 +315,33 @@ def test_mixing(spark):
     assert mixing.mix(frame.limit(0)).count() == 0
 
 
+def test_mixed_rows_keep_clashing_columns(spark):
+    docs = [(1, "a b c d", "s", "big", 7, "orig", 1), (1, "a b c d", "s", "big", 7, "orig", 1), (2, "e f", "t", None, None, None, None), (None, "g", None, "x", 0, "y", 2), (None, "h", None, "x", 0, "y", 2), (3, None, "s", "", 1, "", 3)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, size string, copies int, copy string, _nth int")
+    rows = mixing.mixed_rows(frame)
+    assert rows.schema == frame.schema
+    assert {tuple(r) for r in rows.collect()} <= set(docs) and rows.count() > 0
+    assert mixing.once(frame, "doc_id").columns == frame.columns
+    assert sorted(map(str, map(tuple, mixing.once(frame, "doc_id").collect()))) == sorted(map(str, docs[1:]))
+    assert mixing.mixed_rows(frame.limit(0)).count() == 0
+
+
+def test_sources_are_numbered_by_name_in_ranges(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 7)
+    names = [f"h{i * 7919 % 101}" for i in range(101)] + [None, "", "\U0001f600", "\uffff", "z"]
+    got = mixing.numbered(spark.createDataFrame([(n, 1) for n in names], "source string, source_size long")).collect()
+    order = sorted((n for n in names if n is not None), key=lambda n: n.encode()) + [None]
+    assert {r.source: r.nth for r in got} == {n: i for i, n in enumerate(order)}
+
+
+def test_many_sources_meet_their_targets(spark):
+    r = random.Random(15)
+    sizes = {f"h{i:03d}": r.choice([1, 5, 50, 4000]) for i in range(200)}
+    got = {x.source: x.target for x in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}
+    want = water(sizes, {s: (5, 2, 1)[k % 3] for k, s in enumerate(sorted(sizes))})
+    assert got == {s: pytest.approx(t) for s, t in want.items()}
+
+
 def test_mixing_prefers_quality(spark):
     docs = [(i, ("good words " if i % 2 else "### $$$ ") * 10, "a") for i in range(400)] + [(1000 + i, "w w", "b") for i in range(400)]
     got = mixing.mix(spark.createDataFrame(docs, "doc_id long, text string, source string")).where("source = 'a'").collect()
@@ -291,6 +402,30 @@ def test_language(spark, prose):
     assert langid.identify(frame.limit(0)).count() == 0
 
 
+def test_thirty_languages_and_scripts(spark):
+    r = random.Random(21)
+    scripts = [range(0x4E00, 0x4F00), range(0x0430, 0x0450), range(0x0E01, 0x0E30), range(0x0905, 0x0930), range(0x05D0, 0x05EA), range(0xAC00, 0xAD00)]
+    langs, rows = {}, []
+    for k in range(30):
+        langs[f"l{k:02d}"] = ["".join(chr(r.choice(scripts[k % 6])) for _ in range(r.randint(1, 3))) for _ in range(25)]
+    for i in range(1500):
+        lang = f"l{i % 30:02d}" if i < 1440 else "l00"
+        rows.append((i, " ".join(r.choices(langs[lang], k=25)), lang))
+    rows += [(9000 + i, " ".join(r.choices(langs["l29"], k=25)), "rare") for i in range(3)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).collect()
+    truth = {i: k for i, _, k in rows}
+    held = [x for x in got if x.held_out and truth[x.id] != "rare"]
+    print("held-out accuracy of 30 languages", np.mean([x.lang_pred == truth[x.id] for x in held]))
+    assert np.mean([x.lang_pred == truth[x.id] for x in held]) > 0.95
+
+
+def test_character_grams():
+    at, n = langid.grams("ДА да")
+    assert n.sum() == 5 + 4 + 3
+    assert set(langid.grams("да")[0]) <= set(at) and not np.array_equal(langid.grams("中")[0], langid.grams("国")[0])
+    assert np.array_equal(langid.grams("a1b")[0], langid.grams("a b")[0])
+
+
 def test_warc(spark, monkeypatch):
     monkeypatch.setattr(warc, "FRAME", 500)
     pages = [(i, f"http://h/{i}\r\nX: y", h) for i, h in enumerate(["<p>a</p>", "<p>b</p>", "<p>a</p>", None, "", "é" * 3000, "a\r\n\r\nWARC/1.1", "<p>a</p>"])] + [(8, None, "z"), (8, None, "z"), (None, "u", "v")]

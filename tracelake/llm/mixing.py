@@ -14,11 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import WORD, materialize
+from tracelake.llm.common import WORD, materialize, split_rows
 
 WEIGHTS = (5, 2, 1)  # sources by name, repeating
 MOST = 3  # times its size that a source or document may be taken
 SLICE_ROWS = 4096
+RANGE_ROWS = 20_000  # sources that are numbered in one task
 
 
 def uniform(id_col: Column, seed: int) -> Column:
@@ -34,25 +35,33 @@ def quality_weight(text: Column) -> Column:
     return F.greatest(F.lit(0.25), plain / F.greatest(F.length(t), F.lit(1)))
 
 
+def numbered(sources: DataFrame) -> DataFrame:
+    """``sources`` with ``nth``, their place by name from 0, null last: ranges are numbered each on its own, after the sizes of those before."""
+    order = F.col("source").asc_nulls_last()
+    parts = materialize(sources.repartitionByRange(split_rows(sources.count(), RANGE_ROWS), order).withColumn("part", F.spark_partition_id()))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row for each range
+    earlier = parts.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    nth = F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1 + F.col("earlier")
+    return parts.join(earlier, "part").withColumn("nth", nth).drop("part", "earlier")
+
+
 def targets(sources: DataFrame) -> DataFrame:
     """``sources(source, source_size)`` with ``target``: shares by weight, cut at three times the size, the excess reshared.
 
-    Sources in the order of size over weight reach their cut one after the other as the level rises,
-    so the level follows from running sums over the table of sources.
+    A round is one aggregation over the sources: the level that is left for those below their cut. It only
+    rises, so that what is cut stays cut; the rounds end when no further source reaches its cut.
     """
-    order = Window.orderBy(F.col("source").asc_nulls_last())
     cut = F.col("source_size") * MOST
-    s = sources.withColumn("weight", F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.row_number().over(order) - 1) % len(WEIGHTS) + 1))
-    s = s.withColumns({"everything": F.sum("source_size").over(Window.partitionBy()), "room": cut / F.col("weight")})
-    below = Window.orderBy("room").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    s = s.withColumns({"cut_sum": F.sum(cut).over(below), "left": F.sum("weight").over(Window.partitionBy()) - F.sum("weight").over(below)})
-    # a source is cut if, with it and all of less room cut, the level of the others is no lower than its room
-    full = (F.col("cut_sum") + F.col("room") * F.col("left")) <= F.col("everything")
-    s = s.withColumn("full", full)
-    rest = F.sum(F.when(F.col("full"), 0).otherwise(F.col("weight"))).over(Window.partitionBy())
-    used = F.sum(F.when(F.col("full"), cut).otherwise(0)).over(Window.partitionBy())
-    level = (F.col("everything") - used) / F.nullif(rest, F.lit(0))
-    return s.withColumn("target", F.when(F.col("full"), cut.cast("double")).otherwise(F.col("weight") * level)).select("source", "source_size", "target")
+    weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.col("nth") % len(WEIGHTS) + 1).cast("int"))
+    s = materialize(numbered(sources).withColumn("weight", weight).withColumn("room", cut / F.col("weight")))
+    everything, level, full = s.agg(F.sum("source_size")).first()[0] or 0, -1.0, -1
+    while True:
+        reached = F.col("room") <= F.lit(level)
+        r = s.agg(F.sum(F.when(reached, cut).otherwise(0)).alias("used"), F.sum(F.when(reached, 0).otherwise(F.col("weight"))).alias("rest"), F.count_if(reached).alias("full")).first()
+        if r["full"] == full or not r["rest"]:
+            break
+        full, level = r["full"], (everything - r["used"]) / r["rest"]
+    return s.withColumn("target", F.when(reached, cut.cast("double")).otherwise(F.col("weight") * F.lit(level))).select("source", "source_size", "target")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, slim: bool = False) -> DataFrame:
@@ -60,29 +69,39 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     Null texts have size 0. A null source is a source of its own, last in order. Rows are mixed one
     by one: repeated rows count as often as they stand there (rows equal in id and key are taken in the
-    order of their texts, then as Spark meets them, which changes no total). Sources without words get and
+    order of their texts, then as Spark meets them, which changes no total). Rows without id are drawn by
+    their texts. Sources without words get and
     give nothing. ``taken`` = complete epochs times size, plus the words of the fractional epoch; a
     source's ``taken`` adds up to its target rounded down. No rows give no rows.
     """
-    docs = docs.drop("size", "source_size", "target", "taken", "mix_key")
-    text, source, name = F.col(text_col).cast("string"), F.col(source_col).cast("string"), docs[id_col]
-    key = -F.log(uniform(name, seed)) / quality_weight(text)
-    size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    added = ("size", "source_size", "target", "taken", "mix_key")
     if slim:
-        rows = docs.select(name.alias("id"), source.alias("source"), size.alias("size"), key.alias("mix_key"), F.xxhash64(text).alias("print"))
+        rows = sized(docs, id_col, text_col, source_col, seed).select("id", "source", "size", "mix_key", "print")
         return allocate(materialize(rows)).drop("print").withColumnsRenamed({"id": id_col, "source": source_col})
-    # decided without the texts, and joined to them by the rows' hashes
-    columns = [docs[c] for c in docs.columns]
-    whole = docs.select(F.struct(*columns).alias("row"), name.alias("id"), source.alias("source"), size.alias("size"), key.alias("mix_key"), F.xxhash64(*columns).alias("print"))
+    names = [c for c in docs.columns if c not in added]
+    return decided(docs, id_col, text_col, source_col, seed).select(*[F.col("row").getField(c).alias(c) for c in names], *added)
+
+
+def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """``(row, id, source, size, mix_key, print)``: ``row`` holds all columns of ``docs``, ``print`` their hash."""
+    text, name = F.col(text_col).cast("string"), F.col(id_col).cast("string")
+    key = -F.log(uniform(F.coalesce(name, F.concat(F.lit("text "), F.md5(F.coalesce(text, F.lit("")).cast("binary")))), seed)) / quality_weight(text)
+    size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), key.alias("mix_key"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("print"))
+
+
+def decided(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17) -> DataFrame:
+    """``(row, size, source_size, target, taken, mix_key)``: decided without the texts, and joined to them by the rows' hashes."""
+    whole = sized(docs, id_col, text_col, source_col, seed)
     slim_rows = materialize(whole.drop("row"))
     whole, keys = whole.select("row", "id", "print"), ["print"]
     if slim_rows.groupBy("print").count().where("count > 1").isEmpty():
-        decided = allocate(slim_rows)
+        done = allocate(slim_rows)
     else:  # rows of equal hashes are told apart by their number
         nth, keys = F.row_number().over(Window.partitionBy("print").orderBy("id")), ["print", "nth"]
-        decided, whole = allocate(slim_rows.withColumn("nth", nth)), whole.withColumn("nth", nth)
-    decided = decided.select(*keys, "size", "source_size", "target", "taken", "mix_key")
-    return whole.join(decided, keys).select("row.*", "size", "source_size", "target", "taken", "mix_key")
+        done, whole = allocate(slim_rows.withColumn("nth", nth)), whole.withColumn("nth", nth)
+    done = done.select(*keys, "size", "source_size", "target", "taken", "mix_key")
+    return whole.join(done, keys).select("row", "size", "source_size", "target", "taken", "mix_key")
 
 
 def allocate(slim: DataFrame) -> DataFrame:
@@ -108,17 +127,21 @@ def allocate(slim: DataFrame) -> DataFrame:
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The mixed corpus: each document's row as often as it is taken (a fractional one if half its words or more are)."""
-    columns = docs.columns
-    out = mix(docs, id_col, **kw)
+    """The mixed corpus: each row of ``docs``, columns unchanged, as often as it is taken (a fractional one if half its words or more are).
+
+    Rows without words aren't taken. Otherwise nulls, ties, repeated rows and empty tables fare as in ``mix``.
+    """
     copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.greatest("size", F.lit(1)))).otherwise(0).cast("int")
-    return out.withColumn("copies", copies).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*columns)
+    out = decided(docs, id_col, **kw).select("row", copies.alias("copies")).where("copies > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def once(docs: DataFrame, id_col: str) -> DataFrame:
-    """Of rows that repeat an id, one (the smallest by all columns); rows without id all stay."""
+    """Of rows that repeat an id, one (that of the smallest hash of all columns); rows without id all stay, and all columns do."""
     ids = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").select(id_col)
     if ids.isEmpty():
         return docs
-    nth = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(*docs.columns)))
-    return docs.withColumn("_nth", F.when(F.col(id_col).isNull(), 1).otherwise(nth)).where("_nth = 1").drop("_nth")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    nth = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(*names)))
+    out = docs.select(F.struct(*names).alias("row"), F.when(F.col(id_col).isNull(), 1).otherwise(nth).alias("nth")).where("nth = 1")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -24,8 +24,8 @@ from tracelake.llm.common import materialize, split_rows
 from tracelake.llm.embeddings import clean_vectors
 
 SEGMENT = 65_536  # rows of a segment at most, about
-LEAST_SEGMENT = 4096
-SEGMENTS = 12  # that fewer rows are dealt to
+LEAST_SEGMENT = 8192
+SEGMENTS = 8  # that fewer rows are dealt to
 SLICES = 6
 LONG = 2**63
 

@@ -10,12 +10,23 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The application's folder below the one all executors share, ``spark.checkpoint.dir``.
+
+    Only a session on one machine may leave that unset; a temporary folder is then set. On a cluster that is an error.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    return f"{path.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete what this application has materialised; call it when its results are read."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:

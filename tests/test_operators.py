@@ -27,7 +27,7 @@ def one(frame, expr):
     return frame.select(expr.alias("x")).first()["x"]
 
 
-@pytest.mark.parametrize("line, want", [("obs://bucket/file.shrink@duplicate10", ("obs://bucket/file.shrink", 10)), ("", None), ("invalid_line", None), ("file@dup", None), ("a@b@duplicate1", None), ("p@duplicate2 ", ("p", 2))])
+@pytest.mark.parametrize("line, want", [("s3://lake/day7/part-3@duplicate4", ("s3://lake/day7/part-3", 4)), (" lake/x@duplicate0 ", ("lake/x", 0)), ("   ", None), ("lake/x", None), ("@duplicate3", None), ("lake/x@duplicate2@duplicate3", None), ("lake/x@duplicate1.5", None)])
 def test_index_lines(spark, line, want):
     got = one(spark.createDataFrame([(line,)], "v string"), text.index_line(F.col("v")))
     assert (tuple(got) if got else None) == want
@@ -51,6 +51,10 @@ def test_defect_lines_and_text(spark):
     f = spark.createDataFrame([("http://h/?dataName=d1&x=2|a=1| flag ",), ("no url",)], "value string")
     got = datasets.defect_lines(f).collect()
     assert [(r.data_name, r.attributes) for r in got] == [("d1", {"a": "1", "flag": "true"})]
+    again = spark.createDataFrame([("http://h/?dataName=d2|a=1|b=2| a = 3 |flag|flag",)], "value string")
+    assert datasets.defect_lines(again).first().attributes == {"a": "3", "b": "2", "flag": "true"}
+    gbk = "轨迹 7".encode("gbk").decode("latin-1")
+    assert [r.x for r in spark.createDataFrame([(gbk,), ("é\xff",), (None,)], "t string").select(text.repaired(F.col("t")).alias("x")).collect()] == ["轨迹 7", "é\xff", None]
     broken = "中文".encode().decode("latin-1")
     assert [r.x for r in spark.createDataFrame([(broken,), ("plain",), ("中文",)], "t string").select(text.repaired(F.col("t")).alias("x")).collect()] == ["中文", "plain", "中文"]
     heads = [b"\xff\xd8\xff\xe0", b"\x89PNG\r\n\x1a\n", b"GIF89a", b"RIFF0000WEBP", b"BM12", b"?"]
@@ -221,3 +225,48 @@ def test_streams(spark, tmp_path):
     assert spark.table("extents").count() == 1 and spark.table("cells").agg(F.sum("points")).first()[0] == 20
     live.upserting(stream.select("dataset_name", "ts"), str(tmp_path / "out"), str(tmp_path / "check"), ["dataset_name", "ts"]).trigger(availableNow=True).start().awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 20
+
+
+def test_chains_of_a_clique_stay_distinct(spark):
+    edges = [(a, b, 5.0) for a in range(4) for b in range(4) if a != b] + [(3, 9, None), (9, 10, 20.0)]
+    got = roads.chains(spark.createDataFrame(edges, "roadid int, nextroadid int, length double"), spark.createDataFrame([(0,)], "roadid int"), 500.0)
+    rows = got.collect()
+    level, want = {(b, 0.0, x or 0.0) for a, b, x in edges if a == 0}, set()
+    for d in range(11):
+        want |= {(b, d, at) for b, at, _ in level}
+        level = {(b, at + x, y or 0.0) for r, at, x in level if at + x <= 500 for a, b, y in edges if a == r}
+    assert len(rows) == len(want) < 100 and {tuple(r) for r in rows} == want
+    assert any(r.road_id == 10 for r in rows)  # a null length doesn't end the chain
+
+
+def test_merged_roads_keep_the_first_kind(spark):
+    f = lambda *ids: spark.createDataFrame([(i,) for i in ids], "road_id int")
+    got = {r.road_id: r.kind for r in roads.merged_roads(direct=f(1, 2), chain=f(2, 3, 3), intersection=f(3, 4)).collect()}
+    assert got == {1: "direct", 2: "direct", 3: "chain", 4: "intersection"}
+
+
+def test_segment_distance_and_curvature(spark):
+    from tracelake.operators import shapes
+
+    line = lambda *p: [{"lon": x, "lat": y} for x, y in p]
+    rows = [(line((0.0, 0.0), (1.0, 0.0)), line((0.0, 0.0), (1.0, 0.0))), (line((0.0, 0.0), (1.0, 0.0)), line((2.0, 0.0), (3.0, 0.0))), (line((0.0, 0.0), (1.0, 0.0)), line((0.0, 0.0), (0.0, 1.0))), (line((0.0, 0.0)), line((0.0, 0.0), (0.0, 1.0)))]
+    got = [r.d for r in spark.createDataFrame(rows, "a array<struct<lon:double,lat:double>>, b array<struct<lon:double,lat:double>>").select(shapes.segment_distance(F.col("a"), F.col("b")).alias("d")).collect()]
+    degree = 6371000 * 3.141592653589793 / 180
+    assert got[0] == 0 and got[1] == pytest.approx(0.6 * 1.5 * degree + 0.3 * 1.5) and got[3] == float("inf")
+    assert got[2] == pytest.approx(0.6 * 0.5 * degree + 0.1 * 10 * 3.141592653589793 / 2)
+    circle = [(float(i), i, 2 * math.cos(i / 3), 2 * math.sin(i / 3), "c") for i in range(9)] + [(0.0, 0, 1.0, 1.0, "two"), (1.0, 1, 2.0, 2.0, "two")]
+    bent = {r.k: (r.triples, r.curvature) for r in shapes.mean_curvature(spark.createDataFrame(circle, "ts double, seq int, lon double, lat double, k string"), "k").collect()}
+    assert bent == {"c": (7, pytest.approx(0.5))}
+
+
+def test_adaptive_segments(spark):
+    speeds = [5.0] * 8 + [0.1] + [5.0] * 7
+    rows = [("t", i + 1, i, i * 1e-4, 0.0, v) for i, v in enumerate(speeds)] + [("few", i, i, 0.0, 0.0, 5.0) for i in range(4)] + [("plain", i, i, i * 1e-4, 0.0, 5.0) for i in range(6)]
+    got = [tuple(r) for r in shapes_of(spark, rows)]
+    assert got == [("plain", 0, 0, 5), ("t", 0, 0, 7), ("t", 1, 7, 15)]
+
+
+def shapes_of(spark, rows):
+    from tracelake.operators import shapes
+
+    return shapes.adaptive_segments(spark.createDataFrame(rows, "dataset_name string, seq int, ts int, lon double, lat double, twist_linear double")).orderBy("dataset_name", "segment_index").collect()

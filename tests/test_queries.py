@@ -7,12 +7,12 @@ import os
 import duckdb
 import pytest
 
-from tracelake.plans import media, more, motion, places, roads  # noqa: F401
+from tracelake.plans import media, more, motion, places, roads, shapes  # noqa: F401
 from tracelake.plans.registry import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
-SOME = ["a1_index_lines", "a11_assembled_subdatasets", "b3_points_or_boxes", "b7_table_names", "b9_unified_view", "c1_hits_per_box", "c4_analysis_by_type", "c16_join_kinds", "d5_points_in_polygons", "d6_trajectories", "d10_speed_spikes", "e5_density", "e6_hotspots", "e14_redundancy_index", "e16_pareto", "f2_segmented_points", "f4_segment_quality", "f26_hausdorff", "f34_direction_entropy", "g5_forward_chains", "g15_lanes_in_boxes", "g16_nearest_lanes", "g19_mean_headings", "h6_merged_labels", "h8_cut_by_ranges", "i1_nearest_vectors", "j2_first_frames"]
+SOME = ["a1_index_lines", "a11_assembled_subdatasets", "b3_points_or_boxes", "b7_table_names", "b9_unified_view", "c1_hits_per_box", "c4_analysis_by_type", "c16_join_kinds", "d5_points_in_polygons", "d6_trajectories", "d10_speed_spikes", "e5_density", "e6_hotspots", "e14_redundancy_index", "e16_pareto", "f9_dbscan_clusters", "f13_grid_counters", "f20_adaptive_segments", "f29_segment_distances", "f31_seventeen_features", "f2_segmented_points", "f4_segment_quality", "f26_hausdorff", "f34_direction_entropy", "g5_forward_chains", "g15_lanes_in_boxes", "g16_nearest_lanes", "g19_mean_headings", "h6_merged_labels", "h8_cut_by_ranges", "i1_nearest_vectors", "j2_first_frames"]
 
 
 @pytest.fixture(scope="module")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def index_line(line: Column) -> Column:
@@ -44,11 +46,13 @@ def url_parameter(url: Column, name: str) -> Column:
 
 
 def attributes(line: Column) -> Column:
-    """Map of ``url|k=v|flag``'s attributes; a flag is ``true``."""
+    """Map of ``url|k=v|flag``'s attributes; a flag is ``true``; of a repeated key the last value counts."""
     parts = F.filter(F.split(line, r"\|"), lambda p: F.trim(p) != "")
     rest = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
     pair = lambda p: F.struct(F.trim(F.substring_index(p, "=", 1)).alias("key"), F.when(p.contains("="), F.trim(F.regexp_replace(p, "^[^=]*=", ""))).otherwise("true").alias("value"))
-    return F.map_from_entries(F.transform(rest, pair))
+    pairs = F.transform(rest, pair)
+    last = lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"])
+    return F.map_from_entries(F.filter(pairs, last))
 
 
 def field_type(value: Column) -> Column:
@@ -89,12 +93,26 @@ def merged_labels(a: Column, b: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.transform(both, lambda x: F.trim(x)), lambda x: x != "")))
 
 
+@F.pandas_udf(StringType())
+def from_gbk(raw: pd.Series) -> pd.Series:
+    """GBK bytes as text; null where they aren't GBK (Spark's own decoding knows no GBK)."""
+
+    def read(x: bytes | None) -> str | None:
+        try:
+            return None if x is None else bytes(x).decode("gbk")
+        except UnicodeDecodeError:
+            return None
+
+    return raw.map(read)
+
+
 def repaired(text: Column) -> Column:
-    """UTF-8 or GBK text that was read as Latin-1, where that gives Chinese characters; else the text itself."""
-    raw = F.when(text.rlike("^[\\x00-\\xFF]*$"), F.encode(text, "ISO-8859-1"))
+    """UTF-8 or else GBK text that was read as Latin-1, where that gives Chinese characters and nothing undecodable; else the text itself."""
+    raw = F.when(text.rlike("^[\\x00-\\xFF]*$") & text.rlike("[\\x80-\\xFF]"), F.encode(text, "ISO-8859-1"))
     han = "[一-龥]"
-    utf = F.try_validate_utf8(raw.cast("string")) if hasattr(F, "try_validate_utf8") else raw.cast("string")
-    return F.when(text.rlike(han), text).when(utf.rlike(han), utf).otherwise(text)
+    utf = F.try_validate_utf8(raw)
+    gbk = from_gbk(F.when(utf.isNull(), raw))
+    return F.when(text.rlike(han), text).when(utf.rlike(han), utf).when(gbk.rlike(han), gbk).otherwise(text)
 
 
 def image_format(content: Column) -> Column:

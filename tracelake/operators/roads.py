@@ -9,21 +9,30 @@ from tracelake.functions.geo import METRES_PER_DEGREE, bearing, clipped_fraction
 
 
 def chains(edges: DataFrame, seeds: DataFrame, limit: float, depth: int = 10, backward: bool = False) -> DataFrame:
-    """Roads reached from ``seeds(roadid)``: ``(road_id, depth, distance)``, every path's row.
+    """Roads reached from ``seeds(roadid)``: distinct ``(road_id, depth, distance)``.
 
     A seed's edges lead to roads at distance 0; going on from a road adds the length of the edge that led
-    to it, while the sum stays within ``limit``. Depth bounds cycles; one join a level, each over what the
-    last level found.
+    to it (null counts 0), while the sum stays within ``limit``. Depth bounds cycles; one join a level, each
+    over the distinct roads and distances of the last level, so that paths that meet go on as one.
     """
     start, end = ("nextroadid", "roadid") if backward else ("roadid", "nextroadid")
-    e = edges.select(F.col(start).alias("a"), F.col(end).alias("road_id"), "length")
+    e = edges.select(F.col(start).alias("a"), F.col(end).alias("road_id"), F.coalesce("length", F.lit(0.0)).alias("length"))
     level = e.join(seeds.select(F.col("roadid").alias("a")), "a", "left_semi").select("road_id", F.lit(0).alias("depth"), F.lit(0.0).alias("distance"), "length")
     out = level
     for d in range(1, depth + 1):
-        level = level.select(F.col("road_id").alias("a"), (F.col("distance") + F.col("length")).alias("distance")).where(F.col("distance") <= limit)
+        level = level.select(F.col("road_id").alias("a"), (F.col("distance") + F.col("length")).alias("distance")).where(F.col("distance") <= limit).distinct()
         level = level.join(e, "a").select("road_id", F.lit(d).alias("depth"), "distance", "length")
         out = out.unionByName(level)
-    return out.drop("length")
+    return out.drop("length").distinct()
+
+
+def merged_roads(**kinds: DataFrame) -> DataFrame:
+    """One row ``(road_id, kind)`` for each road: the first of the named kinds, in order, that has it."""
+    out = None
+    for n, (kind, roads) in enumerate(kinds.items()):
+        rows = roads.select("road_id", F.lit(n).alias("nth"), F.lit(kind).alias("kind"))
+        out = rows if out is None else out.unionByName(rows)
+    return out.groupBy("road_id").agg(F.min_by("kind", "nth").alias("kind"))
 
 
 def nearest_rows(chain: DataFrame) -> DataFrame:

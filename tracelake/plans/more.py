@@ -132,10 +132,10 @@ def f30(pts):
     return v.join(w, "k").select("k", F.round(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))), 4).alias("angle"))
 
 
-@query("f39_datasets_of_cell", "boxes", sql="SELECT DISTINCT dataset_name FROM boxes WHERE all_good AND floor(xmin / 0.002) = floor(116.302 / 0.002::DOUBLE) ORDER BY dataset_name LIMIT 50")
+@query("f39_datasets_of_cell", "boxes", sql="SELECT DISTINCT dataset_name FROM boxes WHERE all_good AND floor(xmin / 0.002) = floor(116.302 / 0.002::DOUBLE)")
 def f39(boxes):
     cell = F.floor(F.col("xmin") / E.CELL) == F.floor(F.lit(116.302) / E.CELL)
-    return boxes.where(F.col("all_good") & cell).select("dataset_name").distinct().orderBy("dataset_name").limit(50)
+    return boxes.where(F.col("all_good") & cell).select("dataset_name").distinct()
 
 
 @query("g3_crossings_near_trajectories", "pts", "crossings", sql=f"SELECT DISTINCT p.dataset_name, c.intersection_id FROM pts p JOIN crossings c ON c.intersectiontype = 5 AND greatest(0, c.xmin - p.lon, p.lon - c.xmax) ** 2 + greatest(0, c.ymin - p.lat, p.lat - c.ymax) ** 2 <= {radius(3)}::DOUBLE * {radius(3)}::DOUBLE")
@@ -184,9 +184,15 @@ def g41(documents):
     return documents.select("doc_id", F.substring("source", 4, 10).try_cast("int").alias("source_number"), F.coalesce(F.col("lang") == "en", F.lit(False)).alias("english"), F.coalesce("lang", F.lit("")).alias("lang"))
 
 
-@query("h12_repaired_text", "documents", sql="SELECT doc_id, lang FROM documents")
+#: A text's bytes in two encodings, read as Latin-1 (fixed values).
+BROKEN = {"utf": bytes("质检 ", "utf-8").decode("latin-1"), "gbk": bytes("轨迹 ", "gbk").decode("latin-1")}
+
+
+@query("h12_repaired_text", "documents", sql="SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN concat('质检 ', doc_id) WHEN 1 THEN concat('轨迹 ', doc_id) ELSE lang END AS label FROM documents")
 def h12(documents):
-    return documents.select("doc_id", text.repaired(F.col("lang")).alias("lang"))
+    n = F.col("doc_id") % 3
+    broken = F.when(n == 0, F.concat(F.lit(BROKEN["utf"]), F.col("doc_id").cast("string"))).when(n == 1, F.concat(F.lit(BROKEN["gbk"]), F.col("doc_id").cast("string"))).otherwise(F.col("lang"))
+    return documents.select("doc_id", text.repaired(broken).alias("label"))
 
 
 @query("i4_lines_of_hits", "pts", "hits", sql="SELECT h.dataset_name, max(h.similarity) AS similarity, p.n AS points FROM hits h JOIN (SELECT dataset_name, count(*) AS n FROM pts GROUP BY 1 HAVING count(*) >= 2) p ON p.dataset_name = h.dataset_name GROUP BY 1, 3")

@@ -141,12 +141,6 @@ def f7(pts):
     return T.steps(pts).groupBy("dataset_name").agg(F.round(F.sum("step"), 3).alias("length"), F.round(F.max("step"), 3).alias("longest"))
 
 
-@query("f9_dbscan_clusters", "pts")
-def f9(pts):
-    found = T.scaled(T.valid(segs(pts)).withColumn("grid_id", F.substring("dataset_name", 6, 1)), "grid_id").withColumn("order", F.concat_ws("/", *KEY))
-    return C.clustered(found, "grid_id", "order").select("grid_id", *KEY, "cluster_label")
-
-
 @query("f10_behaviour", "pts", sql=f"""WITH {SEGS} SELECT dataset_name, count(*) AS segments, round(avg(avg_speed), 7) AS speed,
 CASE WHEN avg(avg_speed) < 2 THEN '极低速(0-2m/s)' WHEN avg(avg_speed) < 5 THEN '低速(2-5m/s)' WHEN avg(avg_speed) < 10 THEN '中速(5-10m/s)' WHEN avg(avg_speed) < 15 THEN '较快(10-15m/s)' ELSE 'x' END AS speed_range,
 CASE WHEN avg(avg_yaw_rate) > 0.3 THEN '转弯/变道' WHEN avg(avg_accel) < -1 THEN '减速/刹车' WHEN avg(avg_accel) > 1 THEN '加速' WHEN avg(avg_speed) < 3 THEN '缓慢移动' ELSE '直行通过' END AS behaviour FROM z GROUP BY 1""")
@@ -214,12 +208,6 @@ def f26(pts):
     return C.line_distances(neighbour_lines(pts), "hausdorff").withColumn("distance", F.round("distance", 3))
 
 
-@query("f32_curvature_angles", "pts", sql=f"WITH {STEP} SELECT dataset_name, count(*) AS triples FROM (SELECT dataset_name, lead(lon, 2) OVER (PARTITION BY dataset_name ORDER BY ts, seq) AS x3 FROM s) WHERE x3 IS NOT NULL GROUP BY 1")
-def f32(pts):
-    w = Window.partitionBy("dataset_name").orderBy("ts", "seq")
-    return pts.withColumn("x3", F.lead("lon", 2).over(w)).where("x3 is not null").groupBy("dataset_name").agg(F.count("*").alias("triples"))
-
-
 @query("f33_tortuosity", "pts", sql=f"WITH {STEP}, e AS (SELECT dataset_name, sum(step) AS length, {HAV.format(x1='arg_min(lon, seq)', y1='arg_min(lat, seq)', x2='arg_max(lon, seq)', y2='arg_max(lat, seq)')} AS straight FROM s GROUP BY 1) SELECT dataset_name, round(CASE WHEN straight < 1 THEN 1 ELSE length / straight END, 4) AS tortuosity FROM e")
 def f33(pts):
     ends = T.steps(pts).groupBy("dataset_name").agg(F.sum("step").alias("length"), *[f(c, "seq").alias(n) for n, f, c in (("a", F.min_by, "lon"), ("b", F.min_by, "lat"), ("c", F.max_by, "lon"), ("d", F.max_by, "lat"))])

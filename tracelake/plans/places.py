@@ -196,9 +196,9 @@ def c5(boxes, crossings):
     return B.analysis(B.pairs(boxes, crossings))
 
 
-@query("c6_details", "boxes", "crossings", sql=f"SELECT b.scene_token, c.intersection_id, c.intersectionsubtype FROM {JOIN} WHERE b.city_id = 'A2' ORDER BY b.scene_token, c.intersection_id LIMIT 100")
+@query("c6_details", "boxes", "crossings", sql=f"SELECT b.scene_token, c.intersection_id, c.intersectionsubtype FROM {JOIN}")
 def c6(boxes, crossings):
-    return B.pairs(boxes.where("city_id = 'A2'"), crossings).orderBy("scene_token", "intersection_id").limit(100).select("scene_token", "intersection_id", "intersectionsubtype")
+    return B.pairs(boxes, crossings).select("scene_token", "intersection_id", "intersectionsubtype")
 
 
 @query("c7_dense_scenes", "boxes", "crossings", sql=f"SELECT b.scene_token, count(*) AS n, count(DISTINCT c.intersectiontype) AS kinds FROM {JOIN} GROUP BY 1 ORDER BY n DESC, kinds DESC, b.scene_token LIMIT 20")

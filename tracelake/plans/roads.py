@@ -11,8 +11,8 @@ from tracelake.operators import trajectories as T
 from tracelake.plans.registry import query
 
 CHAIN = """c AS (
-  SELECT {b} AS road_id, 0 AS depth, CAST(0 AS DOUBLE) AS distance, length FROM edges WHERE {a} IN (SELECT roadid FROM edges WHERE length <= 5)
-  UNION ALL SELECT e.{b}, c.depth + 1, c.distance + c.length, e.length FROM c JOIN edges e ON e.{a} = c.road_id WHERE c.distance + c.length <= {limit} AND c.depth < 10
+  SELECT {b} AS road_id, 0 AS depth, CAST(0 AS DOUBLE) AS distance, coalesce(length, 0) AS length FROM edges WHERE {a} IN (SELECT roadid FROM edges WHERE length <= 5)
+  UNION SELECT e.{b}, c.depth + 1, c.distance + c.length, coalesce(e.length, 0) FROM c JOIN edges e ON e.{a} = c.road_id WHERE c.distance + c.length <= {limit} AND c.depth < 10
 )"""
 FORWARD, BACKWARD = CHAIN.format(a="roadid", b="nextroadid", limit=500), CHAIN.format(a="nextroadid", b="roadid", limit=100)
 DIST = """sqrt((p.lon - (l.xmin + t * (l.xmax - l.xmin))) ** 2 + (p.lat - (l.ymin + t * (l.ymax - l.ymin))) ** 2)"""
@@ -40,12 +40,12 @@ def g2(pts, crossings):
     return R.near_lanes(pts, lanes_of(crossings), 3).select("dataset_name", "lane_id").distinct()
 
 
-@query("g5_forward_chains", "edges", sql=f"WITH {FORWARD} SELECT road_id, depth, distance FROM c")
+@query("g5_forward_chains", "edges", sql=f"WITH {FORWARD} SELECT DISTINCT road_id, depth, distance FROM c")
 def g5(edges):
     return R.chains(edges, edges.where("length <= 5").select("roadid"), 500.0)
 
 
-@query("g6_backward_chains", "edges", sql=f"WITH {BACKWARD} SELECT road_id, depth, distance FROM c")
+@query("g6_backward_chains", "edges", sql=f"WITH {BACKWARD} SELECT DISTINCT road_id, depth, distance FROM c")
 def g6(edges):
     return R.chains(edges, edges.where("length <= 5").select("roadid"), 100.0, backward=True)
 
@@ -144,9 +144,9 @@ def g21(pts, crossings):
     return R.lane_rules(R.near_lanes(pts, lanes_of(crossings), 15))
 
 
-@query("g23_toll_stations", "crossings", sql="SELECT intersection_id, xmin, ymin FROM crossings WHERE intersectiontype = 2 ORDER BY intersection_id LIMIT 100")
+@query("g23_toll_stations", "crossings", sql="SELECT intersection_id, xmin, ymin FROM crossings WHERE intersectiontype = 2")
 def g23(crossings):
-    return crossings.where("intersectiontype = 2").orderBy("intersection_id").limit(100).select("intersection_id", "xmin", "ymin")
+    return crossings.where("intersectiontype = 2").select("intersection_id", "xmin", "ymin")
 
 
 TOLL = "pts p JOIN crossings c ON c.intersectiontype = 2 AND p.lon BETWEEN c.xmin AND c.xmax AND p.lat BETWEEN c.ymin AND c.ymax"

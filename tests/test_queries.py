@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from tracelake.plans import media, more, motion, places, roads, shapes  # noqa: F401
+from tracelake.plans import flows, media, more, motion, places, roads, shapes  # noqa: F401
 from tracelake.plans.registry import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelake.functions.graph import connected_components, materialize, shared_dir  # noqa: F401
@@ -21,6 +21,13 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """For applications, not operators: have the session send whole texts to Python in Arrow batches of fewer rows than Spark's default."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, rows)
+
+
 def split_rows(n: int, target: int) -> int:
     """Blocks of about ``target`` rows that ``n`` rows fill, one at least."""
     return max(1, -(-n // target))

@@ -32,12 +32,12 @@ from tracelake.llm.common import slices
 SPACE = "▁"
 SHIFT = 2.7  # Zipf-Mandelbrot shift of the ranks
 BYTE_COST = 2.0  # a byte piece is this much less likely than the rarest piece
-REMEMBER = 300_000  # words a worker remembers
+REMEMBER = 200_000  # words a worker remembers
 REMEMBER_CHARS = 5_000_000  # and their characters
 LONG = 1_000  # characters of a word whose alternatives aren't remembered
 TOGETHER = 40  # words up to this many characters are scored many at a time
-BATCH = 20_000  # words that are scored at a time
-PART = 1_000_000  # characters that are split into words at a time
+BATCH = 5_000  # words that are scored at a time
+PART = 300_000  # characters that are split into words at a time
 
 
 def default_model() -> str:

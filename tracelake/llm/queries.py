@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tracelake.llm import embeddings, langid, minhash, mixing, pieces, pii, quality, secrets, topk, warc
+from tracelake.llm.common import small_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -270,3 +270,106 @@ def shapes_of(spark, rows):
     from tracelake.operators import shapes
 
     return shapes.adaptive_segments(spark.createDataFrame(rows, "dataset_name string, seq int, ts int, lon double, lat double, twist_linear double")).orderBy("dataset_name", "segment_index").collect()
+
+
+def test_hull_of_exact_points_in_parts(spark):
+    r = np.random.default_rng(3)
+    rows = [(str(i % 3), float(x), float(y)) for i, (x, y) in enumerate(r.standard_normal((300, 2)))] + [("0", None, 1.0), ("one", 2.0, 2.0), ("two", 0.0, 0.0), ("two", 1.0, 1.0)]
+    got = {x.city_id: x for x in clustering.convex_hull(spark.createDataFrame(rows, "city_id string, lon double, lat double").repartition(5), "city_id").collect()}
+    for k in "012":
+        p = np.array([(x, y) for c, x, y in rows if c == k and x is not None])
+        ring = np.array([[float(v) for v in q.split()] for q in got[k].hull[10:-2].split(", ")])
+        assert got[k].corners == len(ring) - 1 and {tuple(q) for q in ring.tolist()} <= {tuple(q) for q in p.tolist()}
+        for a, b in zip(ring, ring[1:], strict=False):  # every point lies to the left of every side
+            assert ((b[0] - a[0]) * (p[:, 1] - a[1]) - (b[1] - a[1]) * (p[:, 0] - a[0]) >= -1e-12).all()
+    assert got["one"].corners == 1 and got["two"].corners == 2
+
+
+def test_boxes_merge_as_in_one_list(spark):
+    r = np.random.default_rng(4)
+    rows = []
+    for i in range(120):
+        x, y, w = r.uniform(0, 0.02), r.uniform(0, 0.02), r.uniform(0.001, 0.003)
+        rows.append((f"s{i:03d}", str(i % 2), x, y, x + w, y + w))
+        rows.append((f"t{i:03d}", str(i % 2), x, y, x + w * r.uniform(0.8, 1.2), y + w))
+    got = clustering.merge_overlapping(spark.createDataFrame(rows, "scene_token string, city_id string, xmin double, ymin double, xmax double, ymax double"), "city_id", "scene_token").collect()
+    want = []
+    for city in "01":
+        unions = []
+        for name, _, *b in sorted(x for x in rows if x[1] == city):
+            for u in unions:
+                both = max(0, min(u[2], b[2]) - max(u[0], b[0])) * max(0, min(u[3], b[3]) - max(u[1], b[1]))
+                if both >= 0.7 * ((u[2] - u[0]) * (u[3] - u[1]) + (b[2] - b[0]) * (b[3] - b[1]) - both):
+                    u[:4] = min(u[0], b[0]), min(u[1], b[1]), max(u[2], b[2]), max(u[3], b[3])
+                    u[4].append(name)
+                    break
+            else:
+                unions.append([*b, [name]])
+        want += [(city, ",".join(u[4]), len(u[4])) for u in unions]
+    assert sorted((x.city_id, x.sources, x.merged_count) for x in got) == sorted(want)
+
+
+def test_training_json_and_defects(spark, tmp_path):
+    (tmp_path / "t.json").write_text(json.dumps({"meta": {"release_name": "r1", "description": "d"}, "name": "n", "dataset_index": [{"name": "a", "obs_path": "p/a", "duplicate": 3}, {"name": "b", "obs_path": "p/b"}, {"name": "c"}, {"obs_path": "p/d"}]}))
+    (tmp_path / "u.json").write_text(json.dumps({"name": "only", "dataset_index": [{"name": "z", "obs_path": "q"}]}))
+    got = [tuple(r) for r in files.read_training_json(spark, str(tmp_path / "t.json")).orderBy("subdataset_name").collect()]
+    assert got == [("r1", "a", "p/a", 3), ("r1", "b", "p/b", 1)]
+    assert files.read_training_json(spark, str(tmp_path / "u.json")).first().dataset_name == "only"
+    (tmp_path / "d.txt").write_text("http://h/?dataName=d1|k=v|k=w|flag\n\nnothing\n")
+    assert [(r.data_name, r.attributes) for r in files.read_defects(spark, str(tmp_path / "d.txt")).collect()] == [("d1", {"k": "w", "flag": "true"})]
+    (tmp_path / "ids.txt").write_text("s1\n# no\n\n s2 \ns1\n")
+    (tmp_path / "ids.json").write_text(json.dumps({"subdatasets": [{"scene_ids": ["s3", "s4"]}, {"scene_ids": ["s3"]}]}))
+    assert sorted(r[0] for r in files.read_ids(spark, str(tmp_path / "ids.txt")).collect()) == ["s1", "s2"]
+    assert sorted(r[0] for r in files.read_ids(spark, str(tmp_path / "ids.json")).collect()) == ["s3", "s4"]
+
+
+def test_written_features_and_boxes(spark, tmp_path):
+    from tracelake.sources import tables
+
+    line = [{"lon": 1.0, "lat": 2.0}, {"lon": 3.0, "lat": 4.0}]
+    geojson.write_lines(spark.createDataFrame([("d", ["p1", "p2"], line)], "dataset_name string, polygon_ids array<string>, line array<struct<lon:double,lat:double>>"), str(tmp_path / "one"))
+    feature = json.loads(spark.read.text(str(tmp_path / "one")).first()[0])
+    assert feature["geometry"] == {"type": "LineString", "coordinates": [[1.0, 2.0], [3.0, 4.0]]} and feature["properties"] == {"dataset_name": "d", "polygon_ids": "p1,p2"}
+    geojson.write_lines(spark.createDataFrame([("d", [line, line])], "dataset_name string, line array<array<struct<lon:double,lat:double>>>"), str(tmp_path / "many"))
+    assert json.loads(spark.read.text(str(tmp_path / "many")).first()[0])["geometry"] == {"type": "MultiLineString", "coordinates": [[[1.0, 2.0], [3.0, 4.0]]] * 2}
+    tables.write_boxes(spark.createDataFrame([("GOD_E2E_Lane_sub_ddi_1", 1), ("x", 2)], "subdataset_name string, n int"), str(tmp_path / "boxes"))
+    back = {r.source_table: r.n for r in spark.read.parquet(str(tmp_path / "boxes")).collect()}
+    assert back == {"clips_bbox_lane": 1, "clips_bbox_x": 2}
+
+
+def test_annotations(spark, tmp_path):
+    from tracelake.sources.annotations import read_annotations
+
+    (tmp_path / "a.csv").write_text('task_name,annotator,autoscene_id,result,description,other_scenario\nt,me,s1, good ,"[[0, 2]]",nan\nt,me,,x,,\n')
+    rows = [("t", "you", "s2", "['a']", None, "b")]
+    spark.createDataFrame(rows, "task_name string, annotator string, autoscene_id string, result string, description string, other_scenario string").write.parquet(str(tmp_path / "b.parquet"))
+    got = [tuple(r) for r in read_annotations(spark, str(tmp_path / "a.csv"), str(tmp_path / "b.parquet")).orderBy("autoscene_id").collect()]
+    assert got == [("t", "me", "s1", "good", "[[0, 2]]", None), rows[0]]
+    (tmp_path / "c.csv").write_text("task_name,annotator\nt,me\n")
+    with pytest.raises(ValueError, match="autoscene_id"):
+        read_annotations(spark, str(tmp_path / "c.csv"))
+
+
+def test_polygons_to_trajectories_in_one_call(spark, tmp_path):
+    from tracelake.operators import workflows
+
+    square = lambda x, name: {"type": "Feature", "properties": {"polygon_id": name}, "geometry": {"type": "Polygon", "coordinates": [[[x, 0], [x + 1e-3, 0], [x + 1e-3, 1e-3], [x, 1e-3], [x, 0]]]}}
+    (tmp_path / "p.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": [square(0.0, "a"), square(0.002, "b"), square(1.0, "far")]}))
+    rows = [("in", i, i, i * 5e-4, 5e-4, 5.0, None) for i in range(8)] + [("out", i, i, 0.5, 0.5, 5.0, None) for i in range(4)] + [("single", 0, 0, 5e-4, 5e-4, 5.0, None)]
+    points = spark.createDataFrame(rows, "dataset_name string, seq int, ts int, lon double, lat double, twist_linear double, avp_flag int")
+    got = workflows.polygon_workflow(spark, str(tmp_path / "p.geojson"), points, str(tmp_path / "out")).collect()
+    assert [(r.dataset_name, r.polygon_ids, r.point_count) for r in got] == [("in", ["a", "b"], 8)]
+    feature = json.loads(spark.read.text(str(tmp_path / "out")).first()[0])
+    assert feature["properties"]["polygon_ids"] == "a,b" and len(feature["geometry"]["coordinates"]) == 8
+
+
+def test_input_segments_and_mapping(spark):
+    from tracelake.operators import workflows
+
+    step = 20 / geo.METRES_PER_DEGREE
+    points = spark.createDataFrame([("t", i, i, i * step, 0.0) for i in range(6)] + [("stays", i, i, 1.0, 1.0) for i in range(3)] + [("single", 0, 0, 0.0, 0.0)], "dataset_name string, seq int, ts int, lon double, lat double")
+    got = [(r.dataset_name, r.segment_id, r.start_index, r.end_index, round(r.length_meters, 6), r.heading and round(r.heading, 3), round(r.lon / step, 6)) for r in workflows.input_segments(points).orderBy("dataset_name", "segment_id").collect()]
+    assert got == [("stays", 0, 0, 2, 0.0, None, round(1 / step, 6)), ("t", 0, 0, 3, 60.0, 90.0, 1.5), ("t", 1, 3, 5, 40.0, 90.0, 4.0)]
+    rows = [("s1", "d1", "12.0", "x", 1), ("s1", "d2", "13.0", "y", 2), ("s2", "d3", "n/a", None, 1)]
+    found = workflows.scene_mapping(spark.createDataFrame(rows, "scene_id string, dataset_name string, event_id string, event_name string, updated_time int"))
+    assert sorted(map(tuple, found.collect())) == [("s1", "d2", 13, "y"), ("s2", "d3", None, None)]

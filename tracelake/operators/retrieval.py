@@ -14,8 +14,19 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """The ``k`` vectors of largest cosine for each of a stated, small set of queries ``(query_id, q)``."""
+MOST_QUERIES = 1000  # that one call compares with all vectors
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, start: int | None = None, stop: int | None = None, datasets: list[str] | None = None) -> DataFrame:
+    """The ``k`` vectors of largest cosine for each of a stated set of queries ``(query_id, q)``, at most ``MOST_QUERIES``.
+
+    ``start`` and ``stop`` bound ``timestamp_ms``, ``datasets`` the names, where given. The queries are counted
+    before they are broadcast; more are an error.
+    """
+    if queries.count() > MOST_QUERIES:
+        raise ValueError(f"more than {MOST_QUERIES} queries")
+    for test in ([F.col("timestamp_ms") >= start] if start is not None else []) + ([F.col("timestamp_ms") <= stop] if stop is not None else []) + ([F.col("dataset_name").isin(datasets)] if datasets else []):
+        vectors = vectors.where(test)
     scored = vectors.join(F.broadcast(queries)).select("query_id", "vec_id", cosine(F.col("q"), F.col("embedding").cast("array<double>")).alias("similarity"))
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "vec_id")
     return scored.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k)

@@ -105,8 +105,8 @@ def candidate_lanes(segments: DataFrame, lanes: DataFrame, metres: float = 50.0,
     return best.select("dataset_name", "lane_id", "b.segment_id", "b.distance", "b.heading_difference")
 
 
-def complete_trajectories(points: DataFrame, lanes: DataFrame) -> DataFrame:
-    """Whole trajectories that the lane rules keep and that lead the way of a touched lane; those under 10 m needn't."""
+def complete_trajectories(points: DataFrame, lanes: DataFrame, most: float = SAME_WAY) -> DataFrame:
+    """Whole trajectories that the lane rules keep and that lead the way of a touched lane (within ``most`` degrees); those under 10 m needn't."""
     hits = R.near_lanes(points, lanes, 15.0)
     kept = R.lane_rules(hits).withColumnsRenamed({"total_points": "hit_points", "lane_count": "total_lanes"})
     w = Window.partitionBy("dataset_name").orderBy("ts", "seq")
@@ -121,7 +121,7 @@ def complete_trajectories(points: DataFrame, lanes: DataFrame) -> DataFrame:
     heading = F.when(F.col("length_meters") >= HEADING_METRES, bearing(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]))
     whole = whole.where("total_points >= 2").withColumn("trajectory_heading", heading).drop("x1", "y1", "x2", "y2").join(kept, "dataset_name")
     ways = hits.select("dataset_name", "lane_id", R.lane_heading().alias("way")).distinct()
-    same = ways.join(whole.select("dataset_name", "trajectory_heading"), "dataset_name").where(heading_difference(F.col("way"), F.col("trajectory_heading")) <= SAME_WAY).select("dataset_name").distinct()
+    same = ways.join(whole.select("dataset_name", "trajectory_heading"), "dataset_name").where(heading_difference(F.col("way"), F.col("trajectory_heading")) <= most).select("dataset_name").distinct()
     fits = whole.join(same.withColumn("same", F.lit(True)), "dataset_name", "left").where("trajectory_heading is null or same")
     return fits.drop("same")
 

@@ -77,12 +77,12 @@ def g16(pts, crossings):
 
 @query("g27_complete_trajectories", "pts", "crossings", sql=f"""WITH {NEAR.format(r=radius(15))}, a AS (SELECT dataset_name, count(*) AS hit_points, count(DISTINCT lane_id) AS total_lanes FROM h GROUP BY 1), k AS (SELECT *, CASE WHEN total_lanes >= 2 THEN concat('multi_lane_', total_lanes, '_lanes') ELSE concat('sufficient_points_', hit_points, '_points') END AS reason FROM a WHERE total_lanes >= 2 OR hit_points >= 5),
 st AS (SELECT *, sqrt((lon - lag(lon) OVER w) * (lon - lag(lon) OVER w) + (lat - lag(lat) OVER w) * (lat - lag(lat) OVER w)) AS step FROM pts WINDOW w AS (PARTITION BY dataset_name ORDER BY ts, seq)),
-o AS (SELECT dataset_name, min(ts) AS start_time, max(ts) AS end_time, count(*) AS total_points, coalesce(sum(step), 0) * 111320 AS length_meters, round_even(max(twist_linear), 2) AS max_speed, arg_min(lon, seq) AS x1, arg_min(lat, seq) AS y1, arg_max(lon, seq) AS x2, arg_max(lat, seq) AS y2 FROM st GROUP BY 1 HAVING count(*) >= 2),
+o AS (SELECT dataset_name, min(ts) AS start_time, max(ts) AS end_time, count(*) AS total_points, coalesce(sum(step), 0) * 111320 AS length_meters, arg_min(lon, seq) AS x1, arg_min(lat, seq) AS y1, arg_max(lon, seq) AS x2, arg_max(lat, seq) AS y2 FROM st GROUP BY 1 HAVING count(*) >= 2),
 q AS (SELECT *, CASE WHEN length_meters >= 10 THEN {HEADING} END AS hd FROM o), l AS (SELECT DISTINCT dataset_name, lane_id, xmin AS x1, ymin AS y1, xmax AS x2, ymax AS y2 FROM h), m AS (SELECT dataset_name, lane_id, {HEADING} AS hl FROM l)
-SELECT q.dataset_name, start_time, end_time, total_points, round(length_meters, 2) AS length_meters, max_speed, hit_points, total_lanes, reason, round(hd, 3) AS trajectory_heading FROM q JOIN k USING (dataset_name) WHERE hd IS NULL OR EXISTS (SELECT 1 FROM m WHERE m.dataset_name = q.dataset_name AND {TURN.format(a='hl', b='hd')} <= 45)""")
+SELECT q.dataset_name, start_time, end_time, total_points, round(length_meters, 2) AS length_meters, hit_points, total_lanes, reason, round(hd, 3) AS trajectory_heading FROM q JOIN k USING (dataset_name) WHERE hd IS NULL OR EXISTS (SELECT 1 FROM m WHERE m.dataset_name = q.dataset_name AND {TURN.format(a='hl', b='hd')} <= 60)""")
 def g27(pts, crossings):
-    found = W.complete_trajectories(pts, lanes_of(crossings))
-    return found.select("dataset_name", "start_time", "end_time", "total_points", F.round("length_meters", 2).alias("length_meters"), "max_speed", "hit_points", "total_lanes", "reason", F.round("trajectory_heading", 3).alias("trajectory_heading"))
+    found = W.complete_trajectories(pts, lanes_of(crossings), 60.0)
+    return found.select("dataset_name", "start_time", "end_time", "total_points", F.round("length_meters", 2).alias("length_meters"), "hit_points", "total_lanes", "reason", F.round("trajectory_heading", 3).alias("trajectory_heading"))
 
 
 @query("h5_scene_mapping", "events", sql="""SELECT scene_id, dataset_name, CAST(event_id AS INT) AS event_id, event_type AS event_name FROM (SELECT concat('scene_', user_id) AS scene_id, concat('traj_', user_id) AS dataset_name, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, concat(event_id, '.0') DESC) AS r FROM events) WHERE r = 1""")
@@ -114,10 +114,10 @@ def i8(pts, crossings):
     return W.point_sources(pts, areas(crossings)).select("dataset_name", "seq", "source_polygons")
 
 
-@query("i11_result_rows", "pts", "crossings", sql=f"WITH {AREAS} SELECT dataset_name, min(ts) AS start_time, max(ts) AS end_time, count(*) AS point_count, round_even(max(twist_linear), 2) AS max_speed, arg_min(source_polygons, seq) AS source_polygons, 'text' AS query_type FROM ps GROUP BY 1 HAVING count(*) >= 2")
+@query("i11_result_rows", "pts", "crossings", sql=f"WITH {AREAS} SELECT dataset_name, min(ts) AS start_time, max(ts) AS end_time, count(*) AS point_count, arg_min(source_polygons, seq) AS source_polygons, 'text' AS query_type FROM ps GROUP BY 1 HAVING count(*) >= 2")
 def i11(pts, crossings):
     found = W.result_rows(W.point_sources(pts, areas(crossings)))
-    return found.select("dataset_name", "start_time", "end_time", "point_count", "max_speed", "source_polygons", "query_type")
+    return found.select("dataset_name", "start_time", "end_time", "point_count", "source_polygons", "query_type")
 
 
 @query("e19_quality_summary", "boxes", sql=ALL + """SELECT city_id, count(*) AS total_hotspots, max(bbox_count) AS most, min(bbox_count) AS least, round(avg(bbox_count), 2) AS mean, CAST(sum(bbox_count) AS BIGINT) AS total, max(subdataset_count) AS most_subdatasets, round(avg(scene_count), 2) AS mean_scenes, count(*) FILTER (bbox_count >= 10) AS high, count(*) FILTER (bbox_count >= 5 AND bbox_count < 10) AS medium, count(*) FILTER (bbox_count < 5) AS low,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("events", "part", "documents", "embeddings", "pages", "lineitem", "orders", "customer", "nation", "region", "supplier")
@@ -30,6 +32,7 @@ SELECT concat('scene_', doc_id) AS scene_id, source AS subdataset_name, concat('
 SELECT vec_id, concat('traj_', vec_id % 20) AS dataset_name, CAST(1704067200000 AS BIGINT) + vec_id * 60000 AS timestamp_ms, CAST(label AS DOUBLE) / CAST(10 AS DOUBLE) AS similarity FROM embeddings""",
 }
 NEEDS = {"boxes": ("pts",)}
+OWN = "tracelake_"  # before the names of the views that inputs are read through
 
 
 def prefix(*names: str) -> str:
@@ -40,13 +43,18 @@ def prefix(*names: str) -> str:
     return "WITH RECURSIVE " + ", ".join(f"{n} AS ({SQL[n]})" for n in order)
 
 
+def own(sql: str) -> str:
+    """The SQL with input names prefixed, so that views of the session keep theirs."""
+    return re.sub(rf"\b(FROM|JOIN) ({'|'.join((*TABLES, *SQL))})\b", rf"\1 {OWN}\2", sql)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, or one of the inputs above."""
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     for table in TABLES:
         if table in SQL[name] or any(table in SQL[n] for n in NEEDS.get(name, ())):
-            read(spark, sf_dir, table).createOrReplaceTempView(table)
+            read(spark, sf_dir, table).createOrReplaceTempView(OWN + table)
     for need in NEEDS.get(name, ()):
-        spark.sql(SQL[need]).createOrReplaceTempView(need)
-    return spark.sql(SQL[name])
+        spark.sql(own(SQL[need])).createOrReplaceTempView(OWN + need)
+    return spark.sql(own(SQL[name]))

@@ -65,7 +65,8 @@ def read_scenes(spark: SparkSession, index: str) -> DataFrame:
 
     scenes = lines.mapInPandas(run, "file string, scene_id string")
     ends = F.regexp_replace(F.regexp_replace("file", "^[a-z]+:/+", "/"), "^/+", "/") == F.regexp_replace(F.regexp_replace("obs_path", "^[a-z]+:/+", "/"), "^/+", "/")
-    return scenes.join(F.broadcast(listed), ends).select("subdataset_name", "obs_path", "duplication_factor", "scene_id")
+    few = len(paths) <= 100_000
+    return scenes.join(F.broadcast(listed) if few else listed, ends).select("subdataset_name", "obs_path", "duplication_factor", "scene_id")
 
 
 def read_training_json(spark: SparkSession, path: str) -> DataFrame:

@@ -43,7 +43,12 @@ def read_lines(spark: SparkSession, path: str, required: tuple[str, ...] = ("sce
 
 
 def write_lines(rows: DataFrame, path: str) -> None:
-    """A GeoJSON feature a line of text, from rows with ``line``; other columns become properties."""
-    properties = F.struct(*[c for c in rows.columns if c != "line"])
-    geometry = F.struct(F.lit("LineString").alias("type"), F.transform("line", lambda p: F.array(p["lon"], p["lat"])).alias("coordinates"))
+    """A GeoJSON feature a line of text, from rows with ``line`` (points, or several lines of them); other columns become properties, lists joined by commas."""
+    kinds = dict(rows.dtypes)
+    pairs = lambda line: F.transform(line, lambda p: F.array(p["lon"], p["lat"]))
+    many = kinds["line"].startswith("array<array<")
+    joined = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c) if kinds[c].startswith("array<") else F.col(c)
+    properties = F.struct(*[joined(c) for c in rows.columns if c != "line"])
+    coordinates = F.transform("line", pairs) if many else pairs("line")
+    geometry = F.struct(F.lit("MultiLineString" if many else "LineString").alias("type"), coordinates.alias("coordinates"))
     rows.select(F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), properties.alias("properties"))).alias("value")).write.mode("overwrite").text(path)

@@ -45,21 +45,23 @@ def lane_distance(lon: str = "lon", lat: str = "lat") -> Column:
     return point_segment_distance(F.col(lon), F.col(lat), F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))
 
 
-def near_lanes(points: DataFrame, lanes: DataFrame, metres: float, size: float = 0.001) -> DataFrame:
+def near_lanes(points: DataFrame, lanes: DataFrame, metres: float, size: float | None = None, key: list[str] | None = None, k: int = 0, tie: str = "lane_id") -> DataFrame:
     """Pairs of points and lanes (two-point lines) no further apart than ``metres`` (degrees over 111320), with ``distance``.
 
-    Lanes are dealt to the cells of their envelope grown by the radius; a point is in one cell.
+    Lanes are dealt to the cells of their envelope grown by the radius; a point is in one cell, cells are about as
+    wide as the radius. With ``k``, the ``k`` nearest lanes of each point ``key``, numbered by ``nth``: a point's
+    pairs all lie in its cell, so that they are ranked where the join has put them.
     """
     radius = metres / METRES_PER_DEGREE
+    size = size or max(radius, 0.00025)
     at = lambda c, d: F.floor((F.col(c) + d) / size).cast("long")
     dealt = lanes.withColumn("gx", F.explode(F.sequence(at("xmin", -radius), at("xmax", radius)))).withColumn("gy", F.explode(F.sequence(at("ymin", -radius), at("ymax", radius))))
-    found = points.withColumns({"gx": at("lon", 0.0), "gy": at("lat", 0.0)}).join(dealt, ["gx", "gy"]).drop("gx", "gy")
-    return found.withColumn("distance", lane_distance()).where(F.col("distance") <= radius)
-
-
-def k_nearest(near: DataFrame, key: list[str], k: int, tie: str) -> DataFrame:
-    w = Window.partitionBy(*key).orderBy("distance", tie)
-    return near.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= k)
+    found = points.withColumns({"gx": at("lon", 0.0), "gy": at("lat", 0.0)}).join(dealt, ["gx", "gy"])
+    found = found.withColumn("distance", lane_distance()).where(F.col("distance") <= radius)
+    if k:
+        w = Window.partitionBy("gx", "gy", *key).orderBy("distance", tie)
+        found = found.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= k)
+    return found.drop("gx", "gy")
 
 
 def lane_heading() -> Column:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from math import pi
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,28 +80,27 @@ def segmented(points: DataFrame) -> DataFrame:
     """Points with ``segment_index``: a trajectory is cut before a point that follows a gap of over 3 s, or reaches 50 m or 15 s.
 
     Segments of fewer than five points go, and don't use up an index. The cuts depend on running
-    sums that start anew, so each trajectory is walked in order; the distances are columns.
+    sums that start anew, so each trajectory's points are sorted in an array and folded once; what follows by
+    trajectory or segment needs no further shuffle.
     """
-
-    def walk(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(["ts", "seq"], ignore_index=True)
-        index, number, first, total, start = [-1] * len(f), 0, 0, 0.0, f["ts"].iloc[0]
-        for k, (t, step, gap) in enumerate(zip(f["ts"], f["step"], f["gap"], strict=True)):
-            if k == 0:
-                continue
-            total += step
-            if gap > SEGMENT_GAP or total >= SEGMENT_METRES or t - start >= SEGMENT_SECONDS:
-                if k - first >= SEGMENT_POINTS:
-                    index[first:k] = [number] * (k - first)
-                    number += 1
-                first, total, start = k, 0.0, t
-        if len(f) - first >= SEGMENT_POINTS:
-            index[first:] = [number] * (len(f) - first)
-        return f.assign(segment_index=index)[lambda x: x["segment_index"] >= 0]
-
-    ready = steps(points).withColumn("_n", F.count("*").over(Window.partitionBy("dataset_name"))).where(F.col("_n") >= SEGMENT_POINTS).drop("_n")
-    fields = ", ".join(f"`{n}` {t}" for n, t in ready.dtypes)
-    return ready.groupBy("dataset_name").applyInPandas(walk, fields + ", segment_index int").drop("step", "gap")
+    own = [c for c in points.columns if c != "dataset_name"]
+    order = [c for c in ("ts", "seq") if c in own]
+    lines = points.groupBy("dataset_name").agg(F.array_sort(F.collect_list(F.struct(*order, *[c for c in own if c not in order]))).alias("p")).where(F.size("p") >= SEGMENT_POINTS)
+    p = lambda i: F.element_at("p", i + 1)
+
+    def walk(s: Column, i: Column) -> Column:
+        total = s["total"] + haversine(p(i - 1)["lon"], p(i - 1)["lat"], p(i)["lon"], p(i)["lat"])
+        cut = (p(i)["ts"] - p(i - 1)["ts"] > SEGMENT_GAP) | (total >= SEGMENT_METRES) | (p(i)["ts"] - p(s["first"])["ts"] >= SEGMENT_SECONDS)
+        closed = F.when(i - s["first"] >= SEGMENT_POINTS, F.concat(s["cuts"], F.array(F.struct(s["first"].alias("at"), (i - s["first"]).alias("n"))))).otherwise(s["cuts"])
+        state = lambda first, total, cuts: F.struct(first.alias("first"), total.alias("total"), cuts.alias("cuts"))
+        return F.when(cut, state(i, F.lit(0.0), closed)).otherwise(state(s["first"], total, s["cuts"]))
+
+    start = F.struct(F.lit(0).alias("first"), F.lit(0.0).alias("total"), F.array().cast("array<struct<at:int,n:int>>").alias("cuts"))
+    last = lambda s: F.when(F.size("p") - s["first"] >= SEGMENT_POINTS, F.concat(s["cuts"], F.array(F.struct(s["first"].alias("at"), (F.size("p") - s["first"]).alias("n"))))).otherwise(s["cuts"])
+    cuts = F.aggregate(F.sequence(F.lit(1), F.size("p") - 1), start, walk, last)
+    pieces = lines.select("dataset_name", "p", F.posexplode(cuts).alias("segment_index", "c"))
+    rows = pieces.select("dataset_name", "segment_index", F.explode(F.slice("p", F.col("c.at") + 1, F.col("c.n"))).alias("q"))
+    return rows.select(*[F.col("dataset_name") if c == "dataset_name" else F.col("q").getField(c).alias(c) for c in points.columns], "segment_index")
 
 
 def segments(points: DataFrame) -> DataFrame:

@@ -98,7 +98,7 @@ def candidate_lanes(segments: DataFrame, lanes: DataFrame, metres: float = 50.0,
     The ``k`` nearest of each piece within ``metres``; those that lead another way by over 45 degrees go (where the
     piece has a heading); of a lane's pieces the nearest stays.
     """
-    near = R.k_nearest(R.near_lanes(segments, lanes, metres), ["dataset_name", "segment_id"], k, "lane_id")
+    near = R.near_lanes(segments, lanes, metres, key=["dataset_name", "segment_id"], k=k)
     near = near.withColumn("heading_difference", F.when(F.col("heading").isNotNull(), heading_difference(F.col("heading"), R.lane_heading())))
     near = near.where(F.col("heading_difference").isNull() | (F.col("heading_difference") <= SAME_WAY))
     best = near.groupBy("dataset_name", "lane_id").agg(F.min(F.struct("distance", "segment_id", "heading_difference")).alias("b"))

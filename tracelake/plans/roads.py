@@ -106,8 +106,8 @@ def g15(boxes, crossings):
 
 @query("g16_nearest_lanes", "pts", "crossings", sql=f"WITH {NEAR.format(r=radius(50))} SELECT dataset_name, seq, lane_id, nth FROM (SELECT *, CAST(row_number() OVER (PARTITION BY dataset_name, seq ORDER BY distance, lane_id) AS INT) AS nth FROM h) WHERE nth <= 10")
 def g16(pts, crossings):
-    near = R.near_lanes(pts, lanes_of(crossings), 50)
-    return R.k_nearest(near, ["dataset_name", "seq"], 10, "lane_id").select("dataset_name", "seq", "lane_id", "nth")
+    slim = pts.select("dataset_name", "seq", "lon", "lat"), lanes_of(crossings).select("lane_id", "xmin", "ymin", "xmax", "ymax")
+    return R.near_lanes(*slim, 50, key=["dataset_name", "seq"], k=10).select("dataset_name", "seq", "lane_id", "nth")
 
 
 HEADING = "(degrees(atan2(sin(radians(x2 - x1)) * cos(radians(y2)), cos(radians(y1)) * sin(radians(y2)) - sin(radians(y1)) * cos(radians(y2)) * cos(radians(x2 - x1)))) + 360) % 360"

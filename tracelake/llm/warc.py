@@ -50,14 +50,25 @@ def record(page_id: int, url: str, kind: str, digest: str, refers_to: int | None
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers (names in lower case) and block of a record."""
-    head, _, rest = raw.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
+def parse(raw: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
+    """Headers (names in lower case) and block of the record at a place, and the place of the next one."""
+    end = raw.index(b"\r\n\r\n", at)
+    lines = raw[at:end].decode().split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError("not a WARC record")
     headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-    return headers, rest[: int(headers["content-length"])]
+    block = raw[end + 4 : end + 4 + int(headers["content-length"])]
+    return headers, block, end + 4 + len(block) + 4
+
+
+#: Names that Hadoop and pyarrow give to the same stores (fixed values).
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss", "gcs": "gs"}
+
+
+def opened(folder: str) -> tuple[fs.FileSystem, str]:
+    """The store that a folder's URI names, and the folder in it. Local paths, HDFS and the object stores that pyarrow knows are reached; its own settings (environment) hold for these."""
+    scheme, colon, rest = folder.partition("://")
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}{colon}{rest}")
 
 
 class Bundle:
@@ -92,15 +103,19 @@ class Bundle:
         return b"".join(self.frames) + struct.pack("<II", SKIPPABLE, len(table)) + table, rows
 
 
-def seek_table(data: bytes) -> list[tuple[int, int, int]]:
-    """``(start, compressed size, plain size)`` of each frame, from the footer."""
-    n, flags, magic = struct.unpack("<IBI", data[-9:])
+FOOTER = 9  # bytes at the end of a seek table: number of frames, flags, magic number
+
+
+def seek_table(f) -> list[tuple[int, int, int]]:
+    """``(start, compressed size, plain size)`` of each frame of an open file, from its last bytes alone."""
+    end = f.size()
+    n, flags, magic = struct.unpack("<IBI", f.read_at(FOOTER, end - FOOTER))
     if magic != SEEKABLE:
         raise ValueError("no seek table")
     step, out, at = 8 + 4 * bool(flags & 0x80), [], 0
-    base = len(data) - 9 - n * step
+    table = f.read_at(n * step, end - FOOTER - n * step)
     for k in range(n):
-        size, plain = struct.unpack_from("<II", data, base + k * step)
+        size, plain = struct.unpack_from("<II", table, k * step)
         out.append((at, size, plain))
         at += size
     return out
@@ -114,7 +129,7 @@ def write_bundles(records: DataFrame, folder: str) -> DataFrame:
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = opened(folder)
         store.create_dir(base, recursive=True)
         columns = [c.split()[0] for c in CONTENTS.split(", ")]
 
@@ -141,32 +156,36 @@ def write_bundles(records: DataFrame, folder: str) -> DataFrame:
 
 
 def read_bundles(spark: SparkSession, folder: str, contents: DataFrame) -> DataFrame:
-    """Every record of the bundles that ``contents`` lists: ``page_id, headers, block``, read frame by frame through the seek tables."""
+    """Every record of the bundles that ``contents`` lists: ``page_id, headers, block``.
+
+    Names of bundles are dealt to tasks, which open them and read frame by frame through the seek tables: contents
+    are never shuffled, and a task holds one frame at a time.
+    """
     names = contents.select("file").distinct()
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").join(small(names, 200_000), "file", "left_semi").select("content")
+    names = names.repartition(max(1, min(10_000, names.count())), "file")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = opened(folder)
         for f in frames:
-            for data in f["content"]:
-                for start, size, plain in seek_table(data):
-                    raw, at, out = zstandard.ZstdDecompressor().decompress(data[start : start + size], max_output_size=plain), 0, []
-                    while at < len(raw):
-                        headers, block = parse(raw[at:])
-                        at = raw.index(b"\r\n\r\n", at) + 4 + len(block) + 4
-                        out.append((int(headers["warc-record-id"][len("<urn:page:") : -1]), headers, block))
-                    yield pd.DataFrame(out, columns=["page_id", "headers", "block"])
+            for name in f["file"]:
+                with store.open_input_file(f"{base}/{name}") as bundle:
+                    for start, size, plain in seek_table(bundle):
+                        raw, at, out = zstandard.ZstdDecompressor().decompress(bundle.read_at(size, start), max_output_size=plain), 0, []
+                        while at < len(raw):
+                            headers, block, at = parse(raw, at)
+                            out.append((int(headers["warc-record-id"][len("<urn:page:") : -1]), headers, block))
+                        yield pd.DataFrame(out, columns=["page_id", "headers", "block"])
 
-    return files.mapInPandas(run, "page_id long, headers map<string,string>, block binary")
+    return names.mapInPandas(run, "page_id long, headers map<string,string>, block binary")
 
 
 def fetch(folder: str, entry) -> tuple[dict[str, str], bytes]:
     """One record by its row of the table of contents: reads its frame only."""
-    store, base = fs.FileSystem.from_uri(folder)
+    store, base = opened(folder)
     with store.open_input_file(f"{base}/{entry.file}") as f:
         frame = f.read_at(entry.size, entry.start)
     raw = zstandard.ZstdDecompressor().decompressobj().decompress(frame)
-    return parse(raw[entry.offset : entry.offset + entry.length])
+    return parse(raw, entry.offset)[:2]
 
 
 def with_kinds(pages: DataFrame, least: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -112,3 +112,22 @@ def test_encoding_stage(corpus):
 def test_run(spark, corpus):
     got = C.run(spark, corpus[1])
     assert got.columns == ["doc_id", "ids", "scores"] and got.count() == corpus[0]["encoding"][1].count()
+
+
+def test_extra_columns_nulls_and_empty_tables(spark, tmp_path):
+    """Columns that clash with the operators' own stay as they are; an empty table gives an empty result."""
+    text = "the same few words are told again and again in another order here"
+    rows = [(i, f"{text} {i * 7919 % 101} {i} " * 3, "en", "ab"[i % 2], 5, f"p{i}", i, "r", 0.5, "t", i, "k") for i in range(12)]
+    rows += [(None, f"{text} without an id", None, None, None, "p", 1, "r", None, "t", 2, "k"), (3, None, None, None, None, None, None, None, None, None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, print string, id long, row string, size double, taken string, _id long, kept string"
+    docs = spark.createDataFrame(rows, schema)
+    spark.createDataFrame([(0, 1, 0), (1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    known = {tuple(r) for r in rows}
+    for name, stage in C.STAGES:
+        for n, frame in enumerate((docs, docs.limit(0))):
+            out = stage(spark, frame, str(tmp_path))
+            if name != "encoding":
+                assert out.columns == docs.columns
+                assert {tuple(r) for r in out.collect()} <= known if not n else out.count() == 0
+            else:
+                assert out.count() == (len(rows) if not n else 0)

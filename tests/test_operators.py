@@ -373,3 +373,15 @@ def test_input_segments_and_mapping(spark):
     rows = [("s1", "d1", "12.0", "x", 1), ("s1", "d2", "13.0", "y", 2), ("s2", "d3", "n/a", None, 1)]
     found = workflows.scene_mapping(spark.createDataFrame(rows, "scene_id string, dataset_name string, event_id string, event_name string, updated_time int"))
     assert sorted(map(tuple, found.collect())) == [("s1", "d2", 13, "y"), ("s2", "d3", None, None)]
+
+
+def test_line_distances_in_columns(spark):
+    from tracelake.operators import shapes
+
+    r = np.random.default_rng(6)
+    lines = [[(float(x), float(y)) for x, y in r.uniform(0, 0.01, (n, 2))] for n in (1, 2, 5, 8, 13)]
+    rows = [(i, j, [{"lon": x, "lat": y} for x, y in lines[i]], [{"lon": x, "lat": y} for x, y in lines[j]]) for i in range(5) for j in range(5)]
+    frame = spark.createDataFrame(rows, "i int, j int, a array<struct<lon:double,lat:double>>, b array<struct<lon:double,lat:double>>")
+    for x in frame.select("i", "j", shapes.frechet(F.col("a"), F.col("b")).alias("f"), shapes.hausdorff(F.col("a"), F.col("b")).alias("h")).collect():
+        a, b = np.array(lines[x.i]), np.array(lines[x.j])
+        assert x.f == pytest.approx(clustering.frechet(a, b)) and x.h == pytest.approx(clustering.hausdorff(a, b))

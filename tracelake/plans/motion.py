@@ -186,28 +186,6 @@ def f20(pts):
     return d.where("d > limit or twist_linear < 0.5").select("dataset_name", "seq", F.when(F.col("d") > F.col("limit"), "speed_change").otherwise("stop").alias("kind"))
 
 
-def neighbour_lines(pts):
-    lines = T.build(pts).select("dataset_name", "line")
-    a, b = lines.toDF("a", "line_a"), lines.toDF("b", "line_b")
-    # neighbours by number only: each line meets three others
-    key = lambda c: F.substring(c, 6, 9).cast("int")
-    near = a.withColumn("k", F.explode(F.sequence(key("a") + 1, key("a") + 3))).join(b.withColumn("k", key("b")), "k")
-    return near.drop("k")
-
-
-@query("f25_frechet", "pts")
-def f25(pts):
-    return C.line_distances(neighbour_lines(pts), "frechet").withColumn("distance", F.round("distance", 3))
-
-
-@query("f26_hausdorff", "pts", sql=f"""
-WITH l AS (SELECT dataset_name, CAST(substr(dataset_name, 6) AS INT) AS k, lon, lat, seq FROM pts),
-d AS (SELECT a.dataset_name AS a, b.dataset_name AS b, a.seq AS i, b.seq AS j, {HAV.format(x1='a.lon', y1='a.lat', x2='b.lon', y2='b.lat')} AS d FROM l a JOIN l b ON b.k BETWEEN a.k + 1 AND a.k + 3)
-SELECT a, b, round(greatest((SELECT max(m) FROM (SELECT min(d) AS m FROM d y WHERE y.a = x.a AND y.b = x.b GROUP BY i)), (SELECT max(m) FROM (SELECT min(d) AS m FROM d y WHERE y.a = x.a AND y.b = x.b GROUP BY j))), 3) AS distance FROM (SELECT DISTINCT a, b FROM d) x""")
-def f26(pts):
-    return C.line_distances(neighbour_lines(pts), "hausdorff").withColumn("distance", F.round("distance", 3))
-
-
 @query("f33_tortuosity", "pts", sql=f"WITH {STEP}, e AS (SELECT dataset_name, sum(step) AS length, {HAV.format(x1='arg_min(lon, seq)', y1='arg_min(lat, seq)', x2='arg_max(lon, seq)', y2='arg_max(lat, seq)')} AS straight FROM s GROUP BY 1) SELECT dataset_name, round(CASE WHEN straight < 1 THEN 1 ELSE length / straight END, 4) AS tortuosity FROM e")
 def f33(pts):
     ends = T.steps(pts).groupBy("dataset_name").agg(F.sum("step").alias("length"), *[f(c, "seq").alias(n) for n, f, c in (("a", F.min_by, "lon"), ("b", F.min_by, "lat"), ("c", F.max_by, "lon"), ("d", F.max_by, "lat"))])

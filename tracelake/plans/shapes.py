@@ -207,3 +207,20 @@ def f29(pts):
 SELECT pr.a, pr.b, round(sqrt({' + '.join(f'(u.{f} - v.{f}) * (u.{f} - v.{f})' for f in T.FEATURES)}), 5) AS distance FROM pr JOIN fe u ON u.o = pr.a JOIN fe v ON v.o = pr.b""")
 def f21(pts):
     return near_pairs(pts).select(F.col("l_o").alias("a"), F.col("r_o").alias("b"), F.round(S.euclidean("l_", "r_", T.FEATURES), 5).alias("distance"))
+
+
+METRES = "2 * 6371000 * asin(sqrt(sin(radians(q.lat - p.lat) / 2) ** 2 + cos(radians(p.lat)) * cos(radians(q.lat)) * sin(radians(q.lon - p.lon) / 2) ** 2))"
+TABLES = f"""{ENV}, pl AS (SELECT concat(dataset_name, '/', segment_index) AS o, list({{'lon': lon, 'lat': lat}} ORDER BY ts, seq) AS line FROM p GROUP BY 1),
+dm AS (SELECT a, b, list_transform(u.line, lambda p: list_transform(v.line, lambda q: {METRES})) AS d FROM pr JOIN pl u ON u.o = pr.a JOIN pl v ON v.o = pr.b)"""
+
+
+@query("f25_frechet", "pts", sql=f"""{TABLES}, fr AS (SELECT a, b, d, 0 AS i, list_transform(d[1], lambda x: CAST(NULL AS DOUBLE)) AS line FROM dm UNION ALL
+SELECT a, b, d, i + 1, list_reduce(list_transform(range(1, len(line) + 1), lambda j: [d[i + 1][j], line[j], CASE WHEN j > 1 THEN line[j - 1] END]), lambda s, x: list_append(s, greatest(x[1], least(x[2], x[3], s[-1]))), CAST([] AS DOUBLE[])) FROM fr WHERE i < len(d))
+SELECT a, b, round(line[-1], 3) AS distance FROM fr WHERE i = len(d)""")
+def f25(pts):
+    return near_pairs(pts).select(F.col("l_o").alias("a"), F.col("r_o").alias("b"), F.round(S.frechet(F.col("l_line"), F.col("r_line")), 3).alias("distance"))
+
+
+@query("f26_hausdorff", "pts", sql=f"""{TABLES} SELECT a, b, round(greatest(list_max(list_transform(d, lambda x: list_min(x))), list_max(list_transform(range(1, len(d[1]) + 1), lambda j: list_min(list_transform(d, lambda x: x[j]))))), 3) AS distance FROM dm""")
+def f26(pts):
+    return near_pairs(pts).select(F.col("l_o").alias("a"), F.col("r_o").alias("b"), F.round(S.hausdorff(F.col("l_line"), F.col("r_line")), 3).alias("distance"))

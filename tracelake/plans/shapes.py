@@ -224,3 +224,18 @@ def f25(pts):
 @query("f26_hausdorff", "pts", sql=f"""{TABLES} SELECT a, b, round(greatest(list_max(list_transform(d, lambda x: list_min(x))), list_max(list_transform(range(1, len(d[1]) + 1), lambda j: list_min(list_transform(d, lambda x: x[j]))))), 3) AS distance FROM dm""")
 def f26(pts):
     return near_pairs(pts).select(F.col("l_o").alias("a"), F.col("r_o").alias("b"), F.round(S.hausdorff(F.col("l_line"), F.col("r_line")), 3).alias("distance"))
+
+
+ZS = [f"z{i}" for i in range(len(T.FEATURES))]
+SPREAD = " + ".join(f"(s.{z} - c.{z}) * (s.{z} - c.{z})" for z in ZS)
+BETWEEN = " + ".join(f"(c.{z} - d.{z}) * (c.{z} - d.{z})" for z in ZS)
+
+
+@query("f23_davies_bouldin", "pts", sql=f"""WITH {CLUSTERS}, lz AS (SELECT k.grid_id, k.cluster_label, {', '.join(ZS)} FROM k JOIN sc USING (grid_id, o)), ce AS (SELECT grid_id, cluster_label, {', '.join(f'avg({z}) AS {z}' for z in ZS)} FROM lz GROUP BY 1, 2),
+sd AS (SELECT s.grid_id, s.cluster_label, avg(sqrt({SPREAD})) AS spread FROM lz s JOIN ce c ON c.grid_id = s.grid_id AND c.cluster_label = s.cluster_label GROUP BY 1, 2),
+wo AS (SELECT c.grid_id, c.cluster_label, max((x.spread + y.spread) / sqrt({BETWEEN})) AS worst FROM ce c JOIN ce d ON d.grid_id = c.grid_id AND d.cluster_label <> c.cluster_label JOIN sd x ON x.grid_id = c.grid_id AND x.cluster_label = c.cluster_label JOIN sd y ON y.grid_id = d.grid_id AND y.cluster_label = d.cluster_label GROUP BY 1, 2)
+SELECT grid_id, count(*) FILTER (cluster_label >= 0) AS clusters, round(avg(worst), 5) AS davies_bouldin FROM wo GROUP BY 1 HAVING count(*) FILTER (cluster_label >= 0) > 1""")
+def f23(pts):
+    found = grids(T.valid(segs(pts))).withColumn("order", F.concat_ws("/", *KEY))
+    labelled = C.clustered(T.scaled(found, "grid_id"), "grid_id", "order")
+    return C.davies_bouldin_by(labelled, "grid_id").withColumn("davies_bouldin", F.round("davies_bouldin", 5))

@@ -31,7 +31,7 @@ BANDS, ROWS = 28, 4  # at similarity 0.75 all bands miss with probability 2e-5,
 BASE = 1.02  # of the registers' exponential scale
 SHINGLE = 5
 SLACK = 0.16  # estimates this far below the threshold (over 4 standard deviations) go unverified
-TILE = 512  # rows of a block
+TILE = 2048  # rows of a block
 BROADCAST_IDS = 2_000_000  # 16 bytes each
 WEIGHTS = np.random.default_rng(11).integers(1, 2**63, SHINGLE, dtype=np.uint64) | np.uint64(1)
 MULTIPLIERS = np.random.default_rng(7).integers(1, 2**63, REGISTERS, dtype=np.uint64) | np.uint64(1)

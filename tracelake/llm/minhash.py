@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import connected_components, materialize, slices
+from tracelake.llm.common import connected_components, materialize, slices, small
 
 REGISTERS = 144
 BANDS, ROWS = 28, 4  # at similarity 0.75 all bands miss with probability 2e-5, at 0.8 with 4e-7
@@ -184,6 +184,7 @@ def tiles(members: DataFrame) -> DataFrame:
     """
     parts = members.groupBy("key", "component").agg(F.count("*").alias("n"))
     sizes = parts.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("main")).where("size > main.n")
+    sizes = small(materialize(sizes), 500_000)  # then members of a large bucket stay where they are
     block = lambda n: F.ceil(n / TILE).cast("int")
     m = members.join(sizes, "key").withColumn("outsider", F.col("component") != F.col("main.component"))
     m = m.withColumns({"askers": block(F.col("size") - F.col("main.n")), "asked": block(F.col("size"))})

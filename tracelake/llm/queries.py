@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracelake.llm import codes, embeddings, langid, minhash, mixing, pieces, pii, quality, secrets, topk, warc
+from tracelake.llm import alignment, codes, embeddings, langid, minhash, mixing, pieces, pii, quality, secrets, topk, warc
 from tracelake.llm.common import small_batches
 
 
@@ -56,6 +56,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.inspect(warc.read_bundles(spark, folder, contents))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.agreement(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op13_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.inspect(spark, table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_secret_scan": op9_secret_scan,
     "op10_warc": op10_warc,
+    "op12_alignment": op12_alignment,
     "op13_token_codes": op13_token_codes,
 }
 

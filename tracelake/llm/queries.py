@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracelake.llm import alignment, codes, embeddings, langid, minhash, mixing, pieces, pii, quality, secrets, topk, warc
+from tracelake.llm import alignment, codes, embeddings, langid, minhash, mixing, pieces, pii, quality, secrets, spelling, topk, warc
 from tracelake.llm.common import small_batches
 
 
@@ -56,6 +56,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.inspect(warc.read_bundles(spark, folder, contents))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.agreement(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_secret_scan": op9_secret_scan,
     "op10_warc": op10_warc,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_alignment": op12_alignment,
     "op13_token_codes": op13_token_codes,
 }
@@ -165,10 +170,41 @@ SELECT page_id, payload_bytes,
 FROM b
 """
 
+#: Variants of words by the texts with one letter less that they share; letters beyond ASCII become single bytes for the distance.
+SPELLING_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(list_prepend(i, range(0, 8)), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(0, 256) r(i)
+), runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+), some AS (
+  SELECT id, run, count(*) AS k, hex(encode(concat(id, ':', run))) AS x FROM runs WHERE length(run) >= 7 GROUP BY id, run
+), h AS (
+  SELECT run, k, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, length(x) // 2), lambda i: CAST(concat('0x', substr(x, CAST(2 * i + 1 AS INT), 2)) AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INT) + 1]))) AS h FROM some, crc
+), words AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n, translate(word, 'ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖ×ØÙÚÛÜÝÞßàáâãäåæçèéêëìíîïðñòóôõö÷øùúûüýþÿ', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789!"#$%&()*+,-./:;<=>?@[]^_{|}') AS plain
+  FROM (SELECT k, CASE WHEN h % 31 = 0 THEN concat(substr(run, 1, CAST(h % length(run) AS INT)), substr(run, CAST(h % length(run) AS INT) + 2)) ELSE run END AS word FROM h)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2
+), less AS (
+  SELECT word, n, plain, plain AS part FROM words
+  UNION SELECT word, n, plain, concat(substr(plain, 1, CAST(i AS INT)), substr(plain, CAST(i AS INT) + 2)) FROM (SELECT *, unnest(range(0, length(plain))) AS i FROM words)
+), near AS (
+  SELECT DISTINCT a.word, a.n, b.word AS form, b.n AS form_n FROM less a JOIN less b ON a.part = b.part AND a.word <> b.word WHERE levenshtein(a.plain, b.plain) = 1
+), best AS (
+  SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY form_n DESC, form) AS r FROM near
+), f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * w.n THEN form END AS form, CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n FROM words w LEFT JOIN best b ON b.word = w.word AND r = 1
+), walk AS (
+  SELECT word, word AS root, 0 AS k FROM f UNION ALL SELECT walk.word, f.form, k + 1 FROM walk JOIN f ON f.word = walk.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, (SELECT arg_max(root, k) FROM walk WHERE walk.word = f.word) AS root, f.n, f.n_near, f.form_n FROM f
+"""
+
 ORACLES = {
     "op1_embedding_near_dedup": COSINE_SQL,
     "op3_minhash_near_dedup": SHINGLE_SQL,
     "op5_mixing": MIX_SQL,
     "op7_exact_top_k": TOP_SQL,
     "op10_warc": WARC_SQL,
+    "op11_spelling_variants": SPELLING_SQL,
 }

@@ -57,27 +57,6 @@ def point_segment_distance(x: Column, y: Column, x1: Column, y1: Column, x2: Col
     return F.sqrt(ex * ex + ey * ey)
 
 
-def in_ring(x: Column, y: Column, ring: Column) -> Column:
-    """Point in polygon by ray casting; ``ring`` is an open or closed array of ``struct<x,y>``; the border counts."""
-    n = F.size(ring)
-
-    def edge(i: Column) -> tuple[Column, Column]:
-        return F.get(ring, i), F.get(ring, (i + 1) % n)
-
-    def crosses(i: Column) -> Column:
-        a, b = edge(i)
-        level = (a["y"] > y) != (b["y"] > y)
-        return level & (x < (b["x"] - a["x"]) * (y - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"])
-
-    def touches(i: Column) -> Column:
-        a, b = edge(i)
-        return point_segment_distance(x, y, a["x"], a["y"], b["x"], b["y"]) <= 1e-12
-
-    at = F.sequence(F.lit(0), n - 1)
-    odd = F.aggregate(at, F.lit(0), lambda acc, i: acc + F.when(crosses(i), 1).otherwise(0)) % 2 == 1
-    return F.coalesce(odd, F.lit(False)) | F.exists(at, touches)
-
-
 def clipped_fraction(x1: Column, y1: Column, x2: Column, y2: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
     """Share of a segment that lies in an envelope (Liang-Barsky)."""
     dx, dy = x2 - x1, y2 - y1

@@ -7,22 +7,7 @@ from math import pi
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracelake.functions.geo import haversine, in_ring
-
-
-def in_polygons(points: DataFrame, polygons: DataFrame, size: float = 0.002) -> DataFrame:
-    """One row for each point and polygon ``(polygon_id, ring)`` that holds it; the border counts.
-
-    Polygons are dealt to the cells of their envelopes; a point is in one cell.
-    """
-    at = lambda f, c: f(F.transform("ring", lambda p: p[c]))
-    ranges = [F.sequence(F.floor(at(F.array_min, c) / size).cast("long"), F.floor(at(F.array_max, c) / size).cast("long")) for c in ("x", "y")]
-    dealt = polygons.withColumn("gx", F.explode(ranges[0])).withColumn("gy", F.explode(ranges[1]))
-    dealt = dealt.withColumns({f"_{n}{c}": at(f, c) for c in ("x", "y") for n, f in (("min", F.array_min), ("max", F.array_max))})
-    found = points.where("lon is not null and lat is not null and ts is not null and dataset_name is not null")
-    found = found.withColumns({"gx": F.floor(F.col("lon") / size).cast("long"), "gy": F.floor(F.col("lat") / size).cast("long")})
-    near = F.col("lon").between(F.col("_minx"), F.col("_maxx")) & F.col("lat").between(F.col("_miny"), F.col("_maxy"))
-    return found.join(dealt, ["gx", "gy"]).where(near).where(in_ring(F.col("lon"), F.col("lat"), F.col("ring"))).drop("gx", "gy", "ring", "_minx", "_maxx", "_miny", "_maxy")
+from tracelake.functions.geo import haversine
 
 
 def build(points: DataFrame, *keys: str) -> DataFrame:

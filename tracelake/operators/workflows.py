@@ -11,6 +11,7 @@ from tracelake.operators import quality_check as H
 from tracelake.operators import roads as R
 from tracelake.operators import trajectories as T
 from tracelake.operators.boxes import box_join
+from tracelake.operators.polygons import in_polygons
 from tracelake.operators.shapes import planar
 from tracelake.sources.geojson import read_polygons, write_lines
 
@@ -21,7 +22,7 @@ NEAR_LANES, SAME_WAY = 10, 45.0
 
 def polygon_trajectories(points: DataFrame, polygons: DataFrame) -> DataFrame:
     """The whole trajectory of each dataset with a point in a polygon, statistics and ``polygon_ids`` (sorted) included."""
-    hit = T.in_polygons(points, polygons).groupBy("dataset_name").agg(F.array_sort(F.collect_set("polygon_id")).alias("polygon_ids"))
+    hit = in_polygons(points, polygons).groupBy("dataset_name").agg(F.array_sort(F.collect_set("polygon_id")).alias("polygon_ids"))
     return T.build(points.join(hit.select("dataset_name"), "dataset_name", "left_semi")).join(hit, "dataset_name")
 
 

@@ -8,6 +8,7 @@ from tracelake.functions.geo import METRES_PER_DEGREE
 from tracelake.operators import density as E
 from tracelake.operators import quality_check as H
 from tracelake.operators import workflows as W
+from tracelake.operators.polygons import rectangles
 from tracelake.plans.media import CLEAN, RECORDS, records
 from tracelake.plans.places import ALL
 from tracelake.plans.registry import query
@@ -16,12 +17,6 @@ from tracelake.plans.roads import HEADING, NEAR, TOLL, lanes_of, radius
 TURN = "least(abs({a} - {b}), 360 - abs({a} - {b}))"
 
 
-def rectangles(boxes, name):
-    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
-    ring = F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmax", "ymax"), corner("xmin", "ymax"))
-    return boxes.select(F.col(name).alias("polygon_id"), ring.alias("ring"))
-
-
 @query("d19_polygons_to_trajectories", "pts", "crossings", sql=f"""WITH g AS (SELECT dataset_name, string_agg(CAST(intersection_id AS VARCHAR), ',' ORDER BY intersection_id) AS polygon_ids FROM (SELECT DISTINCT p.dataset_name, c.intersection_id FROM {TOLL}) GROUP BY 1)
 SELECT dataset_name, polygon_ids, count(*) AS point_count, min(ts) AS start_time, max(ts) AS end_time, max(ts) - min(ts) AS duration FROM pts JOIN g USING (dataset_name) GROUP BY 1, 2 HAVING count(*) >= 2""")
 def d19(pts, crossings):

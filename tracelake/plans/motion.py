@@ -9,6 +9,7 @@ from tracelake.functions.geo import METRES_PER_DEGREE_AREA, haversine, shoelace
 from tracelake.operators import clustering as C
 from tracelake.operators import datasets as D
 from tracelake.operators import trajectories as T
+from tracelake.operators.polygons import in_polygons
 from tracelake.plans.registry import query
 
 HAV = "2 * 6371000 * asin(sqrt((sin(radians({y2} - {y1}) / 2) ** 2 + cos(radians({y1})) * cos(radians({y2})) * sin(radians({x2} - {x1}) / 2) ** 2)))"
@@ -36,8 +37,8 @@ SELECT p.dataset_name, p.seq, c.intersection_id AS polygon_id FROM pts p JOIN cr
 def d5(pts, crossings):
     corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
     ring = F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), F.struct(F.col("xmin").alias("x"), (F.col("ymin") + F.col("xmax") - F.col("xmin")).alias("y")))
-    triangles = crossings.where("intersectionsubtype = 3").select(F.col("intersection_id").alias("polygon_id"), ring.alias("ring"))
-    return T.in_polygons(pts, triangles).select("dataset_name", "seq", "polygon_id")
+    triangles = crossings.where("intersectionsubtype = 3").select(F.col("intersection_id").alias("polygon_id"), F.array(ring).alias("rings"))
+    return in_polygons(pts, triangles).select("dataset_name", "seq", "polygon_id")
 
 
 @query("d6_trajectories", "pts", sql="""

@@ -8,6 +8,7 @@ from tracelake.functions.geo import METRES_PER_DEGREE, bearing, haversine, headi
 from tracelake.operators import boxes as B
 from tracelake.operators import roads as R
 from tracelake.operators import trajectories as T
+from tracelake.operators.polygons import in_polygons, rectangles
 from tracelake.plans.registry import query
 
 CHAIN = """c AS (
@@ -153,9 +154,7 @@ TOLL = "pts p JOIN crossings c ON c.intersectiontype = 2 AND p.lon BETWEEN c.xmi
 
 
 def stations(pts, crossings):
-    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
-    ring = F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmax", "ymax"), corner("xmin", "ymax"))
-    return T.in_polygons(pts, crossings.where("intersectiontype = 2").select(F.col("intersection_id").alias("polygon_id"), ring.alias("ring")))
+    return in_polygons(pts, rectangles(crossings.where("intersectiontype = 2"), "intersection_id"))
 
 
 @query("g24_trajectories_in_tolls", "pts", "crossings", sql=f"SELECT c.intersection_id AS polygon_id, p.dataset_name, count(*) AS point_count, min(p.ts) AS first_ts, round(avg(CASE WHEN p.workstage = 2 THEN 1.0::DOUBLE ELSE 0 END), 4) AS workstage_2_ratio FROM {TOLL} GROUP BY 1, 2")

@@ -21,17 +21,18 @@ def features(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_polygons(spark: SparkSession, path: str) -> DataFrame:
-    """``(polygon_id, ring, properties)``; a MultiPolygon gives a row for each part; outer rings only."""
+    """``(polygon_id, rings, properties)``, holes included, as ``operators.polygons`` takes them; a MultiPolygon gives a row for each part."""
     f = features(spark, path)
     one = F.from_json("coordinates", f"array<array<{POINT}>>")
     more = F.from_json("coordinates", f"array<array<array<{POINT}>>>")
     parts = F.when(F.col("type") == "Polygon", F.array(one)).when(F.col("type") == "MultiPolygon", more)
     rows = f.where(F.col("type").isin("Polygon", "MultiPolygon")).select("position", "properties", F.posexplode(parts).alias("part", "rings"))
     name = F.coalesce(F.col("properties")["id"], F.col("properties")["polygon_id"], F.concat(F.lit("polygon_"), "position"))
-    ring = F.transform(F.get("rings", F.lit(0)), lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
+    place = lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))
     # a closing corner equal to the first adds nothing
-    ring = F.when(F.get(ring, F.lit(0)) == F.element_at(ring, -1), F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(1)))).otherwise(ring)
-    return rows.select(F.when(F.col("part") > 0, F.concat(name, F.lit("_"), "part")).otherwise(name).alias("polygon_id"), ring.alias("ring"), "properties")
+    opened = lambda r: F.when((F.size(r) > 1) & (F.get(r, F.lit(0)) == F.element_at(r, -1)), F.slice(r, 1, F.greatest(F.size(r) - 1, F.lit(1)))).otherwise(r)
+    rings = F.transform("rings", lambda r: opened(F.transform(r, place)))
+    return rows.select(F.when(F.col("part") > 0, F.concat(name, F.lit("_"), "part")).otherwise(name).alias("polygon_id"), rings.alias("rings"), "properties")
 
 
 def read_lines(spark: SparkSession, path: str, required: tuple[str, ...] = ("scene_id", "data_name")) -> DataFrame:

@@ -13,8 +13,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.llm.common import materialize, slices
-from tracelake.llm.words import Remembered, library, vocabulary
+from tracelake.llm.words import TOGETHER, Remembered, blobs, library, vocabulary
 
-PART = 1 << 20  # characters of text that a worker aligns together
-KEPT = 1 << 19  # ids of windows that a worker remembers
+PART = 1 << 19  # characters of text that a worker aligns together
+KEPT = 300_000  # windows that a worker remembers, about
+KEPT_WORDS = 1 << 23  # characters of words whose ids a worker keeps for each tokenizer, about
+SPELLED = 256  # links of a group whose pairs are written out before they are counted
 FEW = 2_000_000  # id pairs that are broadcast
 #: Neither tokenizer reaches across a space that follows something else and stands before a word.
 CUT = re.compile(r"(?<=[^ ]) (?=\S)")
@@ -53,72 +55,159 @@ def bytes_of_pieces(processor) -> list[bytes]:
 class Side:
     """One tokenizer: ids of texts, and of each id its length in bytes and whether it begins with a space."""
 
-    def __init__(self, encode, spelled: list[bytes]):
-        self.memory, self.spelled = Remembered(encode), spelled
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], spelled: list[bytes]):
+        self.encode, self.spelled, self.memory = encode, spelled, Remembered(self.checked, KEPT_WORDS)
         self.length = np.array([len(b) for b in spelled], np.int64)
         self.marked = np.array([b[:1] == b" " for b in spelled])
 
-    def ids(self, parts: list[list[str]]) -> list[bytes]:
-        known = self.memory.learn(p for some in parts for p in some)
-        return [b"".join(map(known.__getitem__, some)) for some in parts]
+    def exact(self, text: str, ids: bytes) -> bool:
+        """Whether ids spell the text."""
+        return b"".join(map(self.spelled.__getitem__, np.frombuffer(ids, "<u4").tolist())) == text.encode("utf-8", "surrogatepass")
+
+    def checked(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part; none where they don't spell it after a space. All are looked at together first."""
+        found, texts = self.encode(parts), [" " + p for p in parts]
+        raw = b"".join(found)
+        ends = np.concatenate([[0], np.cumsum(self.length[np.frombuffer(raw, "<u4")])])[np.cumsum([len(b) for b in found]) // 4]
+        if ends.tolist() == np.cumsum([octets(t) for t in texts]).tolist() and self.exact("".join(texts), raw):
+            return found
+        return [ids if self.exact(t, ids) else b"" for t, ids in zip(texts, found, strict=True)]
+
+    def ids(self, texts: list[list[str]]) -> list[bytes | None]:
+        """Ids of each text by its parts; None where they don't spell it."""
+        known, out = self.memory.learn(texts), []
+        for parts in texts:
+            some = [known[p] for p in parts]
+            if not all(some):  # whether bytes of parts make up for each other is told by the whole text
+                some = self.encode(parts)
+                if not self.exact("".join([" " + p for p in parts]), b"".join(some)):
+                    some = None
+            out.append(None if some is None else b"".join(some))
+        return out
+
+
+def octets(text: str) -> int:
+    """Length in UTF-8."""
+    return len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass"))
+
+
+def together(encode: Callable[[list[str]], list[list[int]]], length: np.ndarray, parts: list[str]) -> list[bytes]:
+    """Byte-level ids of each part after its space. Parts that begin with a word are handed over as one text, since no token reaches across; bytes tell where each ends."""
+    out = [b""] * len(parts)
+    plain, rest = [], []
+    for k, p in enumerate(parts):
+        (plain if p and not p[0].isspace() else rest).append(k)
+    for k, ids in zip(rest, blobs(encode([" " + parts[k] for k in rest])), strict=True):
+        out[k] = ids
+    texts = [" " + parts[k] for k in plain]
+    ids = np.fromiter(chain.from_iterable(encode(["".join(texts[at : at + TOGETHER]) for at in range(0, len(texts), TOGETHER)])), "<u4")
+    raw, ends = ids.tobytes(), (4 * np.searchsorted(np.cumsum(length[ids]), np.cumsum([octets(t) for t in texts])) + 4).tolist()
+    for k, start, end in zip(plain, [0, *ends], ends, strict=False):
+        out[k] = raw[start:end]
+    return out
 
 
 def sides(path_a: str, path_b: str) -> tuple[Side, Side]:
     """The byte-level tokenizer, given a part with the space before it, and the piece tokenizer, which adds that space."""
     import sentencepiece
 
-    encode, pieces = library(path_a, plain=True), sentencepiece.SentencePieceProcessor(model_file=path_b)
-    return Side(lambda parts: encode([" " + p for p in parts]), bytes_of_bytelevel(path_a)), Side(lambda parts: pieces.encode(parts, num_threads=1), bytes_of_pieces(pieces))
+    encode, pieces, spelled = library(path_a, plain=True), sentencepiece.SentencePieceProcessor(model_file=path_b), bytes_of_bytelevel(path_a)
+    length = np.array([len(b) for b in spelled], np.int64)
+    return Side(lambda parts: together(encode, length, parts), spelled), Side(lambda parts: blobs(pieces.encode(parts, num_threads=1)), bytes_of_pieces(pieces))
+
+
+def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``start, start + 1, ...`` for each row, ``count`` of them, one after the other."""
+    return np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+
+class Rows:
+    """Arrays of any length one after the other, and where each begins; grows by doubling."""
+
+    def __init__(self, width: int = 1):
+        self.flat, self.ends, self.n, self.used = np.zeros((1024, width), np.int64), np.zeros(1024, np.int64), 0, 0
 
+    def extend(self, flat: np.ndarray, counts: np.ndarray) -> None:
+        for name, room in (("flat", self.used + len(flat)), ("ends", self.n + len(counts) + 1)):
+            old = getattr(self, name)
+            if room > len(old):
+                setattr(self, name, np.concatenate([old, np.zeros((2 * room - len(old), *old.shape[1:]), np.int64)]))
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.ends[self.n + 1 : self.n + 1 + len(counts)] = self.used + np.cumsum(counts)
+        self.used, self.n = self.used + len(flat), self.n + len(counts)
 
-def groups(a: np.ndarray, b: np.ndarray, length_a: np.ndarray, length_b: np.ndarray) -> Iterator[tuple[list[int], list[int]]]:
-    """Ids of A and of B between places where both end."""
-    i = j = m = n = 0
-    end_a, end_b = np.cumsum(length_a[a]).tolist(), np.cumsum(length_b[b]).tolist()
-    a, b = a.tolist(), b.tolist()
-    while i < len(a):
-        if end_a[i] == end_b[j]:
-            i, j = i + 1, j + 1
-            yield a[m:i], b[n:j]
-            m, n = i, j
-        elif end_a[i] < end_b[j]:
-            i += 1
-        else:
-            j += 1
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The arrays of these rows one after the other, and how long each is."""
+        counts = self.ends[rows + 1] - self.ends[rows]
+        return self.flat[ranges(self.ends[rows], counts)], counts
 
 
-class Windows(dict):
-    """What follows from a window's ids: its number, and by number the text of its groups, how many groups and links, and the links counted by id pair."""
+class Windows:
+    """What follows from a window's ids: its number, and by number the text of its groups, their sizes, and its links counted by id pair.
+
+    New windows are worked out many at a time, as if their ids were one text's.
+    """
 
     def __init__(self, a: Side, b: Side):
         self.a, self.b = a, b
+        most = max(len(a.spelled), len(b.spelled))
+        self.shift = most.bit_length()  # an id pair is one number
+        self.strings = [mark + str(i) for mark in ("", ",", "|", ";") for i in range(most)]
+        self.most = most
         self.forget()
 
     def forget(self) -> None:
-        self.clear()
-        self.size, self.text, self.n_groups, self.n_links, self.codes, self.times, self.ends = 0, [], [], [], [], [], []
-
-    def __missing__(self, ids: tuple[bytes, bytes]) -> int:
-        a, b = (np.frombuffer(x, "<u4") for x in ids)
-        text, links, pairs, ends, m, n = [], 0, Counter(), [], 0, 0
-        for some, others in groups(a, b, self.a.length, self.b.length):
-            text.append(",".join(map(str, some)) + "|" + ",".join(map(str, others)))
-            links += len(some) * len(others)
-            m, n = m + len(some), n + len(others)
-            ends.append((m, n))
-            many = Counter(others)
-            for x, k in Counter(some).items():
-                for y, l in many.items():
-                    pairs[x << 32 | y] += k * l
-        self[ids] = number = len(self.text)
-        self.text.append(";".join(text).encode())
-        self.n_groups.append(len(text))
-        self.n_links.append(links)
-        self.codes.append(np.fromiter(pairs, np.int64, len(pairs)))
-        self.times.append(np.fromiter(pairs.values(), np.int64, len(pairs)))
-        self.ends.append(np.array(ends, np.int64))
-        self.size += len(a) + len(b)
-        return number
+        self.known, self.text, self.sizes, self.pairs = {}, [], Rows(2), Rows(2)
+
+    def learn(self, new: list[tuple[bytes, bytes]]) -> None:
+        """Number windows that aren't known yet."""
+        a, b = (np.frombuffer(b"".join([k[s] for k in new]), "<u4").astype(np.int64) for s in (0, 1))
+        n_a, n_b = (np.array([len(k[s]) for k in new], np.int64) // 4 for s in (0, 1))
+        end_a, end_b = np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b])
+        at = np.searchsorted(end_b, end_a)
+        shared = np.flatnonzero(end_b[at] == end_a)  # the last ids end together
+        last_a, last_b = shared + 1, at[shared] + 1
+        size_a, size_b = np.diff(last_a, prepend=0), np.diff(last_b, prepend=0)
+        start_a, start_b = last_a - size_a, last_b - size_b
+        groups = np.diff(np.searchsorted(last_a, np.cumsum(n_a)) + 1, prepend=0)  # of each window
+        window = np.repeat(np.arange(len(new)), groups)
+        self.sizes.extend(np.stack([size_a, size_b], 1), groups)
+        self.count(a, b, start_a, start_b, size_a, size_b, window, len(new))
+        # ids in the order of the text, and what stands before each
+        of_a, of_b = np.repeat(np.arange(len(shared)), size_a), np.repeat(np.arange(len(shared)), size_b)
+        mark_a, mark_b = np.ones(len(a), np.int64), np.ones(len(b), np.int64)
+        mark_a[start_a], mark_b[start_b] = 3, 2
+        mark_a[np.cumsum(n_a) - n_a] = 0
+        order = np.argsort(np.concatenate([2 * of_a, 2 * of_b + 1]), kind="stable")
+        items = list(map(self.strings.__getitem__, np.concatenate([mark_a * self.most + a, mark_b * self.most + b])[order].tolist()))
+        ends = np.cumsum(n_a + n_b).tolist()
+        self.text += ["".join(items[i:j]) for i, j in zip([0, *ends], ends, strict=False)]
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+
+    def count(self, a, b, start_a, start_b, size_a, size_b, window, n: int) -> None:
+        """Links of each window by id pair. Pairs of a large group are counted from those of its distinct ids."""
+        links = size_a * size_b
+        few = np.flatnonzero(links <= SPELLED)
+        group = np.repeat(few, links[few])
+        k = ranges(np.zeros(len(few), np.int64), links[few])
+        found = [(window[group], a[start_a[group] + k // size_b[group]] << self.shift | b[start_b[group] + k % size_b[group]], np.ones(len(group), np.int64))]
+        for g in np.flatnonzero(links > SPELLED).tolist():
+            (x, m), (y, l) = (np.unique(ids[i : i + s], return_counts=True) for ids, i, s in ((a, start_a[g], size_a[g]), (b, start_b[g], size_b[g])))
+            codes = (x[:, None] << self.shift | y).ravel()
+            found.append((np.full(len(codes), window[g]), codes, (m[:, None] * l).ravel()))
+        where, codes, times = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(where, kind="stable")
+        self.pairs.extend(np.stack([codes[order], times[order]], 1), np.bincount(where, minlength=n))
+
+    def numbers(self, texts: list[list[tuple[bytes, bytes]]]) -> list[list[int]]:
+        """Numbers of the windows of each text."""
+        new = [k for k in dict.fromkeys(k for some in texts for k in some) if k not in self.known]
+        if new and len(self.known) > KEPT:
+            self.forget()
+            new = list(dict.fromkeys(k for some in texts for k in some))
+        if new:
+            self.learn(new)
+        return [[self.known[k] for k in some] for some in texts]
 
 
 class Aligner:
@@ -138,24 +227,18 @@ class Aligner:
         shared = (met > 1) & (at_b > 0)
         return np.concatenate([[0], met[shared] - 1, [len(a)]]), np.concatenate([[0], at_b[shared], [len(b)]])
 
-    def exact(self, text: str, a: np.ndarray, b: np.ndarray) -> bool:
-        """Whether both sides' bytes are those of space and text; lengths are compared first."""
-        raw = (" " + text).encode("utf-8", "surrogatepass")
-        return all(int(s.length[x].sum()) == len(raw) and b"".join(map(s.spelled.__getitem__, x.tolist())) == raw for s, x in ((self.a, a), (self.b, b)))
-
-    def align(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, list[int]] | None]:
-        """For each text its ids of A and B and the numbers of its windows; None for a text without tokens."""
+    def align(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray, list[int]]]:
+        """For each text its ids of A and B and the numbers of its windows; none for a text without tokens."""
         parts = [CUT.split(t) if t else [] for t in texts]
-        if self.windows.size > KEPT:
-            self.windows.forget()
-        for text, raw_a, raw_b in zip(texts, self.a.ids(parts), self.b.ids(parts), strict=True):
+        ids, keys = [], []
+        for raw_a, raw_b in zip(self.a.ids(parts), self.b.ids(parts), strict=True):
+            if not raw_a or not raw_b:  # empty, or not spelled
+                raw_a = raw_b = b""
             a, b = np.frombuffer(raw_a, "<u4"), np.frombuffer(raw_b, "<u4")
-            if not text or not self.exact(text, a, b):
-                yield None
-                continue
-            cut_a, cut_b = ((4 * x).tolist() for x in self.anchors(a, b))
-            windows = self.windows
-            yield a, b, [windows[raw_a[i:j], raw_b[m:n]] for i, j, m, n in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]  # noqa: B905
+            cut_a, cut_b = ((4 * x).tolist() for x in self.anchors(a, b)) if raw_a else ([], [])
+            ids.append((a, b))
+            keys.append([(raw_a[i:j], raw_b[m:n]) for i, j, m, n in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])])  # noqa: B905
+        return [(*x, numbers) for x, numbers in zip(ids, self.windows.numbers(keys), strict=True)]
 
 
 def chunks(column: pa.Array) -> Iterator[list[str | None]]:
@@ -171,10 +254,13 @@ def chunks(column: pa.Array) -> Iterator[list[str | None]]:
         yield some
 
 
-def listed(arrays: list[np.ndarray], kind: type) -> pa.ListArray:
+def offsets(lengths) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+
+
+def listed(arrays: list[np.ndarray]) -> pa.ListArray:
     """A list column of one array a row."""
-    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*arrays, np.zeros(0, kind)]).astype(kind)))
+    return pa.ListArray.from_arrays(offsets([len(x) for x in arrays]), pa.array(np.concatenate(arrays).astype(np.int32)))
 
 
 def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_a: str | None = None, path_b: str | None = None, spans: bool = True) -> DataFrame:
@@ -188,7 +274,6 @@ def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
     """
     path_a, path_b = path_a or vocabulary("byte_bpe_50k.json"), path_b or vocabulary("piece_bpe_32k.model")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    none = np.zeros(0, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(path_a, path_b)
@@ -196,31 +281,26 @@ def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
         for batch in slices(batches):
             at = 0
             for texts in chunks(batch.column("text")):
-                counts, hashes, codes, times, ids_a, ids_b, ends = [], [], [], [], [], [], []
-                for found in aligner.align(texts):
-                    a, b, numbers = found or (none, none, [])
-                    seen = Counter(numbers)
-                    counts.append((len(a), len(b), sum(map(w.n_groups.__getitem__, numbers)), sum(map(w.n_links.__getitem__, numbers))))
-                    hashes.append(hashlib.sha256(b";".join(map(w.text.__getitem__, numbers))).hexdigest() if found else "")
-                    pairs = np.concatenate([none, *map(w.codes.__getitem__, seen)])
-                    often = np.concatenate([none, *(w.times[k] * n for k, n in seen.items())])
-                    pairs, which = np.unique(pairs, return_inverse=True)
-                    codes.append(pairs)
-                    times.append(np.bincount(which, often, len(pairs)).astype(np.int64))
-                    if spans:
-                        ids_a.append(a)
-                        ids_b.append(b)
-                        each = [w.ends[k] for k in numbers]
-                        base = np.cumsum([[0, 0], *(e[-1] for e in each)], axis=0)
-                        ends.append(np.concatenate([np.zeros((0, 2), np.int64), *(e + start for e, start in zip(each, base, strict=False))]))
+                found = aligner.align(texts)
+                size = np.array([len(n) for _, _, n in found])
+                numbers, row = np.array([k for _, _, n in found for k in n], np.int64), np.repeat(np.arange(len(found)), size)
+                each, groups = w.sizes.take(numbers)
+                of_group = np.repeat(row, groups)
+                total = lambda x, of: np.bincount(of, x, len(found)).astype(np.int64)  # noqa: B023, E731
+                counts = [[len(a) for a, _, _ in found], [len(b) for _, b, _ in found], total(groups, row), total(each[:, 0] * each[:, 1], of_group)]
+                hashes = [hashlib.sha256(";".join(map(w.text.__getitem__, n)).encode()).hexdigest() if n else "" for _, _, n in found]
+                links, n_pairs = w.pairs.take(numbers)
+                key, which = np.unique(np.repeat(row, n_pairs) << 2 * w.shift | links[:, 0], return_inverse=True)
+                pairs = [key >> w.shift & (1 << w.shift) - 1, key & (1 << w.shift) - 1, np.bincount(which, links[:, 1], len(key))]
+                struct = pa.StructArray.from_arrays([pa.array(x.astype(k)) for x, k in zip(pairs, (np.int32, np.int32, np.int64), strict=True)], ["a", "b", "times"])
                 names = batch.column("id").slice(at, len(texts))
                 at += len(texts)
-                pairs = listed(codes, np.int64)
-                flat = pairs.flatten().to_numpy(zero_copy_only=False)
-                struct = pa.StructArray.from_arrays([pa.array((flat >> 32).astype(np.int32)), pa.array((flat & 0xFFFFFFFF).astype(np.int32)), listed(times, np.int64).flatten()], ["a", "b", "times"])
-                columns = [names, *(pa.array(c, pa.int64()) for c in zip(*counts, strict=True)), pa.array(hashes), pa.ListArray.from_arrays(pairs.offsets, struct)]
+                columns = [names, *(pa.array(c, pa.int64()) for c in counts), pa.array(hashes), pa.ListArray.from_arrays(offsets(np.bincount(key >> 2 * w.shift, minlength=len(found))), struct)]
                 if spans:
-                    columns += [listed(ids_a, np.int32), listed(ids_b, np.int32), listed([e[:, 0] for e in ends], np.int32), listed([e[:, 1] for e in ends], np.int32)]
+                    n_groups = np.bincount(of_group, minlength=len(found))
+                    columns += [listed([x[k] for x in found]) for k in (0, 1)]
+                    parts = np.split(each, np.cumsum(n_groups)[:-1])
+                    columns += [listed([np.cumsum(x[:, k]) for x in parts]) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in columns_of(spans).split("; ")])
 
     kind = dict(rows.dtypes)["id"]

@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 
 from tracelake.llm.common import materialize, shared_dir, slices, small
 from tracelake.llm.warc import opened
-from tracelake.llm.words import Remembered, library, vocabulary
+from tracelake.llm.words import LowerWords, Remembered, vocabulary
 
-FILE_TOKENS = 1 << 22  # tokens after which a file is closed; a longer document has a file of its own
+FILE_TOKENS = 1 << 21  # tokens after which a file is closed; a longer document has a file of its own
 TASK_BYTES = 1 << 26  # bytes of text that a task encodes and writes, about
 RUN = 1 << 18  # tokens that are packed or decoded together
 BLOCK = 512  # bits of a bitmap for each entry of its rank directory
@@ -139,7 +139,7 @@ def order(id_col: Column, text: Column) -> list[Column]:
 def encoded(texts: list[str], memory: Remembered, end: int) -> list[bytes]:
     """Ids of each text and the end id; words are cut at ASCII white space, which no token holds."""
     words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-    known = memory.learn(w for some in words for w in some)
+    known = memory.learn(words)
     close = struct.pack("<I", end)
     return [b"".join([*map(known.__getitem__, some), close]) for some in words]
 
@@ -162,7 +162,7 @@ def write_codes(docs: DataFrame, folder: str | None = None, id_col: str = "doc_i
     ordered = rows.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, part = Remembered(library(path)), TaskContext.get().partitionId()
+        memory, part = Remembered(LowerWords(path)), TaskContext.get().partitionId()
         store, base = opened(folder)
         store.create_dir(base, recursive=True)
         ids, blobs, size, seq = [], [], 0, 0

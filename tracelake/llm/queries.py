@@ -176,11 +176,11 @@ WITH RECURSIVE crc AS (
   SELECT list(list_reduce(list_prepend(i, range(0, 8)), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(0, 256) r(i)
 ), runs AS (
   SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
-), some AS (
+), held AS (
   SELECT id, run, count(*) AS k, hex(encode(concat(id, ':', run))) AS x FROM runs WHERE length(run) >= 7 GROUP BY id, run
 ), h AS (
   SELECT run, k, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, length(x) // 2), lambda i: CAST(concat('0x', substr(x, CAST(2 * i + 1 AS INT), 2)) AS BIGINT))),
-    lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INT) + 1]))) AS h FROM some, crc
+    lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INT) + 1]))) AS h FROM held, crc
 ), words AS (
   SELECT word, CAST(sum(k) AS BIGINT) AS n, translate(word, 'ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖ×ØÙÚÛÜÝÞßàáâãäåæçèéêëìíîïðñòóôõö÷øùúûüýþÿ', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789!"#$%&()*+,-./:;<=>?@[]^_{|}') AS plain
   FROM (SELECT k, CASE WHEN h % 31 = 0 THEN concat(substr(run, 1, CAST(h % length(run) AS INT)), substr(run, CAST(h % length(run) AS INT) + 2)) ELSE run END AS word FROM h)

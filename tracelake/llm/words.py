@@ -2,16 +2,22 @@
 
 A text is cut where no token of the tokenizer can reach across, so that encoding the parts gives the ids
 of the whole text; each distinct part is then encoded once by the library. What is kept is bounded in
-size and dropped when the bound is reached.
+size and dropped when the bound is reached. Ids are bytes of little-endian unsigned 32-bit integers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import json
+import re
+from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
-KEPT = 1 << 25  # characters of words whose ids a worker keeps
+KEPT = 1 << 24  # characters of words whose ids a worker keeps, about
+TOGETHER = 100  # words that are handed to the library as one text
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+MARKS = '!"#$%&()*+,-./:;=?@[]^_`{}~'  # marks that may close a word; none takes part in a contraction or a special token
 
 
 def vocabulary(name: str) -> str:
@@ -27,22 +33,73 @@ def library(path: str, plain: bool = False) -> Callable[[list[str]], list[list[i
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = plain
-    return lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def blobs(lists: list[list[int]]) -> list[bytes]:
+    """Ids of each list as bytes."""
+    raw, ends = np.fromiter(chain.from_iterable(lists), "<u4").tobytes(), (4 * np.cumsum([0, *map(len, lists)])).tolist()
+    return [raw[i:j] for i, j in zip(ends, ends[1:])]  # noqa: B905
 
 
 class Remembered:
-    """Ids of words, as bytes of little-endian unsigned 32-bit integers."""
+    """Ids of words by a function that encodes many."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], kept: int = KEPT):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], kept: int = KEPT):
         self.encode, self.kept, self.size, self.known = encode, kept, 0, {}
 
-    def learn(self, words: Iterable[str]) -> dict[str, bytes]:
-        """Ids of at least these words."""
-        words = set(words)
+    def learn(self, texts: list[list[str]]) -> dict[str, bytes]:
+        """Ids of at least these texts' words."""
+        words = set().union(*texts)
         new = list(words.difference(self.known))
         if new and self.size > self.kept:
             self.known, self.size, new = {}, 0, list(words)
-        for word, ids in zip(new, self.encode(new), strict=True):
-            self.known[word] = np.array(ids, "<u4").tobytes()
-            self.size += len(word) + 16
+        if new:
+            self.known.update(zip(new, self.encode(new), strict=True))
+            self.size += sum(map(len, new)) + 16 * len(new)
         return self.known
+
+
+class LowerWords:
+    """Words of a tokenizer that takes them in lower case, as runs of letters and of marks, each ending in a piece with the word's end.
+
+    A word of letters alone needs none of that preparation: such words are handed over many at a time, and the pieces
+    with a word's end tell them apart. Marks that close such a word are a run of their own. All other words, and all words
+    of a tokenizer of another make, are encoded as they are.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.whole, bare = library(path), Tokenizer.from_file(path)
+        make = json.loads(bare.to_str())
+        kinds = lambda part, inner: [x["type"] for x in (make[part] or {}).get(inner, [])]
+        suffix = make["model"].get("end_of_word_suffix")
+        self.simple = bool(suffix) and kinds("normalizer", "normalizers") == ["NFC", "Replace", "Lowercase"] and kinds("pre_tokenizer", "pretokenizers") == ["Split", "ByteLevel"] and r"|[\p{L}]+|" in json.dumps(make["pre_tokenizer"]).replace("\\\\", "\\")
+        bare.normalizer, bare.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.bare = bare
+        self.closing = np.zeros(bare.get_vocab_size(), bool)
+        if self.simple:
+            self.closing[[i for piece, i in bare.get_vocab().items() if piece.endswith(suffix)]] = True
+        self.cores, self.tails = Remembered(self.letters), Remembered(lambda words: blobs(self.whole(words)))
+
+    def letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of lower-case letters."""
+        groups = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        out = []
+        for group, encoding in zip(groups, self.bare.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(encoding.ids, "<u4")
+            raw, ends = ids.tobytes(), (4 * np.flatnonzero(self.closing[ids]) + 4).tolist()
+            out += [raw[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+            if len(ends) != len(group):
+                raise ValueError("words and their ends differ in number")
+        return out
+
+    def __call__(self, words: list[str]) -> list[bytes]:
+        if not self.simple:
+            return blobs(self.whole(words))
+        cores = [w.rstrip(MARKS) for w in words]
+        plain = [c.lower() if LETTERS.fullmatch(c) else None for c in cores]
+        tails = [w[len(c) :] if p else w for w, c, p in zip(words, cores, plain, strict=True)]
+        known, ends = self.cores.learn([[p for p in plain if p]]), self.tails.learn([tails])
+        return [known[p] + ends[t] if p else ends[t] for p, t in zip(plain, tails, strict=True)]

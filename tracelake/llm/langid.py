@@ -2,14 +2,13 @@
 
 Sparse multinomial logistic regression on TF-IDF character n-grams (code points of the lower-cased text,
 anything but letters read as a space), trained with follow-the-regularised-leader and elastic-net
-penalties on a bounded sample, which reaches the driver as hashed sparse vectors of bounded length; a
-temperature then calibrates its probabilities. Document frequencies cover all documents that may be
+penalties on a bounded sample of documents, which reaches the driver as hashed sparse vectors (``BUCKETS``
+entries at most); a temperature then calibrates its probabilities. Document frequencies cover all documents that may be
 learned from.
 """
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
@@ -23,11 +22,13 @@ from tracelake.llm.common import slices
 
 BITS = 15
 BUCKETS = 1 << BITS
-SAMPLE = 6000  # documents that are trained on, about, shared equally by the languages: those of smallest hash
-LANGUAGES = 1000  # the languages of most documents that are told apart
-FEATURES = 1000  # of a training document's n-grams, those of largest weight, reach the driver
+SAMPLE = 3000  # documents that are trained on, about, shared equally by the languages: those of smallest hash
 EPOCHS, RATE, LASSO, RIDGE = 2, 0.5, 0.02, 1e-4
-LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether the text has a code point of a letter category."""
+    return any(map(str.isalpha, text))
 
 
 @cache
@@ -44,7 +45,7 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     for n in (1, 2, 3):
         if n > 1:
             code = code[:-1] * np.uint64(1 << 21) + c[n - 1 :]
-        mixed = (code ^ (code >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n) * np.uint64(0xD6E8FEB86659FD93)
+        mixed = (code ^ (code >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n * 0xD6E8FEB86659FD93 % (1 << 64))
         parts.append(mixed >> np.uint64(64 - BITS))
         if len(c) <= n:
             break
@@ -98,7 +99,7 @@ def train(rows: DataFrame):
         df, docs = np.zeros(BUCKETS, np.int64), 0
         for batch in slices(batches):
             for t in batch.column("text"):
-                at, _ = grams(t.as_py()) if LETTER.search(t.as_py()) else (np.zeros(0, int), None)
+                at, _ = grams(t.as_py()) if has_letter(t.as_py()) else (np.zeros(0, int), None)
                 df[at] += 1
                 docs += 1
         at = np.flatnonzero(df)
@@ -110,7 +111,7 @@ def train(rows: DataFrame):
     idf = np.full(BUCKETS, np.log(1 + total) + 1)
     idf[df["bucket"]] = np.log((1 + total) / (1 + df["n"])) + 1
 
-    sizes = rows.where(F.col("text").rlike(r"\p{L}")).groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(LANGUAGES).toPandas()
+    sizes = rows.where(F.col("text").rlike(r"\p{L}")).groupBy("lang").agg(F.count("*").alias("rows")).toPandas()
     languages = sorted(sizes["lang"])
     index = {k: i for i, k in enumerate(languages)}
     share = max(1, SAMPLE // max(1, len(languages)))  # a language of no more documents than that keeps all of them
@@ -122,10 +123,9 @@ def train(rows: DataFrame):
         for batch in slices(batches):
             out = []
             for text, lang, place, name in zip(*(batch.column(c) for c in ("text", "lang", "place", "id")), strict=True):
-                if LETTER.search(text.as_py()):
+                if has_letter(text.as_py()):
                     at, x = vector(text.as_py(), idf)
-                    top = np.sort(np.argsort(-x, kind="stable")[:FEATURES])
-                    out.append((place.as_py(), name.as_py(), lang.as_py(), at[top].astype(np.int32).tobytes(), x[top].astype(np.float32).tobytes()))
+                    out.append((place.as_py(), name.as_py(), lang.as_py(), at.astype(np.int32).tobytes(), x.astype(np.float32).tobytes()))
             columns = list(zip(*out, strict=True)) if out else [[]] * 5
             kinds = (pa.int64(), pa.string(), pa.string(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["place", "id", "lang", "at", "x"])
@@ -147,20 +147,22 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """``(id, held_out, lang_pred, score)``, one row for each row of ``docs``.
 
     Learned from documents whose ``crc32(id as text) mod fold`` is not 0; the others are held out.
-    A row without id is neither held out nor learned from. Languages beyond the ``LANGUAGES`` largest aren't learned.
+    A row without id is neither held out nor learned from. Every language that has a text with letters is learned.
     ``und`` with score 0 where the text is null or has no letter, or where nothing could be learned.
     Repeated rows repeat; equal probabilities go to the first language by name; no rows give no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.withColumn("held_out", F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % fold == 0, F.lit(False)))
     languages, weights, idf, heat = train(rows.where(~F.col("held_out")))
+    model = rows.sparkSession.sparkContext.broadcast((weights.astype(np.float32), idf))  # BUCKETS weights a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, idf = model.value
         for batch in slices(batches):
             names, scores = [], []
             for cell in batch.column("text"):
                 text = cell.as_py()
-                if not languages or not text or not LETTER.search(text):
+                if not languages or not text or not has_letter(text):
                     names.append("und")
                     scores.append(0.0)
                     continue

@@ -419,6 +419,19 @@ def test_thirty_languages_and_scripts(spark):
     assert np.mean([x.lang_pred == truth[x.id] for x in held]) > 0.95
 
 
+def test_letters_are_letters():
+    assert not any(map(langid.has_letter, ["", "² ①", "12 ½ Ⅷ", "_\u0301 \U0001f600"])) and all(map(langid.has_letter, ["ª", "中", "1a", "ǅ", "ʰ"]))
+
+
+def test_transitions_are_counted_by_token():
+    tokens = ["abc", "a", "Zz9", "abab", "=="]
+    plain = np.zeros((len(secrets.ALPHABET) + 1, len(secrets.ALPHABET)))
+    for t in tokens:
+        for before, c in zip([None, *t], t, strict=False):
+            plain[len(secrets.ALPHABET) if before is None else secrets.ALPHABET.index(before), secrets.ALPHABET.index(c)] += 1
+    assert np.array_equal(secrets.Markov.counts(tokens), plain) and not secrets.Markov.counts([]).any()
+
+
 def test_character_grams():
     at, n = langid.grams("ДА да")
     assert n.sum() == 5 + 4 + 3

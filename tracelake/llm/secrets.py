@@ -28,7 +28,6 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")  # whole runs of 16 or more are
 TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SAMPLE_ROWS = 20_000  # documents, about as many, those of smallest hash, whose tokens are labelled samples
-SAMPLE_TOKENS = 200  # of each of these
 LEAST_GAIN = 12.0  # natural log; a random token is then 160,000 times likelier under the random model
 LEAST_GAIN_LETTERS = 24.0  # the same for tokens without digits
 
@@ -41,10 +40,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def codes(token: str) -> np.ndarray:
-    table = np.full(128, -1)
-    table[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
-    return table[np.frombuffer(token.encode("ascii"), np.uint8)]
+#: Code of each byte: its place in the alphabet, or the number of letters, which stands for a token's start.
+CODES = bytes(ALPHABET.find(chr(b)) if chr(b) in ALPHABET else len(ALPHABET) for b in range(256))
+
+
+def codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("ascii").translate(CODES), np.uint8).astype(np.int64)
 
 
 class Markov:
@@ -54,17 +55,18 @@ class Markov:
         self.log = np.log((counts + 1) / (counts + 1).sum(axis=1, keepdims=True))
 
     @staticmethod
-    def counts(tokens: Iterator[str]) -> np.ndarray:
+    def counts(tokens: list[str]) -> np.ndarray:
+        """How often a letter follows another, or a token's start: all tokens are counted together, each after a start mark."""
         n = len(ALPHABET)
-        out = np.zeros((n + 1, n))
-        for t in tokens:
-            c = codes(t)
-            np.add.at(out, (np.concatenate([[n], c[:-1]]), c), 1)
-        return out
+        c = codes("\n".join(["", *tokens]))
+        step = c[:-1] * n + c[1:]
+        return np.bincount(step[c[1:] < n], minlength=(n + 1) * n).reshape(n + 1, n).astype(float)
+
 
-    def score(self, token: str) -> float:
-        c = codes(token)
-        return float(self.log[np.concatenate([[len(ALPHABET)], c[:-1]]), c].sum())
+def gain(token: str, noise: Markov, plain: Markov) -> float:
+    """Log-likelihood of a token as a random string, less that as an ordinary one."""
+    c = codes("\n" + token)
+    return float((noise.log[c[:-1], c[1:]] - plain.log[c[:-1], c[1:]]).sum())
 
 
 def random_strings(n: int = 4000) -> list[str]:
@@ -98,17 +100,15 @@ def train(docs: DataFrame) -> tuple[Markov, Markov]:
 
     def label(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         word = re.compile(r"[A-Za-z0-9+/_=-]{3,}")
-        good, bad = [], []
+        n = [Markov.counts([]).ravel(), Markov.counts([]).ravel()]
         for f in frames:
             for text in f["text"]:
-                spans = base_spans(text)
-                bad += [t for s, _, e in spans for t in word.findall(text[s:e])[-1:]]
-                at, own = 0, []
+                spans, good, at = base_spans(text), [], 0
                 for s, _, e in [*spans, (len(text), 0, len(text))]:
-                    own += [t for t in word.findall(text[at:s]) if len(t) < 16 or not any(map(str.isdigit, t))] if s > at else []
+                    good += [t for t in word.findall(text[at:s]) if len(t) < 16 or not any(map(str.isdigit, t))] if s > at else []
                     at = max(at, e)
-                good += own[:: max(1, len(own) // SAMPLE_TOKENS)]
-        n = Markov.counts(good).ravel(), Markov.counts(bad).ravel()
+                n[0] += Markov.counts(good).ravel()
+                n[1] += Markov.counts([t for s, _, e in spans for t in word.findall(text[s:e])[-1:]]).ravel() if spans else 0
         yield pd.DataFrame({"cell": np.arange(len(n[0])), "good": n[0], "bad": n[1]})
 
     # by hash, where the documents lie: texts need not move
@@ -138,7 +138,7 @@ def find(text: str, noise: Markov, plain: Markov) -> tuple[list[tuple[int, int,
         if farthest > s:
             continue
         least = LEAST_GAIN if any(map(str.isdigit, m[0])) else LEAST_GAIN_LETTERS
-        if noise.score(m[0]) - plain.score(m[0]) >= least:
+        if gain(m[0], noise, plain) >= least:
             spans.append((s, "random", e))
     order = {k: i for i, k in enumerate((*KINDS, "random"))}
     return base, sorted(spans, key=lambda x: (x[0], order[x[1]]))

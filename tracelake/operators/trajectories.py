@@ -22,6 +22,17 @@ def build(points: DataFrame, *keys: str) -> DataFrame:
     return out.where("point_count >= 2")
 
 
+def motion_statistics(points: DataFrame, *keys: str) -> DataFrame:
+    """By ``keys``, points, datasets, least, largest and mean speed and acceleration, the mean of absolute accelerations, and the longest path of a dataset in metres. Accelerations are changes to the point before; where no time has passed there is none."""
+    w = Window.partitionBy("dataset_name").orderBy("ts", "seq")
+    v, accel = F.col("twist_linear"), (F.col("twist_linear") - F.lag("twist_linear").over(w)) / F.nullif(F.col("ts") - F.lag("ts").over(w), F.lit(0))
+    moved = steps(points).withColumn("accel", accel)
+    spread = lambda c, n: [f(c).alias(f"{p}_{n}") for p, f in (("min", F.min), ("max", F.max), ("avg", F.avg))]
+    found = moved.groupBy(*keys).agg(F.count("*").alias("points"), F.countDistinct("dataset_name").alias("datasets"), *spread(v, "speed"), *spread(F.col("accel"), "accel"), F.avg(F.abs("accel")).alias("mean_abs_accel"))
+    paths = moved.groupBy(*keys, "dataset_name").agg(F.coalesce(F.sum("step"), F.lit(0.0)).alias("path")).groupBy(*keys).agg(F.max("path").alias("longest_path"))
+    return found.join(paths, list(keys))
+
+
 def avp_changes(points: DataFrame) -> DataFrame:
     """Points where the flag (null is 0) differs from the point before."""
     w = Window.partitionBy("dataset_name").orderBy("ts", "seq")

@@ -79,6 +79,17 @@ def i1(embeddings):
     return I.nearest(embeddings, queries, 10).select("query_id", "vec_id", F.round("similarity", 6).alias("similarity"))
 
 
+@query("i1_filtered_retrieval", "embeddings", "hits", sql="""
+WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id % 10 = 3), v AS (SELECT e.vec_id, e.embedding FROM embeddings e JOIN hits h USING (vec_id) WHERE timestamp_ms >= 1704067200000 + 600000 AND timestamp_ms <= 1704067200000 + 12000000 AND dataset_name IN ('traj_1', 'traj_2', 'traj_3', 'traj_5', 'traj_8', 'traj_13')),
+s AS (SELECT query_id, vec_id, list_cosine_similarity(q, CAST(embedding AS DOUBLE[])) AS c FROM q, v) SELECT query_id, vec_id, CAST(r AS INT) AS nth, round(c, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY c DESC, vec_id) AS r FROM s) WHERE r <= 5""")
+def i1_filtered(embeddings, hits):
+    vectors = embeddings.join(hits.select("vec_id", "timestamp_ms", "dataset_name"), "vec_id")
+    queries = embeddings.where("vec_id % 10 = 3").select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("q"))
+    begin, names = 1704067200000, [f"traj_{n}" for n in (1, 2, 3, 5, 8, 13)]
+    found = I.nearest(vectors, queries, 5, start=begin + 600_000, stop=begin + 12_000_000, datasets=names, quota=I.Quota())
+    return found.select("query_id", "vec_id", "nth", F.round("similarity", 6).alias("similarity"))
+
+
 @query("i2_hits_by_dataset", "hits", sql="SELECT dataset_name, count(*) AS hits, round(avg(similarity), 6) AS mean, max(similarity) AS most FROM hits GROUP BY 1")
 def i2(hits):
     return hits.groupBy("dataset_name").agg(F.count("*").alias("hits"), F.round(F.avg("similarity"), 6).alias("mean"), F.max("similarity").alias("most"))

@@ -70,3 +70,18 @@ def with_fallback(main: DataFrame, other: DataFrame, wanted: DataFrame, key: str
     """Rows of ``main`` for wanted keys, and rows of ``other`` for those that main lacks."""
     found = main.join(wanted, key, "left_semi")
     return found.unionByName(other.join(wanted, key, "left_semi").join(found, key, "left_anti"))
+
+
+#: Names of partition tables begin so; those with any of these words in them are none (fixed values).
+PART_PREFIX, NO_PARTS = "clips_bbox_", ("unified", "temp", "backup", "test", "tmp")
+
+
+def partition_tables(names: DataFrame, rows: DataFrame | None = None, view: str | None = None) -> DataFrame:
+    """Of ``names(table_name)`` those of partition tables: by prefix, without reserved words, the view itself and, with ``rows(table_name, data_type)``, tables that hold defects."""
+    name = F.col("table_name")
+    found = names.where(name.startswith(PART_PREFIX)).where(~F.lower(name).rlike("|".join(NO_PARTS)))
+    if view:
+        found = found.where(name != view)
+    if rows is not None:
+        found = found.join(rows.where("data_type = 'defect'").select("table_name").distinct(), "table_name", "left_anti")
+    return found.select("table_name").distinct()

@@ -90,3 +90,17 @@ def link_flags(objects: DataFrame, keys: list[str], **links: DataFrame) -> DataF
     for name, link in links.items():
         objects = objects.join(link.select(*keys).distinct().withColumn(name, F.lit(True)), keys, "left").withColumn(name, F.coalesce(name, F.lit(False)))
     return objects
+
+
+def lane_availability(lanes: DataFrame, analysis, most: int = 5) -> DataFrame:
+    """``analysis_id, lane_count, asked``: the lanes of the asked analysis; where it has none, the ``most`` analyses of most lanes (ties by id)."""
+    counts = lanes.groupBy("analysis_id").agg(F.count("*").alias("lane_count"))
+    own = counts.where(F.col("analysis_id") == F.lit(analysis)).withColumn("asked", F.lit(True))
+    top = counts.orderBy(F.desc("lane_count"), "analysis_id").limit(most).withColumn("asked", F.lit(False))
+    return own.unionByName(top.join(F.broadcast(own.select("asked").limit(1).withColumnRenamed("asked", "found")), F.col("found"), "left_anti"))
+
+
+def road_summary(roads: DataFrame) -> DataFrame:
+    """By ``analysis_id`` of ``(analysis_id, road_id, kind, lane_count, length)``: distinct roads, those of each kind, lanes and length."""
+    kinds = [F.count_if(F.col("kind") == k).alias(f"{k}_roads") for k in ("direct", "chain", "intersection")]
+    return roads.groupBy("analysis_id").agg(F.countDistinct("road_id").alias("total_roads"), *kinds, F.sum("lane_count").alias("total_lanes"), F.round(F.sum("length"), 3).alias("total_length"))

@@ -150,6 +150,44 @@ def segmented_records(points: DataFrame, records: DataFrame) -> DataFrame:
     return rows.select("autoscene_id", "dataset_name", F.coalesce("segment_count", F.lit(0)).alias("segment_count"), labels.alias("merged_results"), "total_points", "start_time", "end_time", "total_duration")
 
 
+def record_lines(points: DataFrame, records: DataFrame) -> DataFrame:
+    """``segmented_records`` with ``lines``: the pieces of two points or more that a record's time ranges cut, in the order of ranges, else the whole trajectory (``whole``), as lists of lines, and its speeds.
+
+    ``avg_speed, max_speed, min_speed, avp_ratio`` are the whole trajectory's; records whose dataset has no two points
+    have no row.
+    """
+    line = F.transform(F.array_sort(F.collect_list(F.struct("ts", "seq", "lon", "lat"))), lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat")))
+    ranges = H.ranges_of(records, "autoscene_id").select("dataset_name", F.struct("autoscene_id", "range_no").alias("range_no"), "lo", "hi")
+    cut = H.cut_by_ranges(points, ranges).groupBy("range_no").agg(line.alias("line")).where("size(line) >= 2")
+    cut = cut.groupBy(F.col("range_no.autoscene_id").alias("autoscene_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("range_no.range_no", "line"))), lambda x: x["line"]).alias("cut"))
+    whole = T.build(points).select("dataset_name", "avg_speed", "max_speed", "min_speed", "avp_ratio", "line")
+    rows = segmented_records(points, records).join(whole, "dataset_name").join(cut, "autoscene_id", "left")
+    return rows.withColumns({"whole": F.col("cut").isNull(), "lines": F.coalesce("cut", F.array("line"))}).drop("cut", "line")
+
+
+def lane_statistics(points: DataFrame, lanes: DataFrame) -> DataFrame:
+    """One row: totals and means of the lane analysis of all trajectories, and its filter efficiency in percent (rounded 2).
+
+    Trajectories of two points or more are analysed; those that touch two lanes are multi-lane ones, others with
+    enough points are kept for these.
+    """
+    every = points.groupBy("dataset_name").agg(F.count("*").alias("n")).where("n >= 2").select("dataset_name")
+    candidates = candidate_lanes(input_segments(points), lanes).groupBy("dataset_name").agg(F.count("*").alias("candidate_lanes"))
+    near = R.near_lanes(points, lanes, 15.0)
+    hits = near.groupBy("dataset_name").agg(F.countDistinct("seq").alias("hit_points"))
+    kept = R.lane_rules(near).select("dataset_name", (F.col("lane_count") >= 2).alias("multi"))
+    whole = complete_trajectories(points, lanes).select("dataset_name", F.lit(1).alias("complete"))
+    rows = every.join(candidates, "dataset_name", "left").join(hits, "dataset_name", "left").join(kept, "dataset_name", "left").join(whole, "dataset_name", "left")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    n, multi, enough = F.count("*"), F.count_if("multi"), F.count_if(~F.col("multi"))
+    mean = lambda c: F.round(total(c) / F.nullif(n, F.lit(0)), 2)
+    return rows.agg(
+        n.alias("input_trajectories_analyzed"), total("candidate_lanes").alias("total_candidate_lanes"), total("hit_points").alias("total_trajectory_points"), total("complete").alias("total_complete_trajectories"),
+        multi.alias("total_multi_lane_trajectories"), enough.alias("total_sufficient_points_trajectories"), mean("candidate_lanes").alias("avg_candidate_lanes_per_input"), mean("hit_points").alias("avg_trajectory_points_per_input"),
+        mean("complete").alias("avg_complete_trajectories_per_input"), F.round((multi + enough) * 100.0 / F.nullif(n, F.lit(0)), 2).alias("filter_efficiency_percentage"),
+    )
+
+
 def point_sources(points: DataFrame, areas: DataFrame) -> DataFrame:
     """``points`` with ``source_polygons``: the sources of all ``areas(polygon_id, source, envelope)`` that hold a point, joined by commas in the order of ids; else ``polygon_`` and the least id."""
     at = points.select("dataset_name", "seq", F.col("lon").alias("xmin"), F.col("lat").alias("ymin"), F.col("lon").alias("xmax"), F.col("lat").alias("ymax"))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tracelake.functions.geo import METRES_PER_DEGREE
+from tracelake.operators import datasets as D
 from tracelake.operators import density as E
 from tracelake.operators import quality_check as H
+from tracelake.operators import roads as R
 from tracelake.operators import workflows as W
 from tracelake.operators.polygons import rectangles
 from tracelake.plans.media import CLEAN, RECORDS, records
@@ -70,13 +72,21 @@ def g16(pts, crossings):
     return found.select("dataset_name", "lane_id", F.round(F.col("distance") * METRES_PER_DEGREE, 3).alias("metres"))
 
 
-@query("g27_complete_trajectories", "pts", "crossings", sql=f"""WITH {NEAR.format(r=radius(15))}, a AS (SELECT dataset_name, count(*) AS hit_points, count(DISTINCT lane_id) AS total_lanes FROM h GROUP BY 1), k AS (SELECT *, CASE WHEN total_lanes >= 2 THEN concat('multi_lane_', total_lanes, '_lanes') ELSE concat('sufficient_points_', hit_points, '_points') END AS reason FROM a WHERE total_lanes >= 2 OR hit_points >= 5),
+#: Every other lane leads more to the east, as the trajectories do.
+FLAT = "flat AS (SELECT * REPLACE (CASE WHEN intersection_id % 2 = 0 THEN ymin + (ymax - ymin) / 2 ELSE ymax END AS ymax) FROM crossings)"
+
+
+def flat(crossings):
+    return crossings.withColumn("ymax", F.when(F.col("intersection_id") % 2 == 0, F.col("ymin") + (F.col("ymax") - F.col("ymin")) / 2).otherwise(F.col("ymax")))
+
+
+@query("g27_complete_trajectories", "pts", "crossings", sql=f"""WITH {FLAT}, {NEAR.format(r=radius(15)).replace('crossings l', 'flat l')}, a AS (SELECT dataset_name, count(*) AS hit_points, count(DISTINCT lane_id) AS total_lanes FROM h GROUP BY 1), k AS (SELECT *, CASE WHEN total_lanes >= 2 THEN concat('multi_lane_', total_lanes, '_lanes') ELSE concat('sufficient_points_', hit_points, '_points') END AS reason FROM a WHERE total_lanes >= 2 OR hit_points >= 5),
 st AS (SELECT *, sqrt((lon - lag(lon) OVER w) * (lon - lag(lon) OVER w) + (lat - lag(lat) OVER w) * (lat - lag(lat) OVER w)) AS step FROM pts WINDOW w AS (PARTITION BY dataset_name ORDER BY ts, seq)),
 o AS (SELECT dataset_name, min(ts) AS start_time, max(ts) AS end_time, count(*) AS total_points, coalesce(sum(step), 0) * 111320 AS length_meters, arg_min(lon, seq) AS x1, arg_min(lat, seq) AS y1, arg_max(lon, seq) AS x2, arg_max(lat, seq) AS y2 FROM st GROUP BY 1 HAVING count(*) >= 2),
 q AS (SELECT *, CASE WHEN length_meters >= 10 THEN {HEADING} END AS hd FROM o), l AS (SELECT DISTINCT dataset_name, lane_id, xmin AS x1, ymin AS y1, xmax AS x2, ymax AS y2 FROM h), m AS (SELECT dataset_name, lane_id, {HEADING} AS hl FROM l)
-SELECT q.dataset_name, start_time, end_time, total_points, round(length_meters, 2) AS length_meters, hit_points, total_lanes, reason, round(hd, 3) AS trajectory_heading FROM q JOIN k USING (dataset_name) WHERE hd IS NULL OR EXISTS (SELECT 1 FROM m WHERE m.dataset_name = q.dataset_name AND {TURN.format(a='hl', b='hd')} <= 60)""")
+SELECT q.dataset_name, start_time, end_time, total_points, round(length_meters, 2) AS length_meters, hit_points, total_lanes, reason, round(hd, 3) AS trajectory_heading FROM q JOIN k USING (dataset_name) WHERE hd IS NULL OR EXISTS (SELECT 1 FROM m WHERE m.dataset_name = q.dataset_name AND {TURN.format(a='hl', b='hd')} <= 45)""")
 def g27(pts, crossings):
-    found = W.complete_trajectories(pts, lanes_of(crossings), 60.0)
+    found = W.complete_trajectories(pts, lanes_of(flat(crossings)))
     return found.select("dataset_name", "start_time", "end_time", "total_points", F.round("length_meters", 2).alias("length_meters"), "hit_points", "total_lanes", "reason", F.round("trajectory_heading", 3).alias("trajectory_heading"))
 
 
@@ -97,6 +107,57 @@ def h10(pts, documents):
     return W.segmented_records(pts, H.cleaned(records(documents))).drop("merged_results").withColumn("total_duration", F.round("total_duration", 6))
 
 
+CUT = f"""{CLEAN}, vv AS (SELECT dataset_name, autoscene_id, x.k AS range_no, CASE x.k WHEN 0 THEN CAST(autoscene_id % 5 AS DOUBLE) ELSE 20 END AS lo, CASE x.k WHEN 0 THEN CAST(autoscene_id % 5 + 2.5 AS DOUBLE) ELSE 31 END AS hi FROM k, range(0, 2) AS x(k)),
+t AS (SELECT dataset_name, seq, lon, ts, ts - min(ts) OVER (PARTITION BY dataset_name) AS a, max(ts) OVER (PARTITION BY dataset_name) - min(ts) OVER (PARTITION BY dataset_name) AS d FROM pts),
+m AS (SELECT t.*, autoscene_id, range_no, greatest(0.5, ceil(greatest(lo - a, a - hi, 0) / 0.5) * 0.5) AS need FROM t JOIN vv USING (dataset_name) WHERE hi >= 0 AND lo <= d)"""
+
+
+@query("h9_record_lines", "pts", "documents", sql=f"""WITH {CUT}, tol AS (SELECT autoscene_id, range_no, min(level) AS level FROM (SELECT autoscene_id, range_no, level, count(*) FILTER (need <= level) AS held FROM m, (SELECT 0.5 * x AS level FROM range(1, 11) AS y(x)) WHERE level <= least(5, 0.1 * d) GROUP BY 1, 2, 3) WHERE held >= 2 GROUP BY 1, 2),
+pc AS (SELECT m.autoscene_id, m.range_no, count(*) AS n, arg_min(lon, seq) AS lon FROM m JOIN tol ON tol.autoscene_id = m.autoscene_id AND tol.range_no = m.range_no AND need <= level GROUP BY 1, 2 HAVING count(*) >= 2), c AS (SELECT autoscene_id, count(*) AS n, CAST(sum(n) AS BIGINT) AS points, arg_min(lon, range_no) AS lon FROM pc GROUP BY 1),
+wh AS (SELECT dataset_name, count(*) AS points, arg_min(lon, seq) AS lon, round_even(avg(twist_linear), 2) AS avg_speed FROM pts GROUP BY 1 HAVING count(*) >= 2)
+SELECT k.autoscene_id, k.dataset_name, coalesce(c.n, 0) AS segment_count, coalesce(c.n, 1) AS line_count, coalesce(c.points, wh.points) AS line_points, round(coalesce(c.lon, wh.lon), 7) AS first_lon, c.n IS NULL AS whole, avg_speed FROM k JOIN wh USING (dataset_name) LEFT JOIN c ON c.autoscene_id = k.autoscene_id""")
+def h9(pts, documents):
+    found = W.record_lines(pts, H.cleaned(records(documents)))
+    points = F.aggregate("lines", F.lit(0).cast("long"), lambda n, x: n + F.size(x))
+    first = F.round(F.get(F.get("lines", F.lit(0)), F.lit(0))["lon"], 7)
+    return found.select("autoscene_id", "dataset_name", "segment_count", F.size("lines").cast("long").alias("line_count"), points.alias("line_points"), first.alias("first_lon"), "whole", "avg_speed")
+
+
+@query("g31_lane_statistics", "pts", "crossings", sql=f"""WITH {FLAT}, {PIECES}, {LANES.replace('FROM crossings', 'FROM flat')}, {NEAR.format(r=radius(15)).replace('crossings l', 'flat l').replace('n AS (SELECT', 'n_ AS (SELECT').replace('FROM n)', 'FROM n_)')}, ca AS (SELECT dataset_name, count(DISTINCT lane_id) AS lanes FROM nh WHERE heading IS NULL OR hd <= 45 GROUP BY 1),
+a AS (SELECT dataset_name, count(*) AS hits, count(DISTINCT seq) AS points, count(DISTINCT lane_id) AS lane_count FROM h GROUP BY 1), e AS (SELECT dataset_name FROM pts GROUP BY 1 HAVING count(*) >= 2),
+st AS (SELECT *, sqrt((lon - lag(lon) OVER w) * (lon - lag(lon) OVER w) + (lat - lag(lat) OVER w) * (lat - lag(lat) OVER w)) AS step FROM pts WINDOW w AS (PARTITION BY dataset_name ORDER BY ts, seq)),
+o AS (SELECT dataset_name, coalesce(sum(step), 0) * 111320 AS length_meters, arg_min(lon, seq) AS x1, arg_min(lat, seq) AS y1, arg_max(lon, seq) AS x2, arg_max(lat, seq) AS y2 FROM st GROUP BY 1 HAVING count(*) >= 2), q AS (SELECT *, CASE WHEN length_meters >= 10 THEN {HEADING} END AS hd FROM o),
+l AS (SELECT DISTINCT dataset_name, lane_id, xmin AS x1, ymin AS y1, xmax AS x2, ymax AS y2 FROM h), mm AS (SELECT dataset_name, {HEADING} AS hl FROM l),
+co AS (SELECT q.dataset_name FROM q JOIN a USING (dataset_name) WHERE (lane_count >= 2 OR hits >= 5) AND (hd IS NULL OR EXISTS (SELECT 1 FROM mm WHERE mm.dataset_name = q.dataset_name AND {TURN.format(a='hl', b='hd')} <= 45))),
+r AS (SELECT e.dataset_name, coalesce(ca.lanes, 0) AS lanes, coalesce(a.points, 0) AS points, CASE WHEN lane_count >= 2 THEN 1 ELSE 0 END AS multi, CASE WHEN lane_count < 2 AND hits >= 5 THEN 1 ELSE 0 END AS enough, CASE WHEN co.dataset_name IS NULL THEN 0 ELSE 1 END AS complete FROM e LEFT JOIN ca USING (dataset_name) LEFT JOIN a USING (dataset_name) LEFT JOIN co ON co.dataset_name = e.dataset_name)
+SELECT count(*) AS input_trajectories_analyzed, CAST(sum(lanes) AS BIGINT) AS total_candidate_lanes, CAST(sum(points) AS BIGINT) AS total_trajectory_points, CAST(sum(complete) AS BIGINT) AS total_complete_trajectories, CAST(sum(multi) AS BIGINT) AS total_multi_lane_trajectories, CAST(sum(enough) AS BIGINT) AS total_sufficient_points_trajectories,
+  round(sum(lanes) / count(*), 2) AS avg_candidate_lanes_per_input, round(sum(points) / count(*), 2) AS avg_trajectory_points_per_input, round(sum(complete) / count(*), 2) AS avg_complete_trajectories_per_input, round((sum(multi) + sum(enough)) * 100.0::DOUBLE / count(*), 2) AS filter_efficiency_percentage FROM r""")
+def g31(pts, crossings):
+    return W.lane_statistics(pts, lanes_of(flat(crossings)))
+
+
+@query("g38_lane_availability", "edges", sql="""WITH c AS (SELECT nextroadid % 50 AS analysis_id, count(*) AS lane_count FROM edges GROUP BY 1), t AS (SELECT * FROM c ORDER BY lane_count DESC, analysis_id LIMIT 5)
+SELECT 'known' AS kind, analysis_id, lane_count, true AS asked FROM c WHERE analysis_id = 7 UNION ALL SELECT 'unknown', analysis_id, lane_count, false FROM t""")
+def g38(edges):
+    lanes = edges.select((F.col("nextroadid") % 50).alias("analysis_id"))
+    return R.lane_availability(lanes, 7).withColumn("kind", F.lit("known")).unionByName(R.lane_availability(lanes, 777).withColumn("kind", F.lit("unknown")))
+
+
+@query("g12_analysis_summary", "edges", sql="""SELECT nextroadid % 10 AS analysis_id, count(DISTINCT roadid) AS total_roads, count(*) FILTER (roadid % 3 = 0) AS direct_roads, count(*) FILTER (roadid % 3 = 1) AS chain_roads, count(*) FILTER (roadid % 3 = 2) AS intersection_roads, CAST(sum(roadid % 4) AS BIGINT) AS total_lanes, round(sum(length), 3) AS total_length FROM edges GROUP BY 1""")
+def g12(edges):
+    kind = F.element_at(F.array(F.lit("direct"), F.lit("chain"), F.lit("intersection")), (F.col("roadid") % 3 + 1).cast("int"))
+    return R.road_summary(edges.select((F.col("nextroadid") % 10).alias("analysis_id"), F.col("roadid").alias("road_id"), kind.alias("kind"), (F.col("roadid") % 4).alias("lane_count"), "length"))
+
+
+@query("b16_partition_tables", "scenes", sql="""WITH t AS (SELECT *, concat(CASE doc_id % 7 WHEN 0 THEN 'clips_bbox_' WHEN 1 THEN 'clips_bbox' WHEN 2 THEN 'clips_bbox_Unified_' WHEN 3 THEN 'other_' ELSE 'clips_bbox_' END, subdataset_name, CASE doc_id % 7 WHEN 4 THEN '_tmp' WHEN 5 THEN '_backup' WHEN 6 THEN '_bad' ELSE '' END) AS table_name, CASE WHEN doc_id % 7 = 6 AND lang = 'en' THEN 'defect' ELSE 'normal' END AS data_type FROM scenes)
+SELECT DISTINCT table_name FROM t WHERE starts_with(table_name, 'clips_bbox_') AND NOT regexp_matches(lower(table_name), 'unified|temp|backup|test|tmp') AND table_name NOT IN (SELECT table_name FROM t WHERE data_type = 'defect')""")
+def b16(scenes):
+    k = F.col("doc_id") % 7
+    name = F.concat(F.when(k == 1, "clips_bbox").when(k == 2, "clips_bbox_Unified_").when(k == 3, "other_").otherwise("clips_bbox_"), "subdataset_name", F.when(k == 4, "_tmp").when(k == 5, "_backup").when(k == 6, "_bad").otherwise(""))
+    rows = scenes.select(name.alias("table_name"), F.when((k == 6) & (F.col("lang") == "en"), "defect").otherwise("normal").alias("data_type"))
+    return D.partition_tables(rows.select("table_name"), rows)
+
+
 def areas(crossings):
     return crossings.where("intersectiontype = 5").select(F.col("intersection_id").alias("polygon_id"), F.concat(F.lit("set"), F.col("intersectionsubtype").cast("string"), F.lit(":"), F.col("intersection_id").cast("string")).alias("source"), "xmin", "ymin", "xmax", "ymax")
 

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests import plain
 from tracelake.functions import geo, text
 from tracelake.operators import boxes, clustering, datasets, density, media, quality_check, retrieval, roads, trajectories
 from tracelake.operators.polygons import in_polygons
@@ -175,13 +176,13 @@ def test_merge_and_top_shares(spark):
 def test_clusters():
     r = np.random.default_rng(2)
     x = np.concatenate([r.normal(0, 0.1, (20, 3)), r.normal(5, 0.1, (20, 3)), [[50.0, 0, 0]]])
-    labels = clustering.dbscan(x, 0.8, 5)
+    labels = plain.dbscan(x, 0.8, 5)
     assert labels[:20].tolist() == [0] * 20 and labels[20:40].tolist() == [1] * 20 and labels[40] == -1
-    two = clustering.ward(x[:40], 2)
+    two = plain.ward(x[:40], 2)
     assert len(set(two[:20])) == 1 and len(set(two[20:])) == 1 and two[0] != two[20]
-    assert clustering.silhouette(x[:40], two) > 0.9 and clustering.davies_bouldin(x[:40], two) < 0.1
+    assert plain.silhouette(x[:40], two) > 0.9 and plain.davies_bouldin(x[:40], two) < 0.1
     a, b = np.array([(0.0, 0.0), (1.0, 0.0)]), np.array([(0.0, 1.0), (1.0, 1.0)])
-    assert clustering.frechet(a, b) == pytest.approx(clustering.hausdorff(a, b), rel=1e-3)
+    assert plain.frechet(a, b) == pytest.approx(plain.hausdorff(a, b), rel=1e-3)
 
 
 def test_routes_and_windows(spark):
@@ -383,6 +384,19 @@ def test_line_distances_in_columns(spark):
     lines = [[(float(x), float(y)) for x, y in r.uniform(0, 0.01, (n, 2))] for n in (1, 2, 5, 8, 13)]
     rows = [(i, j, [{"lon": x, "lat": y} for x, y in lines[i]], [{"lon": x, "lat": y} for x, y in lines[j]]) for i in range(5) for j in range(5)]
     frame = spark.createDataFrame(rows, "i int, j int, a array<struct<lon:double,lat:double>>, b array<struct<lon:double,lat:double>>")
-    for x in frame.select("i", "j", shapes.frechet(F.col("a"), F.col("b")).alias("f"), shapes.hausdorff(F.col("a"), F.col("b")).alias("h")).collect():
-        a, b = np.array(lines[x.i]), np.array(lines[x.j])
-        assert x.f == pytest.approx(clustering.frechet(a, b)) and x.h == pytest.approx(clustering.hausdorff(a, b))
+    odd = spark.createDataFrame([(98, 0, None, rows[0][3]), (99, 0, [], rows[0][3])], frame.schema)
+    found = shapes.line_distances(frame.unionByName(odd), "a", "b").collect()
+    assert len(found) == 27 and all(x.frechet is None and x.hausdorff is None for x in found if x.i > 90)
+    for x in found:
+        if x.i < 90:
+            a, b = np.array(lines[x.i]), np.array(lines[x.j])
+            assert x.frechet == pytest.approx(plain.frechet(a, b)) and x.hausdorff == pytest.approx(plain.hausdorff(a, b))
+
+
+def test_distances_of_long_lines():
+    from tracelake.operators import shapes
+
+    r = np.random.default_rng(7)
+    a, b = np.cumsum(r.standard_normal((2, 1000, 2)) * 1e-4, axis=1)
+    f, h = shapes.diagonals(np.radians(a[None]), np.radians(b[None]))
+    assert f[0] == pytest.approx(plain.frechet(a, b)) and h[0] == pytest.approx(plain.hausdorff(a, b))

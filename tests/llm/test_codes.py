@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from tracelake.llm import codes
 from tracelake.llm.queries import QUERIES
-from tracelake.llm.words import Remembered, library, vocabulary
+from tracelake.llm.words import LowerWords, Remembered, blobs, library, vocabulary
 
 TEXTS = [
     None, "", " ", "Hello wor", "  a  b\n\nc\td\r\n", "ünïcode é É Σς ΟΔΟΣ", "it's they'll I'M", "\U0001f600 q　w e\x85r\x1cs\x1ft",
@@ -24,13 +24,20 @@ def whole(texts):
 
 def test_words_give_the_ids_of_whole_texts(monkeypatch):
     rng = random.Random(3)
-    letters = "ab'sSé́ \n\t　\x1cΣ1<|endoftext|>"
+    letters = "ab'sSé́ \n\t　\x1cΣ1<|endoftext|>.,;!-ÀÿßJ̌×"
     texts = [t or "" for t in TEXTS] + ["".join(rng.choice(letters) for _ in range(60)) for _ in range(300)]
-    memory = Remembered(library(vocabulary("word_bpe_49k.json")), kept=1000)
-    got = [np.frombuffer(b, "<u4").tolist() for k in range(0, len(texts), 40) for b in codes.encoded(texts[k : k + 40], memory, 2)]
+    memory, encoder = Remembered(kept=1000), LowerWords(vocabulary("word_bpe_49k.json"))
+    got = [np.frombuffer(b, "<u4").tolist() for k in range(0, len(texts), 40) for b in codes.encoded(texts[k : k + 40], memory, encoder, 2)]
     assert got == whole(texts)
 
 
+def test_words_of_letters_are_those_of_the_library():
+    words = ["Straße", "ÀÉÎ...", "word", "word.", "WORD!?", "it's", "a1", "x×y", "don't.", "naïve--", "", ".", "...", "µm", "ªa", "<|endoftext|>", "a<|endoftext|>", "ŁÓDŹ", "ǰ", "é́."]
+    path = vocabulary("word_bpe_49k.json")
+    encoder = LowerWords(path)
+    assert encoder.simple and encoder(words) == blobs(library(path)(words))
+
+
 @pytest.mark.parametrize("values", [[0], [], [5, 49407, 2, 2, 0], list(range(3000)), [2**31, 1, 2**32 - 1], [1] * 1500 + [70000] * 600])
 def test_any_run_is_read_without_the_rest(values):
     ids = np.array(values, "<u4")

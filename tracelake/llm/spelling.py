@@ -30,7 +30,7 @@ DROP = 31  # of runs whose checksum this divides, one letter is dropped
 LEAST = 7  # code points of a word
 TIMES = 10  # how much more often a form must occur than the word
 SHARED = 3  # letters at either end by which words are dealt to tasks: half of the shortest word, rounded down
-LETTERS = 1 << 20  # letters that a task indexes, about
+LETTERS = 1 << 18  # letters that a task indexes, about
 TILE = 1 << 22  # letters of a hot shard that a task indexes, or searches, together
 ROUND = 8_192  # words that are searched together
 STEP = 64  # bits of a word of the letters' bitmaps
@@ -220,7 +220,8 @@ def near_words(words: DataFrame, pairs: bool = False) -> DataFrame:
             out[3] += [vocabulary[k] for k in b]
         return pa.table([out[0], out[3]] if pairs else out, schema=shape)
 
-    found = tiles.groupBy("right", "shard", "i", "j").applyInArrow(run, "word string, near string" if pairs else "word string, n_near long, form_n long, form string")
+    key = ["right", "shard", "i", "j"]  # a task for each two shards of either side: few bytes, but much work
+    found = tiles.repartition(min(10_000, 2 * shards), *key).groupBy(*key).applyInArrow(run, "word string, near string" if pairs else "word string, n_near long, form_n long, form string")
     if pairs:
         return found
     best = F.min(F.struct((-F.col("form_n")).alias("less"), F.col("form").alias("form")))

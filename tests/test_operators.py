@@ -205,7 +205,11 @@ def test_files(spark, tmp_path):
     assert sorted((r.scene_id, r.duplication_factor) for r in items.collect()) == [("001", 20), ("002", 20), ("003", 10)]
     assert datasets.duplicated(items).count() == 50
     out = str(tmp_path / "d.parquet")
-    files.write_dataset(items, out)
+    files.write_dataset(items, out, meta={"name": "d", "metadata": {"k": 1}})
+    meta = files.read_meta(spark, out)
+    assert (meta["name"], meta["metadata"], meta["total_unique_scenes"]) == ("d", {"k": 1}, items.count()) and meta["total_scenes"] >= items.count()
+    with pytest.raises(ValueError, match="without scenes"):
+        files.write_dataset(items.limit(0), str(tmp_path / "none.parquet"))
     assert sorted(len(r.scene_ids) for r in files.read_dataset(spark, out).collect()) == [1, 2]
     assert files.read_ids(spark, out).count() == 3
     assert [r.json for r in files.decoded_lines(spark.createDataFrame([("{}",), ("!",), (None,)], "value string")).collect()] == ["{}", None, None]

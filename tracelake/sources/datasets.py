@@ -92,15 +92,40 @@ def read_ids(spark: SparkSession, path: str, column: str = "scene_id") -> DataFr
     return ids.distinct()
 
 
-def write_dataset(items: DataFrame, path: str, kind: str = "parquet") -> None:
-    """Flat parquet, or one JSON document for each sub-dataset."""
+def side_car(path: str) -> str:
+    """Name of the file beside a flat dataset that describes it."""
+    return path.rstrip("/").removesuffix(".parquet") + ".meta.json"
+
+
+def write_dataset(items: DataFrame, path: str, kind: str = "parquet", meta: dict | None = None) -> None:
+    """Flat parquet, or one JSON document for each sub-dataset.
+
+    Beside a flat dataset a side-car (``.meta.json``) holds ``meta`` (name, description, created_at, metadata) with
+    ``total_unique_scenes`` and ``total_scenes``, in which duplicates count. A flat dataset of no rows is an error.
+    """
     if kind == "parquet":
         items.write.mode("overwrite").parquet(path, compression="snappy")
+        spark = items.sparkSession
+        factor = F.coalesce("duplication_factor", F.lit(1)) if "duplication_factor" in items.columns else F.lit(1)
+        totals = spark.read.schema(items.schema).parquet(path).agg(F.count("*").alias("n"), F.sum(factor).alias("all")).first()
+        if not totals["n"]:
+            raise ValueError("a dataset without scenes can't be written as parquet")
+        text = json.dumps({**(meta or {}), "total_unique_scenes": totals["n"], "total_scenes": totals["all"]}, ensure_ascii=False, indent=2)
+        jvm = spark.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(side_car(path))
+        out = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place, True)
+        out.write(bytearray(text.encode()))
+        out.close()
     else:
         nested = items.groupBy(F.col("subdataset_name").alias("name"), "obs_path", "duplication_factor").agg(F.array_sort(F.collect_list("scene_id")).alias("scene_ids"))
         nested.write.mode("overwrite").json(path)
 
 
+def read_meta(spark: SparkSession, path: str) -> dict:
+    """What a flat dataset's side-car says; one small file."""
+    return json.loads(spark.read.text(side_car(path), wholetext=True).first()[0])
+
+
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """Sub-datasets of a flat parquet dataset with their scenes and the first row's metadata."""
     flat = spark.read.parquet(path)

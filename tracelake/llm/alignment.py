@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.llm.common import materialize, slices
-from tracelake.llm.words import TOGETHER, Remembered, blobs, library, vocabulary
+from tracelake.llm.words import TOGETHER, Remembered, blobs, library, release, vocabulary
 
-PART = 1 << 19  # characters of text that a worker aligns together
-KEPT = 300_000  # windows that a worker remembers, about
-KEPT_WORDS = 1 << 23  # characters of words whose ids a worker keeps for each tokenizer, about
+PART = 1 << 18  # characters of text that a worker aligns together
+KEPT = 80_000  # windows that a worker remembers, about
+KEPT_WORDS = 1 << 21  # characters of words whose ids a worker keeps, about; as many again are older
 SPELLED = 256  # links of a group whose pairs are written out before they are counted
 FEW = 2_000_000  # id pairs that are broadcast
 #: Neither tokenizer reaches across a space that follows something else and stands before a word.
@@ -55,35 +55,20 @@ def bytes_of_pieces(processor) -> list[bytes]:
 class Side:
     """One tokenizer: ids of texts, and of each id its length in bytes and whether it begins with a space."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], spelled: list[bytes]):
-        self.encode, self.spelled, self.memory = encode, spelled, Remembered(self.checked, KEPT_WORDS)
+    def __init__(self, encode: Callable[[list[str], list[int]], list[bytes]], spelled: list[bytes]):
+        self.encode, self.spelled = encode, spelled
         self.length = np.array([len(b) for b in spelled], np.int64)
         self.marked = np.array([b[:1] == b" " for b in spelled])
 
-    def exact(self, text: str, ids: bytes) -> bool:
-        """Whether ids spell the text."""
-        return b"".join(map(self.spelled.__getitem__, np.frombuffer(ids, "<u4").tolist())) == text.encode("utf-8", "surrogatepass")
-
-    def checked(self, parts: list[str]) -> list[bytes]:
-        """Ids of each part; none where they don't spell it after a space. All are looked at together first."""
-        found, texts = self.encode(parts), [" " + p for p in parts]
-        raw = b"".join(found)
-        ends = np.concatenate([[0], np.cumsum(self.length[np.frombuffer(raw, "<u4")])])[np.cumsum([len(b) for b in found]) // 4]
-        if ends.tolist() == np.cumsum([octets(t) for t in texts]).tolist() and self.exact("".join(texts), raw):
-            return found
-        return [ids if self.exact(t, ids) else b"" for t, ids in zip(texts, found, strict=True)]
-
-    def ids(self, texts: list[list[str]]) -> list[bytes | None]:
-        """Ids of each text by its parts; None where they don't spell it."""
-        known, out = self.memory.learn(texts), []
-        for parts in texts:
-            some = [known[p] for p in parts]
-            if not all(some):  # whether bytes of parts make up for each other is told by the whole text
-                some = self.encode(parts)
-                if not self.exact("".join([" " + p for p in parts]), b"".join(some)):
-                    some = None
-            out.append(None if some is None else b"".join(some))
-        return out
+    def exact(self, raw: bytes, ids: bytes) -> bool:
+        """Whether ids spell these bytes."""
+        return b"".join(map(self.spelled.__getitem__, np.frombuffer(ids, "<u4").tolist())) == raw
+
+    def exact_parts(self, raw: bytes, ends: list[int], found: list[bytes]) -> bool:
+        """Whether the ids of each part spell it: all bytes agree, and parts end where they should."""
+        ids = b"".join(found)
+        stops = np.concatenate([[0], np.cumsum(self.length[np.frombuffer(ids, "<u4")])])[np.cumsum([len(b) for b in found]) // 4]
+        return stops.tolist() == ends and self.exact(raw, ids)
 
 
 def octets(text: str) -> int:
@@ -91,17 +76,17 @@ def octets(text: str) -> int:
     return len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass"))
 
 
-def together(encode: Callable[[list[str]], list[list[int]]], length: np.ndarray, parts: list[str]) -> list[bytes]:
-    """Byte-level ids of each part after its space. Parts that begin with a word are handed over as one text, since no token reaches across; bytes tell where each ends."""
+def together(encode: Callable[[list[str]], list[list[int]]], length: np.ndarray, parts: list[str], sizes: list[int]) -> list[bytes]:
+    """Byte-level ids of each part after its space, ``sizes`` bytes. Parts that begin with a word are handed over as one text, since no token reaches across; bytes tell where each ends."""
     out = [b""] * len(parts)
     plain, rest = [], []
     for k, p in enumerate(parts):
         (plain if p and not p[0].isspace() else rest).append(k)
     for k, ids in zip(rest, blobs(encode([" " + parts[k] for k in rest])), strict=True):
         out[k] = ids
-    texts = [" " + parts[k] for k in plain]
-    ids = np.fromiter(chain.from_iterable(encode(["".join(texts[at : at + TOGETHER]) for at in range(0, len(texts), TOGETHER)])), "<u4")
-    raw, ends = ids.tobytes(), (4 * np.searchsorted(np.cumsum(length[ids]), np.cumsum([octets(t) for t in texts])) + 4).tolist()
+    texts = [parts[k] for k in plain]
+    ids = np.fromiter(chain.from_iterable(encode([" " + " ".join(texts[at : at + TOGETHER]) for at in range(0, len(texts), TOGETHER)])), "<u4")
+    raw, ends = ids.tobytes(), (4 * np.searchsorted(np.cumsum(length[ids]), np.cumsum([sizes[k] for k in plain])) + 4).tolist()
     for k, start, end in zip(plain, [0, *ends], ends, strict=False):
         out[k] = raw[start:end]
     return out
@@ -113,7 +98,7 @@ def sides(path_a: str, path_b: str) -> tuple[Side, Side]:
 
     encode, pieces, spelled = library(path_a, plain=True), sentencepiece.SentencePieceProcessor(model_file=path_b), bytes_of_bytelevel(path_a)
     length = np.array([len(b) for b in spelled], np.int64)
-    return Side(lambda parts: together(encode, length, parts), spelled), Side(lambda parts: blobs(pieces.encode(parts, num_threads=1)), bytes_of_pieces(pieces))
+    return Side(lambda parts, sizes: together(encode, length, parts, sizes), spelled), Side(lambda parts, sizes: blobs(pieces.encode(parts, num_threads=1)), bytes_of_pieces(pieces))
 
 
 def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -201,13 +186,15 @@ class Windows:
 
     def numbers(self, texts: list[list[tuple[bytes, bytes]]]) -> list[list[int]]:
         """Numbers of the windows of each text."""
-        new = [k for k in dict.fromkeys(k for some in texts for k in some) if k not in self.known]
-        if new and len(self.known) > KEPT:
+        if len(self.known) > KEPT:
             self.forget()
-            new = list(dict.fromkeys(k for some in texts for k in some))
+        get = self.known.get
+        out = [[get(k) for k in some] for some in texts]
+        new = list(dict.fromkeys(k for some, told in zip(texts, out, strict=True) if None in told for k, n in zip(some, told, strict=True) if n is None))
         if new:
             self.learn(new)
-        return [[self.known[k] for k in some] for some in texts]
+            out = [[self.known[k] if n is None else n for k, n in zip(some, told, strict=True)] if None in told else told for some, told in zip(texts, out, strict=True)]
+        return out
 
 
 class Aligner:
@@ -215,7 +202,29 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = sides(path_a, path_b)
-        self.windows = Windows(self.a, self.b)
+        self.windows, self.memory = Windows(self.a, self.b), Remembered(KEPT_WORDS)
+
+    def parts(self, parts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids of each part by both tokenizers; none where they don't spell it after a space. All are looked at together first."""
+        sizes = [1 + octets(p) for p in parts]
+        a, b = self.a.encode(parts, sizes), self.b.encode(parts, sizes)
+        raw, ends = (" " + " ".join(parts)).encode("utf-8", "surrogatepass"), np.cumsum(sizes).tolist()
+        if self.a.exact_parts(raw, ends, a) and self.b.exact_parts(raw, ends, b):
+            return list(zip(a, b, strict=True))
+        spelled = lambda p, x, y: self.a.exact(p, x) and self.b.exact(p, y)
+        return [(x, y) if spelled((" " + p).encode("utf-8", "surrogatepass"), x, y) else (b"", b"") for p, x, y in zip(parts, a, b, strict=True)]
+
+    def ids(self, texts: list[list[str]]) -> Iterator[tuple[bytes, bytes]]:
+        """Ids of each text by its parts, by both tokenizers; none where they don't spell it."""
+        known = self.memory.learn(texts, self.parts)
+        for parts in texts:
+            a, b = zip(*[known[p] for p in parts], strict=True) if parts else ((), ())
+            if not all(a):  # whether bytes of parts make up for each other is told by the whole text
+                sizes, raw = [1 + octets(p) for p in parts], (" " + " ".join(parts)).encode("utf-8", "surrogatepass")
+                a, b = self.a.encode(parts, sizes), self.b.encode(parts, sizes)
+                if not self.a.exact(raw, b"".join(a)) or not self.b.exact(raw, b"".join(b)):
+                    a = b = ()
+            yield b"".join(a), b"".join(b)
 
     def anchors(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where windows begin and end, as counts of ids of A and of B: both ends included."""
@@ -231,9 +240,7 @@ class Aligner:
         """For each text its ids of A and B and the numbers of its windows; none for a text without tokens."""
         parts = [CUT.split(t) if t else [] for t in texts]
         ids, keys = [], []
-        for raw_a, raw_b in zip(self.a.ids(parts), self.b.ids(parts), strict=True):
-            if not raw_a or not raw_b:  # empty, or not spelled
-                raw_a = raw_b = b""
+        for raw_a, raw_b in self.ids(parts):
             a, b = np.frombuffer(raw_a, "<u4"), np.frombuffer(raw_b, "<u4")
             cut_a, cut_b = ((4 * x).tolist() for x in self.anchors(a, b)) if raw_a else ([], [])
             ids.append((a, b))
@@ -302,6 +309,8 @@ def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
                     parts = np.split(each, np.cumsum(n_groups)[:-1])
                     columns += [listed([np.cumsum(x[:, k]) for x in parts]) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in columns_of(spans).split("; ")])
+        del aligner, w
+        release()
 
     kind = dict(rows.dtypes)["id"]
     return rows.mapInArrow(run, ", ".join(f"{c} {kind}" if c == "id" else c for c in columns_of(spans).split("; ")))

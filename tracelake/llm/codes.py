@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 
 from tracelake.llm.common import materialize, shared_dir, slices, small
 from tracelake.llm.warc import opened
-from tracelake.llm.words import LowerWords, Remembered, vocabulary
+from tracelake.llm.words import LowerWords, Remembered, release, vocabulary
 
-FILE_TOKENS = 1 << 21  # tokens after which a file is closed; a longer document has a file of its own
+FILE_TOKENS = 1 << 20  # tokens after which a file is closed; a longer document has a file of its own
 TASK_BYTES = 1 << 26  # bytes of text that a task encodes and writes, about
 RUN = 1 << 18  # tokens that are packed or decoded together
 BLOCK = 512  # bits of a bitmap for each entry of its rank directory
@@ -63,8 +63,15 @@ def widths(ids: np.ndarray) -> list[int]:
 
 def pack(values: np.ndarray, width: int) -> bytes:
     """``width`` bits of each value, low bits first."""
-    places = np.arange(width, dtype=np.uint32)
-    return b"".join(np.packbits((values[k : k + RUN, None] >> places & 1).astype(np.uint8), bitorder="little").tobytes() for k in range(0, len(values), RUN))
+    rows = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4)
+    return b"".join(np.packbits(np.unpackbits(rows[k : k + RUN], axis=1, count=width, bitorder="little"), bitorder="little").tobytes() for k in range(0, len(rows), RUN))
+
+
+def unpacked(bits: np.ndarray) -> np.ndarray:
+    """Values of rows of bits, low bits first."""
+    whole = np.zeros((len(bits), 32), np.uint8)
+    whole[:, : bits.shape[1]] = bits
+    return np.packbits(whole, axis=1, bitorder="little").view("<u4")[:, 0].astype(np.uint32)
 
 
 def coded(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
@@ -74,7 +81,7 @@ def coded(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> byt
     for width in sizes:
         more = (rest >> np.uint32(width)) > 0
         ranks = np.concatenate([[0], np.cumsum(np.add.reduceat(more, np.arange(0, len(more), BLOCK)) if len(more) else [])]).astype("<u8")
-        levels.append((width, len(rest), pack(rest & np.uint32((1 << width) - 1), width), pack(more.astype(np.uint32), 1), ranks.tobytes()))
+        levels.append((width, len(rest), pack(rest & np.uint32((1 << width) - 1), width), np.packbits(more, bitorder="little").tobytes(), ranks.tobytes()))
         rest = rest[more] >> np.uint32(width)
     known = np.array([i is not None for i in doc_ids], bool)
     table = np.array([i or 0 for i in doc_ids], "<i8").tobytes() + np.packbits(known, bitorder="little").tobytes() + np.cumsum(lengths).astype("<u8").tobytes()
@@ -120,7 +127,7 @@ class Codes:
         width, _, chunks, bitmap, ranks = self.levels[level] if self.levels else (1, 0, 0, 0, 0)
         if stop <= start:
             return np.zeros(0, np.uint32)
-        out = self.bits(chunks, width, start, stop) @ (np.uint32(1) << np.arange(width, dtype=np.uint32))
+        out = unpacked(self.bits(chunks, width, start, stop))
         if level + 1 < len(self.levels):
             block = start // BLOCK
             near = self.bits(bitmap, 1, block * BLOCK, stop)[:, 0].astype(bool)
@@ -136,10 +143,10 @@ def order(id_col: Column, text: Column) -> list[Column]:
     return [id_col.asc_nulls_last(), F.xxhash64(text).asc()]
 
 
-def encoded(texts: list[str], memory: Remembered, end: int) -> list[bytes]:
+def encoded(texts: list[str], memory: Remembered, encode: LowerWords, end: int) -> list[bytes]:
     """Ids of each text and the end id; words are cut at ASCII white space, which no token holds."""
     words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-    known = memory.learn(words)
+    known = memory.learn(words, encode)
     close = struct.pack("<I", end)
     return [b"".join([*map(known.__getitem__, some), close]) for some in words]
 
@@ -162,7 +169,7 @@ def write_codes(docs: DataFrame, folder: str | None = None, id_col: str = "doc_i
     ordered = rows.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, part = Remembered(LowerWords(path)), TaskContext.get().partitionId()
+        memory, encode, part = Remembered(), LowerWords(path), TaskContext.get().partitionId()
         store, base = opened(folder)
         store.create_dir(base, recursive=True)
         ids, blobs, size, seq = [], [], 0, 0
@@ -176,7 +183,7 @@ def write_codes(docs: DataFrame, folder: str | None = None, id_col: str = "doc_i
 
         for batch in batches:
             for some in slices([batch], 100):
-                for i, blob in zip(some.column("id").to_pylist(), encoded(some.column("text").to_pylist(), memory, end), strict=True):
+                for i, blob in zip(some.column("id").to_pylist(), encoded(some.column("text").to_pylist(), memory, encode, end), strict=True):
                     if blobs and size + len(blob) // 4 > FILE_TOKENS:
                         yield close()
                         ids, blobs, size, seq = [], [], 0, seq + 1
@@ -185,6 +192,8 @@ def write_codes(docs: DataFrame, folder: str | None = None, id_col: str = "doc_i
                     size += len(blob) // 4
         if blobs:
             yield close()
+        del memory, encode, ids, blobs
+        release()
 
     contents = materialize(ordered.mapInArrow(run, CONTENTS))
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -197,32 +206,33 @@ def write_codes(docs: DataFrame, folder: str | None = None, id_col: str = "doc_i
 
 def dealt(contents: DataFrame) -> DataFrame:
     """The table of contents with its files dealt to tasks."""
-    return contents.repartition(max(1, min(10_000, contents.count())), "file")
+    n, cores = contents.count(), contents.sparkSession.sparkContext.defaultParallelism
+    return contents.repartition(max(1, min(n, max(2 * cores, n // 8))), "file")
 
 
 def read_codes(folder: str, contents: DataFrame, tokens: bool = True) -> DataFrame:
     """Every document of the files: ``doc_id, start, n_tokens, ids_crc32`` and, with ``tokens``, ``ids``. A task decodes so many documents as fill ``RUN`` tokens, or one, at a time."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = opened(folder)
-        for f in frames:
-            for name, start in zip(f["file"], f["start"], strict=True):
+        for batch in batches:
+            for name, start in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True):
                 with store.open_input_file(f"{base}/{name}") as file:
                     codes = Codes(file.read_at)
                     doc_ids, known, ends = codes.documents()
-                    begins = np.concatenate([[0], ends[:-1]])
-                    k = 0
+                    begins, k = np.concatenate([[0], ends[:-1]]), 0
                     while k < len(ends):
                         n = max(k + 1, int(np.searchsorted(ends, begins[k] + RUN, "right")))
                         ids = codes.tokens(int(begins[k]), int(ends[n - 1])).astype("<u4")
-                        each = [ids[a:b] for a, b in zip(begins[k:n] - begins[k], ends[k:n] - begins[k], strict=True)]
-                        out = pd.DataFrame({"doc_id": pd.array(np.where(known[k:n], doc_ids[k:n], 0), "Int64"), "start": start + begins[k:n], "n_tokens": ends[k:n] - begins[k:n]})
-                        out.loc[~known[k:n], "doc_id"] = pd.NA
-                        out["ids_crc32"] = [zlib.crc32(x.tobytes()) for x in each]
-                        yield out.assign(ids=each) if tokens else out
+                        bounds = np.append(begins[k:n], ends[n - 1]) - begins[k]
+                        raw, cuts = memoryview(ids.tobytes()), (4 * bounds).tolist()
+                        columns = [pa.array(doc_ids[k:n], pa.int64(), mask=~known[k:n]), pa.array(start + begins[k:n]), pa.array(np.diff(bounds)), pa.array([zlib.crc32(raw[a:b]) for a, b in zip(cuts, cuts[1:])], pa.int64())]  # noqa: B905
+                        if tokens:
+                            columns.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int64))))
+                        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * tokens])
                         k = n
 
-    return dealt(contents).mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * tokens)
+    return dealt(contents).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * tokens)
 
 
 def tokens_at(folder: str, contents: DataFrame, positions: DataFrame) -> DataFrame:

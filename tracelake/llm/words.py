@@ -7,6 +7,7 @@ size and dropped when the bound is reached. Ids are bytes of little-endian unsig
 
 from __future__ import annotations
 
+import ctypes
 import json
 import re
 from collections.abc import Callable
@@ -14,7 +15,7 @@ from itertools import chain
 
 import numpy as np
 
-KEPT = 1 << 24  # characters of words whose ids a worker keeps, about
+KEPT = 3 << 21  # characters of words whose ids a worker keeps, about; as many again are older
 TOGETHER = 100  # words that are handed to the library as one text
 LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 MARKS = '!"#$%&()*+,-./:;=?@[]^_`{}~'  # marks that may close a word; none takes part in a contraction or a special token
@@ -36,6 +37,13 @@ def library(path: str, plain: bool = False) -> Callable[[list[str]], list[list[i
     return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+def release() -> None:
+    """Hand freed memory back to the system, where its C library can: Python workers outlive their tasks, and what libraries have freed would add up."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def blobs(lists: list[list[int]]) -> list[bytes]:
     """Ids of each list as bytes."""
     raw, ends = np.fromiter(chain.from_iterable(lists), "<u4").tobytes(), (4 * np.cumsum([0, *map(len, lists)])).tolist()
@@ -43,20 +51,25 @@ def blobs(lists: list[list[int]]) -> list[bytes]:
 
 
 class Remembered:
-    """Ids of words by a function that encodes many."""
+    """Ids of words; ``learn`` is given the function that encodes many, so that nothing here refers back to its owner and memory is free as soon as a task ends.
+
+    Two generations are kept: when the younger is full, the older goes, but for words that have been met since.
+    """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], kept: int = KEPT):
-        self.encode, self.kept, self.size, self.known = encode, kept, 0, {}
+    def __init__(self, kept: int = KEPT):
+        self.kept, self.size, self.known, self.older = kept, 0, {}, {}
 
-    def learn(self, texts: list[list[str]]) -> dict[str, bytes]:
+    def learn(self, texts: list[list[str]], encode: Callable[[list[str]], list[bytes]]) -> dict[str, bytes]:
         """Ids of at least these texts' words."""
-        words = set().union(*texts)
-        new = list(words.difference(self.known))
-        if new and self.size > self.kept:
-            self.known, self.size, new = {}, 0, list(words)
-        if new:
-            self.known.update(zip(new, self.encode(new), strict=True))
-            self.size += sum(map(len, new)) + 16 * len(new)
+        if self.size > self.kept:
+            self.known, self.older, self.size = {}, self.known, 0
+        new = list(set().union(*texts).difference(self.known))
+        again = [w for w in new if w in self.older] if self.older else []
+        self.known.update((w, self.older[w]) for w in again)
+        unknown = [w for w in new if w not in self.known] if again else new
+        if unknown:
+            self.known.update(zip(unknown, encode(unknown), strict=True))
+        self.size += sum(map(len, new)) + 16 * len(new)
         return self.known
 
 
@@ -72,16 +85,16 @@ class LowerWords:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.whole, bare = library(path), Tokenizer.from_file(path)
-        make = json.loads(bare.to_str())
-        kinds = lambda part, inner: [x["type"] for x in (make[part] or {}).get(inner, [])]
-        suffix = make["model"].get("end_of_word_suffix")
-        self.simple = bool(suffix) and kinds("normalizer", "normalizers") == ["NFC", "Replace", "Lowercase"] and kinds("pre_tokenizer", "pretokenizers") == ["Split", "ByteLevel"] and r"|[\p{L}]+|" in json.dumps(make["pre_tokenizer"]).replace("\\\\", "\\")
+        made = lambda part: json.loads(part.__getstate__()) if part is not None else {}
+        first, then = made(bare.normalizer), made(bare.pre_tokenizer)
+        suffix = getattr(bare.model, "end_of_word_suffix", None)
+        self.simple = bool(suffix) and [x["type"] for x in first.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in then.get("pretokenizers", [])] == ["Split", "ByteLevel"] and r"|[\p{L}]+|" in then["pretokenizers"][0]["pattern"].get("Regex", "")
         bare.normalizer, bare.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.bare = bare
         self.closing = np.zeros(bare.get_vocab_size(), bool)
         if self.simple:
             self.closing[[i for piece, i in bare.get_vocab().items() if piece.endswith(suffix)]] = True
-        self.cores, self.tails = Remembered(self.letters), Remembered(lambda words: blobs(self.whole(words)))
+        self.cores, self.tails = Remembered(), Remembered()
 
     def letters(self, words: list[str]) -> list[bytes]:
         """Ids of words of lower-case letters."""
@@ -101,5 +114,5 @@ class LowerWords:
         cores = [w.rstrip(MARKS) for w in words]
         plain = [c.lower() if LETTERS.fullmatch(c) else None for c in cores]
         tails = [w[len(c) :] if p else w for w, c, p in zip(words, cores, plain, strict=True)]
-        known, ends = self.cores.learn([[p for p in plain if p]]), self.tails.learn([tails])
+        known, ends = self.cores.learn([[p for p in plain if p]], self.letters), self.tails.learn([tails], lambda words: blobs(self.whole(words)))
         return [known[p] + ends[t] if p else ends[t] for p, t in zip(plain, tails, strict=True)]

@@ -10,7 +10,7 @@ from tracelake.functions.text import merged_labels
 from tracelake.operators import quality_check as H
 from tracelake.operators import roads as R
 from tracelake.operators import trajectories as T
-from tracelake.operators.boxes import box_join
+from tracelake.operators.boxes import BOX, box_join
 from tracelake.operators.polygons import in_polygons
 from tracelake.operators.shapes import planar
 from tracelake.sources.geojson import read_polygons, write_lines
@@ -36,11 +36,11 @@ def polygon_workflow(spark: SparkSession, geojson: str, points: DataFrame, folde
 
 def all_roads(points: DataFrame, lanes: DataFrame, edges: DataFrame, crossings: DataFrame, metres: float = 3.0) -> DataFrame:
     """``(road_id, kind)``: roads that trajectories touch, then their chains ahead (500 m) and behind (100 m), then roads into and out of crossings they touch."""
-    direct = R.near_lanes(points, lanes, metres).select(F.col("lane_id").alias("road_id")).distinct()
+    lines = R.touched_lanes(points, lanes, metres).select(*BOX).distinct()
+    direct = lanes.join(lines, BOX, "left_semi").select(F.col("lane_id").alias("road_id")).distinct()
     seeds = direct.select(F.col("road_id").alias("roadid"))
     chain = R.chains(edges, seeds, 500.0).unionByName(R.chains(edges, seeds, 100.0, backward=True)).select("road_id").distinct()
-    at = points.select("dataset_name", F.col("lon").alias("xmin"), F.col("lat").alias("ymin"), F.col("lon").alias("xmax"), F.col("lat").alias("ymax"))
-    met = box_join(at, crossings, how="dwithin", distance=metres / METRES_PER_DEGREE).select(F.col("r_intersection_id").alias("roadid")).distinct()
+    met = crossings.join(R.touched_boxes(points, crossings, metres).select(*BOX).distinct(), BOX, "left_semi").select(F.col("intersection_id").alias("roadid")).distinct()
     into = edges.join(met, "roadid", "left_semi").select(F.col("roadid").alias("road_id"))
     out = edges.join(met, "roadid", "left_semi").select(F.col("nextroadid").alias("road_id"))
     return R.merged_roads(direct=direct, chain=chain, intersection=into.unionByName(out).distinct())
@@ -49,8 +49,9 @@ def all_roads(points: DataFrame, lanes: DataFrame, edges: DataFrame, crossings:
 def integrated(points: DataFrame, lanes: DataFrame) -> DataFrame:
     """Road and lane results of each trajectory side by side, with a status."""
     every = points.groupBy("dataset_name").agg(F.count("*").alias("total_points")).where("total_points >= 2")
-    touched = R.near_lanes(points, lanes, 3.0).groupBy("dataset_name").agg(F.countDistinct("lane_id").alias("total_roads"))
-    kept = R.lane_rules(R.near_lanes(points, lanes, 15.0)).select("dataset_name", F.col("lane_count").alias("total_lanes"), F.col("total_points").alias("hit_points"), "reason")
+    classes, at = R.lane_classes(lanes), points.select("dataset_name", "lon", "lat")
+    touched = R.lane_counts(R.near_lanes(at, classes, 3.0)).select("dataset_name", F.col("lane_count").alias("total_roads"))
+    kept = R.lane_rules(R.near_lanes(at, classes, 15.0)).select("dataset_name", F.col("lane_count").alias("total_lanes"), F.col("total_points").alias("hit_points"), "reason")
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("total_roads", "total_lanes", "hit_points")]
     status = F.when(F.coalesce("total_roads", F.lit(0)) == 0, "no_roads").when(F.col("reason").isNull(), "no_lanes").otherwise("success")
     return every.join(touched, "dataset_name", "left").join(kept, "dataset_name", "left").select("dataset_name", "total_points", *zero, "reason", status.alias("status"))
@@ -108,7 +109,7 @@ def candidate_lanes(segments: DataFrame, lanes: DataFrame, metres: float = 50.0,
 
 def complete_trajectories(points: DataFrame, lanes: DataFrame, most: float = SAME_WAY) -> DataFrame:
     """Whole trajectories that the lane rules keep and that lead the way of a touched lane (within ``most`` degrees); those under 10 m needn't."""
-    hits = R.near_lanes(points, lanes, 15.0)
+    hits = R.near_lanes(points.select("dataset_name", "lon", "lat"), R.lane_classes(lanes), 15.0)
     kept = R.lane_rules(hits).withColumnsRenamed({"total_points": "hit_points", "lane_count": "total_lanes"})
     w = Window.partitionBy("dataset_name").orderBy("ts", "seq")
     stepped = points.join(kept.select("dataset_name"), "dataset_name", "left_semi").withColumn("step", planar(F.lag("lon").over(w), F.lag("lat").over(w), F.col("lon"), F.col("lat")))
@@ -121,7 +122,7 @@ def complete_trajectories(points: DataFrame, lanes: DataFrame, most: float = SAM
     )
     heading = F.when(F.col("length_meters") >= HEADING_METRES, bearing(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]))
     whole = whole.where("total_points >= 2").withColumn("trajectory_heading", heading).drop("x1", "y1", "x2", "y2").join(kept, "dataset_name")
-    ways = hits.select("dataset_name", "lane_id", R.lane_heading().alias("way")).distinct()
+    ways = hits.select("dataset_name", R.lane_heading().alias("way")).distinct()
     same = ways.join(whole.select("dataset_name", "trajectory_heading"), "dataset_name").where(heading_difference(F.col("way"), F.col("trajectory_heading")) <= most).select("dataset_name").distinct()
     fits = whole.join(same.withColumn("same", F.lit(True)), "dataset_name", "left").where("trajectory_heading is null or same")
     return fits.drop("same")
@@ -173,7 +174,7 @@ def lane_statistics(points: DataFrame, lanes: DataFrame) -> DataFrame:
     """
     every = points.groupBy("dataset_name").agg(F.count("*").alias("n")).where("n >= 2").select("dataset_name")
     candidates = candidate_lanes(input_segments(points), lanes).groupBy("dataset_name").agg(F.count("*").alias("candidate_lanes"))
-    near = R.near_lanes(points, lanes, 15.0)
+    near = R.near_lanes(points.select("dataset_name", "seq", "lon", "lat"), R.lane_classes(lanes), 15.0)
     hits = near.groupBy("dataset_name").agg(F.countDistinct("seq").alias("hit_points"))
     kept = R.lane_rules(near).select("dataset_name", (F.col("lane_count") >= 2).alias("multi"))
     whole = complete_trajectories(points, lanes).select("dataset_name", F.lit(1).alias("complete"))

@@ -46,7 +46,7 @@ def c10(crossings):
 
 @query("c14_exported_analysis", "boxes", "crossings", sql=f"SELECT 'city_id' AS group_dimension, b.city_id AS group_value, b.city_id AS group_name, count(*) AS intersection_count, '{{\"kind\":\"city\"}}' AS analysis_params FROM {JOIN} GROUP BY b.city_id")
 def c14(boxes, crossings):
-    return B.named_result(B.analysis(B.pairs(boxes, crossings), ("city_id",)), "city_id", {"kind": "city"})
+    return B.named_result(B.analysed(boxes, crossings, ("city_id",)), "city_id", {"kind": "city"})
 
 
 @query("d1_scene_mappings", "scenes", "pts", sql="SELECT s.scene_id, s.lang, p.dataset_name FROM scenes s LEFT JOIN (SELECT DISTINCT scene_token, dataset_name FROM pts) p ON p.scene_token = s.scene_id")
@@ -140,9 +140,8 @@ def f39(boxes):
 
 @query("g3_crossings_near_trajectories", "pts", "crossings", sql=f"SELECT DISTINCT p.dataset_name, c.intersection_id FROM pts p JOIN crossings c ON c.intersectiontype = 5 AND greatest(0, c.xmin - p.lon, p.lon - c.xmax) ** 2 + greatest(0, c.ymin - p.lat, p.lat - c.ymax) ** 2 <= {radius(3)}::DOUBLE * {radius(3)}::DOUBLE")
 def g3(pts, crossings):
-    at = pts.select("dataset_name", F.col("lon").alias("xmin"), F.col("lat").alias("ymin"), F.col("lon").alias("xmax"), F.col("lat").alias("ymax"))
-    met = B.box_join(at, crossings.where("intersectiontype = 5"), how="dwithin", distance=3 / METRES_PER_DEGREE)
-    return met.select(F.col("l_dataset_name").alias("dataset_name"), F.col("r_intersection_id").alias("intersection_id")).distinct()
+    some = crossings.where("intersectiontype = 5")
+    return R.named(R.touched_boxes(pts, some, 3.0), some, "intersection_id")
 
 
 @query("g12_road_totals", "edges", sql="SELECT count(*) AS edges, count(DISTINCT nextroadid) AS roads, round(sum(length), 2) AS metres FROM edges")
@@ -175,8 +174,12 @@ def g29(crossings):
 
 @query("g35_lane_run_statistics", "pts", "crossings", sql=f"WITH {NEAR.format(r=radius(15))} SELECT count(*) AS hits, count(DISTINCT dataset_name) AS datasets, count(DISTINCT lane_id) AS lanes, round(avg(distance) * 111320, 3) AS mean_metres FROM h")
 def g35(pts, crossings):
-    near = R.near_lanes(pts, lanes_of(crossings), 15)
-    return near.agg(F.count("*").alias("hits"), F.countDistinct("dataset_name").alias("datasets"), F.countDistinct("lane_id").alias("lanes"), F.round(F.avg("distance") * METRES_PER_DEGREE, 3).alias("mean_metres"))
+    near = R.near_lanes(pts.select("dataset_name", "lon", "lat"), R.lane_classes(lanes_of(crossings)), 15)
+    n = F.greatest("lanes", F.lit(1))
+    per = near.groupBy("lane_id").agg(F.max("lanes").alias("lanes"), F.sum(n).alias("hits"), F.sum(F.col("distance") * n).alias("far"))
+    sums = per.agg(F.coalesce(F.sum("hits"), F.lit(0)).alias("hits"), F.coalesce(F.sum("lanes"), F.lit(0)).alias("lanes"), F.sum("far").alias("far"))
+    datasets = near.agg(F.countDistinct("dataset_name").alias("datasets"))  # one row, as the sums are
+    return sums.crossJoin(F.broadcast(datasets)).select("hits", "datasets", "lanes", F.round(F.col("far") / F.nullif("hits", F.lit(0)) * METRES_PER_DEGREE, 3).alias("mean_metres"))
 
 
 @query("g41_coerced_results", "documents", sql="SELECT doc_id, TRY_CAST(substr(source, 4) AS INT) AS source_number, coalesce(lang = 'en', false) AS english, coalesce(lang, '') AS lang FROM documents")

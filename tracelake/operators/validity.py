@@ -48,7 +48,7 @@ def self_crossings(polygons: DataFrame) -> DataFrame:
     next_ = (c("ar") == c("br")) & ((c("bk") == c("ak") + 1) | ((c("ak") == 0) & (c("bk") == c("an") - 1)))
     bad = F.when(next_, along).when(c("ar") == c("br"), touch).otherwise(cross | along)
     ordered = (c("ar") < c("br")) | ((c("ar") == c("br")) & (c("ak") < c("bk")))
-    return a.join(b, key).where(ordered & bad).select("polygon_id").distinct()
+    return a.join(b.hint("merge"), key).where(ordered & bad).select("polygon_id").distinct()
 
 
 def checked_polygons(polygons: DataFrame) -> DataFrame:
@@ -62,7 +62,7 @@ def checked_polygons(polygons: DataFrame) -> DataFrame:
     opened = lambda r: F.when((F.size(r) > 1) & (F.get(r, F.lit(0)) == F.element_at(r, -1)), F.slice(r, 1, F.greatest(F.size(r) - 1, F.lit(1)))).otherwise(r)
     given = polygons.select("polygon_id", F.col("rings").alias("raw"), F.transform("rings", lambda r: opened(steps(r))).alias("rings"))
     crossing = self_crossings(given.select("polygon_id", "rings")).withColumn("crosses", F.lit(True))
-    rows = given.join(crossing, "polygon_id", "left")
+    rows = given.join(crossing.hint("merge"), "polygon_id", "left")
     outer = F.get("rings", F.lit(0))
     left = lambda r, i: F.when((signed_area(r) > 0) == (i == 0), r).otherwise(F.reverse(r))
     mended = F.transform("rings", lambda r, i: F.concat(left(r, i), F.slice(left(r, i), 1, 1)))

@@ -74,3 +74,21 @@ def test_lane_classes(spark):
     near = R.near_lanes(points, lanes.dropna().dropDuplicates(["lane_id"]), 15, key=["dataset_name", "seq"], k=5)
     each = near.groupBy("dataset_name", "seq").agg(F.collect_list(F.struct("nth", "lane_id")).alias("x"))
     assert all([r.nth for r in sorted(e.x)] == [1, 2, 3, 4, 5] for e in each.collect())
+
+
+def test_equal_rings_and_places(spark):
+    from tracelake.operators import polygons as P
+    from tracelake.operators import workflows as W
+
+    ring = lambda k: [[(116.3 + k * 0.001, 39.9), (116.302 + k * 0.001, 39.9), (116.302 + k * 0.001, 39.902), (116.3 + k * 0.001, 39.902)]]
+    polygons = spark.createDataFrame([(n, ring(n % 3)) for n in range(300)], "polygon_id long, rings array<array<struct<x:double,y:double>>>")
+    points = spark.createDataFrame([(f"t{k % 2}", 10 - k, k, 116.3005 + k * 0.0005, 39.901, 1.0, 1) for k in range(8)] * 1, "dataset_name string, ts long, seq long, lon double, lat double, twist_linear double, avp_flag int")
+    assert P.in_shapes(points, polygons).count() < 100  # arrays of ids, where there are hundreds of pairs
+    found = P.in_polygons(points, polygons).select("seq", "polygon_id").collect()
+    want = {(k, n) for k in range(8) for n in range(300) if n % 3 * 0.001 <= 0.0005 + k * 0.0005 + 1e-9 and 0.0005 + k * 0.0005 - 1e-9 <= n % 3 * 0.001 + 0.002}
+    assert len(found) == len(want) and {(r.seq, r.polygon_id) for r in found} == want
+    ids = {r.dataset_name: r.polygon_ids for r in W.polygon_trajectories(points, polygons).collect()}
+    assert ids == {t: sorted({n for k, n in want if f"t{k % 2}" == t}) for t in ("t0", "t1")}
+    areas = spark.createDataFrame([(n, f"s{n}", 116.3, 39.9, 116.302, 39.902) for n in range(5)], "polygon_id long, source string, xmin double, ymin double, xmax double, ymax double")
+    plain = W.result_rows(W.point_sources(points, areas)).select("dataset_name", "source_polygons")
+    assert rows(W.result_rows(points, areas=areas).select("dataset_name", "source_polygons")) == rows(plain)

@@ -11,7 +11,7 @@ from tracelake.operators import quality_check as H
 from tracelake.operators import roads as R
 from tracelake.operators import trajectories as T
 from tracelake.operators.boxes import BOX, box_join
-from tracelake.operators.polygons import in_polygons
+from tracelake.operators.polygons import in_shapes
 from tracelake.operators.shapes import planar
 from tracelake.sources.geojson import read_polygons, write_lines
 
@@ -22,7 +22,7 @@ NEAR_LANES, SAME_WAY = 10, 45.0
 
 def polygon_trajectories(points: DataFrame, polygons: DataFrame) -> DataFrame:
     """The whole trajectory of each dataset with a point in a polygon, statistics and ``polygon_ids`` (sorted) included."""
-    hit = in_polygons(points, polygons).groupBy("dataset_name").agg(F.array_sort(F.collect_set("polygon_id")).alias("polygon_ids"))
+    hit = in_shapes(points.select("dataset_name", "ts", "lon", "lat"), polygons).groupBy("dataset_name").agg(F.array_sort(F.flatten(F.collect_set("members"))).alias("polygon_ids"))
     return T.build(points.join(hit.select("dataset_name"), "dataset_name", "left_semi")).join(hit, "dataset_name")
 
 
@@ -191,16 +191,19 @@ def lane_statistics(points: DataFrame, lanes: DataFrame) -> DataFrame:
 
 def point_sources(points: DataFrame, areas: DataFrame) -> DataFrame:
     """``points`` with ``source_polygons``: the sources of all ``areas(polygon_id, source, envelope)`` that hold a point, joined by commas in the order of ids; else ``polygon_`` and the least id."""
-    at = points.select("dataset_name", "seq", F.col("lon").alias("xmin"), F.col("lat").alias("ymin"), F.col("lon").alias("xmax"), F.col("lat").alias("ymax"))
-    met = box_join(at, areas).groupBy(F.col("l_dataset_name").alias("dataset_name"), F.col("l_seq").alias("seq"))
+    at = points.select("lon", "lat").distinct().select(F.col("lon").alias("xmin"), F.col("lat").alias("ymin"), F.col("lon").alias("xmax"), F.col("lat").alias("ymax"))  # places, each told once
+    met = box_join(at, areas).groupBy(F.col("l_xmin").alias("lon"), F.col("l_ymin").alias("lat"))
     told = met.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r_polygon_id", "r_source"))), lambda x: x["r_source"]), ",").alias("told"))
     first = areas.agg(F.min("polygon_id").alias("first"))  # one row
-    rows = points.join(told, ["dataset_name", "seq"], "left").crossJoin(F.broadcast(first))
+    rows = points.join(told.hint("merge"), ["lon", "lat"], "left").crossJoin(F.broadcast(first))
     return rows.withColumn("source_polygons", F.coalesce("told", F.concat(F.lit("polygon_"), "first"))).drop("told", "first")
 
 
-def result_rows(points: DataFrame, query_type: str = "text") -> DataFrame:
-    """Trajectory rows of found ``points``, with the sources of the first point; speeds only where there are any."""
+def result_rows(points: DataFrame, query_type: str = "text", areas: DataFrame | None = None) -> DataFrame:
+    """Trajectory rows of found ``points``, with the sources of the first point, told by ``areas`` if given (``point_sources``); speeds only where there are any."""
     line = T.build(points)
-    first = points.groupBy("dataset_name").agg(F.min_by("source_polygons", F.struct("ts", "seq")).alias("source_polygons"))
+    value = "source_polygons" if areas is None else F.struct("lon", "lat")
+    first = points.groupBy("dataset_name").agg(F.min_by(value, F.struct("ts", "seq")).alias("source_polygons"))
+    if areas is not None:
+        first = point_sources(first.select("dataset_name", "source_polygons.*"), areas).select("dataset_name", "source_polygons")
     return line.join(first, "dataset_name").withColumn("query_type", F.lit(query_type))

@@ -172,7 +172,7 @@ def i8(pts, crossings):
 
 @query("i11_result_rows", "pts", "crossings", sql=f"WITH {AREAS} SELECT dataset_name, min(ts) AS start_time, max(ts) AS end_time, count(*) AS point_count, arg_min(source_polygons, seq) AS source_polygons, 'text' AS query_type FROM ps GROUP BY 1 HAVING count(*) >= 2")
 def i11(pts, crossings):
-    found = W.result_rows(W.point_sources(pts, areas(crossings)))
+    found = W.result_rows(pts, areas=areas(crossings))
     return found.select("dataset_name", "start_time", "end_time", "point_count", "source_polygons", "query_type")
 
 

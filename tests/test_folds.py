@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tracelake.operators import boxes as B
 from tracelake.operators import roads as R
+from tracelake.plans import shapes
+from tracelake.plans.inputs import read
 
 BOXES = "scene_token string, city_id string, subdataset_name string, xmin double, ymin double, xmax double, ymax double"
 CROSSINGS = "intersection_id long, intersectiontype int, intersectionsubtype int, xmin double, ymin double, xmax double, ymax double"
@@ -53,6 +55,30 @@ def test_hot_cells_are_split(spark):
     assert tasks.nunique() > 1 and tasks.value_counts().max() < 0.6 * len(tasks)
 
 
+def test_cells_are_split_by_what_folded_rows_hold(spark):
+    g = F.when(F.col("id") >= 0, 1).otherwise(3).alias("g")
+    a = spark.range(400).select(g, F.col("id").alias("a"), F.array_repeat("id", 64).alias("l_members"))
+    found = B.cell_join(a, spark.range(3).select(g, F.col("id").alias("b")), ["g"])
+    assert found.count() == found.select("a", "b").distinct().count() == 1200
+    assert found.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_segments_of_equal_envelopes_meet_once(spark, monkeypatch):
+    pts = spark.range(40 * 8).select(
+        F.concat(F.lit("t"), (F.col("id") / 8).cast("int")).alias("dataset_name"), F.col("id").alias("seq"), (F.col("id") % 8).alias("ts"),
+        (116.3 + F.col("id") % 8 * 0.00001).alias("lon"), (39.9 + F.col("id") % 8 * 0.00001).alias("lat"), (F.col("id") % 5).cast("double").alias("twist_linear"), F.lit(0.0).alias("yaw"),
+    )
+    met, join = [], B.box_join
+    monkeypatch.setattr(B, "box_join", lambda a, b, *more, **options: met.append(a) or join(a, b, *more, **options))
+    found = shapes.near_pairs(pts, "avg_speed").collect()
+    assert len({(r["l_o"], r["r_o"]) for r in found}) == len(found) == 40 * 39 / 2
+    assert met[0].count() == 1
+
+
+def test_placed_segments_are_worked_out_once(spark):
+    assert "Window" not in shapes.placed(read(spark, "/root/testdata/sf0.001", "pts"))._jdf.queryExecution().executedPlan().toString()
+
+
 def test_dealt_rows_are_not_broadcast(spark, tables):
     boxes, crossings = tables
     points = spark.range(40).select(F.lit("t").alias("dataset_name"), F.col("id").alias("seq"), (116.3 + F.col("id") * 0.0001).alias("lon"), F.lit(39.9).alias("lat"))

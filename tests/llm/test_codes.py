@@ -1,5 +1,6 @@
 """Directly addressable codes: files against the library's own encoding of whole texts."""
 
+import os
 import random
 import zlib
 
@@ -114,3 +115,17 @@ def test_query(spark, tmp_path):
     for r, ids in zip(sorted(QUERIES["op13_token_codes"](spark, str(tmp_path)).collect()), whole(TEXTS), strict=True):
         assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
+
+
+def test_the_library_starts_no_threads():
+    """Workers have a core each. In a process of its own, since threads stay."""
+    import subprocess
+    import sys
+
+    code = "\n".join([
+        "import os", "from tracelake.llm import words", "path = words.vocabulary('word_bpe_49k.json')", "encode, whole = words.LowerWords(path), words.library(path)",
+        "before = len(os.listdir('/proc/self/task'))", "some = [f'{a}{b}{c}' for a in 'abcdefghij' for b in 'klmnopqrst' for c in 'uvwxyzabcd']", "encode(some), whole(some)",
+        "print(len(os.listdir('/proc/self/task')) - before)",
+    ])
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"} | {"PYTHONPATH": os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))}
+    assert subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, check=True).stdout.strip() == "0"

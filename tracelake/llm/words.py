@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import json
+import os
 import re
 from collections.abc import Callable
 from itertools import chain
@@ -28,10 +29,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def alone() -> None:
+    """Have the tokenizers library work in its caller's thread: a task has one core, and threads of its own for each worker only wait for one another and keep memory."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+
 def library(path: str, plain: bool = False) -> Callable[[list[str]], list[list[int]]]:
     """Encoder of many texts by the tokenizers library; ``plain``: strings of special tokens are text."""
     from tokenizers import Tokenizer
 
+    alone()
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = plain
     return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

@@ -118,3 +118,14 @@ def test_equal_rings_and_places(spark):
     areas = spark.createDataFrame([(n, f"s{n}", 116.3, 39.9, 116.302, 39.902) for n in range(5)], "polygon_id long, source string, xmin double, ymin double, xmax double, ymax double")
     plain = W.result_rows(W.point_sources(points, areas)).select("dataset_name", "source_polygons")
     assert rows(W.result_rows(points, areas=areas).select("dataset_name", "source_polygons")) == rows(plain)
+
+
+def test_trajectories_are_joined_without_broadcasts(spark):
+    """There are as many as the input gives; small tables would be broadcast if these joins were left to Spark."""
+    from tracelake.operators import workflows as W
+
+    points = spark.createDataFrame([(f"t{k}", i, i, 116.3 + i * 1e-4, 39.9 + k * 1e-4, 5.0, 1) for k in range(3) for i in range(8)], "dataset_name string, ts long, seq long, lon double, lat double, twist_linear double, avp_flag int")
+    lanes = spark.createDataFrame([(1, 116.3, 39.9, 116.301, 39.9), (2, 116.3, 39.9001, 116.301, 39.9001)], "lane_id long, xmin double, ymin double, xmax double, ymax double")
+    for frame, rows in ((W.complete_trajectories(points, lanes), 3), (W.lane_statistics(points, lanes), 1)):
+        assert len(frame.collect()) == rows
+        assert "BroadcastHashJoin [dataset_name" not in frame._jdf.queryExecution().executedPlan().toString()

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracelake.functions.geo import METRES_PER_DEGREE, bearing, heading_difference
+from tracelake.functions.graph import shuffled
 from tracelake.functions.text import merged_labels
 from tracelake.operators import quality_check as H
 from tracelake.operators import roads as R
@@ -112,7 +113,7 @@ def complete_trajectories(points: DataFrame, lanes: DataFrame, most: float = SAM
     hits = R.near_lanes(points.select("dataset_name", "lon", "lat"), R.lane_classes(lanes), 15.0)
     kept = R.lane_rules(hits).withColumnsRenamed({"total_points": "hit_points", "lane_count": "total_lanes"})
     w = Window.partitionBy("dataset_name").orderBy("ts", "seq")
-    stepped = points.join(kept.select("dataset_name"), "dataset_name", "left_semi").withColumn("step", planar(F.lag("lon").over(w), F.lag("lat").over(w), F.col("lon"), F.col("lat")))
+    stepped = points.join(shuffled(kept.select("dataset_name")), "dataset_name", "left_semi").withColumn("step", planar(F.lag("lon").over(w), F.lag("lat").over(w), F.col("lon"), F.col("lat")))
     ends = [f(c, F.struct("ts", "seq")).alias(n) for n, f, c in (("x1", F.min_by, "lon"), ("y1", F.min_by, "lat"), ("x2", F.max_by, "lon"), ("y2", F.max_by, "lat"))]
     v = F.col("twist_linear")
     whole = stepped.groupBy("dataset_name").agg(
@@ -121,10 +122,10 @@ def complete_trajectories(points: DataFrame, lanes: DataFrame, most: float = SAM
         F.coalesce(F.bround(F.avg((F.col("avp_flag") == 1).cast("double")), 3), F.lit(0.0)).alias("avp_ratio"), *ends,
     )
     heading = F.when(F.col("length_meters") >= HEADING_METRES, bearing(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]))
-    whole = whole.where("total_points >= 2").withColumn("trajectory_heading", heading).drop("x1", "y1", "x2", "y2").join(kept, "dataset_name")
+    whole = whole.where("total_points >= 2").withColumn("trajectory_heading", heading).drop("x1", "y1", "x2", "y2").join(shuffled(kept), "dataset_name")
     ways = hits.select("dataset_name", R.lane_heading().alias("way")).distinct()
-    same = ways.join(whole.select("dataset_name", "trajectory_heading"), "dataset_name").where(heading_difference(F.col("way"), F.col("trajectory_heading")) <= most).select("dataset_name").distinct()
-    fits = whole.join(same.withColumn("same", F.lit(True)), "dataset_name", "left").where("trajectory_heading is null or same")
+    same = ways.join(shuffled(whole.select("dataset_name", "trajectory_heading")), "dataset_name").where(heading_difference(F.col("way"), F.col("trajectory_heading")) <= most).select("dataset_name").distinct()
+    fits = whole.join(shuffled(same.withColumn("same", F.lit(True))), "dataset_name", "left").where("trajectory_heading is null or same")
     return fits.drop("same")
 
 
@@ -178,7 +179,7 @@ def lane_statistics(points: DataFrame, lanes: DataFrame) -> DataFrame:
     hits = near.groupBy("dataset_name").agg(F.countDistinct("seq").alias("hit_points"))
     kept = R.lane_rules(near).select("dataset_name", (F.col("lane_count") >= 2).alias("multi"))
     whole = complete_trajectories(points, lanes).select("dataset_name", F.lit(1).alias("complete"))
-    rows = every.join(candidates, "dataset_name", "left").join(hits, "dataset_name", "left").join(kept, "dataset_name", "left").join(whole, "dataset_name", "left")
+    rows = every.join(shuffled(candidates), "dataset_name", "left").join(shuffled(hits), "dataset_name", "left").join(shuffled(kept), "dataset_name", "left").join(shuffled(whole), "dataset_name", "left")
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     n, multi, enough = F.count("*"), F.count_if("multi"), F.count_if(~F.col("multi"))
     mean = lambda c: F.round(total(c) / F.nullif(n, F.lit(0)), 2)

@@ -1,5 +1,6 @@
 """Equal envelopes and lines are compared once, hot cells are split, and dealt rows are never broadcast."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +130,36 @@ def test_trajectories_are_joined_without_broadcasts(spark):
     for frame, rows in ((W.complete_trajectories(points, lanes), 3), (W.lane_statistics(points, lanes), 1)):
         assert len(frame.collect()) == rows
         assert "BroadcastHashJoin [dataset_name" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_distances_of_members(spark):
+    """Members of rows that meet are measured where they meet, and not listed as pairs before."""
+    import random
+
+    from tests.plain import frechet, hausdorff
+    from tracelake.operators import shapes as S
+
+    rng = random.Random(3)
+    line = lambda n: [(116.3 + rng.random() * 0.001, 39.9 + rng.random() * 0.001) for _ in range(n)]
+    lines = {f"t{k}": line(rng.choice([0, 1, 2, 5, 6, 9])) for k in range(60)} | {"none": None, "hole": [(116.3, None), (116.31, 39.9)], "twin": [(1.0, 2.0)] * 2, "twin too": [(1.0, 2.0)] * 2}
+    names = list(lines)
+    blocks = [(names[a : a + 7], names[b : b + 7]) for a in range(0, len(names), 7) for b in range(0, len(names), 7)]
+    rows = [tuple([(o, lines[o]) for o in side] for side in block) for block in blocks]
+    member = "array<struct<o:string,line:array<struct<lon:double,lat:double>>>>"
+    met = spark.createDataFrame(rows, f"l_members {member}, r_members {member}").repartition(1)
+    pairs = B.unfolded(met, "l_", "r_").where("l_o < r_o")
+    wanted = {(r.l_o, r.r_o): r.d for r in pairs.select("l_o", "r_o", S.segment_distance(F.col("l_line"), F.col("r_line")).alias("d")).collect()}
+    for measure, plain in ((S.farthest("frechet"), frechet), (S.farthest("hausdorff"), hausdorff), (S.segment_distances, None)):
+        found = S.member_distances(met, measure, 4)
+        assert "explode" not in found._jdf.queryExecution().executedPlan().toString()
+        got = {(r.a, r.b): r.distance for r in found.collect()}
+        assert got.keys() == wanted.keys() and len(got) == len(names) * (len(names) - 1) / 2
+        for (a, b), d in got.items():
+            whole = lines[a] and lines[b] and "hole" not in (a, b)
+            if plain:
+                assert d == pytest.approx(plain(np.array(lines[a]), np.array(lines[b])), abs=1e-4) if whole else d is None
+            elif whole:
+                assert d == pytest.approx(wanted[a, b], abs=1e-4)
+    features = "array<struct<o:string,p:double,q:double>>"
+    met = spark.createDataFrame([([("b", 0.0, 0.0), ("c", 1.0, None)], [("a", 3.0, 4.0), ("c", 1.0, None), ("d", 0.00004, 0.0)])], f"l_members {features}, r_members {features}")
+    assert {tuple(r) for r in S.member_distances(met, S.feature_distances, 4).collect()} == {("b", "c", None), ("b", "d", 0.0), ("c", "d", None)}

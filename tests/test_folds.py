@@ -163,3 +163,35 @@ def test_distances_of_members(spark):
     features = "array<struct<o:string,p:double,q:double>>"
     met = spark.createDataFrame([([("b", 0.0, 0.0), ("c", 1.0, None)], [("a", 3.0, 4.0), ("c", 1.0, None), ("d", 0.00004, 0.0)])], f"l_members {features}, r_members {features}")
     assert {tuple(r) for r in S.member_distances(met, S.feature_distances, 4).collect()} == {("b", "c", None), ("b", "d", 0.0), ("c", "d", None)}
+
+
+def test_boxes_of_equal_envelopes_meet_once(spark, monkeypatch):
+    from tracelake.operators import clustering as C
+    from tracelake.plans import places
+
+    at = [0.0, 0.001, 0.01]
+    rows = [(f"s{k:03d}", None if k % 4 == 3 else f"A{k % 4}", at[k % 3], 0.0, at[k % 3] + 0.0015, 0.002) for k in range(240)] + [("null", "A0", None, None, None, None)]
+    boxes = spark.createDataFrame(rows, "scene_token string, city_id string, xmin double, ymin double, xmax double, ymax double")
+    seen = []
+    for module in (B, C):
+        join = module.box_join
+        monkeypatch.setattr(module, "box_join", lambda a, b, join=join: seen.append(a.count()) or join(a, b))
+    parts = {r.scene_token: r.part for r in C.touching(boxes, "city_id", "scene_token").collect()}
+    assert seen == [4 * 3, 4 * 2]  # three places in each of four cities, of which two meet
+    groups = {}
+    for k in range(240):
+        groups.setdefault((k % 4, k % 3 == 2), set()).add(parts[f"s{k:03d}"])
+    assert all(len(g) == 1 for g in groups.values()) and len(set(parts.values())) == 9
+    seen.clear()
+    found = places.i7(boxes).collect()
+    assert seen[0] < 20 and len(found) == len({(r.a, r.b) for r in found}) == 160 * 159 / 2 + 80 * 79 / 2
+    assert {round(r.overlap, 3) for r in found} == {1.0, 0.2}
+
+
+def test_features_and_envelopes_come_from_one_pass(spark):
+    from tracelake.operators import trajectories as T
+
+    cut = read(spark, "/root/testdata/sf0.001", "pts").withColumn("segment_index", F.lit(0))
+    found = T.segments(cut, F.max("lon").alias("xmax"))
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found.select("dataset_name", "xmax")) == rows(cut.groupBy("dataset_name").agg(F.max("lon").alias("xmax")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tracelake.functions import text
 from tracelake.functions.geo import iou
+from tracelake.functions.graph import materialize
 from tracelake.operators import boxes as B
 from tracelake.operators import datasets as D
 from tracelake.operators import density as E
@@ -434,4 +435,6 @@ WITH p AS (SELECT a.scene_token AS a, b.scene_token AS b, greatest(0, least(a.xm
   FROM boxes a JOIN boxes b ON a.scene_token < b.scene_token AND a.xmin <= b.xmax AND a.xmax >= b.xmin AND a.ymin <= b.ymax AND a.ymax >= b.ymin)
 SELECT a, b, round(i / nullif(sa + sb - i, 0), 6) AS overlap FROM p""")
 def i7(boxes):
-    return B.box_join(boxes, boxes).where("l_scene_token < r_scene_token").select(F.col("l_scene_token").alias("a"), F.col("r_scene_token").alias("b"), F.round(iou("l_", "r_"), 6).alias("overlap"))
+    met = materialize(B.folded(boxes.select(*B.BOX, "scene_token")))
+    met = B.box_join(met, met).select("l_members", "r_members", F.round(iou("l_", "r_"), 6).alias("overlap"))
+    return B.unfolded(met, "l_", "r_").where("l_scene_token < r_scene_token").select(F.col("l_scene_token").alias("a"), F.col("r_scene_token").alias("b"), "overlap")
